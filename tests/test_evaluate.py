@@ -1,0 +1,85 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wayfare.operators.evaluate import (
+    evaluation_report,
+    hit_metrics,
+    holdout_split,
+    popular_top_k,
+    popularity_scorer,
+    top_k_unseen,
+)
+
+SCHEMA = "user_index int, item_index int, rating float"
+
+
+def _df(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_single_item_user_is_not_evaluated(spark):
+    rows = [(0, 1, 1.0), (1, 1, 1.0), (1, 2, 1.0), (1, 3, 0.6)]
+    s = holdout_split(_df(spark, rows))
+    assert {r.user_index for r in s.test.collect()} == {1}
+    assert {r.user_index for r in s.train.collect()} == {1}
+    assert s.train.count() == 2
+
+
+def test_reciprocal_rank_values(spark):
+    test = spark.createDataFrame([(0, 10), (1, 11), (2, 12)], "user_index int, true_item int")
+    topk = spark.createDataFrame([(0, 10, 1), (1, 11, 4), (1, 99, 1), (2, 98, 1)],
+                                 "user_index int, item_index int, rank int")
+    m = hit_metrics(test, topk, k=5).first()
+    assert m.users_evaluated == 3
+    assert abs(m.model_hit_rate - 2 / 3) < 1e-12
+    assert abs(m.model_mrr - (1.0 + 0.25 + 0.0) / 3) < 1e-12
+
+
+def test_guards_return_no_row(spark):
+    few = _df(spark, [(0, i, 1.0) for i in range(5)])
+    assert evaluation_report(few).count() == 0
+    singles = _df(spark, [(u, u, 1.0) for u in range(20)])
+    assert evaluation_report(singles).count() == 0
+
+
+def test_popularity_tie_goes_to_lower_item(spark):
+    train = _df(spark, [(0, 5, 1.0), (1, 3, 1.0), (2, 4, 1.0), (3, 4, 1.0)])
+    top = [(r.item_index, r.rank) for r in popular_top_k(train, 2).orderBy("rank").collect()]
+    assert top == [(4, 1), (3, 2)]
+
+
+def test_popularity_scorer_without_cross_join(spark):
+    train = _df(spark, [(0, 1, 1.0), (1, 2, 2.0), (2, 3, 3.0)])
+    users = spark.createDataFrame([(7,), (8,)], "user_index int")
+    cands = popularity_scorer(train, users, 2)
+    assert sorted((r.user_index, r.item_index) for r in cands.collect()) == [(7, 2), (7, 3), (8, 2), (8, 3)]
+    plan = cands._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 15)), min_size=12, max_size=120, unique=True))
+def test_split_and_metric_properties(spark, pairs):
+    df = _df(spark, [(u, i, 1.0 + (u * i) % 3) for u, i in pairs])
+    s = holdout_split(df)
+    test = {(r.user_index, r.true_item) for r in s.test.collect()}
+    train = {(r.user_index, r.item_index) for r in s.train.collect()}
+    assert not (test & train)
+    eligible = {u for u, _ in test}
+    by_user = {}
+    for u, i in pairs:
+        by_user.setdefault(u, set()).add(i)
+    assert eligible == {u for u, items in by_user.items() if len(items) >= 2}
+    for u in eligible:
+        assert {i for uu, i in train if uu == u} | {i for uu, i in test if uu == u} == by_user[u]
+    topk = top_k_unseen(popularity_scorer(s.train, s.test.select("user_index"), 50), s.train, 5)
+    per_user = topk.groupBy("user_index").count().agg(F.max("count")).first()[0]
+    assert per_user is None or per_user <= 5
+    seen_hits = topk.join(s.train, ["user_index", "item_index"], "inner").count()
+    assert seen_hits == 0
+    rep = evaluation_report(df).collect()
+    if rep:
+        r = rep[0]
+        assert 0.0 <= r.model_mrr <= r.model_hit_rate <= 1.0
+        assert 0.0 <= r.baseline_mrr <= r.baseline_hit_rate <= 1.0

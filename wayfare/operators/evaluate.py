@@ -16,6 +16,7 @@ import math
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +138,11 @@ def evaluation_report(indexed: DataFrame, scorer: Scorer = popularity_scorer, k:
     """M12 + F13: one row (users, model and baseline metrics, verdict), or no row when
     there are fewer than ``min_rows`` interactions or no eligible user."""
     split = holdout_split(indexed, seed)
+    # train feeds popularity, the scorer, the seen-filter and the eligibility check;
+    # test feeds the scorer and the metrics. Both are deterministic functions of
+    # ``indexed``, so a lost cached block recomputes to the same rows.
+    split = Holdout(test=split.test.persist(StorageLevel.MEMORY_AND_DISK),
+                    train=split.train.persist(StorageLevel.MEMORY_AND_DISK))
     n_rows = indexed.count()
     cands = scorer(split.train, split.test.select("user_index"), candidates)
     topk = top_k_unseen(cands, split.train, k)

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from wayfare.schemas import LOOKUP_CSV_SCHEMA, RAW_CSV_SCHEMA
 
-# A null marker no real field can contain: the raw reader keeps empty fields as "".
-_NEVER_NULL = "\u0000<no-null>\u0000"
-
-
 def scan_events(spark: SparkSession, source: str) -> DataFrame:
     """The event table, by catalog name (``db.table`` / ``catalog.db.table``) or by path.
 
@@ -32,14 +28,16 @@ def scan_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: raw dataset CSV with a header row, UTF-8, every value a string.
 
     Columns are matched by header name (any order, extra columns ignored); a file
-    lacking an expected column fails as a whole. Empty fields stay empty strings."""
+    lacking an expected column fails as a whole, and so does a row with missing
+    fields (FAILFAST). CSV text has no nulls: Spark reads an empty field as null,
+    so it is turned back into the empty string it was."""
     df = (spark.read.option("header", "true").option("encoding", "UTF-8")
-          .option("inferSchema", "false").option("nullValue", _NEVER_NULL)
-          .option("emptyValue", "").csv(path))
+          .option("inferSchema", "false").option("mode", "FAILFAST").csv(path))
     missing = [h for h in RAW_CSV_SCHEMA.fieldNames() if h not in df.columns]
     if missing:
         raise ValueError(f"raw CSV lacks columns: {missing}")
-    return df.select(*[F.col(f"`{h}`").cast("string").alias(h) for h in RAW_CSV_SCHEMA.fieldNames()])
+    return df.select(*[F.coalesce(F.col(f"`{h}`").cast("string"), F.lit("")).alias(h)
+                       for h in RAW_CSV_SCHEMA.fieldNames()])
 
 
 def stream_payloads(spark: SparkSession, fmt: str, location: str,

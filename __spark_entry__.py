@@ -300,7 +300,8 @@ def q_als_recommendations(spark, d):
 
 
 def q_als_eval(spark, d):
-    return evaluation_report(_indexed(spark, d).indexed, als_scorer(), K, N_CAND, SEED)
+    idx = _indexed(spark, d)
+    return evaluation_report(idx.indexed, als_scorer(n_items=idx.item_index.size), K, N_CAND, SEED)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

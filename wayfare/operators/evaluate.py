@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.scalar import holdout_key
-from wayfare.operators.recommend import fit_als
+from wayfare.operators.recommend import fit_als, recommend_top_n
 from wayfare.operators.topk import global_top_k, top_k_per_group
 from wayfare.schemas import CANDIDATES, MIN_EVAL_ROWS, SPLIT_SEED, TOP_K
 
@@ -76,14 +76,11 @@ def popularity_scorer(train: DataFrame, users: DataFrame, n: int) -> DataFrame:
     return users.select("user_index", F.inline(items))
 
 
-def als_scorer(**als_params) -> Scorer:
+def als_scorer(n_items: int | None = None, **als_params) -> Scorer:
     """ALS fitted on train; top-n per requested user."""
     def score(train: DataFrame, users: DataFrame, n: int) -> DataFrame:
         model = fit_als(train, **als_params)
-        recs = model.recommendForUserSubset(users.select("user_index"), n)
-        return recs.select("user_index", F.explode("recommendations").alias("rec")).select(
-            "user_index", F.col("rec.item_index").alias("item_index"),
-            F.col("rec.rating").cast("double").alias("score"))
+        return recommend_top_n(model, n, n_items=n_items, users=users).select("user_index", "item_index", "score")
     return score
 
 

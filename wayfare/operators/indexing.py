@@ -5,7 +5,8 @@ on the driver. Here it stays distributed:
 
 1. count rows per label (partial + final aggregation);
 2. range-partition the (label, count) table on (count desc, label asc) and sort
-   within partitions, so partition p holds a contiguous slice of the global order;
+   within partitions, so partition p holds a contiguous slice of the global order
+   (several label columns share one pass, with the column as leading sort key);
 3. number rows inside each partition;
 4. checkpoint this table to the shared folder: range bounds are sampled and could
    move on recomputation, and the numbering must never change once handed out;
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,36 +50,57 @@ def label_frequencies(df: DataFrame, label_col: str) -> DataFrame:
             .groupBy(label_col).agg(F.count(F.lit(1)).alias("freq")))
 
 
-def build_label_index(df: DataFrame, label_col: str, index_col: str,
-                      num_partitions: int | None = None) -> LabelIndex:
-    """M1/M2: index 0 for the most frequent label; null labels get no index."""
+def build_label_indexes(df: DataFrame, specs: list[tuple[str, str]],
+                        num_partitions: int | None = None) -> list[LabelIndex]:
+    """M1/M2 for several label columns in one pass: one range partitioning, one
+    checkpoint and one collect of per-partition counts serve all of them.
+
+    ``specs`` lists (label_col, index_col). Labels are compared as strings. Index 0
+    goes to the most frequent label, ties to the smaller label; nulls get no index."""
     spark = df.sparkSession
     checkpoint_root(spark)
     n = _partitions_for(df, num_partitions)
-    order = [F.col("freq").desc(), F.col(label_col).asc()]
-    ranged = (label_frequencies(df, label_col)
-              .repartitionByRange(n, *order)
+    freqs = None
+    for kind, (label_col, _) in enumerate(specs):
+        f = (df.select(F.col(label_col).cast("string").alias("label")).filter(F.col("label").isNotNull())
+             .groupBy("label").agg(F.count(F.lit(1)).alias("freq"))
+             .select(F.lit(kind).alias("kind"), "label", "freq"))
+        freqs = f if freqs is None else freqs.unionByName(f)
+    order = [F.col("kind").asc(), F.col("freq").desc(), F.col("label").asc()]
+    ranged = (freqs.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
-              .select(label_col, "freq",
+              .select("kind", "label", "freq",
                       F.spark_partition_id().alias("_part"),
                       (F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos"))
               .checkpoint(eager=True))
-    # One row per non-empty partition: bounded by n, never by the data.
-    sizes = {r["_part"]: r["cnt"] for r in ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("cnt")).collect()}
-    offsets, running = [], 0
-    for p in range(n):
-        offsets.append(running)
-        running += sizes.get(p, 0)
-    if running > INT_MAX:
-        raise ValueError(f"{running} labels exceed the int index range")
-    offset_arr = F.array(*[F.lit(o).cast("long") for o in offsets])
-    table = ranged.select(
-        F.col(label_col),
-        (F.element_at(offset_arr, F.col("_part") + 1) + F.col("_pos")).cast("int").alias(index_col),
-        F.col("freq"),
-    )
-    return LabelIndex(table=table, size=running, label_col=label_col, index_col=index_col)
+    # One row per (partition, kind): bounded by n x len(specs), never by the data.
+    counts = {(r["_part"], r["kind"]): r["cnt"] for r in
+              ranged.groupBy("_part", "kind").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    out = []
+    for kind, (label_col, index_col) in enumerate(specs):
+        # Row r of kind k in partition p gets: (rows of kind k in earlier partitions)
+        # + (r's position in p) - (rows of earlier kinds in p, which sort first).
+        adjust, running = [], 0
+        for p in range(n):
+            before_in_p = sum(counts.get((p, j), 0) for j in range(kind))
+            adjust.append(running - before_in_p)
+            running += counts.get((p, kind), 0)
+        if running > INT_MAX:
+            raise ValueError(f"{running} labels exceed the int index range")
+        adj = F.array(*[F.lit(a).cast("long") for a in adjust])
+        table = ranged.filter(F.col("kind") == kind).select(
+            F.col("label").alias(label_col),
+            (F.element_at(adj, F.col("_part") + 1) + F.col("_pos")).cast("int").alias(index_col),
+            F.col("freq"))
+        out.append(LabelIndex(table=table, size=running, label_col=label_col, index_col=index_col))
+    return out
+
+
+def build_label_index(df: DataFrame, label_col: str, index_col: str,
+                      num_partitions: int | None = None) -> LabelIndex:
+    """M1/M2: index 0 for the most frequent label; null labels get no index."""
+    return build_label_indexes(df, [(label_col, index_col)], num_partitions)[0]
 
 
 @dataclass
@@ -85,6 +108,12 @@ class IndexedInteractions:
     indexed: DataFrame
     user_index: LabelIndex
     item_index: LabelIndex
+    source: DataFrame | None = None
+
+    def release(self) -> None:
+        self.indexed.unpersist()
+        if self.source is not None:
+            self.source.unpersist()
 
     @property
     def user_map(self) -> DataFrame:
@@ -97,14 +126,19 @@ class IndexedInteractions:
         return self.item_index.table.select("item_index", "arrivalAirport")
 
 
-def index_interactions(inter: DataFrame, num_partitions: int | None = None) -> IndexedInteractions:
+def index_interactions(inter: DataFrame, num_partitions: int | None = None,
+                       persist_input: bool = True) -> IndexedInteractions:
     """E4 (M1-M4, F3): both label indexes, applied by equi-join.
 
     Users are joined by shuffle (both sides grow with the data). The item index is
     broadcast only when its exact size (known from its construction) is small.
-    Inner joins drop rows whose passenger or airport is null (the "skip" rule)."""
-    users = build_label_index(inter, "passengerId", "user_index", num_partitions)
-    items = build_label_index(inter, "arrivalAirport", "item_index", num_partitions)
+    Inner joins drop rows whose passenger or airport is null (the "skip" rule).
+    The interactions are read by the index build and by the joins, so they are
+    persisted (deterministic input: a lost block recomputes to the same rows)."""
+    if persist_input:
+        inter = inter.persist(StorageLevel.MEMORY_AND_DISK)
+    users, items = build_label_indexes(
+        inter, [("passengerId", "user_index"), ("arrivalAirport", "item_index")], num_partitions)
     item_side = broadcast_if_small(items.table.select("arrivalAirport", "item_index"), known_rows=items.size)
     indexed = (inter
                .join(users.table.select("passengerId", "user_index"), "passengerId")
@@ -113,4 +147,4 @@ def index_interactions(inter: DataFrame, num_partitions: int | None = None) -> I
                        F.col("user_index").cast("int").alias("user_index"),
                        F.col("item_index").cast("int").alias("item_index"),
                        F.col("strength").cast("float").alias("rating")))
-    return IndexedInteractions(indexed=indexed, user_index=users, item_index=items)
+    return IndexedInteractions(indexed=indexed, user_index=users, item_index=items, source=inter)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,16 @@ from pyspark.sql import functions as F
 from wayfare.schemas import ALS_ALPHA, ALS_MAX_ITER, ALS_RANK, ALS_REG, TOP_K
 from wayfare.session import checkpoint_root
 
+# Item factors up to this many items are broadcast for scoring: 200k x rank 20 x 4 B
+# = 16 MB per executor. Larger catalogues fall back to MLlib's blocked scoring.
+MAX_BROADCAST_ITEMS = 200_000
+# Scores held in memory per chunk of users (floats): 16M x 4 B = 64 MB per task.
+SCORE_CELLS_PER_CHUNK = 16_000_000
+# ALS blocking: fewer rows than this per block only adds task overhead.
+USERS_PER_BLOCK = 200
+ITEMS_PER_BLOCK = 200
+RATINGS_PER_BLOCK = 2_000_000
+
 
 def make_als(rank: int = ALS_RANK, reg: float = ALS_REG, alpha: float = ALS_ALPHA,
              max_iter: int = ALS_MAX_ITER, seed: int = 42, num_blocks: int | None = None,
@@ -25,17 +37,102 @@ def make_als(rank: int = ALS_RANK, reg: float = ALS_REG, alpha: float = ALS_ALPH
     return als
 
 
-def fit_als(indexed: DataFrame, **als_params) -> ALSModel:
-    checkpoint_root(indexed.sparkSession)
-    return make_als(**als_params).fit(indexed.select("user_index", "item_index", "rating"))
+def als_blocks(n_users: int, n_items: int, n_ratings: int, parallelism: int) -> tuple[int, int]:
+    """Block counts for training. Each block's ratings are solved in one task, so
+    both counts grow with the ratings as well as with users/items, and stop at the
+    cluster's parallelism (and at the item count: a block needs at least one item)."""
+    def ceil(a: int, b: int) -> int:
+        return -(-a // b)
+    by_ratings = ceil(n_ratings, RATINGS_PER_BLOCK)
+    ub = max(1, min(parallelism, max(ceil(n_users, USERS_PER_BLOCK), by_ratings)))
+    ib = max(1, min(parallelism, n_items, max(ceil(n_items, ITEMS_PER_BLOCK), by_ratings)))
+    return ub, ib
+
+
+def fit_als(indexed: DataFrame, n_users: int | None = None, n_items: int | None = None,
+            n_ratings: int | None = None, **als_params) -> ALSModel:
+    """Fit implicit ALS on (user_index, item_index, rating). When the sizes are known,
+    block counts follow them (see ``als_blocks``)."""
+    spark = indexed.sparkSession
+    checkpoint_root(spark)
+    als = make_als(**als_params)
+    if None not in (n_users, n_items, n_ratings) and not als_params.get("num_blocks"):
+        ub, ib = als_blocks(n_users, n_items, n_ratings, spark.sparkContext.defaultParallelism)
+        als = als.setNumUserBlocks(ub).setNumItemBlocks(ib)
+    return als.fit(indexed.select("user_index", "item_index", "rating"))
+
+
+def _top_n_rows(ids: np.ndarray, mat: np.ndarray, users: np.ndarray, feats: np.ndarray, n: int) -> pd.DataFrame:
+    """Exact top-n by score desc, ties to the smaller item id (ids are ascending)."""
+    n_items = len(ids)
+    k = min(n, n_items)
+    out_u, out_i, out_s, out_r = [], [], [], []
+    chunk = max(1, SCORE_CELLS_PER_CHUNK // max(1, n_items))
+    for start in range(0, len(users), chunk):
+        scores = feats[start:start + chunk] @ mat.T  # float32, (chunk, n_items)
+        if n_items <= 4 * k:
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        else:
+            # Candidates = every item scoring at least the k-th best; a stable sort of
+            # those (in ascending id order) settles ties at the boundary exactly.
+            kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+            order = np.empty((scores.shape[0], k), dtype=np.int64)
+            for row in range(scores.shape[0]):
+                cand = np.flatnonzero(scores[row] >= kth[row, 0])
+                order[row] = cand[np.argsort(-scores[row, cand], kind="stable")[:k]]
+        rows = np.arange(order.shape[0])[:, None]
+        out_u.append(np.repeat(users[start:start + chunk], k))
+        out_i.append(ids[order].ravel())
+        out_s.append(scores[rows, order].astype(np.float64).ravel())
+        out_r.append(np.tile(np.arange(1, k + 1, dtype=np.int32), order.shape[0]))
+    if not out_u:
+        return pd.DataFrame({"user_index": pd.Series([], dtype="int32"), "item_index": pd.Series([], dtype="int32"),
+                             "score": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
+    return pd.DataFrame({"user_index": np.concatenate(out_u).astype(np.int32),
+                         "item_index": np.concatenate(out_i).astype(np.int32),
+                         "score": np.concatenate(out_s), "rank": np.concatenate(out_r)})
+
+
+def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int) -> DataFrame:
+    """Top-n items per user from factor tables (id, features).
+
+    The item factors (size checked by the caller) are broadcast once; each task
+    scores its own users against them with a matrix product and keeps the n best,
+    so nothing is shuffled and no (user, item) table exists."""
+    spark = user_factors.sparkSession
+    items = item_factors.orderBy("id").collect()
+    ids = np.array([r["id"] for r in items], dtype=np.int64)
+    rank = len(items[0]["features"]) if items else 0
+    mat = np.array([r["features"] for r in items], dtype=np.float32).reshape(len(items), rank)
+    bc = spark.sparkContext.broadcast((ids, mat))
+
+    def top_n(batches):
+        b_ids, b_mat = bc.value
+        for pdf in batches:
+            if len(pdf) == 0 or len(b_ids) == 0:
+                continue
+            feats = np.stack(pdf["features"].to_numpy()).astype(np.float32)
+            yield _top_n_rows(b_ids, b_mat, pdf["id"].to_numpy(), feats, n)
+
+    schema = "user_index int, item_index int, score double, rank int"
+    return user_factors.select("id", "features").mapInPandas(top_n, schema)
 
 
-def recommend_top_n(model: ALSModel, n: int = TOP_K) -> DataFrame:
+def recommend_top_n(model: ALSModel, n: int = TOP_K, n_items: int | None = None,
+                    users: DataFrame | None = None) -> DataFrame:
     """M6 + P7 + P8: top-n items per user as rows (user_index, item_index, score, rank).
 
-    ``recommendForAllUsers`` scores user and item factor blocks against each other
-    and keeps a bounded top-n heap per user, so no user x item table is materialised."""
-    recs = model.recommendForAllUsers(n)
+    With a catalogue of known, bounded size the item factors are broadcast and scored
+    per task (``score_top_n``). Otherwise MLlib's ``recommendForAllUsers`` /
+    ``recommendForUserSubset`` scores factor blocks against each other with a bounded
+    heap per user. ``users`` (a column ``user_index``) restricts the users scored."""
+    user_factors = model.userFactors
+    if users is not None:
+        user_factors = user_factors.join(users.select(F.col("user_index").alias("id")), "id", "left_semi")
+    if n_items is not None and n_items <= MAX_BROADCAST_ITEMS:
+        return score_top_n(user_factors, model.itemFactors, n)
+    recs = (model.recommendForAllUsers(n) if users is None
+            else model.recommendForUserSubset(users.select("user_index"), n))
     return recs.select("user_index", F.posexplode("recommendations").alias("pos", "rec")).select(
         "user_index",
         F.col("rec.item_index").alias("item_index"),

@@ -25,7 +25,7 @@ class RecommendationRun:
     evaluation: DataFrame | None = None
 
     def release(self) -> None:
-        self.index.indexed.unpersist()
+        self.index.release()
 
 
 def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
@@ -43,11 +43,14 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     inter = interaction_strength(events, as_of, lookback_days)
     idx = index_interactions(inter, num_partitions)
     idx.indexed.persist(StorageLevel.MEMORY_AND_DISK)
+    n_ratings = idx.indexed.count()  # materialises the cache; sizes the ALS blocks
     evaluation = None
     if evaluate:
-        evaluation = evaluation_report(idx.indexed, scorer=als_scorer(**als_params), k=k)
-    model = fit_als(idx.indexed, **als_params)
-    recs = recommend_top_n(model, k).select("user_index", "item_index", "score")
+        evaluation = evaluation_report(idx.indexed, scorer=als_scorer(n_items=idx.item_index.size, **als_params),
+                                       k=k)
+    model = fit_als(idx.indexed, n_users=idx.user_index.size, n_items=idx.item_index.size,
+                    n_ratings=n_ratings, **als_params)
+    recs = recommend_top_n(model, k, n_items=idx.item_index.size).select("user_index", "item_index", "score")
     out = enrich_recommendations(recs, idx.user_map, idx.item_map, lookup, generated_at=generated_at,
                                  zone=zone, item_rows=idx.item_index.size)
     if target:

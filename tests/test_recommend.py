@@ -45,3 +45,35 @@ def test_broadcast_scoring_matches_mllib(spark):
     assert set(ours) == set(mllib) and len(ours) == 40
     for u in ours:  # same ranked score sequence; items may differ only among float ties
         assert np.allclose(ours[u], mllib[u], rtol=1e-5, atol=1e-5)
+
+
+def test_full_job_publishes_and_evaluates(spark, tmp_path):
+    import datetime as dt
+
+    import __spark_entry__ as ent
+    from wayfare.plans.job import run_recommendation_job
+    from wayfare.sources.readers import scan_recommendations
+
+    from conftest import SF_SMALL
+    target = str(tmp_path / "recs")
+    run = run_recommendation_job(ent._events(spark, SF_SMALL), ent._lookup(spark, SF_SMALL),
+                                 as_of="2024-01-31 00:00:00", lookback_days=30, evaluate=True,
+                                 target=target, max_iter=5)
+    back = scan_recommendations(spark, target)
+    rows = back.collect()
+    assert len(rows) == 5 * run.index.user_index.size
+    now_tehran = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=3, minutes=30)
+    assert {abs((r.generated_at - now_tehran).total_seconds()) < 300 for r in rows} == {True}
+    rep = run.evaluation.collect()
+    assert len(rep) == 1 and 0.0 <= rep[0].model_mrr <= rep[0].model_hit_rate <= 1.0
+    run.release()
+
+
+def test_default_as_of_is_now(spark):
+    import __spark_entry__ as ent
+    from wayfare.functions.scalar import utc_now
+    from wayfare.operators.interactions import interaction_strength
+
+    from conftest import SF_SMALL
+    # The test data is from January 2024: a 90-day window ending now holds none of it.
+    assert interaction_strength(ent._events(spark, SF_SMALL), utc_now()).count() == 0

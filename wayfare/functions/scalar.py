@@ -98,7 +98,7 @@ def lookback_cutoff(as_of, days: int) -> Column:
 
 def utc_now() -> Column:
     """X11: current UTC wall clock, zone-less; constant within one query."""
-    return F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
 
 
 def utc_to_zone(ts, zone: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.scalar import utc_now
 from wayfare.operators.enrich import attach_lookup, enrich_recommendations
 from wayfare.operators.evaluate import als_scorer, evaluation_report
 from wayfare.operators.indexing import IndexedInteractions, index_interactions
@@ -39,7 +40,7 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     ``indexed`` feeds the fit, the two maps and the optional evaluation, so it is
     persisted (memory and disk) once; its inputs are checkpointed index tables, so a
     lost block recomputes to the same rows. Errors propagate to the caller."""
-    as_of = as_of if as_of is not None else F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+    as_of = as_of if as_of is not None else utc_now()
     inter = interaction_strength(events, as_of, lookback_days)
     idx = index_interactions(inter, num_partitions)
     idx.indexed.persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,6 +1,6 @@
 """Mapping of the given test tables onto the roles the engine works with.
 
-- ``events`` plays the airline event log: passenger <- user_id, arrival airport <-
+- ``events`` plays the flight event log: passenger <- user_id, arrival airport <-
   ``$.k`` of props, flight status <- event_type, timestamp <- ts.
 - ``nation`` joined to ``region`` plays the airport lookup: code <- n_nationkey,
   city <- n_name, country <- r_name.

@@ -299,6 +299,13 @@ def q_als_recommendations(spark, d):
     return run.recommendations
 
 
+def q_als_recommendations_unseen(spark, d):
+    """The daily job with already-visited airports excluded (exactly k where possible)."""
+    run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF,
+                                 lookback_days=LOOKBACK, generated_at=RUN_AT, exclude_seen=True)
+    return run.recommendations
+
+
 def q_als_eval(spark, d):
     idx = _indexed(spark, d)
     return evaluation_report(idx.indexed, als_scorer(n_items=idx.item_index.size), K, N_CAND, SEED)
@@ -338,6 +345,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_interactions": q_lake_interactions,
     "publish_readback": q_publish_readback,
     "als_recommendations": q_als_recommendations,
+    "als_recommendations_unseen": q_als_recommendations_unseen,
     "als_eval": q_als_eval,
 }
 

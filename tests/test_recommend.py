@@ -77,3 +77,27 @@ def test_default_as_of_is_now(spark):
     from conftest import SF_SMALL
     # The test data is from January 2024: a 90-day window ending now holds none of it.
     assert interaction_strength(ent._events(spark, SF_SMALL), utc_now()).count() == 0
+
+
+def test_exclude_seen_exact_on_both_paths(spark):
+    rows = [(u, i, float(1 + (u * i) % 4)) for u in range(30) for i in range(12) if (u + 2 * i) % 3]
+    df = spark.createDataFrame(rows, "user_index int, item_index int, rating float")
+    model = fit_als(df, max_iter=5, rank=6)
+    seen = df.select("user_index", "item_index")
+    fast = recommend_top_n(model, 5, n_items=12, seen=seen)
+    slow = recommend_top_n(model, 5, seen=seen)  # MLlib path with over-fetch
+    seen_pairs = {(r.user_index, r.item_index) for r in seen.collect()}
+
+    def lists(recs):
+        out = {}
+        for r in recs.collect():
+            assert (r.user_index, r.item_index) not in seen_pairs
+            out.setdefault(r.user_index, []).append((r["rank"], r.score))
+        return {u: [s for _, s in sorted(v)] for u, v in out.items()}
+
+    a, b = lists(fast), lists(slow)
+    assert set(a) == set(b)
+    for u in a:
+        unseen = 12 - sum(1 for (uu, _) in seen_pairs if uu == u)
+        assert len(a[u]) == min(5, unseen)
+        assert np.allclose(a[u], b[u], rtol=1e-5, atol=1e-5)

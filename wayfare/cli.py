@@ -37,6 +37,7 @@ def main(argv=None) -> None:
     j.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     j.add_argument("--mode", choices=["replace", "append"], default="replace")
     j.add_argument("--evaluate", action="store_true")
+    j.add_argument("--exclude-seen", action="store_true")
     n = sub.add_parser("normalize")
     n.add_argument("--raw", required=True)
     n.add_argument("--out", required=True)
@@ -62,7 +63,7 @@ def main(argv=None) -> None:
     if args.cmd == "job":
         run = run_recommendation_job(scan_events(spark, args.events), scan_lookup(spark, args.lookup),
                                      as_of=args.as_of, lookback_days=args.lookback_days, evaluate=args.evaluate,
-                                     target=args.target, target_mode=args.mode)
+                                     target=args.target, target_mode=args.mode, exclude_seen=args.exclude_seen)
         if run.evaluation is not None:
             run.evaluation.show(truncate=False)
         run.release()

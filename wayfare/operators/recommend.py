@@ -62,14 +62,24 @@ def fit_als(indexed: DataFrame, n_users: int | None = None, n_items: int | None
     return als.fit(indexed.select("user_index", "item_index", "rating"))
 
 
-def _top_n_rows(ids: np.ndarray, mat: np.ndarray, users: np.ndarray, feats: np.ndarray, n: int) -> pd.DataFrame:
-    """Exact top-n by score desc, ties to the smaller item id (ids are ascending)."""
+def _top_n_rows(ids: np.ndarray, mat: np.ndarray, users: np.ndarray, feats: np.ndarray, n: int,
+                seen: list | None = None) -> pd.DataFrame:
+    """Exact top-n by score desc, ties to the smaller item id (ids are ascending).
+
+    ``seen`` (one array of item ids per user, or None) removes those items first; a
+    user left with fewer than n unseen items gets fewer rows."""
     n_items = len(ids)
     k = min(n, n_items)
     out_u, out_i, out_s, out_r = [], [], [], []
     chunk = max(1, SCORE_CELLS_PER_CHUNK // max(1, n_items))
     for start in range(0, len(users), chunk):
         scores = feats[start:start + chunk] @ mat.T  # float32, (chunk, n_items)
+        if seen is not None:
+            for row, items in enumerate(seen[start:start + chunk]):
+                if items is not None and len(items):
+                    pos = np.searchsorted(ids, np.asarray(items, dtype=np.int64))
+                    pos = pos[(pos < n_items) & (ids[np.minimum(pos, n_items - 1)] == np.asarray(items))]
+                    scores[row, pos] = -np.inf
         if n_items <= 4 * k:
             order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
         else:
@@ -81,10 +91,12 @@ def _top_n_rows(ids: np.ndarray, mat: np.ndarray, users: np.ndarray, feats: np.n
                 cand = np.flatnonzero(scores[row] >= kth[row, 0])
                 order[row] = cand[np.argsort(-scores[row, cand], kind="stable")[:k]]
         rows = np.arange(order.shape[0])[:, None]
-        out_u.append(np.repeat(users[start:start + chunk], k))
-        out_i.append(ids[order].ravel())
-        out_s.append(scores[rows, order].astype(np.float64).ravel())
-        out_r.append(np.tile(np.arange(1, k + 1, dtype=np.int32), order.shape[0]))
+        picked = scores[rows, order].astype(np.float64).ravel()
+        keep = np.isfinite(picked)
+        out_u.append(np.repeat(users[start:start + chunk], k)[keep])
+        out_i.append(ids[order].ravel()[keep])
+        out_s.append(picked[keep])
+        out_r.append(np.tile(np.arange(1, k + 1, dtype=np.int32), order.shape[0])[keep])
     if not out_u:
         return pd.DataFrame({"user_index": pd.Series([], dtype="int32"), "item_index": pd.Series([], dtype="int32"),
                              "score": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
@@ -93,12 +105,15 @@ def _top_n_rows(ids: np.ndarray, mat: np.ndarray, users: np.ndarray, feats: np.n
                          "score": np.concatenate(out_s), "rank": np.concatenate(out_r)})
 
 
-def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int) -> DataFrame:
+def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int,
+                seen: DataFrame | None = None) -> DataFrame:
     """Top-n items per user from factor tables (id, features).
 
     The item factors (size checked by the caller) are broadcast once; each task
     scores its own users against them with a matrix product and keeps the n best,
-    so nothing is shuffled and no (user, item) table exists."""
+    so nothing is shuffled and no (user, item) table exists. With ``seen``
+    (user_index, item_index), each user's seen items are excluded exactly; their
+    per-user list is bounded by the catalogue size the caller checked."""
     spark = user_factors.sparkSession
     items = item_factors.orderBy("id").collect()
     ids = np.array([r["id"] for r in items], dtype=np.int64)
@@ -106,36 +121,53 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int) -> Dat
     mat = np.array([r["features"] for r in items], dtype=np.float32).reshape(len(items), rank)
     bc = spark.sparkContext.broadcast((ids, mat))
 
+    users = user_factors.select("id", "features")
+    if seen is not None:
+        lists = seen.groupBy(F.col("user_index").alias("id")).agg(
+            F.collect_list(F.col("item_index").cast("long")).alias("seen"))
+        users = users.join(lists, "id", "left")
+    else:
+        users = users.withColumn("seen", F.lit(None).cast("array<long>"))
+
+    has_seen = seen is not None  # the task closure must not capture a DataFrame
+
     def top_n(batches):
         b_ids, b_mat = bc.value
         for pdf in batches:
             if len(pdf) == 0 or len(b_ids) == 0:
                 continue
             feats = np.stack(pdf["features"].to_numpy()).astype(np.float32)
-            yield _top_n_rows(b_ids, b_mat, pdf["id"].to_numpy(), feats, n)
+            seen_lists = list(pdf["seen"]) if has_seen else None
+            yield _top_n_rows(b_ids, b_mat, pdf["id"].to_numpy(), feats, n, seen_lists)
 
     schema = "user_index int, item_index int, score double, rank int"
-    return user_factors.select("id", "features").mapInPandas(top_n, schema)
+    return users.mapInPandas(top_n, schema)
 
 
 def recommend_top_n(model: ALSModel, n: int = TOP_K, n_items: int | None = None,
-                    users: DataFrame | None = None) -> DataFrame:
+                    users: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
     """M6 + P7 + P8: top-n items per user as rows (user_index, item_index, score, rank).
 
     With a catalogue of known, bounded size the item factors are broadcast and scored
     per task (``score_top_n``). Otherwise MLlib's ``recommendForAllUsers`` /
     ``recommendForUserSubset`` scores factor blocks against each other with a bounded
-    heap per user. ``users`` (a column ``user_index``) restricts the users scored."""
+    heap per user. ``users`` (a column ``user_index``) restricts the users scored;
+    ``seen`` (user_index, item_index) excludes those pairs exactly (the MLlib path
+    over-fetches by the largest number of seen items per user, then filters)."""
     user_factors = model.userFactors
     if users is not None:
         user_factors = user_factors.join(users.select(F.col("user_index").alias("id")), "id", "left_semi")
     if n_items is not None and n_items <= MAX_BROADCAST_ITEMS:
-        return score_top_n(user_factors, model.itemFactors, n)
-    recs = (model.recommendForAllUsers(n) if users is None
-            else model.recommendForUserSubset(users.select("user_index"), n))
-    return recs.select("user_index", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "user_index",
-        F.col("rec.item_index").alias("item_index"),
-        F.col("rec.rating").cast("double").alias("score"),
-        (F.col("pos") + 1).alias("rank"),
-    )
+        return score_top_n(user_factors, model.itemFactors, n, seen)
+    extra = 0
+    if seen is not None:
+        extra = seen.groupBy("user_index").count().agg(F.max("count")).first()[0] or 0
+    fetch = n + int(extra)
+    recs = (model.recommendForAllUsers(fetch) if users is None
+            else model.recommendForUserSubset(users.select("user_index"), fetch))
+    flat = recs.select("user_index", F.explode("recommendations").alias("rec")).select(
+        "user_index", F.col("rec.item_index").alias("item_index"), F.col("rec.rating").cast("double").alias("score"))
+    if seen is not None:
+        flat = flat.join(seen.select("user_index", "item_index"), ["user_index", "item_index"], "left_anti")
+    from wayfare.operators.topk import top_k_per_group
+    return top_k_per_group(flat, ["user_index"], [F.col("score").desc(), F.col("item_index").asc()], n)

@@ -34,12 +34,15 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
                            generated_at=None, zone: str = SERVING_ZONE, evaluate: bool = False,
                            target: str | None = None, target_fmt: str = "parquet",
                            target_mode: str = "replace", num_partitions: int | None = None,
-                           **als_params) -> RecommendationRun:
+                           exclude_seen: bool = False, **als_params) -> RecommendationRun:
     """E3 -> E4 -> E5 -> E6 (-> E7): the daily batch job.
 
     ``indexed`` feeds the fit, the two maps and the optional evaluation, so it is
     persisted (memory and disk) once; its inputs are checkpointed index tables, so a
-    lost block recomputes to the same rows. Errors propagate to the caller."""
+    lost block recomputes to the same rows. Errors propagate to the caller.
+
+    ``exclude_seen=False`` keeps airports the passenger already has, as the original
+    job does; ``True`` recommends only unseen ones (exactly k where enough remain)."""
     as_of = as_of if as_of is not None else utc_now()
     inter = interaction_strength(events, as_of, lookback_days)
     idx = index_interactions(inter, num_partitions)
@@ -51,7 +54,9 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
                                        k=k)
     model = fit_als(idx.indexed, n_users=idx.user_index.size, n_items=idx.item_index.size,
                     n_ratings=n_ratings, **als_params)
-    recs = recommend_top_n(model, k, n_items=idx.item_index.size).select("user_index", "item_index", "score")
+    seen = idx.indexed.select("user_index", "item_index") if exclude_seen else None
+    recs = recommend_top_n(model, k, n_items=idx.item_index.size, seen=seen).select(
+        "user_index", "item_index", "score")
     out = enrich_recommendations(recs, idx.user_map, idx.item_map, lookup, generated_at=generated_at,
                                  zone=zone, item_rows=idx.item_index.size)
     if target:

@@ -79,6 +79,10 @@ SEED = 42
 
 def _session_defaults(spark: SparkSession) -> None:
     checkpoint_root(spark)
+    # Queries persist their own reused inputs (interactions, evaluation split); drop
+    # those of earlier queries so one session can run them all. Cached data is a pure
+    # function of the inputs, so a later recompute gives the same rows.
+    spark.catalog.clearCache()
 
 
 def _events(spark, d):

@@ -303,6 +303,21 @@ def q_als_recommendations(spark, d):
     return run.recommendations
 
 
+def q_als_recommendations_full(spark, d):
+    """The daily job with the original 90-day lookback: every event of the table."""
+    run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF,
+                                 lookback_days=90, generated_at=RUN_AT)
+    return run.recommendations
+
+
+def q_als_recommendations_orders(spark, d):
+    """The daily job on the larger order-line event log (customers x suppliers)."""
+    ev = events_from_orders(load_table(spark, d, "orders"), load_table(spark, d, "lineitem"))
+    run = run_recommendation_job(ev, _lookup(spark, d), as_of=ORDERS_AS_OF,
+                                 lookback_days=ORDERS_LOOKBACK, generated_at=RUN_AT)
+    return run.recommendations
+
+
 def q_als_recommendations_unseen(spark, d):
     """The daily job with already-visited airports excluded (exactly k where possible)."""
     run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF,
@@ -349,6 +364,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_interactions": q_lake_interactions,
     "publish_readback": q_publish_readback,
     "als_recommendations": q_als_recommendations,
+    "als_recommendations_full": q_als_recommendations_full,
+    "als_recommendations_orders": q_als_recommendations_orders,
     "als_recommendations_unseen": q_als_recommendations_unseen,
     "als_eval": q_als_eval,
 }

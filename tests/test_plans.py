@@ -10,7 +10,8 @@ from wayfare.plans.inspect import physical_plan
 from conftest import SF_SMALL
 
 NO_PLAN_CHECK = {"stream_ingest_readback", "batch_append_readback", "lake_interactions", "publish_readback",
-                 "als_recommendations", "als_recommendations_unseen", "als_eval"}
+                 "als_recommendations", "als_recommendations_unseen", "als_recommendations_full",
+                 "als_recommendations_orders", "als_eval"}
 
 
 def test_top_k_uses_window_group_limit(spark):

@@ -33,28 +33,29 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
 
     Returns the 16 event fields, ``event_day`` and ``reason`` (null for good rows).
     A payload decodes when it is a JSON object whose fields are all present with the
-    right types. The timestamp may be epoch millis (a number) or ISO-8601 text."""
+    right types: text that is not JSON, or not an object, leaves every field null and
+    is rejected by the same check. The timestamp may be epoch millis (a JSON number)
+    or ISO-8601 text; the text is only extracted for rows whose number parse failed,
+    so a well-formed stream is parsed once per payload."""
     rec = F.from_json(F.col("value"), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
-    ts_text = F.get_json_object(F.col("value"), "$.timestamp")
-    staged = payloads.select(
-        F.col("value"),
-        rec.alias("r"),
-        F.json_object_keys(F.col("value")).isNotNull().alias("_is_object"),
-        ts_text.alias("_ts_text"),
-    )
+    staged = payloads.select(F.col("value"), rec.alias("r"))
     fields_ok = F.lit(True)
     for f in EVENT_FIELDS[:-1]:
         fields_ok = fields_ok & F.col(f"r.{f}").isNotNull()
     ts = F.when(F.col("r.timestamp").isNotNull(), millis_to_utc(F.col("r.timestamp"))) \
-        .otherwise(iso_text_to_utc(F.col("_ts_text")))
-    out = staged.select(
+        .otherwise(iso_text_to_utc(F.get_json_object(F.col("value"), "$.timestamp")))
+    decoded = staged.select(
         "value",
         *[F.col(f"r.{f}").alias(f) for f in EVENT_FIELDS[:-1]],
         ts.alias("timestamp"),
-        F.when(~(F.col("_is_object") & fields_ok), F.lit("decode"))
-         .when(ts.isNull(), F.lit("timestamp")).alias("reason"),
+        fields_ok.alias("_fields_ok"),
+    )
+    return decoded.select(
+        *[c for c in decoded.columns if c != "_fields_ok"],
+        F.when(~F.col("_fields_ok"), F.lit("decode")).when(F.col("timestamp").isNull(), F.lit("timestamp"))
+         .alias("reason"),
+        F.to_date("timestamp").alias(PARTITION_COL),
     )
-    return out.withColumn(PARTITION_COL, F.to_date("timestamp"))
 
 
 @dataclass

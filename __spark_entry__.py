@@ -137,6 +137,20 @@ def q_interaction_strength_orders(spark, d):
     return interaction_strength(ev, ORDERS_AS_OF, ORDERS_LOOKBACK)
 
 
+def _orders_inter(spark, d):
+    ev = events_from_orders(load_table(spark, d, "orders"), load_table(spark, d, "lineitem"))
+    return interaction_strength(ev, ORDERS_AS_OF, ORDERS_LOOKBACK)
+
+
+def q_indexed_interactions_orders(spark, d):
+    """E4 on the order-line log: thousands of passengers with many frequency ties."""
+    return index_interactions(_orders_inter(spark, d)).indexed
+
+
+def q_eval_report_orders(spark, d):
+    return evaluation_report(index_interactions(_orders_inter(spark, d)).indexed, popularity_scorer, K, N_CAND, SEED)
+
+
 def q_user_index(spark, d):
     return build_label_index(_inter(spark, d), "passengerId", "user_index").table
 
@@ -338,6 +352,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_index": q_user_index,
     "item_index": q_item_index,
     "indexed_interactions": q_indexed_interactions,
+    "indexed_interactions_orders": q_indexed_interactions_orders,
     "distinct_user_map": q_distinct_user_map,
     "enriched_left_lookup": q_enriched_left_lookup,
     "holdout_test": q_holdout_test,
@@ -350,6 +365,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popularity_metrics": q_popularity_metrics,
     "model_metrics": q_model_metrics,
     "eval_report": q_eval_report,
+    "eval_report_orders": q_eval_report_orders,
     "stand_in_recommendations": q_stand_in_recommendations,
     "latest_recommendations": q_latest_recommendations,
     "latest_for_passenger_list": q_latest_for_passenger_list,
@@ -428,8 +444,8 @@ def _index_sql(label: str, index: str) -> str:
             f"WHERE {label} IS NOT NULL GROUP BY {label}) f")
 
 
-def _with_indexed() -> str:
-    return (f"WITH inter AS ({_inter_sql()}), "
+def _with_indexed(inter_sql: str | None = None) -> str:
+    return (f"WITH inter AS ({inter_sql or _inter_sql()}), "
             f"uidx AS ({_index_sql('passengerId', 'user_index')}), "
             f"iidx AS ({_index_sql('arrivalAirport', 'item_index')}), "
             f"indexed AS (SELECT i.passengerId, i.arrivalAirport, u.user_index, t.item_index, "
@@ -437,9 +453,9 @@ def _with_indexed() -> str:
             f"JOIN iidx t ON i.arrivalAirport = t.arrivalAirport)")
 
 
-def _with_split() -> str:
+def _with_split(inter_sql: str | None = None) -> str:
     key = (f"md5(concat_ws('|', '{SEED}', CAST(user_index AS VARCHAR), CAST(item_index AS VARCHAR)))")
-    return (_with_indexed() + ", "
+    return (_with_indexed(inter_sql) + ", "
             f"pick AS (SELECT user_index, item_index AS true_item FROM (SELECT user_index, item_index, "
             f"row_number() OVER (PARTITION BY user_index ORDER BY {key} DESC, item_index ASC) AS rn "
             f"FROM indexed) z WHERE rn = 1), "
@@ -535,11 +551,19 @@ _ORDERS_EV = ("SELECT CAST(o_custkey AS VARCHAR) AS passengerId, CAST(l_suppkey
               "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 
 
-def oracle_sql() -> dict[str, str]:
-    ev = _ev_sql()
+def _eval_report_sql(inter_sql: str | None = None) -> str:
     metrics_join = ("FROM test t LEFT JOIN topk k ON t.user_index = k.user_index AND t.true_item = k.item_index "
                     "LEFT JOIN (SELECT item_index AS pop_item, rank AS pop_rank FROM poptop) p "
                     "ON t.true_item = p.pop_item")
+    return (_with_split(inter_sql) + ", rep AS (SELECT COUNT(*) AS users_evaluated, "
+            + _metric_sql("k.rank", "model") + ", " + _metric_sql("p.pop_rank", "baseline")
+            + " " + metrics_join + ") "
+            "SELECT *, model_hit_rate > baseline_hit_rate AS model_beats_baseline FROM rep "
+            "WHERE users_evaluated > 0 AND (SELECT COUNT(*) FROM indexed) >= 10")
+
+
+def oracle_sql() -> dict[str, str]:
+    ev = _ev_sql()
     sql = {
         "status_weight": (f"SELECT event_id, flightStatus, CAST({_WEIGHT} AS DOUBLE) AS weight FROM ({ev}) e"),
         "lookback_filter": (f"SELECT event_id, passengerId, arrivalAirport, flightStatus, \"timestamp\" "
@@ -576,11 +600,10 @@ def oracle_sql() -> dict[str, str]:
         "model_metrics": (_with_split() + " SELECT COUNT(*) AS users_evaluated, " + _metric_sql("k.rank", "model")
                           + " FROM test t LEFT JOIN topk k ON t.user_index = k.user_index "
                             "AND t.true_item = k.item_index"),
-        "eval_report": (_with_split() + ", rep AS (SELECT COUNT(*) AS users_evaluated, "
-                        + _metric_sql("k.rank", "model") + ", " + _metric_sql("p.pop_rank", "baseline")
-                        + " " + metrics_join + ") "
-                        "SELECT *, model_hit_rate > baseline_hit_rate AS model_beats_baseline FROM rep "
-                        f"WHERE users_evaluated > 0 AND (SELECT COUNT(*) FROM indexed) >= 10"),
+        "eval_report": _eval_report_sql(),
+        "eval_report_orders": _eval_report_sql(_inter_sql(ORDERS_AS_OF, ORDERS_LOOKBACK, _ORDERS_EV)),
+        "indexed_interactions_orders": (_with_indexed(_inter_sql(ORDERS_AS_OF, ORDERS_LOOKBACK, _ORDERS_EV))
+                                        + " SELECT * FROM indexed"),
         "stand_in_recommendations": _stand_in_sql(AS_OF, LOOKBACK, RUN_AT),
         "latest_recommendations": (
             f"WITH {_history_sql()}, newest AS (SELECT passenger_id, MAX(generated_at) AS generated_at "

@@ -30,6 +30,7 @@ from wayfare.functions.scalar import (
 from wayfare.operators.enrich import enrich_recommendations
 from wayfare.operators.evaluate import (
     evaluation_report,
+    fair_popularity_metrics,
     hit_metrics,
     holdout_split,
     popular_top_k,
@@ -216,6 +217,12 @@ def q_popularity_metrics(spark, d):
     return popularity_metrics(s.test, s.train, K)
 
 
+def q_fair_popularity_metrics(spark, d):
+    """Seen-removed popularity baseline (the like-for-like comparison for the model)."""
+    s = _split(spark, d)
+    return fair_popularity_metrics(s.test, s.train, K)
+
+
 def q_model_metrics(spark, d):
     s = _split(spark, d)
     topk = top_k_unseen(popularity_scorer(s.train, s.test.select("user_index"), N_CAND), s.train, K)
@@ -363,6 +370,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exploded_recs": q_exploded_recs,
     "popular_topk": q_popular_topk,
     "popularity_metrics": q_popularity_metrics,
+    "fair_popularity_metrics": q_fair_popularity_metrics,
     "model_metrics": q_model_metrics,
     "eval_report": q_eval_report,
     "eval_report_orders": q_eval_report_orders,
@@ -597,6 +605,15 @@ def oracle_sql() -> dict[str, str]:
         "popularity_metrics": (_with_split() + " SELECT COUNT(*) AS users_evaluated, "
                                + _metric_sql("p.rank", "baseline")
                                + " FROM test t LEFT JOIN poptop p ON t.true_item = p.item_index"),
+        "fair_popularity_metrics": (
+            _with_split() + ", allpop AS (SELECT item_index, row_number() OVER (ORDER BY pop DESC, item_index ASC) "
+            "AS r FROM pop), fairlist AS (SELECT user_index, item_index, row_number() OVER (PARTITION BY "
+            "user_index ORDER BY r) AS fr FROM (SELECT t.user_index, a.item_index, a.r FROM test t CROSS JOIN "
+            "allpop a WHERE NOT EXISTS (SELECT 1 FROM train s WHERE s.user_index = t.user_index "
+            "AND s.item_index = a.item_index)) x) "
+            "SELECT COUNT(*) AS users_evaluated, " + _metric_sql("f.fr", "fair_baseline")
+            + f" FROM test t LEFT JOIN (SELECT * FROM fairlist WHERE fr <= {K}) f "
+            "ON t.user_index = f.user_index AND t.true_item = f.item_index"),
         "model_metrics": (_with_split() + " SELECT COUNT(*) AS users_evaluated, " + _metric_sql("k.rank", "model")
                           + " FROM test t LEFT JOIN topk k ON t.user_index = k.user_index "
                             "AND t.true_item = k.item_index"),

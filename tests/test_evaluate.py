@@ -83,3 +83,25 @@ def test_split_and_metric_properties(spark, pairs):
         r = rep[0]
         assert 0.0 <= r.model_mrr <= r.model_hit_rate <= 1.0
         assert 0.0 <= r.baseline_mrr <= r.baseline_hit_rate <= 1.0
+
+
+def test_fair_baseline_removes_seen_items(spark):
+    from wayfare.operators.evaluate import fair_popularity_ranks
+    # Popularity order over train: 1 (3 users), 2 (2), 3 (1), then 4.
+    train = _df(spark, [(0, 1, 1.0), (1, 1, 1.0), (2, 1, 1.0), (1, 2, 1.0), (2, 2, 1.0), (2, 3, 1.0),
+                        (3, 4, 0.5), (0, 9, 0.1)])
+    test = spark.createDataFrame([(0, 2), (1, 3), (2, 4), (3, 7)], "user_index int, true_item int")
+    got = {r.user_index: r.fair_rank for r in fair_popularity_ranks(test, train, 2).collect()}
+    # user 0 has item 1: its list is 2, 3, ... -> item 2 at 1; user 1 has 1, 2 -> item 3 at 1;
+    # user 2 has 1, 2, 3 -> item 4 at 1; user 3's item 7 is not in train -> no rank.
+    assert got == {0: 1, 1: 1, 2: 1, 3: None}
+    plain = {r.user_index: r["rank"] for r in popular_top_k(train, 2).withColumnRenamed("item_index", "true_item")
+             .join(test, "true_item").collect()}
+    assert plain == {0: 2}
+
+
+def test_report_with_fair_baseline_columns(spark):
+    rows = [(u, i, 1.0 + (u + i) % 3) for u in range(12) for i in range(8) if (u * i) % 5 != 1]
+    rep = evaluation_report(_df(spark, rows), fair_baseline=True).first()
+    assert 0.0 <= rep.fair_baseline_mrr <= rep.fair_baseline_hit_rate <= 1.0
+    assert rep.fair_baseline_hit_rate >= 0.0 and isinstance(rep.model_beats_fair_baseline, bool)

@@ -50,6 +50,52 @@ def label_frequencies(df: DataFrame, label_col: str) -> DataFrame:
             .groupBy(label_col).agg(F.count(F.lit(1)).alias("freq")))
 
 
+def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int | None = None,
+                group_col: str | None = None) -> tuple[DataFrame, dict]:
+    """``row_number() - 1`` over a global order (restarting per ``group_col`` value),
+    without funnelling the table through one task as an unpartitioned window would.
+
+    The order must be total (no ties). Rows are range-partitioned on (group, order),
+    numbered inside each partition, checkpointed to the shared folder (range bounds
+    are sampled and must not move on recompute), and shifted by the number of rows of
+    the same group in earlier partitions. Only one count per (partition, group)
+    reaches the driver. Returns the numbered table and the row count per group."""
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = _partitions_for(df, num_partitions)
+    full_order = ([F.col(group_col).asc()] if group_col else []) + list(order)
+    group = F.col(group_col) if group_col else F.lit(0)
+    ranged = (df.repartitionByRange(n, *full_order)
+              .sortWithinPartitions(*full_order)
+              .select("*", group.alias("_group"),
+                      F.spark_partition_id().alias("_part"),
+                      (F.monotonically_increasing_id()
+                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos"))
+              .checkpoint(eager=True))
+    counts = {(r["_part"], r["_group"]): r["cnt"] for r in
+              ranged.groupBy("_part", "_group").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    groups = sorted({g for _, g in counts})
+    sizes, adjust = {}, {}
+    for g in groups:
+        running = 0
+        for p in range(n):
+            # Rows of earlier groups in partition p sort first there.
+            before_in_p = sum(c for (pp, gg), c in counts.items() if pp == p and gg < g)
+            adjust[(p, g)] = running - before_in_p
+            running += counts.get((p, g), 0)
+        sizes[g] = running
+    if any(v > INT_MAX for v in sizes.values()):
+        raise ValueError("row count exceeds the int index range")
+    shift = F.lit(0).cast("long")
+    if adjust:
+        keys = F.array(*[F.lit(f"{p}:{g}") for (p, g) in adjust])
+        vals = F.array(*[F.lit(v).cast("long") for v in adjust.values()])
+        lookup = F.map_from_arrays(keys, vals)
+        shift = F.element_at(lookup, F.concat_ws(":", F.col("_part").cast("string"), F.col("_group").cast("string")))
+    numbered = ranged.withColumn(index_col, (shift + F.col("_pos")).cast("int")).drop("_group", "_part", "_pos")
+    return numbered, sizes
+
+
 def build_label_indexes(df: DataFrame, specs: list[tuple[str, str]],
                         num_partitions: int | None = None) -> list[LabelIndex]:
     """M1/M2 for several label columns in one pass: one range partitioning, one
@@ -57,43 +103,19 @@ def build_label_indexes(df: DataFrame, specs: list[tuple[str, str]],
 
     ``specs`` lists (label_col, index_col). Labels are compared as strings. Index 0
     goes to the most frequent label, ties to the smaller label; nulls get no index."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n = _partitions_for(df, num_partitions)
     freqs = None
     for kind, (label_col, _) in enumerate(specs):
         f = (df.select(F.col(label_col).cast("string").alias("label")).filter(F.col("label").isNotNull())
              .groupBy("label").agg(F.count(F.lit(1)).alias("freq"))
              .select(F.lit(kind).alias("kind"), "label", "freq"))
         freqs = f if freqs is None else freqs.unionByName(f)
-    order = [F.col("kind").asc(), F.col("freq").desc(), F.col("label").asc()]
-    ranged = (freqs.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .select("kind", "label", "freq",
-                      F.spark_partition_id().alias("_part"),
-                      (F.monotonically_increasing_id()
-                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos"))
-              .checkpoint(eager=True))
-    # One row per (partition, kind): bounded by n x len(specs), never by the data.
-    counts = {(r["_part"], r["kind"]): r["cnt"] for r in
-              ranged.groupBy("_part", "kind").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    numbered, sizes = number_rows(freqs, [F.col("freq").desc(), F.col("label").asc()], "_index",
+                                  num_partitions, group_col="kind")
     out = []
     for kind, (label_col, index_col) in enumerate(specs):
-        # Row r of kind k in partition p gets: (rows of kind k in earlier partitions)
-        # + (r's position in p) - (rows of earlier kinds in p, which sort first).
-        adjust, running = [], 0
-        for p in range(n):
-            before_in_p = sum(counts.get((p, j), 0) for j in range(kind))
-            adjust.append(running - before_in_p)
-            running += counts.get((p, kind), 0)
-        if running > INT_MAX:
-            raise ValueError(f"{running} labels exceed the int index range")
-        adj = F.array(*[F.lit(a).cast("long") for a in adjust])
-        table = ranged.filter(F.col("kind") == kind).select(
-            F.col("label").alias(label_col),
-            (F.element_at(adj, F.col("_part") + 1) + F.col("_pos")).cast("int").alias(index_col),
-            F.col("freq"))
-        out.append(LabelIndex(table=table, size=running, label_col=label_col, index_col=index_col))
+        table = numbered.filter(F.col("kind") == kind).select(
+            F.col("label").alias(label_col), F.col("_index").alias(index_col), F.col("freq"))
+        out.append(LabelIndex(table=table, size=sizes.get(kind, 0), label_col=label_col, index_col=index_col))
     return out
 
 

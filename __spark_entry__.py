@@ -14,7 +14,6 @@ Queries whose results depend on ALS have no SQL twin (rows-only check).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

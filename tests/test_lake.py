@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from wayfare.functions.scalar import utc_now
 from wayfare.operators.interactions import interaction_strength

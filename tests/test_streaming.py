@@ -60,3 +60,18 @@ def test_bad_payloads_are_quarantined(spark, tmp_path):
 def test_decode_batch_same_as_stream_rules(spark):
     df = spark.createDataFrame([("[]",), ('{"timestamp": 0}',)], "value string")
     assert [r.reason for r in decode_payloads(df).collect()] == ["decode", "decode"]
+
+
+def test_old_events_and_duplicates(spark, tmp_path):
+    ev = _normalized(spark).limit(1)
+    payload = json.loads(encode_events(ev).first().value)
+    old = dict(payload, timestamp=-86_400_000 * 365 * 30)       # 1940: its own day
+    edge = dict(payload, timestamp=1704067199999)               # last ms of 2023-12-31
+    lines = [json.dumps(payload), json.dumps(payload), json.dumps(old), json.dumps(edge)]
+    os.makedirs(tmp_path / "topic")
+    (tmp_path / "topic" / "p.txt").write_text("\n".join(lines) + "\n")
+    ingest_stream(stream_payloads(spark, "text", str(tmp_path / "topic")), str(tmp_path / "lake"),
+                  str(tmp_path / "ckpt")).await_all()
+    days = sorted(str(r.event_day) for r in spark.read.parquet(str(tmp_path / "lake")).collect())
+    assert len(days) == 4                      # the duplicate is kept (append-only log)
+    assert days[0].startswith("1940") and "2023-12-31" in days

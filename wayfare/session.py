@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove reliable-checkpoint files once nothing references them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

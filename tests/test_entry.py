@@ -47,3 +47,24 @@ def test_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+@pytest.fixture()
+def aqe_off(spark):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+@pytest.mark.parametrize("name", sorted(set(ent.queries()) - {"als_recommendations_orders", "als_eval"}))
+def test_builds_without_adaptive_execution(aqe_off, name):
+    # Plans are analysed while they are built; a caller's session may run without AQE.
+    df = ent.queries()[name](aqe_off, SF_SMALL)
+    assert df.schema.fields
+
+
+def test_fair_report_without_adaptive_execution(aqe_off):
+    from wayfare.operators.evaluate import evaluation_report
+    rep = evaluation_report(ent._indexed(aqe_off, SF_SMALL).indexed, fair_baseline=True).collect()
+    assert len(rep) == 1

@@ -84,8 +84,11 @@ def fair_popularity_ranks(test: DataFrame, train: DataFrame, k: int = TOP_K) ->
     r = broadcast_if_small(ranks.select("item_index", "pop_rank"), known_rows=n_items)
     t = test.join(r.select(F.col("item_index").alias("true_item"), F.col("pop_rank").alias("r_t")),
                   "true_item", "left")
-    ahead = (train.select("user_index", "item_index").join(r, "item_index")
+    # The rank table is joined last, as a bare relation: placing it inside both join
+    # sides makes some analyzer configurations fail to tell the two copies apart.
+    ahead = (train.select("user_index", "item_index")
              .join(t.filter(F.col("r_t").isNotNull()).select("user_index", "r_t"), "user_index")
+             .join(r, "item_index")
              .filter(F.col("pop_rank") < F.col("r_t"))
              .groupBy("user_index").agg(F.count(F.lit(1)).alias("_ahead")))
     fair = F.col("r_t") - F.coalesce(F.col("_ahead"), F.lit(0))

@@ -38,12 +38,6 @@ class LabelIndex:
     index_col: str
 
 
-def _partitions_for(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def label_frequencies(df: DataFrame, label_col: str) -> DataFrame:
     """Rows per non-null label."""
     return (df.filter(F.col(label_col).isNotNull())
@@ -62,10 +56,14 @@ def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int
     reaches the driver. Returns the numbered table and the row count per group."""
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = _partitions_for(df, num_partitions)
     full_order = ([F.col(group_col).asc()] if group_col else []) + list(order)
     group = F.col(group_col) if group_col else F.lit(0)
-    ranged = (df.repartitionByRange(n, *full_order)
+    # Without an explicit count, AQE may merge adjacent ranges into fewer partitions
+    # of its advisory size; merged partitions stay contiguous in the global order, and
+    # the partition id is read after the merge, so the offsets below remain exact.
+    ranged_in = (df.repartitionByRange(int(num_partitions), *full_order) if num_partitions
+                 else df.repartitionByRange(*full_order))
+    ranged = (ranged_in
               .sortWithinPartitions(*full_order)
               .select("*", group.alias("_group"),
                       F.spark_partition_id().alias("_part"),
@@ -74,6 +72,7 @@ def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int
               .checkpoint(eager=True))
     counts = {(r["_part"], r["_group"]): r["cnt"] for r in
               ranged.groupBy("_part", "_group").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    n = max((p for p, _ in counts), default=-1) + 1
     groups = sorted({g for _, g in counts})
     sizes, adjust = {}, {}
     for g in groups:

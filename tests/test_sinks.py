@@ -30,3 +30,11 @@ def test_lookup_csv_positions_missing_and_duplicate_codes(spark, tmp_path):
     got = sorted((r.arrival_airport_code, r.arrival_city) for r in out)
     assert got == [("IKA", "Tehran"), ("SYZ", "Other"), ("SYZ", "Shiraz"), ("XXX", None)]
     assert {r.generated_at for r in out} == {dt.datetime(2024, 1, 31, 3, 30)}
+
+
+def test_dedupe_lookup_keeps_one_row_per_code(spark, tmp_path):
+    from wayfare.operators.enrich import dedupe_lookup
+    lookup = spark.createDataFrame([("Shiraz", "Iran", "SYZ"), ("Other", "Iran", "SYZ"), (None, "X", "SYZ"),
+                                    ("Tehran", "Iran", "IKA")], "city string, country string, iata_code string")
+    got = sorted((r.iata_code, r.city) for r in dedupe_lookup(lookup).collect())
+    assert got == [("IKA", "Tehran"), ("SYZ", "Other")]

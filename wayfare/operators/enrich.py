@@ -10,6 +10,18 @@ from wayfare.operators.joins import broadcast_if_small
 from wayfare.schemas import SERVING_ZONE
 
 
+def dedupe_lookup(lookup: DataFrame) -> DataFrame:
+    """One row per airport code: the smallest (city, country), nulls last.
+
+    Optional: the original left join multiplies a recommendation by every duplicate
+    of its code. A grouped min is partially aggregated, so a code repeated a third of
+    the time is still combined per task before the shuffle."""
+    best = F.min(F.struct(F.col("city").isNull().alias("_cn"), F.col("city"),
+                          F.col("country").isNull().alias("_kn"), F.col("country")))
+    return (lookup.groupBy("iata_code").agg(best.alias("_b"))
+            .select(F.col("_b.city").alias("city"), F.col("_b.country").alias("country"), "iata_code"))
+
+
 def attach_lookup(labelled: DataFrame, lookup: DataFrame, generated_at=None, zone: str = SERVING_ZONE,
                   lookup_rows: int | None = None) -> DataFrame:
     """J3 + P10 + X10 on (passengerId, arrivalAirport, score) rows.

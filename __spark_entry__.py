@@ -252,11 +252,13 @@ def q_recommendations_on_day(spark, d):
 
 def q_parse_event_time(spark, d):
     ev = load_table(spark, d, "events")
-    base = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    # ISO text built from the value's own string form (date_format would pass a
+    # zone-less value through the session zone).
+    base = F.regexp_replace(F.substring(F.col("ts").cast("string"), 1, 19), " ", "T")
     text = (F.when(F.col("event_type") == "purchase", F.concat(base, F.lit("Z")))
             .when(F.col("event_type") == "click", base)
             .when(F.col("event_type") == "error", F.concat(base, F.lit("+03:30")))
-            .when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd"))
+            .when(F.col("event_type") == "view", F.to_date("ts").cast("string"))
             .otherwise(F.lit("yesterday")))
     return ev.select("event_id", text.alias("ts_text")).select(
         "event_id", "ts_text", iso_text_to_utc("ts_text").alias("parsed"))

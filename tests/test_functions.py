@@ -78,3 +78,19 @@ def test_holdout_key_is_plain_md5(spark):
 def test_utc_to_tehran(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 31),)], "ts timestamp_ntz")
     assert df.select(utc_to_zone("ts", "Asia/Tehran").alias("z")).first()["z"] == dt.datetime(2024, 1, 31, 3, 30)
+
+
+def test_epoch_millis_ignores_session_zone(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    cases = ["2024-07-01 00:00:00.123456", "2024-03-10 02:30:00", "2024-11-03 01:30:00",
+             "1969-12-31 23:59:59.500", "1940-06-01 12:00:00.250999"]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(v,) for v in cases], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
+        out = df.select("t", epoch_millis_of("t").alias("m"), millis_to_utc(epoch_millis_of("t")).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for r in out:
+        assert r.m == (r.t - dt.datetime(1970, 1, 1)) // dt.timedelta(milliseconds=1)
+        assert r.back == r.t.replace(microsecond=r.t.microsecond // 1000 * 1000)

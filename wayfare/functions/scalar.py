@@ -63,8 +63,18 @@ def millis_to_utc(millis) -> Column:
 
 
 def epoch_millis_of(ts) -> Column:
-    """Zone-less UTC timestamp -> epoch milliseconds (inverse of X6, truncating micros)."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), _col(ts))
+    """Zone-less UTC timestamp -> epoch milliseconds (inverse of X6), floored like
+    ``Instant.toEpochMilli``.
+
+    Built from parts that never consult the session time zone (day number, hour,
+    minute, seconds with fraction). ``timestampdiff`` on a zone-less value converts it
+    through the session zone first, which shifts wall-clock times that do not exist
+    there (a daylight-saving gap) by an hour."""
+    c = _col(ts)
+    return (F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000)
+            + F.hour(c).cast("long") * F.lit(3_600_000)
+            + F.minute(c).cast("long") * F.lit(60_000)
+            + F.floor(F.extract(F.lit("SECOND"), c) * 1000).cast("long"))
 
 
 def iso_text_to_utc(text) -> Column:

@@ -54,7 +54,7 @@ from wayfare.sources.fixtures import (
     lookup_from_nation,
     raw_rows_from_event_log,
 )
-from wayfare.sources.readers import scan_events, scan_recommendations, stream_payloads
+from wayfare.sources.readers import scan_events, scan_lookup, scan_raw_csv, scan_recommendations, stream_payloads
 from wayfare.streaming.ingest import ingest_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -273,6 +273,25 @@ def q_millis_roundtrip(spark, d):
         days_since_epoch(millis_to_utc("millis")).alias("epoch_day"))
 
 
+def q_lookup_csv(spark, d):
+    """S2 + P4: the airport lookup written as a headerless CSV (id, name, city,
+    country, code), read back by position."""
+    path = scratch_path(spark, "airports")
+    lk = _lookup(spark, d)
+    (lk.select(F.col("iata_code").alias("id"), F.lit("x").alias("name"), "city", "country", "iata_code")
+     .write.option("header", "false").csv(path))
+    return scan_lookup(spark, path)
+
+
+def q_raw_csv_normalized(spark, d):
+    """S3 + E1: the raw dataset written as a CSV with header, read back by header name
+    and normalised. The ingest clock is now, so the timestamp column is left out."""
+    path = scratch_path(spark, "raw_csv")
+    raw_rows_from_event_log(load_table(spark, d, "events")).drop("_ingest_ts") \
+        .write.option("header", "true").csv(path)
+    return normalize_events(scan_raw_csv(spark, path)).events.drop("timestamp")
+
+
 def q_normalized_events(spark, d):
     return _normalized(spark, d).events
 
@@ -381,6 +400,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommendations_on_day": q_recommendations_on_day,
     "parse_event_time": q_parse_event_time,
     "millis_roundtrip": q_millis_roundtrip,
+    "lookup_csv": q_lookup_csv,
+    "raw_csv_normalized": q_raw_csv_normalized,
     "normalized_events": q_normalized_events,
     "rejected_events": q_rejected_events,
     "events_by_day": q_events_by_day,
@@ -655,6 +676,10 @@ def oracle_sql() -> dict[str, str]:
             "AS ts_utc, CAST(make_timestamp((epoch_us(ts) // 1000) * 1000) AS DATE) AS event_day, "
             "CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS epoch_day FROM events"),
         "normalized_events": _normalized_sql(),
+        "lookup_csv": _lookup_sql(),
+        "raw_csv_normalized": (_norm_with() + " SELECT "
+                               + ", ".join("age_int AS age" if f == "age" else f for f in _FIELDS)
+                               + " FROM staged WHERE reason IS NULL"),
         "rejected_events": (_norm_with() + " SELECT "
                             + ", ".join(f"{f} AS \"{h}\"" for f, h in zip(_FIELDS, _HEADERS))
                             + ", reason FROM staged WHERE reason IS NOT NULL"),

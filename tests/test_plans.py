@@ -10,6 +10,7 @@ from wayfare.plans.inspect import physical_plan
 from conftest import SF_SMALL
 
 NO_PLAN_CHECK = {"stream_ingest_readback", "batch_append_readback", "lake_interactions", "publish_readback",
+                 "lookup_csv", "raw_csv_normalized",
                  "als_recommendations", "als_recommendations_unseen", "als_recommendations_full",
                  "als_recommendations_orders", "als_eval"}
 

@@ -47,7 +47,10 @@ from wayfare.operators.topk import top_k_per_group
 from wayfare.plans.job import run_recommendation_job, stand_in_recommendations
 from wayfare.session import checkpoint_root, scratch_path
 from wayfare.sinks import append_events, publish_events, publish_recommendations, with_event_day
+from wayfare.schemas import EVENT_FIELDS, OTHER_STATUS_WEIGHT, RAW_CSV_HEADERS, STATUS_WEIGHTS
 from wayfare.sources.fixtures import (
+    EVENT_TYPE_STATUS,
+    ORDER_STATUS_STATUS,
     events_from_event_log,
     events_from_orders,
     load_table,
@@ -439,10 +442,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # DuckDB side
 # ---------------------------------------------------------------------------
 
-_STATUS = ("CASE event_type WHEN 'purchase' THEN 'On Time' WHEN 'click' THEN 'Delayed' "
-           "WHEN 'error' THEN 'Cancelled' ELSE event_type END")
-_WEIGHT = ("CASE flightStatus WHEN 'On Time' THEN 1.0 WHEN 'Delayed' THEN 0.6 "
-           "WHEN 'Cancelled' THEN 0.0 ELSE 0.3 END")
+def _case(col: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {default} END"
+
+
+_STATUS = _case("event_type", {k: f"'{v}'" for k, v in EVENT_TYPE_STATUS.items()}, "event_type")
+_ORDER_STATUS = _case("o_orderstatus", {k: f"'{v}'" for k, v in ORDER_STATUS_STATUS.items()}, "o_orderstatus")
+_WEIGHT = _case("flightStatus", STATUS_WEIGHTS, OTHER_STATUS_WEIGHT)
 
 
 def _ev_sql() -> str:
@@ -551,12 +558,8 @@ def _raw_sql() -> str:
             f"date_trunc('millisecond', ts) AS ingest_ts FROM events")
 
 
-_FIELDS = ["passengerId", "firstName", "lastName", "gender", "age", "nationality", "airportName",
-           "airportCountryCode", "countryName", "airportContinent", "continents", "departureDate",
-           "arrivalAirport", "pilotName", "flightStatus"]
-_HEADERS = ["Passenger ID", "First Name", "Last Name", "Gender", "Age", "Nationality", "Airport Name",
-            "Airport Country Code", "Country Name", "Airport Continent", "Continents", "Departure Date",
-            "Arrival Airport", "Pilot Name", "Flight Status"]
+_FIELDS = EVENT_FIELDS[:-1]
+_HEADERS = RAW_CSV_HEADERS
 
 
 def _norm_with() -> str:
@@ -576,8 +579,7 @@ def _unseen_topk_sql(select: str) -> str:
 
 
 _ORDERS_EV = ("SELECT CAST(o_custkey AS VARCHAR) AS passengerId, CAST(l_suppkey AS VARCHAR) AS arrivalAirport, "
-              "CASE o_orderstatus WHEN 'F' THEN 'On Time' WHEN 'O' THEN 'Delayed' WHEN 'P' THEN 'Cancelled' "
-              "ELSE o_orderstatus END AS flightStatus, o_orderdate AS \"timestamp\" "
+              f"{_ORDER_STATUS} AS flightStatus, o_orderdate AS \"timestamp\" "
               "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 
 

@@ -85,13 +85,15 @@ def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int
         sizes[g] = running
     if any(v > INT_MAX for v in sizes.values()):
         raise ValueError("row count exceeds the int index range")
-    shift = F.lit(0).cast("long")
-    if adjust:
-        keys = F.array(*[F.lit(f"{p}:{g}") for (p, g) in adjust])
-        vals = F.array(*[F.lit(v).cast("long") for v in adjust.values()])
-        lookup = F.map_from_arrays(keys, vals)
-        shift = F.element_at(lookup, F.concat_ws(":", F.col("_part").cast("string"), F.col("_group").cast("string")))
-    numbered = ranged.withColumn(index_col, (shift + F.col("_pos")).cast("int")).drop("_group", "_part", "_pos")
+    if not adjust:
+        return ranged.withColumn(index_col, F.lit(None).cast("int")).drop("_group", "_part", "_pos"), sizes
+    # One offset per (partition, group): a table bounded by the partition count, so
+    # broadcasting it is safe at any data size (no map literal carried in every task).
+    offsets = spark.createDataFrame([(p, g, v) for (p, g), v in adjust.items()],
+                                    "_part int, _group int, _shift long")
+    numbered = (ranged.join(F.broadcast(offsets), ["_part", "_group"])
+                .withColumn(index_col, (F.col("_shift") + F.col("_pos")).cast("int"))
+                .drop("_group", "_part", "_pos", "_shift"))
     return numbered, sizes
 
 

@@ -668,11 +668,11 @@ def oracle_sql() -> dict[str, str]:
             "WHEN 'error' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+03:30' "
             "WHEN 'view' THEN strftime(ts, '%Y-%m-%d') ELSE 'yesterday' END AS ts_text FROM events) "
             "SELECT event_id, ts_text, CASE "
-            "WHEN regexp_full_match(ts_text, '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2}(\\.\\d{1,9})?)?"
+            "WHEN regexp_full_match(upper(ts_text), '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2}(\\.\\d{1,9})?)?"
             "(Z|[+-]\\d{2}:\\d{2}(:\\d{2})?)') "
-            "THEN (TRY_CAST(ts_text AS TIMESTAMPTZ) AT TIME ZONE 'UTC') "
-            "WHEN regexp_full_match(ts_text, '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2}(\\.\\d{1,9})?)?') "
-            "THEN TRY_CAST(ts_text AS TIMESTAMP) END AS parsed FROM t"),
+            "THEN (TRY_CAST(upper(ts_text) AS TIMESTAMPTZ) AT TIME ZONE 'UTC') "
+            "WHEN regexp_full_match(upper(ts_text), '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2}(\\.\\d{1,9})?)?') "
+            "THEN TRY_CAST(upper(ts_text) AS TIMESTAMP) END AS parsed FROM t"),
         "millis_roundtrip": (
             "SELECT event_id, epoch_us(ts) // 1000 AS millis, make_timestamp((epoch_us(ts) // 1000) * 1000) "
             "AS ts_utc, CAST(make_timestamp((epoch_us(ts) // 1000) * 1000) AS DATE) AS event_day, "

@@ -39,6 +39,8 @@ def test_iso_text_rules(spark):
         "2024-01-01T00:00:00": dt.datetime(2024, 1, 1),
         "2024-01-01T01:00:00+03:30": dt.datetime(2023, 12, 31, 21, 30),
         "2024-01-01T00:00": dt.datetime(2024, 1, 1),
+        "2024-01-01t00:00:00z": dt.datetime(2024, 1, 1),
+        "2024-01-01T00:00:00.5Z": dt.datetime(2024, 1, 1, 0, 0, 0, 500000),
         "2024-01-01": None,
         "yesterday": None,
         "2024": None,

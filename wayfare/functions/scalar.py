@@ -83,7 +83,7 @@ def iso_text_to_utc(text) -> Column:
     Text with 'Z' or an offset is an instant; text without one is read as UTC wall
     clock. Anything else (a bare date, 'yesterday', a bare year) is null, although
     Spark's own cast would accept some of those; the pattern guard rules them out."""
-    t = _col(text)
+    t = F.upper(_col(text))  # ISO parsers read 't' and 'z' like 'T' and 'Z'
     ok = t.rlike(ISO_DATE_TIME)
     zoned = t.rlike(ISO_ZONED_SUFFIX)
     instant = F.timestamp_add("MICROSECOND", F.unix_micros(t.try_cast("timestamp")), F.expr(_EPOCH))

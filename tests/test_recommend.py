@@ -1,6 +1,7 @@
 import numpy as np
 
-from wayfare.operators.recommend import _top_n_rows, als_blocks, fit_als, recommend_top_n
+from wayfare.operators._scoring import top_n_rows as _top_n_rows
+from wayfare.operators.recommend import als_blocks, fit_als, recommend_top_n
 
 
 def _brute(ids, mat, users, feats, n):
@@ -101,3 +102,27 @@ def test_exclude_seen_exact_on_both_paths(spark):
         unseen = 12 - sum(1 for (uu, _) in seen_pairs if uu == u)
         assert len(a[u]) == min(5, unseen)
         assert np.allclose(a[u], b[u], rtol=1e-5, atol=1e-5)
+
+
+def test_scoring_runs_where_the_package_is_not_installed(tmp_path):
+    """Executors need no copy of the package: the task-side code is pickled by value."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "probe.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from wayfare.operators.recommend import fit_als, recommend_top_n
+df = spark.createDataFrame([(u, i, 1.0) for u in range(6) for i in range(5) if (u + i) % 2],
+                           "user_index int, item_index int, rating float")
+rows = recommend_top_n(fit_als(df, max_iter=2, rank=3), 2, n_items=5).collect()
+print("ROWS", len(rows))
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "ROWS 12" in out.stdout, out.stderr[-2000:]

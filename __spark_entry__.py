@@ -371,7 +371,8 @@ def q_als_recommendations_unseen(spark, d):
 
 def q_als_eval(spark, d):
     idx = _indexed(spark, d)
-    return evaluation_report(idx.indexed, als_scorer(n_items=idx.item_index.size), K, N_CAND, SEED)
+    scorer = als_scorer(n_items=idx.item_index.size, n_users=idx.user_index.size, n_ratings=idx.indexed.count())
+    return evaluation_report(idx.indexed, scorer, K, N_CAND, SEED)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -121,10 +121,13 @@ def popularity_scorer(train: DataFrame, users: DataFrame, n: int) -> DataFrame:
     return users.select("user_index", F.inline(items))
 
 
-def als_scorer(n_items: int | None = None, **als_params) -> Scorer:
-    """ALS fitted on train; top-n per requested user."""
+def als_scorer(n_items: int | None = None, n_users: int | None = None,
+               n_ratings: int | None = None, **als_params) -> Scorer:
+    """ALS fitted on train; top-n per requested user (M5, T3). Known sizes (users,
+    items, ratings of the full index; train is one row per user smaller) size the
+    ALS blocks and pick the broadcast scoring path."""
     def score(train: DataFrame, users: DataFrame, n: int) -> DataFrame:
-        model = fit_als(train, **als_params)
+        model = fit_als(train, n_users=n_users, n_items=n_items, n_ratings=n_ratings, **als_params)
         return recommend_top_n(model, n, n_items=n_items, users=users).select("user_index", "item_index", "score")
     return score
 

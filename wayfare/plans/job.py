@@ -50,8 +50,9 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     n_ratings = idx.indexed.count()  # materialises the cache; sizes the ALS blocks
     evaluation = None
     if evaluate:
-        evaluation = evaluation_report(idx.indexed, scorer=als_scorer(n_items=idx.item_index.size, **als_params),
-                                       k=k)
+        scorer = als_scorer(n_items=idx.item_index.size, n_users=idx.user_index.size, n_ratings=n_ratings,
+                            **als_params)
+        evaluation = evaluation_report(idx.indexed, scorer=scorer, k=k)
     model = fit_als(idx.indexed, n_users=idx.user_index.size, n_items=idx.item_index.size,
                     n_ratings=n_ratings, **als_params)
     seen = idx.indexed.select("user_index", "item_index") if exclude_seen else None

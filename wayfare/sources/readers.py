@@ -27,10 +27,10 @@ def scan_lookup(spark: SparkSession, path: str) -> DataFrame:
 def scan_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: raw dataset CSV with a header row, UTF-8, every value a string.
 
-    Columns are matched by header name (any order, extra columns ignored); a file
-    lacking an expected column fails as a whole, and so does a row with missing
-    fields (FAILFAST). CSV text has no nulls: Spark reads an empty field as null,
-    so it is turned back into the empty string it was."""
+    Columns are matched by header name (any order, extra header columns ignored); a
+    file lacking an expected column fails as a whole, and so does a row with missing
+    or extra fields (FAILFAST). CSV text has no nulls: Spark reads an empty field as
+    null, so it is turned back into the empty string it was."""
     df = (spark.read.option("header", "true").option("encoding", "UTF-8")
           .option("inferSchema", "false").option("mode", "FAILFAST").csv(path))
     missing = [h for h in RAW_CSV_SCHEMA.fieldNames() if h not in df.columns]

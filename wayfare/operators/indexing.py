@@ -72,17 +72,21 @@ def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int
               .checkpoint(eager=True))
     counts = {(r["_part"], r["_group"]): r["cnt"] for r in
               ranged.groupBy("_part", "_group").agg(F.count(F.lit(1)).alias("cnt")).collect()}
-    n = max((p for p, _ in counts), default=-1) + 1
+    # One pass over partitions in order: a row of group g in partition p is shifted by
+    # the rows of g in earlier partitions, minus the rows of earlier groups in p (they
+    # sort first there and are already counted in the row's position).
     groups = sorted({g for _, g in counts})
-    sizes, adjust = {}, {}
-    for g in groups:
-        running = 0
-        for p in range(n):
-            # Rows of earlier groups in partition p sort first there.
-            before_in_p = sum(c for (pp, gg), c in counts.items() if pp == p and gg < g)
-            adjust[(p, g)] = running - before_in_p
-            running += counts.get((p, g), 0)
-        sizes[g] = running
+    running = {g: 0 for g in groups}
+    adjust = {}
+    for p in sorted({p for p, _ in counts}):
+        before_in_p = 0
+        for g in groups:
+            c = counts.get((p, g), 0)
+            if c:
+                adjust[(p, g)] = running[g] - before_in_p
+            before_in_p += c
+            running[g] += c
+    sizes = dict(running)
     if any(v > INT_MAX for v in sizes.values()):
         raise ValueError("row count exceeds the int index range")
     if not adjust:

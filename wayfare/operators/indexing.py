@@ -38,12 +38,6 @@ class LabelIndex:
     index_col: str
 
 
-def label_frequencies(df: DataFrame, label_col: str) -> DataFrame:
-    """Rows per non-null label."""
-    return (df.filter(F.col(label_col).isNotNull())
-            .groupBy(label_col).agg(F.count(F.lit(1)).alias("freq")))
-
-
 def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int | None = None,
                 group_col: str | None = None) -> tuple[DataFrame, dict]:
     """``row_number() - 1`` over a global order (restarting per ``group_col`` value),

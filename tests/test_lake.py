@@ -79,3 +79,9 @@ def test_utc_now_is_wall_clock(spark):
     got = spark.range(1).select(utc_now().alias("t")).first()["t"]
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((now - got).total_seconds()) < 120
+
+
+def test_max_records_per_file(spark, tmp_path):
+    append_events(_events(spark, 1), str(tmp_path / "lake"), max_records_per_file=1)
+    files = list((tmp_path / "lake" / "event_day=2024-01-28").glob("*.parquet"))
+    assert len(files) == 4 and spark.read.parquet(str(tmp_path / "lake")).count() == 4

@@ -49,20 +49,23 @@ def with_event_day(events: DataFrame) -> DataFrame:
 
 
 def append_events(events: DataFrame, target: str, files_per_day: int | None = None,
-                  table: bool = False) -> None:
+                  table: bool = False, max_records_per_file: int | None = None) -> None:
     """K3: append events into their day partitions; nothing is ever overwritten.
 
     ``files_per_day`` spreads each day over that many writer tasks (hash of the row)
     so a busy day is not written by a single task; None leaves the layout to the
-    upstream partitioning."""
+    upstream partitioning. ``max_records_per_file`` caps file size within a task."""
     out = with_event_day(events).select(*EVENT_FIELDS, PARTITION_COL)
     if files_per_day:
         salt = F.pmod(F.xxhash64(*[F.col(f) for f in EVENT_FIELDS]), F.lit(files_per_day))
         out = out.repartition(F.col(PARTITION_COL), salt)
+    writer = out.write
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if table:
-        out.write.insertInto(target)
+        writer.insertInto(target)
     else:
-        out.write.mode("append").partitionBy(PARTITION_COL).parquet(target)
+        writer.mode("append").partitionBy(PARTITION_COL).parquet(target)
 
 
 def publish_recommendations(recs: DataFrame, target: str, fmt: str = "parquet", mode: str = "replace",

@@ -75,9 +75,11 @@ class IngestQueries:
 
 
 def _start(df: DataFrame, path: str, checkpoint: str, partition: bool, available_now: bool,
-           interval: str | None, name: str) -> StreamingQuery:
+           interval: str | None, name: str, max_records_per_file: int | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", int(max_records_per_file))
     if name:
         w = w.queryName(name)
     if partition:
@@ -88,11 +90,13 @@ def _start(df: DataFrame, path: str, checkpoint: str, partition: bool, available
 
 def ingest_stream(payloads: DataFrame, lake_path: str, checkpoint: str,
                   quarantine_path: str | None = None, available_now: bool = True,
-                  interval: str | None = None, name: str | None = None) -> IngestQueries:
+                  interval: str | None = None, name: str | None = None,
+                  max_records_per_file: int | None = None) -> IngestQueries:
     """Start the ingest queries; ``checkpoint`` is a folder on shared storage."""
     decoded = decode_payloads(payloads)
     good = decoded.filter(F.col("reason").isNull()).select(*EVENT_FIELDS, PARTITION_COL)
-    events_q = _start(good, lake_path, f"{checkpoint}/events", True, available_now, interval, name and f"{name}_events")
+    events_q = _start(good, lake_path, f"{checkpoint}/events", True, available_now, interval,
+                      name and f"{name}_events", max_records_per_file)
     rejects_q = None
     if quarantine_path:
         bad = decoded.filter(F.col("reason").isNotNull()).select("value", "reason")

@@ -52,3 +52,14 @@ def test_csv_columns_matched_by_name(spark, tmp_path):
     _write_csv(path, header, [list(reversed(_row())) + ["x"]])
     ev = normalize_events(scan_raw_csv(spark, str(path)), clock=F.lit(0)).events.first()
     assert ev.passengerId == "v0" and ev.age == 41
+
+
+def test_short_rows_fail_extra_fields_are_dropped(spark, tmp_path):
+    extra = tmp_path / "extra.csv"
+    _write_csv(extra, RAW_CSV_HEADERS, [_row(), _row() + ["surplus"]])
+    ev = normalize_events(scan_raw_csv(spark, str(extra)), clock=F.lit(0)).events.collect()
+    assert len(ev) == 2 and {r.flightStatus for r in ev} == {"v14"}
+    short = tmp_path / "short.csv"
+    _write_csv(short, RAW_CSV_HEADERS, [_row(), _row()[:-2]])
+    with pytest.raises(Exception, match="missing fields"):
+        normalize_events(scan_raw_csv(spark, str(short)), clock=F.lit(0)).events.collect()

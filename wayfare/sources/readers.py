@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.schemas import LOOKUP_CSV_SCHEMA, RAW_CSV_SCHEMA
 
@@ -28,16 +29,26 @@ def scan_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: raw dataset CSV with a header row, UTF-8, every value a string.
 
     Columns are matched by header name (any order, extra header columns ignored); a
-    file lacking an expected column fails as a whole, and so does a row with missing
-    or extra fields (FAILFAST). CSV text has no nulls: Spark reads an empty field as
-    null, so it is turned back into the empty string it was."""
-    df = (spark.read.option("header", "true").option("encoding", "UTF-8")
-          .option("inferSchema", "false").option("mode", "FAILFAST").csv(path))
-    missing = [h for h in RAW_CSV_SCHEMA.fieldNames() if h not in df.columns]
+    file lacking an expected column fails as a whole. A row with fewer fields than
+    the header fails the read when it is processed, as a strict reader aborts the
+    run; a row with more fields keeps its header columns and drops the rest. A line
+    with quotes whose field count cannot be told from its commas is treated as short.
+    CSV text has no nulls: Spark reads an empty field as null, so it is turned back
+    into the empty string it was."""
+    header = (spark.read.option("header", "true").option("encoding", "UTF-8")
+              .option("inferSchema", "false").csv(path).columns)
+    missing = [h for h in RAW_CSV_SCHEMA.fieldNames() if h not in header]
     if missing:
         raise ValueError(f"raw CSV lacks columns: {missing}")
-    return df.select(*[F.coalesce(F.col(f"`{h}`").cast("string"), F.lit("")).alias(h)
-                       for h in RAW_CSV_SCHEMA.fieldNames()])
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header]
+                          + [T.StructField("_corrupt_record", T.StringType(), True)])
+    df = (spark.read.option("header", "true").option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path))
+    raw = F.col("_corrupt_record")
+    short = raw.isNotNull() & (raw.contains('"') | (F.size(F.split(raw, ",", -1)) < F.lit(len(header))))
+    checked = df.filter(F.when(short, F.raise_error(F.concat(F.lit("raw CSV row with missing fields: "), raw)))
+                        .otherwise(F.lit(True)))
+    return checked.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in RAW_CSV_SCHEMA.fieldNames()])
 
 
 def stream_payloads(spark: SparkSession, fmt: str, location: str,

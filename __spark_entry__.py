@@ -60,6 +60,12 @@ from wayfare.sources.fixtures import (
 from wayfare.sources.readers import scan_events, scan_lookup, scan_raw_csv, scan_recommendations, stream_payloads
 from wayfare.streaming.ingest import ingest_stream
 
+try:  # the training-data operators are a separate, optional subpackage
+    import corpus_pipeline
+    from wayfare.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 AS_OF = "2024-01-31 00:00:00"
@@ -436,7 +442,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run
-    return {name: wrap(fn) for name, fn in _QUERIES.items()}
+    extra = {} if llm_queries is None else llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: wrap(fn) for name, fn in (_QUERIES | extra).items()}
 
 
 # ---------------------------------------------------------------------------
@@ -692,4 +699,8 @@ def oracle_sql() -> dict[str, str]:
         "lake_interactions": _inter_sql(ev=_normalized_sql()),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
+    if llm_queries is not None:
+        sql |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql

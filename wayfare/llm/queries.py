@@ -8,12 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm.language import language_query
 from wayfare.llm.minhash import near_duplicate_query
+from wayfare.llm.packing import packing_query
+from wayfare.llm.secrets import secrets_query
+from wayfare.llm.substring import substring_query
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, d):
+    return substring_query(_table(spark, d, "documents"))
+
+
+def op2_best_fit_packing(spark, d):
+    return packing_query(_table(spark, d, "documents"))
+
+
+def op4_secret_scan(spark, d):
+    return secrets_query(_table(spark, d, "documents"))
+
+
 def op6_language_id(spark, d):
     return language_query(_table(spark, d, "documents"))
 
@@ -23,6 +38,7 @@ def op8_minhash(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_language_id, op8_minhash)}
+    f.__name__: f for f in (
+        op1_substring_dedup, op2_best_fit_packing, op4_secret_scan, op6_language_id, op8_minhash)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -25,20 +25,22 @@ from wayfare.llm.shared import Scratch
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern; a match counts when ``group`` has ``min_chars`` characters. Raise
-    ``version`` when the pattern changes, so that old blobs are scanned again."""
+    """A pattern; a match counts when ``group`` has ``min_chars`` characters. ``search``
+    may name a pattern that finds the counting matches alone. Raise ``version`` when the
+    rule changes, so that old blobs are scanned again."""
     name: str
     pattern: str
     group: int = 0
     min_chars: int = 0
     version: int = 1
+    search: str | None = None
 
 
 # The three base kinds and their order.
 BASE_RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, search=r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, search=r"[0-9a-f]{24,}"),
 )
 MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
@@ -55,35 +57,28 @@ def with_blob(versions: DataFrame) -> DataFrame:
     return versions.select("path", text.alias("text"), F.sha2(text, 256).alias("blob"))
 
 
-def _search_pattern(rule: Rule) -> str:
-    # A maximal run of one class that is too short can be left out by the pattern itself.
-    if rule.group == 0 and rule.pattern.endswith("]+"):
-        fixed = len(rule.pattern[:rule.pattern.index("[")])
-        return f"{rule.pattern[:-1]}{{{rule.min_chars - fixed},}}"
-    return rule.pattern
-
-
 def _pieces(rule: Rule):
-    pattern = F.lit(_search_pattern(rule))
-    text = F.col("text")
-    return F.when(text.rlike(_search_pattern(rule)), F.struct(
-        F.transform(F.split(text, _search_pattern(rule), -1), F.char_length).alias("gaps"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.char_length).alias("spans"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.char_length).alias("values")))
+    text, pattern = F.col("text"), rule.search or rule.pattern
+    lengths = lambda parts: F.transform(parts, F.char_length)
+    return F.when(text.rlike(pattern), F.struct(
+        lengths(F.split(text, pattern, -1)).alias("gaps"),
+        lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("spans"),
+        lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))).alias("values")))
 
 
-def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...], scratch: Scratch) -> DataFrame:
     """Ledger rows of (blob, text, rules) where ``rules`` lists the names still to scan."""
     table = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version"),
                                F.lit(r.min_chars).alias("least"),
                                F.when(F.array_contains("rules", r.name), _pieces(r)).alias("m")) for r in rules])
-    scanned = blobs.select("blob", "rules", F.explode(table).alias("s")).filter(
-        F.array_contains("rules", F.col("s.rule"))).select("blob", "s.*")
+    scanned = scratch.write(blobs.select("blob", "rules", F.explode(table).alias("s")).filter(
+        F.array_contains("rules", F.col("s.rule"))).select("blob", "s.*"), "scanned")
     # One short row for each match; its start is the sum of what precedes it in the blob.
     rows = scanned.filter("m IS NOT NULL").select(
         "blob", "rule", "least",
         F.posexplode(F.arrays_zip(F.col("m.gaps").alias("gap"), F.col("m.spans").alias("span"),
-                                  F.col("m.values").alias("value"))).alias("at", "x"))
+                                  F.col("m.values").alias("value"))).alias("at", "x")
+    ).dropDuplicates(["blob", "rule", "at"])
     before = Window.partitionBy("blob", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     length = F.coalesce(F.col("x.span"), F.lit(0))
     placed = rows.withColumn("end", F.sum(F.col("x.gap") + length).over(before)).filter(
@@ -117,7 +112,7 @@ def update_ledger(versions: DataFrame, rules: tuple[Rule, ...], ledger: DataFram
     # One text for each unseen blob: its smallest path (rows that repeat that path and
     # text scan alike and are merged below).
     texts = addressed.join(on, F.col("path").eqNullSafe(F.col("_path")) & (F.col("blob") == F.col("_blob")))
-    new = scratch.write(scan_blobs(texts.select("blob", "text", "rules"), rules)
+    new = scratch.write(scan_blobs(texts.select("blob", "text", "rules"), rules, scratch)
                         .dropDuplicates(["blob", "rule", "rule_version"]), "ledger")
     return new if ledger is None else ledger.unionByName(new)
 

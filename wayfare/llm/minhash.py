@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.shared import Scratch, connected_components, map_slices
+from wayfare.llm.shared import Scratch, connected_components, map_slices, sorted_runs
 
 BINS, ROWS = 200, 5
 THRESHOLD_PERCENT = 80
@@ -150,29 +150,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v"))
 
 
-def _runs(batches):
-    """Arrow batches sorted by their first three columns, as one pandas frame per key."""
-    rest = None
-    for batch in batches:
-        pdf = batch.to_pandas()
-        if rest is not None:
-            import pandas as pd
-            pdf = pd.concat([rest, pdf], ignore_index=True)
-        keys = pdf[["key", "i", "j"]].to_numpy()
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        at = 0
-        for cut in cuts:
-            yield pdf.iloc[at:cut]
-            at = cut
-        rest = pdf.iloc[at:]
-    if rest is not None and len(rest):
-        yield rest
-
-
 def _compare_blocks(members: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (u, v) of different components, from blocks (key, i, j) of members."""
     def run(batches):
-        for part in _runs(batches):
+        for part in sorted_runs(batches, ["key", "i", "j"]):
             i, j = int(part["i"].iloc[0]), int(part["j"].iloc[0])
             block, node = part["block"].to_numpy(), part["node"].to_numpy()
             n, label = part["n"].to_numpy(), part["label"].to_numpy()

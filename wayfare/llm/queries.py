@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfare.llm.embeddings import embedding_query
+from wayfare.llm.fingerprints import fingerprint_query
 from wayfare.llm.language import language_query
 from wayfare.llm.minhash import near_duplicate_query
 from wayfare.llm.packing import packing_query
 from wayfare.llm.secrets import secrets_query
 from wayfare.llm.substring import substring_query
+from wayfare.llm.tokenfile import token_file_query
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +28,10 @@ def op2_best_fit_packing(spark, d):
     return packing_query(_table(spark, d, "documents"))
 
 
+def op3_token_ids(spark, d):
+    return token_file_query(_table(spark, d, "documents"))
+
+
 def op4_secret_scan(spark, d):
     return secrets_query(_table(spark, d, "documents"))
 
@@ -37,8 +44,17 @@ def op8_minhash(spark, d):
     return near_duplicate_query(_table(spark, d, "documents"))
 
 
+def op9_embedding_dedup(spark, d):
+    return embedding_query(_table(spark, d, "embeddings"))
+
+
+def op10_fingerprints(spark, d):
+    return fingerprint_query(_table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_best_fit_packing, op4_secret_scan, op6_language_id, op8_minhash)}
+        op1_substring_dedup, op2_best_fit_packing, op3_token_ids, op4_secret_scan, op6_language_id, op8_minhash,
+        op9_embedding_dedup, op10_fingerprints)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -6,6 +6,8 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,25 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema
     return df.mapInArrow(run, schema)
 
 
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """One pandas frame for each run of equal ``keys`` (integers) in sorted batches.
+
+    A run is held whole, so callers bound the rows that share a key."""
+    rest = None
+    for batch in batches:
+        frame = batch.to_pandas()
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        values = frame[keys].to_numpy()
+        at = 0
+        for cut in (np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist():
+            yield frame.iloc[at:cut]
+            at = cut
+        rest = frame.iloc[at:]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def connected_components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v longs); component is the
     smallest node reachable.

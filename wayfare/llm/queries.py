@@ -11,7 +11,9 @@ from wayfare.llm.fingerprints import fingerprint_query
 from wayfare.llm.language import language_query
 from wayfare.llm.minhash import near_duplicate_query
 from wayfare.llm.packing import packing_query
+from wayfare.llm.quotes import chat_query
 from wayfare.llm.secrets import secrets_query
+from wayfare.llm.segment import segment_query
 from wayfare.llm.substring import substring_query
 from wayfare.llm.tokenfile import token_file_query
 
@@ -36,10 +38,18 @@ def op4_secret_scan(spark, d):
     return secrets_query(_table(spark, d, "documents"))
 
 
+def op5_sentencepiece(spark, d):
+    return segment_query(_table(spark, d, "documents"))
+
+
 def op6_language_id(spark, d):
     return language_query(_table(spark, d, "documents"))
 
 
+def op7_quotation_linking(spark, d):
+    return chat_query(_table(spark, d, "conversations"))
+
+
 def op8_minhash(spark, d):
     return near_duplicate_query(_table(spark, d, "documents"))
 
@@ -54,7 +64,7 @@ def op10_fingerprints(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_best_fit_packing, op3_token_ids, op4_secret_scan, op6_language_id, op8_minhash,
-        op9_embedding_dedup, op10_fingerprints)}
+        op1_substring_dedup, op2_best_fit_packing, op3_token_ids, op4_secret_scan, op5_sentencepiece,
+        op6_language_id, op7_quotation_linking, op8_minhash, op9_embedding_dedup, op10_fingerprints)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,47 @@
+import corpus_pipeline
+from tests.llm.helpers import ODD_TEXTS, frame, jaccard_components, read
+from tests.llm.test_packing import check as check_packing
+from tests.llm.test_substring import brute_force as cut_by_brute_force
+from wayfare.llm.language import classify, compressors, fit_language_model
+from wayfare.llm.shared import Scratch
+
+
+def rows_of(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def test_every_stage_against_brute_force(spark):
+    docs = read(spark, "documents")
+    stages, scratch, outs = dict(corpus_pipeline.STAGES), Scratch(spark, "test"), {}
+    at = docs
+    for name, stage in stages.items():
+        outs[name] = at = scratch.write(stage(spark, at, "/root/testdata/sf0.001"), name)
+        if name != "packing":
+            assert at.columns == docs.columns
+    model = fit_language_model(docs, "doc_id")
+    comps = compressors(model)
+    clear = [(i, t) for i, t in rows_of(docs) if classify(t, model.languages, comps)[2] >= 0.005]
+    assert sorted(rows_of(outs["language"])) == sorted(clear) and len(clear) > 0.95 * docs.count()
+    _, comp = jaccard_components(clear, 5)
+    single = [(i, t) for i, t in clear if comp[i] == i]
+    assert sorted(rows_of(outs["near_copies"])) == sorted(single)
+    cut = cut_by_brute_force(single)
+    assert sorted(rows_of(outs["repeated_passages"])) == sorted(cut)
+    masked = dict(rows_of(outs["secrets"]))
+    assert masked.keys() == dict(cut).keys()
+    assert all(masked[i] == t for i, t in cut if "[SECRET]" not in masked[i])
+    assert any("[SECRET]" in t for t in masked.values()) and not any("AKIA" in t for t in masked.values())
+    used, least = check_packing(list(masked.items()), outs["packing"].collect())
+    assert used <= least + 1
+
+
+def test_odd_documents_pass_through(spark):
+    rows = list(enumerate(ODD_TEXTS)) + [(None, "no id"), (3, "a"), (3, "a")]
+    at = frame(spark, rows).selectExpr("*", "'x' as _kept", "1 as digest")
+    for _, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, "/root/testdata/sf0.001")
+    at.collect()
+    at = frame(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, "/root/testdata/sf0.001")
+    assert at.collect() == []

@@ -14,8 +14,10 @@ Queries whose results depend on ALS have no SQL twin (rows-only check).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,14 @@ from wayfare.operators.serving import latest_recommendations, recommendations_on
 from wayfare.operators.topk import top_k_per_group
 from wayfare.plans.job import run_recommendation_job, stand_in_recommendations
 from wayfare.session import checkpoint_root, scratch_path
-from wayfare.sinks import append_events, publish_events, publish_recommendations, with_event_day
+from wayfare.sinks import (
+    append_events,
+    encode_events,
+    ensure_event_table,
+    publish_events,
+    publish_recommendations,
+    with_event_day,
+)
 from wayfare.schemas import EVENT_FIELDS, OTHER_STATUS_WEIGHT, RAW_CSV_HEADERS, STATUS_WEIGHTS
 from wayfare.sources.fixtures import (
     EVENT_TYPE_STATUS,
@@ -86,12 +95,24 @@ SEED = 42
 # Spark side
 # ---------------------------------------------------------------------------
 
+_HELD: list[DataFrame] = []
+
+
+def _keep(*frames: DataFrame) -> DataFrame:
+    """Persist ``frames`` until the next query starts; returns the first."""
+    for frame in frames:
+        frame.persist(StorageLevel.MEMORY_AND_DISK)
+        _HELD.append(frame)
+    return frames[0]
+
+
 def _session_defaults(spark: SparkSession) -> None:
     checkpoint_root(spark)
-    # Queries persist their own reused inputs (interactions, evaluation split); drop
-    # those of earlier queries so one session can run them all. Cached data is a pure
-    # function of the inputs, so a later recompute gives the same rows.
-    spark.catalog.clearCache()
+    # Queries return lazy frames over inputs that they persist (interactions, evaluation
+    # split); the next query drops those of earlier ones, and nothing else the caller
+    # has cached.
+    while _HELD:
+        _HELD.pop().unpersist()
 
 
 def _events(spark, d):
@@ -107,7 +128,10 @@ def _inter(spark, d):
 
 
 def _indexed(spark, d):
-    return index_interactions(_inter(spark, d))
+    idx = index_interactions(_inter(spark, d))
+    _HELD.append(idx.source)
+    _keep(idx.indexed)
+    return idx
 
 
 def _split(spark, d):
@@ -153,11 +177,14 @@ def _orders_inter(spark, d):
 
 def q_indexed_interactions_orders(spark, d):
     """E4 on the order-line log: thousands of passengers with many frequency ties."""
-    return index_interactions(_orders_inter(spark, d)).indexed
+    idx = index_interactions(_orders_inter(spark, d))
+    _HELD.append(idx.source)
+    return idx.indexed
 
 
 def q_eval_report_orders(spark, d):
-    return evaluation_report(index_interactions(_orders_inter(spark, d)).indexed, popularity_scorer, K, N_CAND, SEED)
+    return evaluation_report(_keep(q_indexed_interactions_orders(spark, d)), popularity_scorer, K, N_CAND, SEED,
+                             hold=_HELD)
 
 
 def q_user_index(spark, d):
@@ -238,7 +265,7 @@ def q_model_metrics(spark, d):
 
 
 def q_eval_report(spark, d):
-    return evaluation_report(_indexed(spark, d).indexed, popularity_scorer, K, N_CAND, SEED)
+    return evaluation_report(_indexed(spark, d).indexed, popularity_scorer, K, N_CAND, SEED, hold=_HELD)
 
 
 def q_stand_in_recommendations(spark, d):
@@ -326,6 +353,45 @@ def q_stream_ingest_readback(spark, d):
     return scan_events(spark, f"{base}/lake")
 
 
+def q_stream_quarantine_readback(spark, d):
+    """payloads made bad in one way by event type; the rest land in the table.
+    Returns (outcome, passengerId, n): the reject reason or 'event', and row counts."""
+    base = scratch_path(spark, "quarantine")
+    payloads = encode_events(_normalized(spark, d).events)
+    day = F.expr("CAST(get_json_object(value, '$.departureDate') AS DATE)")
+    kind = F.pmod(F.unix_date(day), F.lit(7))
+    bad = (F.when(kind == 0, F.regexp_replace("value", '"timestamp":-?[0-9]+', '"timestamp":9223372036854775807'))
+           .when(kind == 1, F.concat(F.lit("not json "), "value"))
+           .when(kind == 2, F.regexp_replace("value", '"pilotName":"[^"]*",', ""))
+           .when(kind == 3, F.regexp_replace("value", '"firstName":"[^"]*"', '"firstName":5'))
+           .when(kind == 4, F.regexp_replace("value", '"timestamp":-?[0-9]+', '"timestamp":"2024-01-01"'))
+           .otherwise(F.col("value")))
+    payloads.select(bad.alias("value")).repartition(3).write.text(f"{base}/topic")
+    ingest_stream(stream_payloads(spark, "text", f"{base}/topic", max_per_trigger=1), f"{base}/lake",
+                  f"{base}/_checkpoints", f"{base}/quarantine").await_all()
+    rejects = spark.read.parquet(f"{base}/quarantine").select(
+        F.col("reason").alias("outcome"), F.regexp_extract("value", '"passengerId":"([^"]*)"', 1).alias("passengerId"))
+    events = scan_events(spark, f"{base}/lake").select(F.lit("event").alias("outcome"), "passengerId")
+    return events.unionByName(rejects).groupBy("outcome", "passengerId").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_table_scan_by_name(spark, d):
+    """One event table, written by the batch path under its folder and under its
+    name and by the stream, shows every row by name and by path."""
+    base, name = scratch_path(spark, "table"), f"wayfare_events_{uuid.uuid4().hex}"
+    events = _normalized(spark, d).events
+    ensure_event_table(spark, name, f"{base}/lake")
+    append_events(events, f"{base}/lake", files_per_day=2)
+    append_events(events, name, table=True)
+    publish_events(events, "text", f"{base}/topic", num_files=2)
+    ingest_stream(stream_payloads(spark, "text", f"{base}/topic"), f"{base}/lake", f"{base}/_checkpoints").await_all()
+    by_name, by_path = (scan_events(spark, source).groupBy("event_day").agg(F.count(F.lit(1)).alias(n))
+                        for source, n in ((name, "by_name"), (f"{base}/lake", "by_path")))
+    counted = by_name.join(by_path, "event_day", "full").checkpoint()
+    spark.sql(f"DROP TABLE {name}")  # the folder stays, the catalog is left as it was
+    return counted
+
+
 def q_batch_append_readback(spark, d):
     """K2/K3 batch path: append normalised events into day partitions, read back."""
     base = scratch_path(spark, "lake")
@@ -348,16 +414,12 @@ def q_publish_readback(spark, d):
 
 
 def q_als_recommendations(spark, d):
-    run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF,
-                                 lookback_days=LOOKBACK, generated_at=RUN_AT)
-    return run.recommendations
+    return _run(spark, d, lookback_days=LOOKBACK)
 
 
 def q_als_recommendations_full(spark, d):
     """The daily job with the original 90-day lookback: every event of the table."""
-    run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF,
-                                 lookback_days=90, generated_at=RUN_AT)
-    return run.recommendations
+    return _run(spark, d, lookback_days=90)
 
 
 def q_als_recommendations_orders(spark, d):
@@ -365,20 +427,49 @@ def q_als_recommendations_orders(spark, d):
     ev = events_from_orders(load_table(spark, d, "orders"), load_table(spark, d, "lineitem"))
     run = run_recommendation_job(ev, _lookup(spark, d), as_of=ORDERS_AS_OF,
                                  lookback_days=ORDERS_LOOKBACK, generated_at=RUN_AT)
+    _HELD.extend([run.index.source, run.index.indexed])
     return run.recommendations
 
 
 def q_als_recommendations_unseen(spark, d):
     """The daily job with already-visited airports excluded (exactly k where possible)."""
-    run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF,
-                                 lookback_days=LOOKBACK, generated_at=RUN_AT, exclude_seen=True)
-    return run.recommendations
+    return _run(spark, d, lookback_days=LOOKBACK, exclude_seen=True)
+
+
+def _recommendation_counts(recs, inter):
+    known = inter.select(F.col("arrivalAirport").alias("arrival_airport_code"), F.lit(1).alias("_known")).distinct()
+    return (recs.join(known, "arrival_airport_code", "left").groupBy("passenger_id")
+            .agg(F.count(F.lit(1)).alias("n_recs"), F.countDistinct("arrival_airport_code").alias("n_airports"),
+                 F.count("_known").alias("n_known")))
+
+
+def q_als_recommendation_counts(spark, d):
+    """M6: every passenger gets min(K, airports) distinct airports of the catalogue."""
+    return _recommendation_counts(q_als_recommendations(spark, d), _inter(spark, d))
+
+
+def q_als_recommendation_counts_orders(spark, d):
+    return _recommendation_counts(q_als_recommendations_orders(spark, d), _orders_inter(spark, d))
+
+
+def q_als_unseen_overlap(spark, d):
+    """M8 on the job: no recommended airport is in the passenger's history, and each
+    passenger gets min(K, airports never visited)."""
+    seen = _inter(spark, d).select(F.col("passengerId").alias("passenger_id"),
+                                   F.col("arrivalAirport").alias("arrival_airport_code"), F.lit(1).alias("_seen"))
+    return (q_als_recommendations_unseen(spark, d).join(seen, ["passenger_id", "arrival_airport_code"], "left")
+            .groupBy("passenger_id").agg(F.count(F.lit(1)).alias("n_recs"), F.count("_seen").alias("n_seen")))
 
 
 def q_als_eval(spark, d):
-    idx = _indexed(spark, d)
-    scorer = als_scorer(n_items=idx.item_index.size, n_users=idx.user_index.size, n_ratings=idx.indexed.count())
-    return evaluation_report(idx.indexed, scorer, K, N_CAND, SEED)
+    return evaluation_report(_indexed(spark, d).indexed, als_scorer(), K, N_CAND, SEED, hold=_HELD)
+
+
+def _run(spark, d, **options):
+    """The daily job's recommendations; what it persisted goes when the next query starts."""
+    run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF, generated_at=RUN_AT, **options)
+    _HELD.extend([run.index.source, run.index.indexed, *run.held])
+    return run.recommendations
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -423,6 +514,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recommendations_full": q_als_recommendations_full,
     "als_recommendations_orders": q_als_recommendations_orders,
     "als_recommendations_unseen": q_als_recommendations_unseen,
+    "als_recommendation_counts": q_als_recommendation_counts,
+    "als_recommendation_counts_orders": q_als_recommendation_counts_orders,
+    "als_unseen_overlap": q_als_unseen_overlap,
+    "stream_quarantine_readback": q_stream_quarantine_readback,
+    "table_scan_by_name": q_table_scan_by_name,
     "als_eval": q_als_eval,
 }
 
@@ -602,6 +698,13 @@ def _eval_report_sql(inter_sql: str | None = None) -> str:
             "WHERE users_evaluated > 0 AND (SELECT COUNT(*) FROM indexed) >= 10")
 
 
+def _recommendation_counts_sql(inter: str) -> str:
+    n = f"LEAST({K}, items.n)"
+    return (f"WITH inter AS ({inter}), items AS (SELECT COUNT(DISTINCT arrivalAirport) AS n FROM inter) "
+            f"SELECT DISTINCT passengerId AS passenger_id, {n} AS n_recs, {n} AS n_airports, {n} AS n_known "
+            f"FROM inter, items")
+
+
 def oracle_sql() -> dict[str, str]:
     ev = _ev_sql()
     sql = {
@@ -697,6 +800,22 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_readback": _normalized_sql(", CAST(ingest_ts AS DATE) AS event_day"),
         "batch_append_readback": _normalized_sql(", CAST(ingest_ts AS DATE) AS event_day"),
         "lake_interactions": _inter_sql(ev=_normalized_sql()),
+        "als_recommendation_counts": _recommendation_counts_sql(_inter_sql()),
+        "als_recommendation_counts_orders": _recommendation_counts_sql(
+            _inter_sql(ORDERS_AS_OF, ORDERS_LOOKBACK, _ORDERS_EV)),
+        "als_unseen_overlap": (
+            f"WITH inter AS ({_inter_sql()}), own AS (SELECT passengerId, COUNT(*) AS n FROM inter GROUP BY 1), "
+            f"items AS (SELECT COUNT(DISTINCT arrivalAirport) AS n FROM inter) "
+            f"SELECT passengerId AS passenger_id, LEAST({K}, items.n - own.n) AS n_recs, "
+            f"CAST(0 AS BIGINT) AS n_seen FROM own, items WHERE items.n > own.n"),
+        "stream_quarantine_readback": (
+            _norm_with() + ", k AS (SELECT passengerId, date_diff('day', DATE '1970-01-01', "
+            "CAST(departureDate AS DATE)) % 7 AS kind FROM staged WHERE reason IS NULL) "
+            "SELECT CASE WHEN kind IN (1, 2, 3) THEN 'decode' WHEN kind IN (0, 4) THEN 'timestamp' ELSE 'event' END "
+            "AS outcome, passengerId, COUNT(*) AS n FROM k GROUP BY 1, 2"),
+        "table_scan_by_name": (
+            _norm_with() + " SELECT CAST(ingest_ts AS DATE) AS event_day, 3 * COUNT(*) AS by_name, "
+            "3 * COUNT(*) AS by_path FROM staged WHERE reason IS NULL GROUP BY 1"),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
     if llm_queries is not None:

@@ -32,7 +32,8 @@ def edited(words, rnd, edits):
 
 
 def test_large_groups_chains_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(minhash, "SMALL_BAND", 4)
     rnd = random.Random(3)
     base = [f"w{rnd.randrange(10**6)}" for _ in range(100)]
     texts = [" ".join(base)] * 40 + [edited(base, rnd, 3) for _ in range(80)]

@@ -3,6 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wayfare.operators.evaluate import (
+    als_scorer,
     evaluation_report,
     hit_metrics,
     holdout_split,
@@ -43,6 +44,19 @@ def test_guards_return_no_row(spark):
     assert evaluation_report(singles).count() == 0
 
 
+def test_guards_come_before_the_model(spark):
+    def scorer(train, users, n):
+        raise AssertionError("nothing may be fitted")
+    few = _df(spark, [(0, i, 1.0) for i in range(5)])
+    singles = _df(spark, [(u, u, 1.0) for u in range(20)])
+    for rows in (few, singles):
+        report = evaluation_report(rows, scorer=scorer, fair_baseline=True)
+        assert report.collect() == []
+    usual = evaluation_report(_df(spark, [(u, i, 1.0) for u in range(5) for i in range(u, u + 4)]), fair_baseline=True)
+    assert usual.columns == report.columns and usual.count() == 1
+    assert evaluation_report(singles, scorer=als_scorer()).collect() == []
+
+
 def test_popularity_tie_goes_to_lower_item(spark):
     train = _df(spark, [(0, 5, 1.0), (1, 3, 1.0), (2, 4, 1.0), (3, 4, 1.0)])
     top = [(r.item_index, r.rank) for r in popular_top_k(train, 2).orderBy("rank").collect()]

@@ -50,10 +50,23 @@ def test_files_per_day_spreads_a_day(spark, tmp_path):
         append_events(_events(spark, 1), str(tmp_path / "lake"), files_per_day=4)
     finally:
         spark.conf.set(key, old)
-    files = list((tmp_path / "lake" / "event_day=2024-01-28").glob("*.parquet"))
+    files = list((tmp_path / "lake" / "event_day=2024-01-28").rglob("*.parquet"))
     assert 1 < len(files) <= 4
 
 
+def test_stream_and_batch_share_one_table(spark, tmp_path):
+    name, lake = "default.wayfare_shared_test", str(tmp_path / "tbl")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ensure_event_table(spark, name, lake)
+    publish_events(_events(spark), "text", str(tmp_path / "topic"))
+    ingest_stream(stream_payloads(spark, "text", str(tmp_path / "topic")), lake, str(tmp_path / "ckpt")).await_all()
+    append_events(_events(spark), lake)
+    ingest_stream(stream_payloads(spark, "text", str(tmp_path / "topic")), name, str(tmp_path / "ckpt2"),
+                  table=True).await_all()
+    assert scan_events(spark, lake).count() == scan_events(spark, name).count() == 36
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_micro_batch_bound_and_continuous_trigger(spark, tmp_path):
     from wayfare.operators.normalize import clock_from, normalize_events
     from wayfare.sources.fixtures import load_table, raw_rows_from_event_log
@@ -83,5 +96,5 @@ def test_utc_now_is_wall_clock(spark):
 
 def test_max_records_per_file(spark, tmp_path):
     append_events(_events(spark, 1), str(tmp_path / "lake"), max_records_per_file=1)
-    files = list((tmp_path / "lake" / "event_day=2024-01-28").glob("*.parquet"))
+    files = list((tmp_path / "lake" / "event_day=2024-01-28").rglob("*.parquet"))
     assert len(files) == 4 and spark.read.parquet(str(tmp_path / "lake")).count() == 4

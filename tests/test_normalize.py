@@ -54,6 +54,25 @@ def test_csv_columns_matched_by_name(spark, tmp_path):
     assert ev.passengerId == "v0" and ev.age == 41
 
 
+def test_csv_quotes_line_breaks_and_mixed_headers(spark, tmp_path):
+    names = ['Jo "Ace" Ray', "Ray, Jo", '"', "a,b\"c"]
+    quoted = tmp_path / "quoted.csv"
+    _write_csv(quoted, RAW_CSV_HEADERS, [_row(**{"First Name": n}) for n in names]
+               + [_row(**{"First Name": "x,y"}) + ["sur,plus"]])
+    got = scan_raw_csv(spark, str(quoted)).collect()
+    assert [r["First Name"] for r in got] == names + ["x,y"]
+    lines = tmp_path / "lines.csv"
+    _write_csv(lines, RAW_CSV_HEADERS, [_row(**{"First Name": "two\nlines"}), _row()])
+    got = scan_raw_csv(spark, str(lines), multi_line=True).collect()
+    assert [r["First Name"] for r in got] == ["two\nlines", "v1"]
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    _write_csv(mixed / "a.csv", RAW_CSV_HEADERS, [_row()])
+    _write_csv(mixed / "b.csv", list(reversed(RAW_CSV_HEADERS)), [list(reversed(_row()))])
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_raw_csv(spark, str(mixed)).collect()
+
+
 def test_short_rows_fail_extra_fields_are_dropped(spark, tmp_path):
     extra = tmp_path / "extra.csv"
     _write_csv(extra, RAW_CSV_HEADERS, [_row(), _row() + ["surplus"]])

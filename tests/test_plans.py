@@ -12,7 +12,9 @@ from conftest import SF_SMALL
 NO_PLAN_CHECK = {"stream_ingest_readback", "batch_append_readback", "lake_interactions", "publish_readback",
                  "lookup_csv", "raw_csv_normalized",
                  "als_recommendations", "als_recommendations_unseen", "als_recommendations_full",
-                 "als_recommendations_orders", "als_eval"}
+                 "als_recommendations_orders", "als_eval", "als_recommendation_counts",
+                 "als_recommendation_counts_orders", "als_unseen_overlap", "stream_quarantine_readback",
+                 "table_scan_by_name"}
 
 
 def test_top_k_uses_window_group_limit(spark):
@@ -28,7 +30,19 @@ def test_scan_prunes_columns_and_pushes_cutoff(spark):
     assert "partial_sum" in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(ent.queries()) - NO_PLAN_CHECK))
+def test_latest_reads_the_history_once(spark):
+    from wayfare.operators.serving import latest_recommendations
+    history = ent._history(spark, SF_SMALL)
+    plan, once = physical_plan(latest_recommendations(history)), physical_plan(history)
+    assert plan.count("FileScan") == once.count("FileScan") and "WindowGroupLimit" in plan
+
+
+def test_unseen_candidates_read_the_persisted_index(spark):
+    plan = physical_plan(ent.queries()["unseen_candidates"](spark, SF_SMALL))
+    assert "InMemoryTableScan" in plan and "FileScan parquet" not in plan.split("InMemoryRelation")[0]
+
+
+@pytest.mark.parametrize("name", sorted(set(ent._QUERIES) - NO_PLAN_CHECK))
 def test_no_python_rows_no_cartesian(spark, name):
     plan = physical_plan(ent.queries()[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -1,51 +1,85 @@
 import numpy as np
+import pytest
 
-from wayfare.operators._scoring import top_n_rows as _top_n_rows
-from wayfare.operators.recommend import als_blocks, fit_als, recommend_top_n
+from wayfare.operators._scoring import merge_top, unpack
+from wayfare.operators.recommend import fit_als, make_als, recommend_top_n
 
 
-def _brute(ids, mat, users, feats, n):
+def _brute(ids, mat, feats, n, seen=()):
     out = []
-    for u, f in zip(users, feats):
+    for row, f in enumerate(feats):
         s = mat @ f
-        order = sorted(range(len(ids)), key=lambda j: (-s[j], ids[j]))[:n]
-        out += [(u, ids[j], r + 1) for r, j in enumerate(order)]
+        order = [j for j in sorted(range(len(ids)), key=lambda j: (-s[j], ids[j])) if (row, ids[j]) not in seen][:n]
+        out.append([(float(s[j]), int(ids[j])) for j in order])
     return out
 
 
-def test_top_n_exact_with_ties_both_paths():
+def test_top_n_exact_with_ties_seen_items_and_blocks():
     rng = np.random.default_rng(0)
-    for n_items in (12, 500):  # small catalogue: full sort; large: partition + candidates
+    for n_items in (3, 12, 500):
         ids = np.arange(n_items, dtype=np.int64) * 3
-        mat = rng.integers(0, 3, size=(n_items, 4)).astype(np.float32)  # many exact ties
-        users = np.arange(30, dtype=np.int64)
-        feats = rng.integers(0, 2, size=(30, 4)).astype(np.float32)
-        got = _top_n_rows(ids, mat, users, feats, 5)
-        assert list(zip(got.user_index, got.item_index, got["rank"])) == _brute(ids, mat, users, feats, 5)
+        mat = rng.integers(-1, 2, size=(n_items, 4)).astype(np.float64)  # many exact ties
+        feats = rng.integers(-1, 2, size=(30, 4)).astype(np.float32)
+        pairs = [(int(r), int(i)) for r, i in zip(rng.integers(0, 30, 200), rng.choice(ids, 200))]
+        seen = (np.array([r for r, _ in pairs]), np.array([i for _, i in pairs]))
+        want = _brute(ids, mat, feats, 5, set(pairs))
+        for block in (n_items, 7, 1):  # one block or many: the same answer
+            best = np.zeros((30, 5), dtype=np.uint64)
+            for at in range(0, n_items, block):
+                best = merge_top(feats, ids[at:at + block], mat[at:at + block], 5, best, seen)
+            got = [[(float(s), int(i)) for s, i in zip(*unpack(row[row != 0]))] for row in best]
+            assert got == want
+    with pytest.raises(ValueError):
+        merge_top(np.array([[np.inf]], dtype=np.float32), np.array([1]), np.array([[1.0]]), 1)
+
+
+def test_blocks_are_a_parameter_of_the_fit_alone(spark):
+    assert make_als().getNumUserBlocks() == make_als().getNumItemBlocks() == 10
+    assert make_als(num_blocks=3).getNumUserBlocks() == 3
+
+
+def _items(recs):
+    out = {}
+    for r in recs.collect():
+        out.setdefault(r.user_index, {})[r["rank"]] = r.item_index
+    return out
+
+
+def test_partitioning_and_block_size_do_not_change_the_items(spark):
+    rows = [(u, i, float(1 + (u * i) % 4)) for u in range(40) for i in range(25) if (u + i) % 3]
+    df = spark.createDataFrame(rows, "user_index int, item_index int, rating float")
+    one = _items(recommend_top_n(fit_als(df.repartition(1), max_iter=5, rank=6), 5))
+    many = _items(recommend_top_n(fit_als(df.repartition(9), max_iter=5, rank=6), 5, block_bytes=4 * 6 * 4))
+    assert one == many and len(one) == 40 and all(len(v) == 5 for v in one.values())
 
 
-def test_blocks_follow_data_and_stop_at_parallelism():
-    assert als_blocks(1500, 100, 33_000, 8) == (8, 1)
-    assert als_blocks(10, 3, 20, 8) == (1, 1)
-    ub, ib = als_blocks(100_000_000, 10_000, 10_000_000_000, 4000)
-    assert ub == 4000 and ib == 4000
+def test_tied_items_give_the_lower_id_at_any_block_size(spark):
+    rows = [(u, i + 12 * copy, float(1 + (u * i) % 3)) for u in range(30) for i in range(12) if (u + i) % 2
+            for copy in range(2)]
+    model = fit_als(spark.createDataFrame(rows, "user_index int, item_index int, rating float"), max_iter=3, rank=4)
 
+    class Twins:  # every item's factors twice, so that all scores tie in pairs
+        userFactors = model.userFactors
+        itemFactors = model.itemFactors.filter("id < 12").unionByName(
+            model.itemFactors.filter("id < 12").selectExpr("id + 12 as id", "features"))
+    rows = recommend_top_n(Twins, 6).orderBy("user_index", "rank").collect()
+    assert _items(recommend_top_n(Twins, 6, block_bytes=64)) == _items(recommend_top_n(Twins, 6))
+    pairs = [(a, b) for a, b in zip(rows, rows[1:]) if a.user_index == b.user_index]
+    assert all((-a.score, a.item_index) < (-b.score, b.item_index) for a, b in pairs)
+    assert sum(a.score == b.score for a, b in pairs) >= 3 * 30
 
-def test_broadcast_scoring_matches_mllib(spark):
+
+def test_scoring_matches_mllib(spark):
     rows = [(u, i, float(1 + (u * i) % 4)) for u in range(40) for i in range(25) if (u + i) % 3]
     df = spark.createDataFrame(rows, "user_index int, item_index int, rating float")
     model = fit_als(df, max_iter=5, rank=6)
-
-    def scores(recs):
-        out = {}
-        for r in recs.collect():
-            out.setdefault(r.user_index, []).append((r["rank"], r.score))
-        return {u: [s for _, s in sorted(v)] for u, v in out.items()}
-
-    ours, mllib = scores(recommend_top_n(model, 5, n_items=25)), scores(recommend_top_n(model, 5))
-    assert set(ours) == set(mllib) and len(ours) == 40
-    for u in ours:  # same ranked score sequence; items may differ only among float ties
-        assert np.allclose(ours[u], mllib[u], rtol=1e-5, atol=1e-5)
+    ours = {}
+    for r in recommend_top_n(model, 5).orderBy("user_index", "rank").collect():
+        ours.setdefault(r.user_index, []).append(r.score)
+    theirs = {r.user_index: [x.rating for x in r.recommendations] for r in model.recommendForAllUsers(5).collect()}
+    assert set(ours) == set(theirs) and len(ours) == 40
+    for u in ours:
+        assert np.allclose(ours[u], theirs[u], rtol=1e-5, atol=1e-5)
 
 
 def test_full_job_publishes_and_evaluates(spark, tmp_path):
@@ -80,28 +114,16 @@ def test_default_as_of_is_now(spark):
     assert interaction_strength(ent._events(spark, SF_SMALL), utc_now()).count() == 0
 
 
-def test_exclude_seen_exact_on_both_paths(spark):
+def test_exclude_seen_is_exact(spark):
     rows = [(u, i, float(1 + (u * i) % 4)) for u in range(30) for i in range(12) if (u + 2 * i) % 3]
     df = spark.createDataFrame(rows, "user_index int, item_index int, rating float")
-    model = fit_als(df, max_iter=5, rank=6)
-    seen = df.select("user_index", "item_index")
-    fast = recommend_top_n(model, 5, n_items=12, seen=seen)
-    slow = recommend_top_n(model, 5, seen=seen)  # MLlib path with over-fetch
-    seen_pairs = {(r.user_index, r.item_index) for r in seen.collect()}
-
-    def lists(recs):
-        out = {}
-        for r in recs.collect():
-            assert (r.user_index, r.item_index) not in seen_pairs
-            out.setdefault(r.user_index, []).append((r["rank"], r.score))
-        return {u: [s for _, s in sorted(v)] for u, v in out.items()}
-
-    a, b = lists(fast), lists(slow)
-    assert set(a) == set(b)
-    for u in a:
-        unseen = 12 - sum(1 for (uu, _) in seen_pairs if uu == u)
-        assert len(a[u]) == min(5, unseen)
-        assert np.allclose(a[u], b[u], rtol=1e-5, atol=1e-5)
+    model, seen = fit_als(df, max_iter=5, rank=6), df.select("user_index", "item_index")
+    pairs = {(r.user_index, r.item_index) for r in seen.collect()}
+    whole = _items(recommend_top_n(model, 5, seen=seen))
+    assert whole == _items(recommend_top_n(model, 5, seen=seen, block_bytes=4 * 6 * 5))
+    for u, items in whole.items():
+        assert not any((u, i) in pairs for i in items.values())
+        assert len(items) == min(5, 12 - sum(1 for v, _ in pairs if v == u))
 
 
 def test_scoring_runs_where_the_package_is_not_installed(tmp_path):
@@ -119,7 +141,7 @@ spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "fals
 from wayfare.operators.recommend import fit_als, recommend_top_n
 df = spark.createDataFrame([(u, i, 1.0) for u in range(6) for i in range(5) if (u + i) % 2],
                            "user_index int, item_index int, rating float")
-rows = recommend_top_n(fit_als(df, max_iter=2, rank=3), 2, n_items=5).collect()
+rows = recommend_top_n(fit_als(df, max_iter=2, rank=3), 2).collect()
 print("ROWS", len(rows))
 """)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}

@@ -19,6 +19,35 @@ def test_replace_then_append(spark, tmp_path):
     assert sorted(r.arrival_airport_code for r in scan_recommendations(spark, target).collect()) == ["A", "B"]
 
 
+def test_readers_see_whole_runs_only(spark, tmp_path):
+    target = tmp_path / "recs"
+    a = spark.createDataFrame([("p1", "A", "c", "x", 1.0, dt.datetime(2024, 1, 1))], SCHEMA)
+    publish_recommendations(a, str(target))
+    before = scan_recommendations(spark, str(target))
+    (target / "run-0000000002-replace-x").mkdir()  # a run that has not ended
+    assert scan_recommendations(spark, str(target)).count() == 1
+    published = publish_recommendations(a.unionByName(a), str(target))
+    assert scan_recommendations(spark, str(target)).count() == published.count() == 2
+    assert before.count() == 1  # a reader that had begun keeps its content
+
+
+def test_sink_options_reach_the_writer(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "format", lambda self, f: seen.update(format=f) or self)
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: seen.update({k: v}) or self)
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **o: seen.update(o) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(saved=True))
+    import __spark_entry__ as ent
+    from conftest import SF_SMALL
+    from wayfare.plans.job import run_recommendation_job
+    run_recommendation_job(ent._events(spark, SF_SMALL), ent._lookup(spark, SF_SMALL), as_of="2024-01-31 00:00:00",
+                           target="recs", target_fmt="jdbc", num_writers=3, max_iter=1,
+                           target_options={"url": "jdbc:x", "user": "me", "driver": "d"}).release()
+    assert seen == {"format": "jdbc", "dbtable": "recs", "batchsize": "10000", "truncate": "true", "url": "jdbc:x",
+                    "user": "me", "driver": "d", "saved": True}
+
+
 def test_lookup_csv_positions_missing_and_duplicate_codes(spark, tmp_path):
     path = tmp_path / "airports.csv"
     path.write_text("1,Foo Intl,Tehran,Iran,IKA,extra\n2,Bar,Shiraz,Iran,SYZ\n3,Dup,Other,Iran,SYZ\n")

@@ -53,6 +53,7 @@ def test_bad_payloads_are_quarantined(spark, tmp_path):
     lake = spark.read.parquet(str(tmp_path / "lake"))
     assert lake.count() == 2
     assert {str(r.event_day) for r in lake.collect()} >= {"2023-12-31"}
+    assert "event_day" in lake.columns
     reasons = sorted(r.reason for r in spark.read.parquet(str(tmp_path / "quarantine")).collect())
     assert reasons == ["decode", "decode", "timestamp"]
 
@@ -62,6 +63,20 @@ def test_decode_batch_same_as_stream_rules(spark):
     assert [r.reason for r in decode_payloads(df).collect()] == ["decode", "decode"]
 
 
+def test_one_bad_payload_does_not_stop_ingest(spark, tmp_path):
+    good = [json.loads(r.value) for r in encode_events(_normalized(spark).limit(2)).collect()]
+    bad = [dict(good[0], timestamp=9223372036854775807), dict(good[0], timestamp=10**18),
+           dict(good[0], timestamp=-10**18), dict(good[0], firstName=5), dict(good[0], firstName={"a": 1})]
+    os.makedirs(tmp_path / "topic")
+    lines = [json.dumps(x) for x in (good[0], *bad, good[1])]
+    (tmp_path / "topic" / "p.txt").write_text("\n".join(lines) + "\n")
+    ingest_stream(stream_payloads(spark, "text", str(tmp_path / "topic")), str(tmp_path / "lake"),
+                  str(tmp_path / "ckpt"), str(tmp_path / "quarantine")).await_all()
+    assert spark.read.parquet(str(tmp_path / "lake")).count() == 2
+    reasons = [r.reason for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()]
+    assert sorted(reasons) == ["decode", "decode", "timestamp", "timestamp", "timestamp"]
+
+
 def test_old_events_and_duplicates(spark, tmp_path):
     ev = _normalized(spark).limit(1)
     payload = json.loads(encode_events(ev).first().value)

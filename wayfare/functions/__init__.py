@@ -4,13 +4,11 @@ from wayfare.functions.scalar import (  # noqa: F401
     day_window,
     days_since_epoch,
     epoch_millis_of,
-    hit_flag,
     holdout_key,
     iso_text_to_utc,
     lookback_cutoff,
     millis_to_utc,
     parse_int_strict,
-    reciprocal_rank,
     status_weight,
     utc_now,
     utc_to_zone,

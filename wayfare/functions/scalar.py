@@ -20,6 +20,10 @@ ISO_ZONED_SUFFIX = r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 
 
+# 0001-01-01T00:00:00.000Z and 9999-12-31T23:59:59.999Z.
+MIN_MILLIS, MAX_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -47,19 +51,11 @@ def status_weight(status="flightStatus") -> Column:
     return expr.otherwise(F.lit(Decimal(OTHER_STATUS_WEIGHT)))
 
 
-def hit_flag(rank="rank") -> Column:
-    """1.0 when a rank exists, else 0.0."""
-    return F.when(_col(rank).isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0))
-
-
-def reciprocal_rank(rank="rank") -> Column:
-    """1/rank when a rank exists, else 0.0."""
-    return F.when(_col(rank).isNotNull(), F.lit(1.0) / _col(rank)).otherwise(F.lit(0.0))
-
-
 def millis_to_utc(millis) -> Column:
-    """Epoch milliseconds -> zone-less UTC timestamp."""
-    return F.timestamp_add("MILLISECOND", _col(millis).cast("long"), F.expr(_EPOCH))
+    """Epoch milliseconds -> zone-less UTC timestamp; null outside years 1 to 9999,
+    so that no payload can make the conversion overflow."""
+    ms = _col(millis).cast("long")
+    return F.when(ms.between(MIN_MILLIS, MAX_MILLIS), F.timestamp_add("MILLISECOND", ms, F.expr(_EPOCH)))
 
 
 def epoch_millis_of(ts) -> Column:

@@ -1,7 +1,11 @@
 """Task-side scoring for ALS top-N (runs inside ``mapInPandas``).
 
-Only numpy and pandas are used here, and the module is registered to be pickled by
-value, so executors run it without the ``wayfare`` package installed.
+Only numpy, pandas and pyarrow are used here, and the module is registered to be pickled
+by value, so executors run it without the ``wayfare`` package installed.
+
+A scored item is one unsigned 64-bit number: the float score's bits, mapped so that they
+order as the score does, above the inverted item id. A larger number is a better item, ties
+going to the smaller id, and 0 stands for no item.
 """
 
 from __future__ import annotations
@@ -12,61 +16,89 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
-# Scores held in memory per chunk of users (floats): 16M x 4 B = 64 MB per task.
-SCORE_CELLS_PER_CHUNK = 16_000_000
-
-
-def top_n_rows(ids: np.ndarray, mat: np.ndarray, users: np.ndarray, feats: np.ndarray, n: int,
-                seen: list | None = None) -> pd.DataFrame:
-    """Exact top-n by score desc, ties to the smaller item id (ids are ascending).
-
-    ``seen`` (one array of item ids per user, or None) removes those items first; a
-    user left with fewer than n unseen items gets fewer rows."""
-    n_items = len(ids)
-    k = min(n, n_items)
-    out_u, out_i, out_s, out_r = [], [], [], []
-    chunk = max(1, SCORE_CELLS_PER_CHUNK // max(1, n_items))
-    for start in range(0, len(users), chunk):
-        scores = feats[start:start + chunk] @ mat.T  # float32, (chunk, n_items)
-        if seen is not None:
-            for row, items in enumerate(seen[start:start + chunk]):
-                if items is not None and len(items):
-                    pos = np.searchsorted(ids, np.asarray(items, dtype=np.int64))
-                    pos = pos[(pos < n_items) & (ids[np.minimum(pos, n_items - 1)] == np.asarray(items))]
-                    scores[row, pos] = -np.inf
-        if n_items <= 4 * k:
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        else:
-            # Candidates = every item scoring at least the k-th best; a stable sort of
-            # those (in ascending id order) settles ties at the boundary exactly.
-            kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
-            order = np.empty((scores.shape[0], k), dtype=np.int64)
-            for row in range(scores.shape[0]):
-                cand = np.flatnonzero(scores[row] >= kth[row, 0])
-                order[row] = cand[np.argsort(-scores[row, cand], kind="stable")[:k]]
-        rows = np.arange(order.shape[0])[:, None]
-        picked = scores[rows, order].astype(np.float64).ravel()
-        keep = np.isfinite(picked)
-        out_u.append(np.repeat(users[start:start + chunk], k)[keep])
-        out_i.append(ids[order].ravel()[keep])
-        out_s.append(picked[keep])
-        out_r.append(np.tile(np.arange(1, k + 1, dtype=np.int32), order.shape[0])[keep])
-    if not out_u:
-        return pd.DataFrame({"user_index": pd.Series([], dtype="int32"), "item_index": pd.Series([], dtype="int32"),
-                             "score": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
-    return pd.DataFrame({"user_index": np.concatenate(out_u).astype(np.int32),
-                         "item_index": np.concatenate(out_i).astype(np.int32),
-                         "score": np.concatenate(out_s), "rank": np.concatenate(out_r)})
-
-
-def top_n_batches(batches, ids: np.ndarray, mat: np.ndarray, n: int, has_seen: bool):
-    """Score each Arrow batch of (id, features[, seen]) user rows against the items."""
-    for pdf in batches:
-        if len(pdf) == 0 or len(ids) == 0:
-            continue
-        feats = np.stack(pdf["features"].to_numpy()).astype(np.float32)
-        seen_lists = list(pdf["seen"]) if has_seen else None
-        yield top_n_rows(ids, mat, pdf["id"].to_numpy(), feats, n, seen_lists)
+# Scores held in memory per chunk of users: 4M x 8 B = 32 MB for each of a few arrays.
+SCORE_CELLS_PER_CHUNK = 4_000_000
+_SIGN, _LOW = np.uint32(0x80000000), np.uint64(0xFFFFFFFF)
+
+
+def factor_matrix(table) -> tuple[np.ndarray, np.ndarray]:
+    """(ids ascending, factors in that order) of an Arrow table (id, features)."""
+    ids = table.column("id").to_numpy().astype(np.int64)
+    features = table.column("features").combine_chunks()
+    matrix = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
+    order = np.argsort(ids)
+    return ids[order], matrix[order]
+
+
+def pack(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Numbers that order float32 ``scores`` (rows x items) descending, then ``ids`` ascending."""
+    bits = (scores + np.float32(0)).view(np.uint32)  # adding 0 makes -0.0 equal 0.0
+    ordered = np.where(bits & _SIGN, ~bits, bits | _SIGN)
+    return (ordered.astype(np.uint64) << np.uint64(32)) | (_LOW - ids.astype(np.uint64))
+
+
+def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids) of packed numbers."""
+    ordered = (packed >> np.uint64(32)).astype(np.uint32)
+    bits = np.where(ordered & _SIGN, ordered ^ _SIGN, ~ordered)
+    return bits.view(np.float32), (_LOW - (packed & _LOW)).astype(np.int64)
+
+
+def merge_top(feats: np.ndarray, ids: np.ndarray, matrix: np.ndarray, n: int, best: np.ndarray | None = None,
+              seen: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The n best packed items per row of ``feats``, best first, 0 where there are fewer.
+
+    ``best`` holds packed items found before; ``seen`` is (rows, item ids) to leave out.
+    Products are summed in double precision and rounded, so that the way a matrix product
+    is cut up does not decide ties."""
+    if not (np.isfinite(feats).all() and np.isfinite(matrix).all()):
+        raise ValueError("factors must be finite")
+    packed = pack((feats.astype(np.float64) @ matrix.T).astype(np.float32), ids)
+    if seen is not None and len(seen[0]):
+        at = np.searchsorted(ids, seen[1])
+        known = (at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == seen[1])
+        packed[seen[0][known], at[known]] = 0
+    if best is not None:
+        packed = np.concatenate([packed, best], axis=1)
+    k = min(n, packed.shape[1])
+    top = np.partition(packed, packed.shape[1] - k, axis=1)[:, packed.shape[1] - k:]
+    return np.sort(top, axis=1)[:, ::-1]
+
+
+def _lists(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, values) of a column of lists or nulls."""
+    arrays = [np.empty(0, np.int64) if x is None else np.asarray(x, dtype=np.int64) for x in column]
+    sizes = [len(x) for x in arrays]
+    return np.repeat(np.arange(len(arrays)), sizes), np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+
+
+def score_batches(batches, ids: np.ndarray, matrix: np.ndarray, n: int):
+    """Merge one block of items into each Arrow batch of (id, features, best, seen)."""
+    step = max(1, SCORE_CELLS_PER_CHUNK // len(ids))
+    for frame in batches:
+        for start in range(0, len(frame), step):
+            part = frame.iloc[start:start + step]
+            feats = np.stack(part["features"].to_numpy()).astype(np.float32)
+            best = np.zeros((len(part), n), dtype=np.uint64)
+            rows, values = _lists(part["best"])
+            if len(rows):
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                best[rows, place] = values.view(np.uint64)
+            top = merge_top(feats, ids, matrix, n, best, _lists(part["seen"]))
+            yield pd.DataFrame({"id": part["id"].to_numpy(), "features": list(feats),
+                                "best": list(top.view(np.int64))})
+
+
+def emit_batches(batches):
+    """Rows (user_index, item_index, score, rank) from batches of (id, best)."""
+    for frame in batches:
+        rows, values = _lists(frame["best"])
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        keep = values != 0
+        scores, items = unpack(values[keep].view(np.uint64))
+        yield pd.DataFrame({"user_index": frame["id"].to_numpy()[rows[keep]].astype(np.int32),
+                            "item_index": items.astype(np.int32), "score": scores.astype(np.float64),
+                            "rank": (place[keep] + 1).astype(np.int32)})
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

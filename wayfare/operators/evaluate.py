@@ -59,8 +59,12 @@ def holdout_split(indexed: DataFrame, seed: int = SPLIT_SEED) -> Holdout:
 
 
 def item_popularity(train: DataFrame) -> DataFrame:
-    """A2: summed rating per item."""
-    return train.groupBy("item_index").agg(F.sum(F.col("rating").cast("double")).alias("pop"))
+    """A2: summed rating per item.
+
+    Float ratings of 0.25 or more are whole multiples of 2**-26, so they are summed as
+    integers: exact at any total, whatever the order of summation."""
+    units = (F.col("rating").cast("double") * F.lit(float(1 << 26))).cast("long").cast("decimal(20,0)")
+    return train.groupBy("item_index").agg((F.sum(units).cast("double") / F.lit(float(1 << 26))).alias("pop"))
 
 
 def popularity_ranks(train: DataFrame, num_partitions: int | None = None) -> tuple[DataFrame, int]:
@@ -121,14 +125,11 @@ def popularity_scorer(train: DataFrame, users: DataFrame, n: int) -> DataFrame:
     return users.select("user_index", F.inline(items))
 
 
-def als_scorer(n_items: int | None = None, n_users: int | None = None,
-               n_ratings: int | None = None, **als_params) -> Scorer:
-    """ALS fitted on train; top-n per requested user (M5, T3). Known sizes (users,
-    items, ratings of the full index; train is one row per user smaller) size the
-    ALS blocks and pick the broadcast scoring path."""
+def als_scorer(**als_params) -> Scorer:
+    """ALS fitted on train; top-n per requested user."""
     def score(train: DataFrame, users: DataFrame, n: int) -> DataFrame:
-        model = fit_als(train, n_users=n_users, n_items=n_items, n_ratings=n_ratings, **als_params)
-        return recommend_top_n(model, n, n_items=n_items, users=users).select("user_index", "item_index", "score")
+        return recommend_top_n(fit_als(train, **als_params), n, users=users).select(
+            "user_index", "item_index", "score")
     return score
 
 
@@ -177,22 +178,41 @@ def popularity_metrics(test: DataFrame, train: DataFrame, k: int = TOP_K) -> Dat
     return joined.agg(F.count(F.lit(1)).alias("users_evaluated"), *_metrics(joined, "pop_rank", "baseline", k))
 
 
+def _report_schema(fair_baseline: bool) -> str:
+    kinds = ["model", "baseline"] + (["fair_baseline"] if fair_baseline else [])
+    metrics = ", ".join(f"{kind}_hit_rate double, {kind}_mrr double" for kind in kinds)
+    return (f"users_evaluated long, {metrics}, model_beats_baseline boolean"
+            + (", model_beats_fair_baseline boolean" if fair_baseline else ""))
+
+
 def evaluation_report(indexed: DataFrame, scorer: Scorer = popularity_scorer, k: int = TOP_K,
                       candidates: int = CANDIDATES, seed: int = SPLIT_SEED,
-                      min_rows: int = MIN_EVAL_ROWS, fair_baseline: bool = False) -> DataFrame:
+                      min_rows: int = MIN_EVAL_ROWS, fair_baseline: bool = False,
+                      hold: list[DataFrame] | None = None) -> DataFrame:
     """M12 + F13: one row (users, model and baseline metrics, verdict), or no row when
     there are fewer than ``min_rows`` interactions or no eligible user.
 
     The baseline keeps seen items, as the original evaluation does, while the model's
     seen items are removed. ``fair_baseline=True`` adds the seen-removed baseline
-    (``fair_baseline_hit_rate``, ``fair_baseline_mrr``) for a like-for-like verdict."""
+    (``fair_baseline_hit_rate``, ``fair_baseline_mrr``) for a like-for-like verdict.
+
+    The guards come first: where they hold, nothing is fitted or scored. ``indexed`` and
+    the split are persisted for the lazy report; ``hold`` receives them, for the caller to
+    unpersist when the report has been used."""
+    if indexed.storageLevel == StorageLevel.NONE:
+        indexed = indexed.persist(StorageLevel.MEMORY_AND_DISK)
+        if hold is not None:
+            hold.append(indexed)
     split = holdout_split(indexed, seed)
     # train feeds popularity, the scorer, the seen-filter and the eligibility check;
     # test feeds the scorer and the metrics. Both are deterministic functions of
     # ``indexed``, so a lost cached block recomputes to the same rows.
     split = Holdout(test=split.test.persist(StorageLevel.MEMORY_AND_DISK),
                     train=split.train.persist(StorageLevel.MEMORY_AND_DISK))
-    n_rows = indexed.count()
+    if hold is not None:
+        hold += [split.test, split.train]
+    if indexed.count() < min_rows or split.test.isEmpty():
+        return indexed.sparkSession.createDataFrame([], _report_schema(fair_baseline))
     cands = scorer(split.train, split.test.select("user_index"), candidates)
     topk = top_k_unseen(cands, split.train, k)
     pop = F.broadcast(popular_top_k(split.train, k).select(F.col("item_index").alias("true_item"),
@@ -213,6 +233,4 @@ def evaluation_report(indexed: DataFrame, scorer: Scorer = popularity_scorer, k:
     if fair_baseline:
         report = report.withColumn("model_beats_fair_baseline",
                                    F.col("model_hit_rate") > F.col("fair_baseline_hit_rate"))
-    if n_rows < min_rows:
-        return report.limit(0)
-    return report.filter(F.col("users_evaluated") > 0)
+    return report

@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a lookup side may be broadcast. Lookup/item rows are a few short
-# columns, so 2M rows stay far below executor memory; beyond it we shuffle.
+# A side is broadcast up to this many rows and this many bytes, as its schema sizes a row.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
-def bounded_row_count(df: DataFrame, limit: int) -> int:
-    """Count rows, stopping after limit+1 (cheap proof that a side is small)."""
-    return df.limit(limit + 1).count()
+def row_bytes(df: DataFrame) -> int:
+    """An estimate of a row in memory: the default size Spark gives each type."""
+    return 8 + sum(df.sparkSession._jvm.org.apache.spark.sql.types.DataType.fromJson(f.dataType.json()).defaultSize()
+                   for f in df.schema.fields)
 
 
 def broadcast_if_small(df: DataFrame, known_rows: int | None = None,
-                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when its row count is proven to be <= max_rows.
-
-    ``known_rows`` skips the check when the caller already knows the exact size
-    (e.g. an index whose size falls out of its construction). Otherwise a bounded
-    count decides. Larger sides are returned untouched and joined by shuffle, where
-    AQE may still switch to a broadcast from runtime statistics."""
-    rows = known_rows if known_rows is not None else bounded_row_count(df, max_rows)
-    return F.broadcast(df) if rows <= max_rows else df
+                       max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when it is proven to have at most max_rows rows and,
+    by the size of its types, at most max_bytes bytes.
+
+    ``known_rows`` skips the count when the caller already knows the exact size (e.g.
+    an index whose size falls out of its construction). The count is a partial
+    aggregate: one number from each task. Larger sides are returned untouched and joined
+    by shuffle, where AQE may still switch to a broadcast from runtime statistics."""
+    rows = df.count() if known_rows is None else known_rows
+    return F.broadcast(df) if rows <= max_rows and rows * row_bytes(df) <= max_bytes else df

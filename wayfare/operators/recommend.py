@@ -2,122 +2,92 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators._scoring import top_n_batches
-from wayfare.operators.topk import top_k_per_group
-from wayfare.schemas import ALS_ALPHA, ALS_MAX_ITER, ALS_RANK, ALS_REG, TOP_K
+from wayfare.operators._scoring import emit_batches, factor_matrix, score_batches
+from wayfare.schemas import ALS_ALPHA, ALS_BLOCKS, ALS_MAX_ITER, ALS_RANK, ALS_REG, TOP_K
 from wayfare.session import checkpoint_root
 
-# Item factors up to this many items are broadcast for scoring: 200k x rank 20 x 4 B
-# = 16 MB per executor. Larger catalogues fall back to MLlib's blocked scoring.
-MAX_BROADCAST_ITEMS = 200_000
-# ALS blocking: fewer rows than this per block only adds task overhead.
-USERS_PER_BLOCK = 200
-ITEMS_PER_BLOCK = 200
-RATINGS_PER_BLOCK = 2_000_000
+# Item factors scored in one pass: this many bytes reach the driver and each executor.
+ITEM_BLOCK_BYTES = 16 * 1024 * 1024
 
 
 def make_als(rank: int = ALS_RANK, reg: float = ALS_REG, alpha: float = ALS_ALPHA,
-             max_iter: int = ALS_MAX_ITER, seed: int = 42, num_blocks: int | None = None,
+             max_iter: int = ALS_MAX_ITER, seed: int = 42, num_blocks: int = ALS_BLOCKS,
              checkpoint_interval: int = 5) -> ALS:
-    """Implicit ALS with cold-start drop. Factor lineage is checkpointed every few
-    iterations to the shared folder, so a lost executor costs a few iterations, not
-    the whole fit."""
-    als = ALS(userCol="user_index", itemCol="item_index", ratingCol="rating",
-              implicitPrefs=True, rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,
-              coldStartStrategy="drop", seed=seed, checkpointInterval=checkpoint_interval,
-              nonnegative=False)
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
-    return als
-
-
-def als_blocks(n_users: int, n_items: int, n_ratings: int, parallelism: int) -> tuple[int, int]:
-    """Block counts for training. Each block's ratings are solved in one task, so
-    both counts grow with the ratings as well as with users/items, and stop at the
-    cluster's parallelism (and at the item count: a block needs at least one item)."""
-    def ceil(a: int, b: int) -> int:
-        return -(-a // b)
-    by_ratings = ceil(n_ratings, RATINGS_PER_BLOCK)
-    ub = max(1, min(parallelism, max(ceil(n_users, USERS_PER_BLOCK), by_ratings)))
-    ib = max(1, min(parallelism, n_items, max(ceil(n_items, ITEMS_PER_BLOCK), by_ratings)))
-    return ub, ib
-
-
-def fit_als(indexed: DataFrame, n_users: int | None = None, n_items: int | None = None,
-            n_ratings: int | None = None, **als_params) -> ALSModel:
-    """Fit implicit ALS on (user_index, item_index, rating). When the sizes are known,
-    block counts follow them (see ``als_blocks``)."""
-    spark = indexed.sparkSession
-    checkpoint_root(spark)
-    als = make_als(**als_params)
-    if None not in (n_users, n_items, n_ratings) and not als_params.get("num_blocks"):
-        ub, ib = als_blocks(n_users, n_items, n_ratings, spark.sparkContext.defaultParallelism)
-        als = als.setNumUserBlocks(ub).setNumItemBlocks(ib)
-    return als.fit(indexed.select("user_index", "item_index", "rating"))
-
-
-def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int,
-                seen: DataFrame | None = None) -> DataFrame:
-    """Top-n items per user from factor tables (id, features).
-
-    The item factors (size checked by the caller) are broadcast once; each task
-    scores its own users against them with a matrix product and keeps the n best,
-    so nothing is shuffled and no (user, item) table exists. With ``seen``
-    (user_index, item_index), each user's seen items are excluded exactly; their
-    per-user list is bounded by the catalogue size the caller checked."""
-    spark = user_factors.sparkSession
-    items = item_factors.orderBy("id").collect()
-    ids = np.array([r["id"] for r in items], dtype=np.int64)
-    rank = len(items[0]["features"]) if items else 0
-    mat = np.array([r["features"] for r in items], dtype=np.float32).reshape(len(items), rank)
-    bc = spark.sparkContext.broadcast((ids, mat))
+    """Implicit ALS with cold-start drop.
+
+    ``num_blocks`` user and item blocks are part of the result: initial factors are drawn
+    block by block. The default is MLlib's own; raise it for data whose blocks would
+    outgrow a task, and keep it with the run. It never follows the cluster's size.
 
-    users = user_factors.select("id", "features")
-    if seen is not None:
-        lists = seen.groupBy(F.col("user_index").alias("id")).agg(
-            F.collect_list(F.col("item_index").cast("long")).alias("seen"))
-        users = users.join(lists, "id", "left")
-    else:
-        users = users.withColumn("seen", F.lit(None).cast("array<long>"))
+    Factor lineage is checkpointed every few iterations to the shared folder, so a lost
+    executor costs a few iterations, not the whole fit."""
+    return ALS(userCol="user_index", itemCol="item_index", ratingCol="rating",
+               implicitPrefs=True, rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,
+               coldStartStrategy="drop", seed=seed, checkpointInterval=checkpoint_interval,
+               nonnegative=False, numUserBlocks=num_blocks, numItemBlocks=num_blocks)
 
-    has_seen = seen is not None  # the task closure must not capture a DataFrame
 
-    def top_n(batches):
-        b_ids, b_mat = bc.value
-        return top_n_batches(batches, b_ids, b_mat, n, has_seen)
+def fit_als(indexed: DataFrame, **als_params) -> ALSModel:
+    """Fit implicit ALS on (user_index, item_index, rating)."""
+    checkpoint_root(indexed.sparkSession)
+    return make_als(**als_params).fit(indexed.select("user_index", "item_index", "rating"))
 
-    schema = "user_index int, item_index int, score double, rank int"
-    return users.mapInPandas(top_n, schema)
 
+def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int, seen: DataFrame | None = None,
+                block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+    """Exact top-n items per user from factor tables (id, features): score descending,
+    ties to the smaller item id, at any catalogue size.
 
-def recommend_top_n(model: ALSModel, n: int = TOP_K, n_items: int | None = None,
-                    users: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
+    Items go by id range in blocks of ``block_bytes``. A pass broadcasts one block, and
+    each task scores its users against it and merges the result into each user's running
+    n best; no (user, item) table exists. ``seen`` (user_index, item_index) is masked
+    inside the blocks: a pass gathers only a user's seen items of its own block. Between
+    passes the running lists are checkpointed; a catalogue of one block needs one pass."""
+    spark = user_factors.sparkSession
+    checkpoint_root(spark)
+    facts = item_factors.agg(F.max("id").alias("last"), F.max(F.size("features")).alias("rank")).first()
+    rows = user_factors.select("id", "features").withColumn("best", F.lit(None).cast("array<long>"))
+    last = -1 if facts["last"] is None else facts["last"]
+    per_block = max(1, block_bytes // (4 * (facts["rank"] or 1)))
+    for low in range(0, last + 1, per_block):
+        block = item_factors.filter((F.col("id") >= low) & (F.col("id") < low + per_block))
+        ids, matrix = factor_matrix(block.select("id", "features").toArrow())
+        if not len(ids):
+            continue
+        shared = spark.sparkContext.broadcast((ids, matrix))
+        if seen is None:
+            rows = rows.withColumn("seen", F.lit(None).cast("array<long>"))
+        else:
+            own = (seen.filter((F.col("item_index") >= low) & (F.col("item_index") < low + per_block))
+                   .groupBy(F.col("user_index").alias("id"))
+                   .agg(F.collect_set(F.col("item_index").cast("long")).alias("seen")))
+            rows = rows.join(own, "id", "left")
+        rows = _scored(rows, shared, n)
+        if low + per_block <= last:
+            rows = rows.checkpoint()
+    return rows.select("id", "best").mapInPandas(emit_batches, "user_index int, item_index int, score double, rank int")
+
+
+def _scored(rows: DataFrame, shared, n: int) -> DataFrame:
+    """``rows`` (id, features, best, seen) with ``best`` merged with one block of items."""
+    def run(batches):
+        return score_batches(batches, *shared.value, n)
+    return rows.select("id", "features", "best", "seen").mapInPandas(
+        run, "id int, features array<float>, best array<long>")
+
+
+def recommend_top_n(model: ALSModel, n: int = TOP_K, users: DataFrame | None = None,
+                    seen: DataFrame | None = None, block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
     """M6 + P7 + P8: top-n items per user as rows (user_index, item_index, score, rank).
 
-    With a catalogue of known, bounded size the item factors are broadcast and scored
-    per task (``score_top_n``). Otherwise MLlib's ``recommendForAllUsers`` /
-    ``recommendForUserSubset`` scores factor blocks against each other with a bounded
-    heap per user. ``users`` (a column ``user_index``) restricts the users scored;
-    ``seen`` (user_index, item_index) excludes those pairs exactly (the MLlib path
-    over-fetches by the largest number of seen items per user, then filters)."""
+    ``users`` (a column ``user_index``) restricts the users scored; ``seen`` (user_index,
+    item_index) excludes those pairs exactly, and a user with fewer than n unseen items
+    gets fewer rows."""
     user_factors = model.userFactors
     if users is not None:
         user_factors = user_factors.join(users.select(F.col("user_index").alias("id")), "id", "left_semi")
-    if n_items is not None and n_items <= MAX_BROADCAST_ITEMS:
-        return score_top_n(user_factors, model.itemFactors, n, seen)
-    extra = 0
-    if seen is not None:
-        extra = seen.groupBy("user_index").count().agg(F.max("count")).first()[0] or 0
-    fetch = n + int(extra)
-    recs = (model.recommendForAllUsers(fetch) if users is None
-            else model.recommendForUserSubset(users.select("user_index"), fetch))
-    flat = recs.select("user_index", F.explode("recommendations").alias("rec")).select(
-        "user_index", F.col("rec.item_index").alias("item_index"), F.col("rec.rating").cast("double").alias("score"))
-    if seen is not None:
-        flat = flat.join(seen.select("user_index", "item_index"), ["user_index", "item_index"], "left_anti")
-    return top_k_per_group(flat, ["user_index"], [F.col("score").desc(), F.col("item_index").asc()], n)
+    return score_top_n(user_factors, model.itemFactors, n, seen, block_bytes)

@@ -38,12 +38,13 @@ def _response(rows: DataFrame) -> DataFrame:
 def latest_recommendations(recs: DataFrame, passengers: DataFrame | None = None) -> DataFrame:
     """E9 (J8/A6): each passenger's rows from their newest run only.
 
-    The correlated ``= max(generated_at)`` becomes a grouped max (partial aggregation)
-    joined back on (passenger, generated_at). The null-city filter runs after the max,
-    so a newest run holding only unknown airports yields nothing for that passenger."""
-    r = _only_passengers(recs, passengers)
-    newest = r.groupBy("passenger_id").agg(F.max("generated_at").alias("generated_at"))
-    return _response(r.join(newest, ["passenger_id", "generated_at"]))
+    The correlated ``= max(generated_at)`` is a rank of 1 by generated_at descending: one
+    scan, and each task drops a passenger's older runs before the shuffle. The null-city
+    filter runs after it, so a newest run holding only unknown airports yields nothing
+    for that passenger. Rows without a passenger or a time match no lookup."""
+    r = _only_passengers(recs, passengers).filter("passenger_id IS NOT NULL AND generated_at IS NOT NULL")
+    by_time = Window.partitionBy("passenger_id").orderBy(F.col("generated_at").desc())
+    return _response(r.withColumn("_age", F.rank().over(by_time)).filter("_age = 1"))
 
 
 def recommendations_on(recs: DataFrame, day, passengers: DataFrame | None = None) -> DataFrame:

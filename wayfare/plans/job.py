@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.scalar import utc_now
 from wayfare.operators.enrich import attach_lookup, enrich_recommendations
 from wayfare.operators.evaluate import als_scorer, evaluation_report
 from wayfare.operators.indexing import IndexedInteractions, index_interactions
@@ -24,16 +24,21 @@ class RecommendationRun:
     recommendations: DataFrame
     index: IndexedInteractions
     evaluation: DataFrame | None = None
+    held: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
+        """Drop what the run persisted; call it when its frames have been used."""
         self.index.release()
+        for frame in self.held:
+            frame.unpersist()
 
 
 def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
                            lookback_days: int = LOOKBACK_DAYS, k: int = TOP_K,
                            generated_at=None, zone: str = SERVING_ZONE, evaluate: bool = False,
                            target: str | None = None, target_fmt: str = "parquet",
-                           target_mode: str = "replace", num_partitions: int | None = None,
+                           target_mode: str = "replace", target_options: dict[str, str] | None = None,
+                           num_writers: int | None = None, num_partitions: int | None = None,
                            exclude_seen: bool = False, **als_params) -> RecommendationRun:
     """E3 -> E4 -> E5 -> E6 (-> E7): the daily batch job.
 
@@ -41,28 +46,32 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     persisted (memory and disk) once; its inputs are checkpointed index tables, so a
     lost block recomputes to the same rows. Errors propagate to the caller.
 
+    The run's instant is taken once, on the driver, so every row and every later action
+    carries the same one. With a Parquet target the rows returned are the published ones.
+    ``target_options`` (JDBC url, user, driver and so on) and ``num_writers`` go to the
+    sink; other keywords to ALS.
+
     ``exclude_seen=False`` keeps airports the passenger already has, as the original
     job does; ``True`` recommends only unseen ones (exactly k where enough remain)."""
-    as_of = as_of if as_of is not None else utc_now()
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    as_of = now if as_of is None else as_of
+    generated_at = now if generated_at is None else generated_at
     inter = interaction_strength(events, as_of, lookback_days)
     idx = index_interactions(inter, num_partitions)
     idx.indexed.persist(StorageLevel.MEMORY_AND_DISK)
-    n_ratings = idx.indexed.count()  # materialises the cache; sizes the ALS blocks
-    evaluation = None
+    evaluation, held = None, []
     if evaluate:
-        scorer = als_scorer(n_items=idx.item_index.size, n_users=idx.user_index.size, n_ratings=n_ratings,
-                            **als_params)
-        evaluation = evaluation_report(idx.indexed, scorer=scorer, k=k)
-    model = fit_als(idx.indexed, n_users=idx.user_index.size, n_items=idx.item_index.size,
-                    n_ratings=n_ratings, **als_params)
+        evaluation = evaluation_report(idx.indexed, scorer=als_scorer(**als_params), k=k, hold=held)
+    model = fit_als(idx.indexed, **als_params)
     seen = idx.indexed.select("user_index", "item_index") if exclude_seen else None
-    recs = recommend_top_n(model, k, n_items=idx.item_index.size, seen=seen).select(
-        "user_index", "item_index", "score")
+    recs = recommend_top_n(model, k, seen=seen).select("user_index", "item_index", "score")
     out = enrich_recommendations(recs, idx.user_map, idx.item_map, lookup, generated_at=generated_at,
                                  zone=zone, item_rows=idx.item_index.size)
     if target:
-        publish_recommendations(out, target, fmt=target_fmt, mode=target_mode)
-    return RecommendationRun(recommendations=out, index=idx, evaluation=evaluation)
+        published = publish_recommendations(out, target, fmt=target_fmt, mode=target_mode,
+                                            num_writers=num_writers, **(target_options or {}))
+        out = out if published is None else published
+    return RecommendationRun(recommendations=out, index=idx, evaluation=evaluation, held=held)
 
 
 def stand_in_recommendations(events: DataFrame, lookup: DataFrame, as_of, generated_at,

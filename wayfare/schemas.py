@@ -37,6 +37,11 @@ ALS_RANK = 20
 ALS_REG = 0.1
 ALS_ALPHA = 20.0
 ALS_MAX_ITER = 15
+ALS_BLOCKS = 10
+
+# Partition columns of the event table: UTC day, and the batch that wrote the rows.
+PARTITION_COL = "event_day"
+BATCH_COL = "ingest_batch"
 
 # JDBC publish settings.
 JDBC_BATCH_SIZE = 10000
@@ -45,7 +50,6 @@ JDBC_WRITERS = 8
 # ---------------------------------------------------------------------------
 
 RAW_TO_FIELD = dict(zip(RAW_CSV_HEADERS, EVENT_FIELDS[:-1]))
-REQUIRED_FIELDS = list(EVENT_FIELDS)
 
 RAW_CSV_SCHEMA = T.StructType([T.StructField(h, T.StringType(), True) for h in RAW_CSV_HEADERS])
 
@@ -64,22 +68,3 @@ PAYLOAD_SCHEMA = T.StructType(
 
 # Airport lookup CSV: headerless; only positions 2, 3 and 4 are used.
 LOOKUP_CSV_SCHEMA = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(5)])
-LOOKUP_SCHEMA = T.StructType([
-    T.StructField("city", T.StringType(), True),
-    T.StructField("country", T.StringType(), True),
-    T.StructField("iata_code", T.StringType(), True),
-])
-
-INTERACTION_COLS = ["passengerId", "arrivalAirport", "strength"]
-INDEXED_COLS = ["passengerId", "arrivalAirport", "user_index", "item_index", "rating"]
-
-RECOMMENDATION_SCHEMA = T.StructType([
-    T.StructField("passenger_id", T.StringType(), True),
-    T.StructField("arrival_airport_code", T.StringType(), True),
-    T.StructField("arrival_city", T.StringType(), True),
-    T.StructField("arrival_country", T.StringType(), True),
-    T.StructField("score", T.DoubleType(), True),
-    T.StructField("generated_at", T.TimestampNTZType(), True),
-])
-
-RESPONSE_COLS = ["passengerId", "airportCode", "city", "country", "generatedAt"]

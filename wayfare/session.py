@@ -1,7 +1,8 @@
 """Session construction and the shared folder used to cut lineage.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names. Only when
-it is unset (local tests) do we fall back to a private temporary folder.
+On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names. Only in
+local mode, where all tasks share one machine, is a private temporary folder used when
+it is unset; on any other master that is an error.
 """
 
 from __future__ import annotations
@@ -49,11 +50,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the SparkContext.
 
     Reads ``spark.checkpoint.dir`` from the session. Sets a private folder only when
-    nothing is configured, which happens in tests and ad-hoc local runs.
+    nothing is configured and the master is local (tests, ad-hoc runs): executors on
+    other machines could not read a folder of the driver's.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wayfare-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():

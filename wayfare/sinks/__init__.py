@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.scalar import day_of, epoch_millis_of
-from wayfare.schemas import EVENT_FIELDS, EVENT_SCHEMA, JDBC_BATCH_SIZE, JDBC_WRITERS
-
-PARTITION_COL = "event_day"
+from wayfare.schemas import BATCH_COL, EVENT_FIELDS, EVENT_SCHEMA, JDBC_BATCH_SIZE, JDBC_WRITERS, PARTITION_COL
 
 
 def encode_events(events: DataFrame) -> DataFrame:
@@ -36,11 +36,15 @@ def publish_events(events: DataFrame, fmt: str, location: str, num_files: int |
 
 
 def ensure_event_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """K2: create the event table, partitioned by UTC day, if it does not exist."""
+    """K2: create the event table, partitioned by UTC day and batch, if it does not exist."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields)
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {PARTITION_COL} DATE) "
-              f"USING parquet PARTITIONED BY ({PARTITION_COL}){loc}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {PARTITION_COL} DATE, {BATCH_COL} STRING) "
+              f"USING parquet PARTITIONED BY ({PARTITION_COL}, {BATCH_COL}){loc}")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
 
 
 def with_event_day(events: DataFrame) -> DataFrame:
@@ -48,43 +52,79 @@ def with_event_day(events: DataFrame) -> DataFrame:
     return events.withColumn(PARTITION_COL, day_of("timestamp"))
 
 
+def write_batch(events: DataFrame, target: str, batch: str, table: bool = False,
+                max_records_per_file: int | None = None) -> None:
+    """Write the events of one batch into their day partitions, once: writing the same
+    batch again replaces its own rows and no others. Both the batch path and the stream
+    write here, to a folder or to the folder of a catalog table (``table``), whose new
+    partitions are then registered."""
+    spark = events.sparkSession
+    folder = table_location(spark, target) if table else target
+    out = with_event_day(events).select(*EVENT_FIELDS, PARTITION_COL, F.lit(batch).alias(BATCH_COL))
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+    writer.partitionBy(PARTITION_COL, BATCH_COL).parquet(folder)
+    if table:
+        spark.catalog.recoverPartitions(target)
+
+
 def append_events(events: DataFrame, target: str, files_per_day: int | None = None,
                   table: bool = False, max_records_per_file: int | None = None) -> None:
     """K3: append events into their day partitions; nothing is ever overwritten.
 
-    ``files_per_day`` spreads each day over that many writer tasks (hash of the row)
-    so a busy day is not written by a single task; None leaves the layout to the
-    upstream partitioning. ``max_records_per_file`` caps file size within a task."""
-    out = with_event_day(events).select(*EVENT_FIELDS, PARTITION_COL)
+    ``files_per_day`` spreads each day over that many writer tasks (hash of the row and of
+    the input partition, so one event repeated many times spreads too); None leaves the layout to the upstream partitioning. ``max_records_per_file`` caps
+    file size within a task."""
     if files_per_day:
-        salt = F.pmod(F.xxhash64(*[F.col(f) for f in EVENT_FIELDS]), F.lit(files_per_day))
-        out = out.repartition(F.col(PARTITION_COL), salt)
-    writer = out.write
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    if table:
-        writer.insertInto(target)
-    else:
-        writer.mode("append").partitionBy(PARTITION_COL).parquet(target)
+        row = F.xxhash64(*[F.col(f) for f in EVENT_FIELDS], F.spark_partition_id())
+        events = (events.withColumn("_salt", F.pmod(row, F.lit(files_per_day)))
+                  .repartition(day_of("timestamp"), F.col("_salt")).drop("_salt"))
+    write_batch(events, target, f"append-{uuid.uuid4().hex}", table, max_records_per_file)
+
+
+def current_runs(spark: SparkSession, target: str) -> list[str]:
+    """The run folders of a published Parquet target that make up its present content:
+    the newest complete replacing run and the complete appending runs after it."""
+    return [path for _, path in _runs(spark, target)[1]]
+
+
+def _runs(spark: SparkSession, target: str) -> tuple[int, list[tuple[str, str]]]:
+    """(number for the next run, [(mode, path)] of the present content)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(str(s.getPath()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+    last, content = 0, []
+    for path in found:
+        parts = path.rsplit("/", 1)[1].split("-")
+        if len(parts) == 4 and parts[0] == "run":
+            last = int(parts[1])
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+                content = [(parts[2], path)] if parts[2] == "replace" else content + [(parts[2], path)]
+    return last + 1, content
 
 
 def publish_recommendations(recs: DataFrame, target: str, fmt: str = "parquet", mode: str = "replace",
-                            num_writers: int | None = None, **jdbc_options) -> None:
+                            num_writers: int | None = None, **jdbc_options) -> DataFrame | None:
     """K4 + K5: publish recommendations.
 
     ``mode="replace"`` keeps only this run (truncate-and-load on JDBC, which keeps the
-    table's DDL; overwrite on Parquet). ``mode="append"`` keeps history, which the
-    "latest" serving query then resolves. JDBC writes use ``num_writers`` connections
-    (default 8) and 10 000-row batches; Parquet leaves parallelism to Spark unless
-    ``num_writers`` is set."""
+    table's DDL). ``mode="append"`` keeps history, which the "latest" serving query then
+    resolves. On Parquet every run is a folder of its own that counts once it is complete
+    (``scan_recommendations``), so a reader sees the old content or the new, never a part;
+    replaced runs stay until they are removed. Returns the published rows of this run
+    there. JDBC writes use ``num_writers`` connections (default 8) and 10 000-row batches;
+    Parquet leaves parallelism to Spark unless ``num_writers`` is set."""
     save_mode = {"replace": "overwrite", "append": "append"}[mode]
     if fmt == "jdbc":
         out = recs.repartition(num_writers or JDBC_WRITERS)
         (out.write.format("jdbc").option("dbtable", target)
          .option("batchsize", str(JDBC_BATCH_SIZE)).option("truncate", "true")
          .options(**jdbc_options).mode(save_mode).save())
-    elif fmt == "parquet":
+        return None
+    if fmt == "parquet":
         out = recs.repartition(num_writers) if num_writers else recs
-        out.write.mode(save_mode).parquet(target)
-    else:
-        raise ValueError(f"unsupported format {fmt!r}")
+        path = f"{target}/run-{_runs(recs.sparkSession, target)[0]:010d}-{mode}-{uuid.uuid4().hex}"
+        out.write.parquet(path)
+        return recs.sparkSession.read.schema(recs.schema).parquet(path)
+    raise ValueError(f"unsupported format {fmt!r}")

@@ -6,16 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.schemas import LOOKUP_CSV_SCHEMA, RAW_CSV_SCHEMA
+from wayfare.schemas import BATCH_COL, LOOKUP_CSV_SCHEMA, PARTITION_COL, RAW_CSV_SCHEMA
+from wayfare.sinks import current_runs
+
+# Stands for "no such field" where CSV text is read; no field holds it.
+NO_FIELD = "\x00no field\x00"
+
 
 def scan_events(spark: SparkSession, source: str) -> DataFrame:
     """The event table, by catalog name (``db.table`` / ``catalog.db.table``) or by path.
 
+    A table or folder written by both writers (batch and stream) shows the rows of both.
     Filters applied later reach the Parquet scan (pushed filters) and, for a
     day-partitioned table, the partition column (partition filters)."""
     if "/" in source or source.endswith(".parquet"):
-        return spark.read.parquet(source)
-    return spark.table(source)
+        return spark.read.parquet(source).drop(BATCH_COL)
+    if PARTITION_COL in spark.table(source).columns and spark.catalog.tableExists(source):
+        # Batches appended to the table's folder by path are known to the catalog after this.
+        partitioned = any(c.isPartition for c in spark.catalog.listColumns(source))
+        if partitioned:
+            spark.catalog.recoverPartitions(source)
+    return spark.table(source).drop(BATCH_COL)
 
 
 def scan_lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -25,29 +36,31 @@ def scan_lookup(spark: SparkSession, path: str) -> DataFrame:
                       F.col("_c4").alias("iata_code"))
 
 
-def scan_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3: raw dataset CSV with a header row, UTF-8, every value a string.
 
     Columns are matched by header name (any order, extra header columns ignored); a
-    file lacking an expected column fails as a whole. A row with fewer fields than
-    the header fails the read when it is processed, as a strict reader aborts the
-    run; a row with more fields keeps its header columns and drops the rest. A line
-    with quotes whose field count cannot be told from its commas is treated as short.
-    CSV text has no nulls: Spark reads an empty field as null, so it is turned back
-    into the empty string it was."""
-    header = (spark.read.option("header", "true").option("encoding", "UTF-8")
-              .option("inferSchema", "false").csv(path).columns)
+    file lacking an expected column fails as a whole, and so does a folder whose files
+    have different headers. A quote inside a quoted field is doubled. A row with fewer
+    fields than the header fails the read when it is processed, as a strict reader aborts
+    the run; a row with more fields keeps its header columns and drops the rest. An empty
+    field is the empty string. ``multi_line`` reads line breaks inside quoted fields, at
+    the price of one task for each file."""
+    def reader():
+        return (spark.read.option("header", "true").option("encoding", "UTF-8").option("escape", '"')
+                .option("multiLine", str(multi_line).lower()).option("nullValue", NO_FIELD).option("emptyValue", ""))
+    header = reader().option("inferSchema", "false").csv(path).columns
     missing = [h for h in RAW_CSV_SCHEMA.fieldNames() if h not in header]
     if missing:
         raise ValueError(f"raw CSV lacks columns: {missing}")
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header]
                           + [T.StructField("_corrupt_record", T.StringType(), True)])
-    df = (spark.read.option("header", "true").option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    df = (reader().option("mode", "PERMISSIVE").option("enforceSchema", "false")
           .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path))
-    raw = F.col("_corrupt_record")
-    short = raw.isNotNull() & (raw.contains('"') | (F.size(F.split(raw, ",", -1)) < F.lit(len(header))))
-    checked = df.filter(F.when(short, F.raise_error(F.concat(F.lit("raw CSV row with missing fields: "), raw)))
-                        .otherwise(F.lit(True)))
+    # No text of a field reads as null, so a null last column is a field that was not there.
+    short = F.col("_corrupt_record").isNotNull() & F.col(f"`{header[-1]}`").isNull()
+    checked = df.filter(F.when(short, F.raise_error(F.concat(
+        F.lit("raw CSV row with missing fields: "), F.col("_corrupt_record")))).otherwise(F.lit(True)))
     return checked.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in RAW_CSV_SCHEMA.fieldNames()])
 
 
@@ -79,7 +92,12 @@ def stream_payloads(spark: SparkSession, fmt: str, location: str,
 
 def scan_recommendations(spark: SparkSession, target: str, fmt: str = "parquet",
                          **jdbc_options) -> DataFrame:
-    """The published recommendations table (Parquet folder or JDBC table)."""
+    """The published recommendations table (Parquet folder or JDBC table).
+
+    A Parquet folder holds one folder for each run; those of the newest replacing run and
+    of the appending runs after it are read. ``jdbc_options`` may hold Spark's partitioning
+    options (partitionColumn, lowerBound, upperBound, numPartitions)."""
     if fmt == "jdbc":
         return spark.read.format("jdbc").options(dbtable=target, **jdbc_options).load()
-    return spark.read.parquet(target)
+    runs = current_runs(spark, target)
+    return spark.read.parquet(*(runs or [target]))

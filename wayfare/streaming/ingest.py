@@ -1,31 +1,34 @@
 """Payload stream -> decoded events -> day-partitioned append-only table.
 
-One Structured Streaming query per output, each with its own checkpoint:
+One Structured Streaming query decodes each micro-batch once and writes it twice:
 
-- events go to a Parquet file sink partitioned by ``event_day`` (R5). The file sink
-  commits each micro-batch once through its metadata log, and the checkpoint replays
-  a batch that failed mid-write (R3), so delivery is exactly-once;
+- events go to the event table, a folder or a catalog table, under their day and the
+  batch's own partition (R5), as the batch path's appends do;
 - undecodable payloads and events without a usable timestamp (F9, F10) go to a
-  quarantine file sink with a reason instead of being lost silently.
-
-Micro-batch size is bounded by ``maxOffsetsPerTrigger``/``maxFilesPerTrigger`` (R1);
-``availableNow`` drains everything present and stops (R2); the checkpoint carries the
-offsets and a new query starts from the earliest one (R4). Empty batches write nothing
-(F12). Late events of any age land in their own day (no watermark), and replays of the
-same payloads are appended again, as an append-only log does.
+  quarantine folder with a reason instead of being lost silently or stopping the query.
+
+A batch that failed mid-write is replayed from the checkpoint (R3) and replaces its own
+partitions only, so delivery is exactly-once. Micro-batch size is bounded by
+``maxOffsetsPerTrigger``/``maxFilesPerTrigger`` (R1); ``availableNow`` drains everything
+present and stops (R2); the checkpoint carries the offsets and a new query starts from
+the earliest one (R4). Empty batches write nothing (F12). Late events of any age land in
+their own day (no watermark), and replays of the same payloads under a new checkpoint are
+appended again, as an append-only log does.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.functions.scalar import iso_text_to_utc, millis_to_utc
-from wayfare.schemas import EVENT_FIELDS, PAYLOAD_SCHEMA
-from wayfare.sinks import PARTITION_COL
+from wayfare.schemas import BATCH_COL, EVENT_FIELDS, PARTITION_COL, PAYLOAD_SCHEMA
+from wayfare.sinks import write_batch
 
 
 def decode_payloads(payloads: DataFrame) -> DataFrame:
@@ -34,21 +37,23 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
     Returns the 16 event fields, ``event_day`` and ``reason`` (null for good rows).
     A payload decodes when it is a JSON object whose fields are all present with the
     right types: text that is not JSON, or not an object, leaves every field null and
-    is rejected by the same check. The timestamp may be epoch millis (a JSON number)
+    is rejected by the same check; a number or an object is not taken for text. The timestamp may be epoch millis (a JSON number)
     or ISO-8601 text; the text is only extracted for rows whose number parse failed,
     so a well-formed stream is parsed once per payload."""
     rec = F.from_json(F.col("value"), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
-    staged = payloads.select(F.col("value"), rec.alias("r"))
+    staged = payloads.select(F.col("value"), rec.alias("r"), F.schema_of_variant(F.try_parse_json("value")).alias("_kinds"))
     fields_ok = F.lit(True)
-    for f in EVENT_FIELDS[:-1]:
-        fields_ok = fields_ok & F.col(f"r.{f}").isNotNull()
+    for f in PAYLOAD_SCHEMA.fields[:-1]:
+        fields_ok = fields_ok & F.col(f"r.{f.name}").isNotNull()
+        if isinstance(f.dataType, T.StringType):
+            fields_ok = fields_ok & F.contains(F.col("_kinds"), F.lit(f"{f.name}: STRING"))
     ts = F.when(F.col("r.timestamp").isNotNull(), millis_to_utc(F.col("r.timestamp"))) \
         .otherwise(iso_text_to_utc(F.get_json_object(F.col("value"), "$.timestamp")))
     decoded = staged.select(
         "value",
         *[F.col(f"r.{f}").alias(f) for f in EVENT_FIELDS[:-1]],
         ts.alias("timestamp"),
-        fields_ok.alias("_fields_ok"),
+        F.coalesce(fields_ok, F.lit(False)).alias("_fields_ok"),
     )
     return decoded.select(
         *[c for c in decoded.columns if c != "_fields_ok"],
@@ -61,45 +66,50 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
 @dataclass
 class IngestQueries:
     events: StreamingQuery
-    rejects: StreamingQuery | None
 
     def await_all(self, timeout: float | None = None) -> None:
-        for q in (self.events, self.rejects):
-            if q is not None:
-                q.awaitTermination(timeout)
+        self.events.awaitTermination(timeout)
 
     def stop(self) -> None:
-        for q in (self.events, self.rejects):
-            if q is not None and q.isActive:
-                q.stop()
+        if self.events.isActive:
+            self.events.stop()
 
 
-def _start(df: DataFrame, path: str, checkpoint: str, partition: bool, available_now: bool,
-           interval: str | None, name: str, max_records_per_file: int | None = None) -> StreamingQuery:
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", path).option("checkpointLocation", checkpoint))
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    if name:
-        w = w.queryName(name)
-    if partition:
-        w = w.partitionBy(PARTITION_COL)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "10 seconds")
-    return w.start()
+def _writer_id(payloads: DataFrame, checkpoint: str) -> str:
+    """A name that lives and dies with the checkpoint: batch numbers repeat only there."""
+    spark, path = payloads.sparkSession, f"{checkpoint}/writer"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "id string").coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()["value"]
 
 
-def ingest_stream(payloads: DataFrame, lake_path: str, checkpoint: str,
+def ingest_stream(payloads: DataFrame, lake: str, checkpoint: str,
                   quarantine_path: str | None = None, available_now: bool = True,
                   interval: str | None = None, name: str | None = None,
-                  max_records_per_file: int | None = None) -> IngestQueries:
-    """Start the ingest queries; ``checkpoint`` is a folder on shared storage."""
-    decoded = decode_payloads(payloads)
-    good = decoded.filter(F.col("reason").isNull()).select(*EVENT_FIELDS, PARTITION_COL)
-    events_q = _start(good, lake_path, f"{checkpoint}/events", True, available_now, interval,
-                      name and f"{name}_events", max_records_per_file)
-    rejects_q = None
-    if quarantine_path:
-        bad = decoded.filter(F.col("reason").isNotNull()).select("value", "reason")
-        rejects_q = _start(bad, quarantine_path, f"{checkpoint}/rejects", False, available_now,
-                           interval, name and f"{name}_rejects")
-    return IngestQueries(events=events_q, rejects=rejects_q)
+                  max_records_per_file: int | None = None, table: bool = False) -> IngestQueries:
+    """Start the ingest query into ``lake``, a folder or (``table``) a table's name;
+    ``checkpoint`` is a folder on shared storage."""
+    writer = _writer_id(payloads, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            label = f"stream-{writer}-{batch_id}"
+            write_batch(batch.filter("reason IS NULL").select(*EVENT_FIELDS), lake, label, table, max_records_per_file)
+            if quarantine_path:
+                bad = batch.filter("reason IS NOT NULL").select("value", "reason")
+                if not bad.isEmpty():
+                    bad.write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={label}")
+        finally:
+            batch.unpersist()
+
+    stream = (decode_payloads(payloads).writeStream.foreachBatch(write)
+              .option("checkpointLocation", f"{checkpoint}/events"))
+    if name:
+        stream = stream.queryName(f"{name}_events")
+    stream = (stream.trigger(availableNow=True) if available_now
+              else stream.trigger(processingTime=interval or "10 seconds"))
+    return IngestQueries(events=stream.start())

@@ -10,6 +10,7 @@ from wayfare.llm.embeddings import embedding_query
 from wayfare.llm.fingerprints import fingerprint_query
 from wayfare.llm.language import language_query
 from wayfare.llm.minhash import near_duplicate_query
+from wayfare.llm.oracles import ORACLE_SQL  # noqa: F401
 from wayfare.llm.packing import packing_query
 from wayfare.llm.quotes import chat_query
 from wayfare.llm.secrets import secrets_query
@@ -67,4 +68,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup, op2_best_fit_packing, op3_token_ids, op4_secret_scan, op5_sentencepiece,
         op6_language_id, op7_quotation_linking, op8_minhash, op9_embedding_dedup, op10_fingerprints)}
 
-ORACLE_SQL: dict[str, str] = {}
+

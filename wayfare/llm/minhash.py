@@ -14,10 +14,13 @@ How the work stays linear where groups are large:
 - Equal sets are one class, represented by its smallest doc_id.
 - Each class first proposes one link, to the smallest document it shares any band with.
   A large group of near copies so costs one check a member, and becomes one component.
-- Only bands that still hold several components go on. Their members are compared by
-  sketch in blocks of BLOCK_ROWS, spread over tasks by pairs of blocks; pairs of one
+- Only bands that still hold several components go on. Members of a band of at most
+  SMALL_BAND are paired by sketch, and the pairs are confirmed on the full sets.
+- Larger bands that overlap form clusters. Their members are compared with their sets at
+  hand, in blocks of BLOCK_ROWS spread over tasks by pairs of blocks. A pair of one
   component, of too different sizes, or whose sketches agree too little (5 standard
-  deviations below the threshold) are skipped, the others are confirmed on the full sets.
+  deviations below the threshold) is skipped. A task returns only links that join
+  components, never more than its rows.
 
 Defined results: null and wordless texts have an empty set, n_shingles 0 and no links.
 A null doc_id links with nothing: its component_id is null and it is kept. Rows that
@@ -37,7 +40,9 @@ from wayfare.llm.shared import Scratch, connected_components, map_slices, sorted
 BINS, ROWS = 200, 5
 THRESHOLD_PERCENT = 80
 SKETCH_CUTOFF = 0.66
-BLOCK_ROWS = 512
+SMALL_BAND = 32
+BLOCK_ROWS = 1_024
+CHUNK_PAIRS = 64
 WORD_CACHE = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
@@ -132,10 +137,11 @@ def document_sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(node, items): the sorted 64-bit hashes of each document's set."""
     def make():
         words = WordHashes()
         return lambda part: {"node": part["doc_id"],
-                             "items": [shingle_set(t, width, words).view(np.int64) for t in part["text"]]}
+                             "items": [np.sort(shingle_set(t, width, words).view(np.int64)) for t in part["text"]]}
     return map_slices(docs, make, "node long, items array<long>")
 
 
@@ -150,28 +156,63 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v"))
 
 
-def _compare_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (u, v) of different components, from blocks (key, i, j) of members."""
+def _matrix(sketches) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(-1, BINS)
+
+
+def _alike(a: int, others: np.ndarray, n: np.ndarray, label: np.ndarray, sketch: np.ndarray, percent: int):
+    """Those of ``others`` that may link row ``a`` to another component, with agreement."""
+    b = others[(label[others] != label[a])
+               & (100 * np.minimum(n[others], n[a]) >= percent * np.maximum(n[others], n[a]))]
+    agree = (sketch[b] == sketch[a]).mean(axis=1)
+    return b[agree >= SKETCH_CUTOFF], agree[agree >= SKETCH_CUTOFF]
+
+
+def _pair_small_bands(members: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (u, v) of different components from bands of few members."""
+    def run(batches):
+        for part in sorted_runs(batches, ["key"]):
+            node, n, label = (part[c].to_numpy() for c in ("node", "n", "label"))
+            sketch, us, vs = _matrix(part["sketch"]), [], []
+            for a in range(len(part) - 1):
+                b, _ = _alike(a, np.arange(a + 1, len(part)), n, label, sketch, percent)
+                us.append(np.maximum(node[b], node[a])), vs.append(np.minimum(node[b], node[a]))
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))],
+                                                 names=["u", "v"])
+    ordered = members.repartition("key").sortWithinPartitions("key")
+    return ordered.mapInArrow(run, "u long, v long").filter("u != v").distinct()
+
+
+def _link_clusters(members: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v), confirmed on the full sets, that join components of a cluster."""
     def run(batches):
-        for part in sorted_runs(batches, ["key", "i", "j"]):
+        for part in sorted_runs(batches, ["cluster", "i", "j"]):
             i, j = int(part["i"].iloc[0]), int(part["j"].iloc[0])
-            block, node = part["block"].to_numpy(), part["node"].to_numpy()
-            n, label = part["n"].to_numpy(), part["label"].to_numpy()
-            sketch = np.frombuffer(b"".join(part["sketch"]), dtype=np.uint8).reshape(len(part), BINS)
+            block, node, items = part["block"].to_numpy(), part["node"].to_numpy(), list(part["items"])
+            label, sketch = part["label"].to_numpy().copy(), _matrix(part["sketch"])
+            n = np.array([len(x) for x in items])
             left = np.flatnonzero(block == i)
             right = left if i == j else np.flatnonzero(block == j)
             us, vs = [], []
             for a in left:
-                b = right[(label[right] != label[a])
-                          & (100 * np.minimum(n[right], n[a]) >= percent * np.maximum(n[right], n[a]))
-                          & ((right > a) if i == j else True)]
-                if len(b):
-                    b = b[(sketch[b] == sketch[a]).mean(axis=1) >= SKETCH_CUTOFF]
-                    us.append(np.maximum(node[b], node[a])), vs.append(np.minimum(node[b], node[a]))
+                b, agree = _alike(a, right, n, label, sketch, percent)
+                b = b[np.argsort(-agree, kind="stable")]
+                while len(b):
+                    now, b = b[:CHUNK_PAIRS], b[CHUNK_PAIRS:]
+                    flat = np.concatenate([items[k] for k in now])
+                    at = np.searchsorted(items[a], flat)
+                    same = items[a][np.minimum(at, n[a] - 1)] == flat
+                    both = np.add.reduceat(same, np.cumsum(n[now]) - n[now], dtype=np.int64)
+                    for k in now[100 * both >= percent * (n[now] + n[a] - both)]:
+                        if label[k] != label[a]:
+                            us.append(node[a]), vs.append(node[k])
+                            label[label == label[k]] = label[a]
+                    b = b[label[b] != label[a]]
             if us:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))],
-                                                 names=["u", "v"])
-    return members.mapInArrow(run, "u long, v long").filter("u != v").distinct()
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+    ordered = members.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return ordered.mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -202,20 +243,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = THRESHOLD_PE
         members.select("key", "node", "n").join(labels.withColumnRenamed("component", "label"), "node", "left")
         .withColumn("label", F.coalesce("label", "node")), "labelled")
     mixed = scratch.write(labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"),
-                                                      F.count(F.lit(1)).alias("size"))
-                          .filter("a != b")
-                          .select("key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks")), "mixed")
-    blocks = (labelled.join(mixed, "key").join(reps.select("node", "sketch"), "node")
+                                                      F.min("node").alias("low"), F.count(F.lit(1)).alias("size"))
+                          .filter("a != b").select("key", "low", "size"), "mixed")
+    few = labelled.join(mixed.filter(F.col("size") <= SMALL_BAND).select("key"), "key")
+    pairs = _pair_small_bands(few.join(reps.select("node", "sketch"), "node"), percent)
+    found = scratch.write(_confirm(scratch.write(pairs, "candidates"), sets, percent), "more-links")
+
+    many = labelled.join(mixed.filter(F.col("size") > SMALL_BAND).select("key", "low"), "key")
+    clusters = scratch.write(connected_components(
+        scratch, many.select(F.col("node").alias("u"), F.col("low").alias("v"))).withColumnRenamed(
+            "component", "cluster"), "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    blocks = (clusters.join(scratch.write(sizes, "sizes"), "cluster")
+              .join(labels.withColumnRenamed("component", "label"), "node", "left")
+              .withColumn("label", F.coalesce("label", "node"))
+              .join(reps.select("node", "sketch"), "node").join(sets, "node")
               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "node", "n", "label", "sketch")
-              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    more = _confirm(scratch.write(_compare_blocks(blocks, percent), "candidates"), sets, percent)
-    components = connected_components(scratch, links.unionByName(more))
+              .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                      "block", "node", "label", "sketch", "items"))
+    joining = scratch.write(_link_clusters(blocks, percent), "joining-links")
+    components = connected_components(scratch, links.unionByName(found).unionByName(joining))
 
     of_class = scratch.write(classes.join(components, "node", "left")
                              .select("digest", F.coalesce("component", "node").alias("component_id")), "components")
+    scratch.keep_only(rows, of_class)
     return (rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

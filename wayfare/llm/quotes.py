@@ -113,6 +113,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         .select("conv_id", "turn", F.col("best.parent").alias("parent")), "links")
     threads = _threads(links, scratch)
     replies = scratch.write(links.join(threads, ["conv_id", "turn"]), "replies")
+    scratch.keep_only(clean, replies)
     text = F.when(F.col("n_quotes").isNotNull(), F.col("own")).otherwise(F.col("text"))
     return (marked.join(clean.withColumnsRenamed({"conv_id": "_c", "turn": "_t"}),
                         F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t"))

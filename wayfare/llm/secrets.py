@@ -155,7 +155,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, m
               .withColumn("run", F.sum("opens").over(order))
               .groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
               .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")))
-    merged = scratch.write(merged, "merged").withColumnRenamed("blob", "_blob")
+    merged = scratch.write(merged, "merged")
+    scratch.keep_only(merged)
+    merged = merged.withColumnRenamed("blob", "_blob")
     address = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
     rows = docs.join(merged, address == F.col("_blob"), "left")
     before = F.transform("_spans", lambda x, i: F.concat(F.substring(
@@ -173,6 +175,7 @@ def secrets_query(documents: DataFrame) -> DataFrame:
     versions = documents.select(F.col("doc_id").alias("path"), "text")
     ledger = update_ledger(versions, rules, scratch=scratch)
     found = scratch.write(ledger.filter(F.size("found") > 0), "found")
+    scratch.keep_only(found)
     rows = path_findings(versions, found, rules)
     base = F.filter("found", lambda x: x["rule"].isin([r.name for r in BASE_RULES]))
     return rows.select(F.col("path").alias("doc_id"),

@@ -19,17 +19,18 @@ SLICE_ROWS = 256
 
 
 class Scratch:
-    """Tables written below ``spark.checkpoint.dir``; ``drop`` removes finished ones.
+    """Tables written below ``spark.checkpoint.dir``; ``drop`` and ``keep_only`` remove
+    finished ones.
 
     A written table cuts lineage, survives lost executors and carries no partitioning,
     so joins on it get exchanges whose skewed partitions AQE can split."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.count = spark, scratch_path(spark, name), 0
+        self.spark, self.root, self.paths = spark, scratch_path(spark, name), []
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
-        path = f"{self.root}/{self.count:03d}-{label}"
-        self.count += 1
+        path = f"{self.root}/{len(self.paths):03d}-{label}"
+        self.paths.append(path)
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         back.scratch_path = path
@@ -37,8 +38,15 @@ class Scratch:
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete written tables that no later step and no result reads."""
-        for table in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        self._delete(table.scratch_path for table in tables)
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all written tables but those that the result reads."""
+        self._delete(set(self.paths) - {table.scratch_path for table in tables})
+
+    def _delete(self, paths) -> None:
+        for name in paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -90,18 +98,26 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
         yield rest
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (u > v) is either a centre or has one edge to one."""
+    roles = (edges.select(F.col("u").alias("node"), F.lit(1).alias("own"), F.lit(0).alias("centre"))
+             .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("own"), F.lit(1).alias("centre"))))
+    return (roles.groupBy("node").agg(F.sum("own").alias("own"), F.max("centre").alias("centre"))
+            .filter("own + centre > 1").isEmpty())
+
+
 def connected_components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v longs); component is the
     smallest node reachable.
 
     Alternating large-star and small-star rounds: every round links the neighbours of a
     node to the smallest of them, until the edges are stars around each component's
-    minimum. Nothing but a changed-or-not count reaches the driver. Each round is a
-    written table, so a lost executor costs at most one round. A hub with very many
-    neighbours is a partial ``min`` and a join that AQE can split."""
+    minimum. Nothing but that answer reaches the driver. Each round is a written table,
+    so a lost executor costs at most one round. A hub with very many neighbours is a
+    partial ``min`` and a join that AQE can split."""
     edges = scratch.write(edges.filter("u != v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = scratch.write(both.groupBy("u").agg(F.min("v").alias("m"))
                             .select("u", F.least("u", "m").alias("m")), "large")
@@ -113,11 +129,7 @@ def connected_components(scratch: Scratch, edges: DataFrame) -> DataFrame:
             joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(joined.select("u", F.col("m").alias("v")))
             .filter("u != v").distinct(), "small-edges")
-        same = (small.join(edges, ["u", "v"], "left_anti").isEmpty()
-                and edges.join(small, ["u", "v"], "left_anti").isEmpty())
         scratch.drop(edges, low, large, low2)
         edges = small
-        if same:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

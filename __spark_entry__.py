@@ -165,14 +165,13 @@ def q_interaction_strength(spark, d):
     return _inter(spark, d)
 
 
-def q_interaction_strength_orders(spark, d):
+def _orders_inter(spark, d):
     ev = events_from_orders(load_table(spark, d, "orders"), load_table(spark, d, "lineitem"))
     return interaction_strength(ev, ORDERS_AS_OF, ORDERS_LOOKBACK)
 
 
-def _orders_inter(spark, d):
-    ev = events_from_orders(load_table(spark, d, "orders"), load_table(spark, d, "lineitem"))
-    return interaction_strength(ev, ORDERS_AS_OF, ORDERS_LOOKBACK)
+def q_interaction_strength_orders(spark, d):
+    return _orders_inter(spark, d)
 
 
 def q_indexed_interactions_orders(spark, d):

@@ -69,7 +69,7 @@ def events_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def lookup_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Airport lookup (city, country, iata_code) from nation and region."""
     r = region.select("r_regionkey", "r_name")
-    return nation.join(F.broadcast(r), nation.n_regionkey == r.r_regionkey, "left").select(
+    return nation.join(r, nation.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_name").alias("city"),
         F.col("r_name").alias("country"),
         F.col("n_nationkey").cast("string").alias("iata_code"),

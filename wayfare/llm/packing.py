@@ -26,8 +26,8 @@ from wayfare.llm.tokens import ids_crc32, read_tokenizer, text_encoder
 
 CAPACITY, END_ID = 1024, 2
 SHARD_PIECES = 100_000
-# Exchanges looked for in a shard; the search ends early at the lower bound.
-MAX_STEPS = 20_000
+# Pairs of sequences looked at in a shard; the search ends early at the lower bound.
+MAX_STEPS = 50_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
@@ -111,17 +111,19 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, max_
     least = -(-sum(fill) // capacity)
     count, steps = len(bins), 0
     tried: set[tuple] = set()
-    while count > least and steps < max_steps:
+    while count > least:
         under = sorted((at for at, f in enumerate(fill) if 0 < f < capacity), key=lambda at: (fill[at], at))
         changed = False
         for source in under:
             for target in reversed(under):
-                if target == source or not 0 < fill[source] <= fill[target] < capacity or steps >= max_steps:
+                if steps >= max_steps:
+                    return [b for b in bins if b]
+                if target == source or not 0 < fill[source] <= fill[target] < capacity:
                     continue
+                steps += 1
                 key = (source, target, tuple(bins[source]), tuple(bins[target]))
                 if key in tried:
                     continue
-                steps += 1
                 step = _exchange(bins[source], bins[target], sizes, capacity - fill[target])
                 if step is None:
                     tried.add(key)

@@ -40,20 +40,23 @@ BLOCKS = ("part int, block int, start long, doc_ids array<long>, lengths array<l
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit ranks."""
     ranks = ranks.astype("<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    padded[:len(ranks)] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    extra = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
+    top = int(ranks.max(initial=0))
+    for bound in (0xFF, 0xFFFF, 0xFFFFFF):
+        if top > bound:
+            extra[:len(ranks)] += ranks > bound
+    control = extra[0::4] | extra[1::4] << 2 | extra[2::4] << 4 | extra[3::4] << 6
+    width = int(extra.max(initial=0)) + 1
+    used = np.arange(width, dtype=np.uint8) <= extra[:len(ranks), None]
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[:, :width][used].tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
-    sizes = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:count].astype(np.int64)
-    starts = np.cumsum(sizes) - sizes
+    sizes = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:count]
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
     raw = np.frombuffer(data, dtype=np.uint8)
     out = raw[starts].astype(np.uint32)
-    for k in range(1, 4):
+    for k in range(1, int(sizes.max(initial=1))):
         more = np.flatnonzero(sizes > k)
         out[more] |= raw[starts[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return out

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import struct
 
 import xxhash
 from pyspark.sql import functions as F
@@ -95,11 +96,14 @@ def brute_parts(terms):
 
 
 def test_values_match_the_definition(spark):
-    from wayfare.llm.fingerprints import sample_value
+    from wayfare.llm.fingerprints import sample_values
     terms = {"the": 7, "of": 3, "word": 1, "ünï": 2}
     df = spark.createDataFrame([(w, float(n)) for w, n in terms.items()], "word string, n double").select(
-        F.xxhash64("word").alias("term"), F.log("n").alias("lw"))
-    lows = df.agg(*[F.min(sample_value(F.col("term"), F.col("lw"), k)) for k in range(SAMPLES)]).first()
+        F.lit(1).alias("k"), F.xxhash64("word").alias("term"), F.log("n").alias("log_weight"))
+    lows = sample_values(df, [F.lit(k) for k in range(SAMPLES)], ["k"]).groupBy("k").agg(
+        *[F.min(f"v{k}") for k in range(SAMPLES)]).first()[1:]
     assert all(abs(a - b) < 1e-9 for a, b in zip(lows, brute_parts(terms)))
-    parts = fingerprints(df.select(F.lit(1).alias("k"), "term", F.col("lw").alias("log_weight")), ["k"]).first()["parts"]
+    parts = fingerprints(df, ["k"]).first()["parts"]
+    whole = [xxhash.xxh64_intdigest(struct.pack("<d", v), 42) for v in lows]
+    assert parts == [f"{h & 0xFFFFFFFF:08X}" for h in whole]
     assert len(parts) == SAMPLES and all(len(p) == 8 and set(p) <= DIGITS for p in parts)

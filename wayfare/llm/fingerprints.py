@@ -26,7 +26,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 32
+SAMPLES = 32  # a multiple of SAMPLES_A_ROW, the samples taken together in a row
+SAMPLES_A_ROW = 4
 RANGES_PER_PARTITION = 4
 
 
@@ -36,14 +37,23 @@ def _bits(h: Column, shift: int, bits: int) -> Column:
     return (part.cast("double") + 0.5) / float(1 << bits)
 
 
-def sample_value(term: Column, log_weight: Column, sample: int) -> Column:
-    first = F.xxhash64(term, F.lit(2 * sample))
-    second = F.xxhash64(term, F.lit(2 * sample + 1))
-    r = -F.log(_bits(first, 0, 21) * _bits(first, 21, 21))
-    b = _bits(first, 42, 21)
-    log_c = F.log(-F.log(_bits(second, 0, 32) * _bits(second, 32, 32)))
-    t = F.floor(log_weight / r + b)
-    return log_c - r * (t - b + 1)
+def sample_values(weights: DataFrame, samples: list[Column], keep: list[str]) -> DataFrame:
+    """``weights`` (term, log_weight, and ``keep``) with a column v0, v1 ... for each of
+    ``samples``, the numbers of samples as int columns. Computed in steps, so that the
+    hashes and random numbers used more than once are computed once."""
+    given = [*keep, "term", "log_weight"]
+    span = range(len(samples))
+    hashed = weights.select(*given, *[F.xxhash64("term", 2 * samples[q] + part).alias(f"_h{q}{part}")
+                                      for q in span for part in (0, 1)])
+    drawn = hashed.select(
+        *given,
+        *[(-F.log(_bits(F.col(f"_h{q}0"), 0, 21) * _bits(F.col(f"_h{q}0"), 21, 21))).alias(f"_r{q}") for q in span],
+        *[_bits(F.col(f"_h{q}0"), 42, 21).alias(f"_b{q}") for q in span],
+        *[F.log(-F.log(_bits(F.col(f"_h{q}1"), 0, 32) * _bits(F.col(f"_h{q}1"), 32, 32))).alias(f"_c{q}")
+          for q in span])
+    t = [F.floor(F.col("log_weight") / F.col(f"_r{q}") + F.col(f"_b{q}")) for q in span]
+    return drawn.select(*keep, *[
+        (F.col(f"_c{q}") - F.col(f"_r{q}") * (t[q] - F.col(f"_b{q}") + 1)).alias(f"v{q}") for q in span])
 
 
 def words(text: Column) -> Column:
@@ -62,10 +72,14 @@ def fingerprints(weights: DataFrame, keys: list[str], samples: int = SAMPLES) ->
     """(keys, parts): an array of ``samples`` 8-digit hexadecimal strings for each key.
 
     ``weights`` has (keys, term long, log_weight double) with positive weights."""
-    lows = weights.groupBy(*keys).agg(*[
-        F.min(sample_value(F.col("term"), F.col("log_weight"), k)).alias(f"_low{k}") for k in range(samples)])
-    return lows.select(*keys, F.array(*[
-        F.substring(F.lpad(F.hex(F.xxhash64(f"_low{k}")), 16, "0"), 9, 8) for k in range(samples)]).alias("parts"))
+    groups = weights.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(samples // SAMPLES_A_ROW - 1))))
+    values = sample_values(groups, [F.col("_group") * SAMPLES_A_ROW + q for q in range(SAMPLES_A_ROW)],
+                           [*keys, "_group"])
+    lows = values.groupBy(*keys, "_group").agg(*[F.min(f"v{q}").alias(f"v{q}") for q in range(SAMPLES_A_ROW)])
+    digits = [F.substring(F.lpad(F.hex(F.xxhash64(f"v{q}")), 16, "0"), 9, 8) for q in range(SAMPLES_A_ROW)]
+    return (lows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_group", F.array(*digits).alias("part"))))
+                                    .alias("parts"))
+            .withColumn("parts", F.flatten(F.transform("parts", lambda x: x["part"]))))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:

@@ -35,7 +35,7 @@ from wayfare.llm.shared import map_slices, worker_cache
 
 MARK = "▁"
 N_BEST = 4
-LINK_CACHE = 300_000
+LINK_CACHE = 400_000
 UNKNOWN_PENALTY = 10.0
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff"
 LINKS = re.compile(f"{MARK}*[{_LATIN}]+|{MARK}*[^{_LATIN}{MARK}]+|{MARK}+")
@@ -56,6 +56,10 @@ class Lattice:
         self.pieces = {p: (k, sp.get_score(k)) for k, p in enumerate(self.text) if usable[k]}
         self.byte_ids = {int(p[3:5], 16): k for k, p in enumerate(self.text) if sp.is_byte(k)}
         self.byte_of = {k: b for b, k in self.byte_ids.items()}
+        # A byte piece below 0x80 is a character by itself; runs of others are decoded.
+        self.plain = [chr(b) if (b := self.byte_of.get(k)) is not None and b < 0x80 else p
+                      for k, p in enumerate(self.text)]
+        self.high_byte = np.array([self.byte_of.get(k, 0) >= 0x80 for k in range(size)])
         self.longest = max(map(len, self.pieces), default=1)
         # Every prefix of a piece, with the piece's ids and score or None.
         self.prefixes = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
@@ -171,9 +175,12 @@ class Segmenter:
 
     def encode(self, texts: list[str | None]) -> list[list[tuple[float, np.ndarray]]]:
         """For each whole text up to n best (score, ids), best first."""
+        return self.encode_normalized([self.lattice.normalize(t) if t else "" for t in texts])
+
+    def encode_normalized(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
         if len(self.index) > LINK_CACHE:
             self.clear()
-        links = [self.lattice.links.findall(self.lattice.normalize(t)) if t else [] for t in texts]
+        links = [self.lattice.links.findall(t) for t in texts]
         numbers = [np.fromiter(map(self.index.__getitem__, x), np.int64, len(x)) for x in links]
         self._learn()
         return [self._text(x, k) if x else [(0.0, np.zeros(0, np.uint32))] for x, k in zip(links, numbers)]
@@ -186,7 +193,10 @@ class Segmenter:
         base, costs = float(score[numbers].sum()), cost[numbers]
         # The n - 1 cheapest single changes suffice: a change elsewhere costs at least as
         # much as each of those alone.
-        cheap = np.argsort(costs, kind="stable")[:self.n - 1]
+        few = min(self.n - 1, len(costs))
+        bound = np.partition(costs, few - 1)[few - 1] if few else -1.0
+        cheap = np.flatnonzero(costs <= bound)
+        cheap = cheap[np.argsort(costs[cheap], kind="stable")][:few]
         choices = {int(k): self._others(links[k]) for k in cheap if np.isfinite(costs[k])}
         out, seen, heap = [], {()}, [(0.0, ())]  # (cost, ((link, alternative), ...))
         while heap and len(out) < self.n:
@@ -215,6 +225,12 @@ class Segmenter:
 
     def decode(self, ids) -> str:
         """The normalised text of ``ids``, marks as spaces and without the first mark."""
+        ids = np.asarray(ids, dtype=np.int64)
+        if not self.lattice.high_byte[ids].any():
+            text = "".join(map(self.lattice.plain.__getitem__, ids.tolist()))
+            if self.lattice.add_mark and text.startswith(MARK):
+                text = text[1:]
+            return text.replace(MARK, " ")
         out, run = [], bytearray()
         for k in ids:
             byte = self.lattice.byte_of.get(int(k))
@@ -246,8 +262,9 @@ def segment_documents(docs: DataFrame, model_path: str, n: int = N_BEST, with_pi
 
         def run(part: dict) -> dict:
             out = {c: [] for c in ("doc_id", "rank", "score", "n_pieces", "ids_crc32", "round_trip", "ids", "pieces")}
-            for doc_id, text, found in zip(part["doc_id"], part["text"], segmenter.encode(part["text"])):
-                plain = lattice.normalize(text).replace(MARK, " ") if text else ""
+            marked = [lattice.normalize(t) if t else "" for t in part["text"]]
+            for doc_id, text, found in zip(part["doc_id"], marked, segmenter.encode_normalized(marked)):
+                plain = text.replace(MARK, " ")
                 if lattice.add_mark and plain.startswith(" "):
                     plain = plain[1:]
                 for rank, (score, ids) in enumerate(found, 1):

@@ -33,14 +33,15 @@ main(["latest", "--recs", {t!r} + "/recs", "--out", {t!r} + "/latest"])
 main(["normalize", "--raw", {t!r} + "/raw", "--out", {t!r} + "/lake", "--rejects", {t!r} + "/rejects"])
 spark = build_session("local[2]")
 publish_events(spark.read.parquet({t!r} + "/lake").drop("event_day"), "text", {t!r} + "/topic", num_files=2)
-day = spark.read.parquet({t!r} + "/recs").first().generated_at.date().isoformat()
+from wayfare.sources.readers import scan_recommendations
+day = scan_recommendations(spark, {t!r} + "/recs").first().generated_at.date().isoformat()
 spark.stop()
 main(["on-day", "--recs", {t!r} + "/recs", "--day", day, "--out", {t!r} + "/today"])
 main(["ingest", "--source", {t!r} + "/topic", "--lake", {t!r} + "/ingested", "--checkpoint", {t!r} + "/ckpt",
       "--max-per-trigger", "1"])
 spark = build_session("local[2]")
 r = lambda p: spark.read.parquet({t!r} + "/" + p).count()
-print("COUNTS", r("recs"), r("latest"), r("today"), r("lake"), r("rejects"), r("ingested"))
+print("COUNTS", scan_recommendations(spark, {t!r} + "/recs").count(), r("latest"), r("today"), r("lake"), r("rejects"), r("ingested"))
 """)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, str(script)], cwd=t, env=env, capture_output=True, text=True,

@@ -59,6 +59,21 @@ def test_insertion_shifts_only_the_chunks_around_it():
     assert len(a - b) <= 6 and len(b - a) <= 6
 
 
+def test_unspaced_passages_are_found_at_any_offset():
+    rnd = random.Random(3)
+    scripts = [(range(0x4E00, 0x9FA5), 300, 0.95), (range(0x4E00, 0x9FA5), 100, 0.75), (range(0x0E01, 0x0E2F), 300, 0.95),
+               (range(0x41, 0x5B), 600, 0.95)]
+    for letters, size, least in scripts:
+        found = 0
+        for _ in range(60):
+            draw = lambda n: "".join(chr(rnd.choice(letters)) for _ in range(n))
+            passage = draw(size)
+            a, b = ((draw(rnd.randint(0, 900)) + passage + draw(200)).encode() for _ in range(2))
+            ends = chunk_ends(b)
+            found += bool(repeated_runs(ends, chunk_digests(b, ends), set(chunk_digests(a, chunk_ends(a)))))
+        assert found >= least * 60, (letters, size, found)
+
+
 def test_shared_passages_are_cut_once_and_clean_documents_stay(spark):
     rnd = random.Random(2)
     prose = lambda n: " ".join(f"word{rnd.randrange(10**5)}" for _ in range(n))

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -97,3 +98,20 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         improved = local_search([list(b) for b in bins], sizes, 100)
         assert all(sizes[b].sum() <= 100 for b in improved) and len(improved) <= len(bins)
         assert sorted(k for b in improved for k in b) == list(range(60))
+
+
+def test_local_search_leaves_no_gain_in_many_bins():
+    lengths, capacity = np.random.default_rng(1).integers(200, 701, 10_000), 1024
+    bins = local_search(best_fit(lengths, capacity), lengths, capacity)
+    assert sorted(k for b in bins for k in b) == list(range(10_000))
+    fills = [int(lengths[b].sum()) for b in bins]
+    assert max(fills) <= capacity and len(bins) > -(-sum(fills) // capacity)
+    under = [at for at, f in enumerate(fills) if f < capacity]
+
+    def sums(at, most):
+        return {sum(int(lengths[k]) for k in c) for n in range(most + 1) for c in itertools.combinations(bins[at], n)}
+    for s in under:
+        for t in under:
+            if s != t and fills[s] <= fills[t]:
+                free = capacity - fills[t]
+                assert not any(0 < offer - back <= free for offer in sums(s, 2) for back in sums(t, 2))

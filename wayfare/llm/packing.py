@@ -3,9 +3,11 @@
 Documents become pieces of at most ``capacity`` tokens: only a longer document is cut,
 its first piece taking the remainder. A piece that fills a sequence is one. The others
 are dealt evenly to shards. A shard places its pieces best-fit in decreasing length, then
-local search moves load from emptier to fuller underfull sequences: one piece moved, one
-exchanged for one, two for one, or one for two, whenever the fuller one gains without
-overflowing. Each step raises the sum of squared fills; sequences that run empty vanish.
+local search moves load from emptier to fuller underfull sequences: one or two pieces for
+none, one or two, whenever the fuller one gains without overflowing. Partners are looked
+up by the space they would fill, so all pairs are covered and the search runs until no
+exchange gains or the number of sequences is the least possible. Each step raises the sum
+of squared fills; sequences that run empty vanish.
 Full sequences are final; what is in underfull ones is dealt to fewer shards and packed
 again, until one shard is left or a round no longer halves what is underfull.
 
@@ -26,8 +28,6 @@ from wayfare.llm.tokens import ids_crc32, read_tokenizer, text_encoder
 
 CAPACITY, END_ID = 1024, 2
 SHARD_PIECES = 100_000
-# Pairs of sequences looked at in a shard; the search ends early at the lower bound.
-MAX_STEPS = 50_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
@@ -79,65 +79,116 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(source: list[int], target: list[int], lengths: list[int], free: int):
-    """(pieces out of source, pieces out of target) that fill ``target`` most, or None."""
-    best, gain = None, 0
-    for i, a in enumerate(source):
-        la = lengths[a]
-        if gain < la <= free:
-            best, gain = ((a,), ()), la
-        for b in target:
-            if gain < la - lengths[b] <= free:
-                best, gain = ((a,), (b,)), la - lengths[b]
-        for c in source[i + 1:]:
-            two = la + lengths[c]
-            for b in target:
-                if gain < two - lengths[b] <= free:
-                    best, gain = ((a, c), (b,)), two - lengths[b]
-        for x, b in enumerate(target):
-            for d in target[x + 1:]:
-                if gain < la - lengths[b] - lengths[d] <= free:
-                    best, gain = ((a,), (b, d)), la - lengths[b] - lengths[d]
-        if gain == free:
-            break
-    return best
-
-
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, max_steps: int = MAX_STEPS):
+class _Underfull:
+    """Bins below ``capacity``, found by what would fill them.
+
+    A bin with free space f that gives up at most two pieces of ``back`` tokens together
+    has a slot of back + f: an offer of more than ``back`` and up to the slot gains. Bins
+    are held by (slot, free); a bit mask of the free spaces of each slot answers a lookup."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int):
+        self.bins, self.sizes, self.capacity = bins, sizes, capacity
+        self.fill = [sum(sizes[k] for k in b) for b in bins]
+        self.sums: dict[int, tuple[int, list[int]]] = {}
+        self.held: dict[tuple[int, int], dict[int, None]] = {}
+        self.masks = [0] * (capacity + 1)
+        self.slots = 0  # bit mask of the slots with any bin
+        for at in range(len(bins)):
+            self.add(at)
+
+    def add(self, at: int) -> None:
+        free = self.capacity - self.fill[at]
+        if not 0 < free < self.capacity:
+            return
+        lengths = sorted(self.sizes[k] for k in self.bins[at])
+        sums = {0, *lengths}
+        single = sorted(set(lengths))
+        sums.update(a + b for x, a in enumerate(single) for b in single[x + 1:])
+        sums.update(2 * a for a, b in zip(lengths, lengths[1:]) if a == b)
+        self.sums[at] = free, list(sums)
+        for back in sums:
+            self.held.setdefault((back + free, free), {})[at] = None
+            self.masks[back + free] |= 1 << free
+            self.slots |= 1 << (back + free)
+
+    def remove(self, at: int) -> None:
+        free, sums = self.sums.pop(at)
+        for back in sums:
+            bucket = self.held[back + free, free]
+            del bucket[at]
+            if not bucket:
+                del self.held[back + free, free]
+                self.masks[back + free] &= ~(1 << free)
+                if not self.masks[back + free]:
+                    self.slots &= ~(1 << (back + free))
+
+    def best(self, offers: list[int], most_free: int):
+        """(offer, target, back) that leaves least free, in the fullest such bin; None if
+        nothing gains in a bin with at most ``most_free``."""
+        upto = (1 << (most_free + 1)) - 1
+        lefts = 0
+        for offer in offers:
+            lefts |= self.slots >> offer
+        lefts &= upto >> 1
+        while lefts:
+            left = (lefts & -lefts).bit_length() - 1
+            lefts &= lefts - 1
+            found = None
+            for offer in offers:
+                frees = (self.masks[offer + left] & upto) >> (left + 1) if offer + left <= self.capacity else 0
+                free = left + (frees & -frees).bit_length()
+                if frees and (found is None or free < found[0]):
+                    found = free, offer
+            if found:
+                free, offer = found
+                return offer, next(reversed(self.held[offer + left, free])), offer + left - free
+        return None
+
+    def pieces(self, at: int, total: int) -> list[int]:
+        """At most two pieces of a bin with ``total`` tokens together."""
+        if not total:
+            return []
+        seen: dict[int, int] = {}
+        for k in self.bins[at]:
+            if self.sizes[k] == total:
+                return [k]
+        for k in self.bins[at]:
+            if total - self.sizes[k] in seen:
+                return [seen[total - self.sizes[k]], k]
+            seen[self.sizes[k]] = k
+        raise ValueError(f"no pieces of {total} tokens")
+
+    def exchange(self, source: int) -> bool:
+        """The best exchange out of ``source`` into a bin at least as full, if any gains."""
+        free, sums = self.sums[source]
+        self.remove(source)
+        step = self.best([n for n in sums if n], free)
+        if step is not None:
+            offer, target, back = step
+            out, into = self.pieces(source, offer), self.pieces(target, back)
+            self.remove(target)
+            self.bins[source] = [k for k in self.bins[source] if k not in out] + into
+            self.bins[target] = [k for k in self.bins[target] if k not in into] + out
+            self.fill[source] -= offer - back
+            self.fill[target] += offer - back
+            self.add(target)
+        self.add(source)
+        return step is not None
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int):
     """Improve ``bins`` by exchanges between underfull ones until none gains or the
     number of bins is the least possible."""
-    sizes = lengths.tolist()
-    fill = [sum(sizes[k] for k in b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    count, steps = len(bins), 0
-    tried: set[tuple] = set()
-    while count > least:
-        under = sorted((at for at, f in enumerate(fill) if 0 < f < capacity), key=lambda at: (fill[at], at))
+    bins = [list(b) for b in bins if b]
+    search = _Underfull(bins, lengths.tolist(), capacity)
+    least = -(-sum(search.fill) // capacity)
+    count, changed = len(bins), True
+    while changed and count > least:
         changed = False
-        for source in under:
-            for target in reversed(under):
-                if steps >= max_steps:
-                    return [b for b in bins if b]
-                if target == source or not 0 < fill[source] <= fill[target] < capacity:
-                    continue
-                steps += 1
-                key = (source, target, tuple(bins[source]), tuple(bins[target]))
-                if key in tried:
-                    continue
-                step = _exchange(bins[source], bins[target], sizes, capacity - fill[target])
-                if step is None:
-                    tried.add(key)
-                    continue
-                out, back = step
-                bins[source] = [k for k in bins[source] if k not in out] + list(back)
-                bins[target] = [k for k in bins[target] if k not in back] + list(out)
-                fill[source], fill[target] = (sum(sizes[k] for k in bins[at]) for at in (source, target))
+        for source in sorted(search.sums, key=lambda at: (search.fill[at], at)):
+            while count > least and source in search.sums and search.exchange(source):
                 changed = True
-                if not bins[source]:
-                    count -= 1
-                    break
-        if not changed:
-            break
+                count -= not bins[source]
     return [b for b in bins if b]
 
 

@@ -1,5 +1,5 @@
 from tests.llm.helpers import read
-from wayfare.llm.quotes import chat_query, link_quotations
+from wayfare.llm.quotes import chat_query, link_quotations, quotation_links
 
 MESSAGES = "conv_id long, turn long, role string, text string"
 
@@ -29,6 +29,19 @@ def test_nested_quotes_threads_and_clean_texts(spark):
     assert got[1, 2]["formatted"] == "<|user|>\nThe old one.\n"
 
 
+def test_message_that_quotes_only_nested_lines_is_linked(spark):
+    rows = [(1, 0, "user", "Where is the station?"), (1, 1, "assistant", "> Where is the station?\nIn the north."),
+            (1, 2, "user", ">> Where is the station?\nThanks."), (1, 3, "user", "> > > In the north.\nReally?"),
+            (1, 4, "user", ">> Where is the station?\n> Thanks.\nFine."),
+            (1, 5, "user", ">> Where is the station?\n> unknown\nOh.")]
+    got = {k: v[0] for k, v in linked(spark, rows).items()}
+    assert {k[1]: (r["reply_to"], r["thread_turn"], r["depth"]) for k, r in got.items()} == {
+        0: (None, 0, 0), 1: (0, 0, 1), 2: (0, 0, 1), 3: (1, 0, 2), 4: (2, 0, 2), 5: (0, 0, 1)}
+    links = quotation_links(spark.createDataFrame(rows, MESSAGES)).collect()
+    assert sorted((r["turn"], r["level"], r["parent"]) for r in links) == [
+        (1, 1, 0), (2, 2, 0), (3, 3, 1), (4, 1, 2), (4, 2, 0), (5, 2, 0)]
+
+
 def test_long_chain(spark):
     rows = [(1, 0, "user", "line 0")] + [(1, k, "user", f"> line {k - 1}\nline {k}") for k in range(1, 40)]
     got = {k: v[0] for k, v in linked(spark, rows).items()}

@@ -3,9 +3,10 @@
 A line's quote level is the number of ``>`` marks it starts with. Lines of one level that
 follow each other are a passage. Passages, and their single lines, are normalised (lower
 case, white space collapsed) and hashed with SHA-256. A quoted passage is joined to the
-first message of its conversation whose own words hold it; the message that replies takes
-as its parent the earlier message that most of its level-1 passages come from (ties: the
-later one). Parents form threads. Each message is returned without its quotes, with its
+first message of its conversation whose own words hold it, at every level; the message
+that replies takes as its parent the earlier message that most of its passages of one
+level come from (ties: the later one), at the lowest level with an earlier original.
+``quotation_links`` gives the links of all levels. Parents form threads. Each message is returned without its quotes, with its
 thread, depth and the text of a chat turn; (conv_id, thread_turn, depth, turn) is the
 reply order, in which no message precedes its parent.
 
@@ -77,11 +78,9 @@ def _threads(links: DataFrame, scratch: Scratch) -> DataFrame:
             return state
 
 
-def link_quotations(messages: DataFrame) -> DataFrame:
-    """Each row of ``messages`` (conv_id, turn, role, text) with reply_to, thread_turn,
-    depth, quote_level (the deepest), n_quotes (quoted passages), text without quotes and
-    formatted (the chat turn)."""
-    scratch = Scratch(messages.sparkSession, "quotes")
+def _linked(messages: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``messages`` with ``mid``, their quoters' clean texts, and the links
+    (conv_id, turn, mid, level, hash, size, parent) of quoted passages of every level."""
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                            "role", F.coalesce("text", F.lit("")).alias("text"))
     quoting = F.col("text").rlike(r"(?m)^[ \t]*>")
@@ -97,19 +96,36 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     clean = scratch.write(per_message, "clean")
     # Where each passage was first written: unquoted words only. Only conversations that
     # quote are looked at.
-    wanted = scratch.write(_hashes(quoted.filter("level = 1"), keys, "passage")
+    wanted = scratch.write(_hashes(quoted, [*keys, "level"], "passage")
                            .filter("conv_id IS NOT NULL AND turn IS NOT NULL")
-                           .groupBy(*keys, "hash").agg(F.max("size").alias("size")), "quoted")
+                           .groupBy(*keys, "level", "hash").agg(F.max("size").alias("size")), "quoted")
     plain = (marked.filter(~quoting).select("conv_id", "turn", "text")
              .unionByName(clean.select("conv_id", "turn", F.col("own").alias("text")))
              .filter("conv_id IS NOT NULL AND turn IS NOT NULL")
              .join(wanted.select("conv_id").distinct(), "conv_id", "left_semi"))
     firsts = scratch.write(_hashes(plain, ["conv_id", "turn"], "text").groupBy("conv_id", "hash")
                            .agg(F.min("turn").alias("parent")), "originals")
+    found = scratch.write(wanted.join(firsts, ["conv_id", "hash"]).filter("parent < turn")
+                          .select(*keys, "level", "hash", "size", "parent"), "found")
+    return marked, clean, found
+
+
+def quotation_links(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, hash, size, parent): each normalised passage or line that a
+    message of ``messages`` quotes at any level, with the first message that wrote it."""
+    _, _, found = _linked(messages, Scratch(messages.sparkSession, "quotes"))
+    return found.drop("mid").distinct()
+
+
+def link_quotations(messages: DataFrame) -> DataFrame:
+    """Each row of ``messages`` (conv_id, turn, role, text) with reply_to, thread_turn,
+    depth, quote_level (the deepest), n_quotes (quoted passages), text without quotes and
+    formatted (the chat turn)."""
+    scratch = Scratch(messages.sparkSession, "quotes")
+    marked, clean, found = _linked(messages, scratch)
     links = scratch.write(
-        wanted.join(firsts, ["conv_id", "hash"]).filter("parent < turn")
-        .groupBy("conv_id", "turn", "parent").agg(F.sum("size").alias("size"))
-        .groupBy("conv_id", "turn").agg(F.max(F.struct("size", "parent")).alias("best"))
+        found.groupBy("conv_id", "turn", "level", "parent").agg(F.sum("size").alias("size"))
+        .groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "size", "parent")).alias("best"))
         .select("conv_id", "turn", F.col("best.parent").alias("parent")), "links")
     threads = _threads(links, scratch)
     replies = scratch.write(links.join(threads, ["conv_id", "turn"]), "replies")

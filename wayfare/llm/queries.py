@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfare.llm.bpe import bpe_query
 from wayfare.llm.embeddings import embedding_query
 from wayfare.llm.fingerprints import fingerprint_query
 from wayfare.llm.language import language_query
@@ -63,9 +64,13 @@ def op10_fingerprints(spark, d):
     return fingerprint_query(_table(spark, d, "documents"))
 
 
+def op11_bpe(spark, d):
+    return bpe_query(_table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_best_fit_packing, op3_token_ids, op4_secret_scan, op5_sentencepiece,
-        op6_language_id, op7_quotation_linking, op8_minhash, op9_embedding_dedup, op10_fingerprints)}
+        op6_language_id, op7_quotation_linking, op8_minhash, op9_embedding_dedup, op10_fingerprints, op11_bpe)}
 
 

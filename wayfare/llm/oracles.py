@@ -110,5 +110,97 @@ FROM m LEFT JOIN clean c ON m.conv_id IS NOT DISTINCT FROM c.conv_id AND m.turn
 LEFT JOIN top ON top.conv_id = m.conv_id AND top.turn = m.turn"""
 
 
+def crc32_sql(text: str) -> str:
+    """crc32 of an ASCII string: eight shifts for each character."""
+    step = "list_reduce(list_prepend(xor(x, c), range(8)), lambda y, i: xor(y >> 1, (y & 1) * 3988292384))"
+    chars = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {chars}), lambda x, c: {step}), 4294967295)"
+
+
+def repair_sql() -> str:
+    """The cheapest edits row by row: a list of four ways, one for each state (nothing yet,
+    after s, u, a), each its cost c, its edits a and the rows it leaves r."""
+    space, key = "\\x20\\x09-\\x0D", "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    never = "{'c': 1000000000, 'a': '', 'r': ''}"
+
+    def way(of: str, cost: str, edit: str, rows: str = "''") -> str:
+        return f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{edit}', 'r': {of}.r || {rows}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    both, other = f"{user} || {assistant}", f"{assistant} || {user}"
+    ready = [least("s[1]"), least("s[2]"),
+             least("s[3]", *[way(f"s[{k}]", "2", "I", user) for k in (1, 2, 4)]),
+             least("s[4]", way("s[3]", "2", "I", assistant), *[way(f"s[{k}]", "4", "II", both) for k in (1, 2)])]
+    kept = "chr(10) || role || ':' || text"
+
+    def after(state: int, keep_from: list[int], initial: str, put_from: list[int], role: str) -> str:
+        keeps = [way(f"e[{k}]", "cut", "K", kept) for k in keep_from]
+        puts = [way(f"e[{k}]", "2 + cut", "R", f"{role} || text") for k in put_from]
+        own = way(f"e[{state}]", "3", "D")
+        keep = f"CASE WHEN NOT must AND initial = '{initial}' THEN {least(*keeps)} ELSE {never} END" if keeps else never
+        put = f"CASE WHEN NOT must THEN {least(*puts)} ELSE {never} END" if puts else never
+        return least(own, keep, put)
+    done = [after(1, [], "", [], user), after(2, [1], "s", [], user), after(3, [1, 2, 4], "u", [1, 2, 4], user),
+            after(4, [3], "a", [3], assistant)]
+    return f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {crc32_sql(key)} % 20 AS kind FROM conversations),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN ''
+  WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn FROM d),
+f AS (SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^{space}]') AS blank,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][{space}]*$') AS open FROM n),
+g AS (SELECT *, blank OR again AS must, CASE WHEN open AND NOT blank AND NOT again THEN 1 ELSE 0 END AS cut FROM f),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS rn, [{{'c': 0, 'a': '', 'r': ''}}, {never}, {never}, {never}] AS s
+  FROM (SELECT DISTINCT conv_id FROM g)
+  UNION ALL SELECT conv_id, rn, [{', '.join(done)}] FROM (
+  SELECT g.conv_id, g.rn, role, text, initial, must, cut, [{', '.join(ready)}] AS e
+  FROM w JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id AND g.rn = w.rn + 1)),
+z AS (SELECT conv_id, {least('s[1]', 's[4]', way('s[3]', '2', 'I', assistant), way('s[2]', '4', 'II', both))} AS b
+  FROM (SELECT conv_id, s, row_number() OVER (PARTITION BY conv_id ORDER BY rn DESC) AS late FROM w) WHERE late = 1),
+p AS (SELECT conv_id, lag(initial) OVER (PARTITION BY conv_id ORDER BY rn) || initial AS pair, rn FROM g),
+i AS (SELECT conv_id, COUNT(*) FILTER (WHERE rn > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM p GROUP BY conv_id),
+t AS (SELECT conv_id, coalesce(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps,
+  COUNT(*) FILTER (WHERE blank) AS blank, COUNT(*) FILTER (WHERE again AND NOT blank) AS duplicate,
+  CAST(SUM(cut) AS BIGINT) AS truncated FROM g GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(t.blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.c, 0) AS BIGINT) AS cost,
+  coalesce(b.a, '') AS audit, sha256(coalesce(substr(b.r, 2), '')) AS repaired_sha256
+FROM ids LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN i ON i.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
+def trie_sql() -> str:
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+  sha256(length(role) || ':' || role || text) AS dig, length(text) AS chars FROM t),
+c AS (SELECT conv_id, {crc32_sql('CAST(conv_id AS VARCHAR)')} % 6 AS h, conv_id - conv_id % 100 AS first
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, k AS place, dig, chars FROM c JOIN n ON n.conv_id = c.first AND k <= h
+  UNION ALL SELECT c.conv_id, k + 5, dig, chars FROM c JOIN n ON n.conv_id = c.conv_id AND k > h),
+m AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, chars,
+  string_agg(dig, '/') OVER (PARTITION BY conv_id ORDER BY place) AS path FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+l AS (SELECT conv_id, MAX(depth) AS len FROM m GROUP BY conv_id),
+v AS (SELECT path, MIN(depth) AS depth, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, MIN(chars) AS chars,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = len), '')) AS ends_sha256
+  FROM m JOIN l USING (conv_id) GROUP BY path),
+u AS (SELECT *, CASE WHEN depth > 1 THEN left(path, length(path) - 65) ELSE '' END AS up FROM v),
+k AS (SELECT up, COUNT(*) AS n_children FROM u WHERE depth > 0 GROUP BY up),
+s AS (SELECT m.path, COUNT(*) FILTER (WHERE n_children IS NULL) AS n_leaves,
+  CAST(SUM((n_convs - 1) * u.chars) AS BIGINT) AS saved_tokens FROM u LEFT JOIN k ON k.up = u.path
+  JOIN m ON m.conv_id = u.conv_id AND m.depth <= u.depth GROUP BY m.path)
+SELECT u.conv_id, CAST(u.depth AS BIGINT) AS depth, CASE WHEN u.depth > 0 THEN p.conv_id END AS parent_conv_id, u.n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, u.ends_sha256
+FROM u LEFT JOIN k ON k.up = u.path JOIN s ON s.path = u.path LEFT JOIN u p ON p.path = u.up"""
+
+
 ORACLE_SQL = {"op4_secret_scan": secrets_sql(), "op7_quotation_linking": quotes_sql(), "op8_minhash": minhash_sql(),
-               "op9_embedding_dedup": embeddings_sql()}
+              "op9_embedding_dedup": embeddings_sql(), "op12_repair": repair_sql(), "op13_prefix_trie": trie_sql()}

@@ -13,7 +13,9 @@ from wayfare.llm.language import language_query
 from wayfare.llm.minhash import near_duplicate_query
 from wayfare.llm.oracles import ORACLE_SQL  # noqa: F401
 from wayfare.llm.packing import packing_query
+from wayfare.llm.prefix_trie import trie_query
 from wayfare.llm.quotes import chat_query
+from wayfare.llm.repair import repair_query
 from wayfare.llm.secrets import secrets_query
 from wayfare.llm.segment import segment_query
 from wayfare.llm.substring import substring_query
@@ -68,9 +70,17 @@ def op11_bpe(spark, d):
     return bpe_query(_table(spark, d, "documents"))
 
 
+def op12_repair(spark, d):
+    return repair_query(_table(spark, d, "conversations"))
+
+
+def op13_prefix_trie(spark, d):
+    return trie_query(_table(spark, d, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_best_fit_packing, op3_token_ids, op4_secret_scan, op5_sentencepiece,
-        op6_language_id, op7_quotation_linking, op8_minhash, op9_embedding_dedup, op10_fingerprints, op11_bpe)}
+        op6_language_id, op7_quotation_linking, op8_minhash, op9_embedding_dedup, op10_fingerprints, op11_bpe, op12_repair, op13_prefix_trie)}
 
 

@@ -44,16 +44,19 @@ from wayfare.operators.evaluate import (
 from wayfare.operators.indexing import build_label_index, index_interactions
 from wayfare.operators.interactions import interaction_strength, recent_events
 from wayfare.operators.normalize import clock_from, normalize_events
+from wayfare.operators.rollup import interaction_strength_from_daily, refresh_daily_strengths, scan_daily_strengths
 from wayfare.operators.serving import latest_recommendations, recommendations_on
 from wayfare.operators.topk import top_k_per_group
 from wayfare.plans.job import run_recommendation_job, stand_in_recommendations
 from wayfare.session import checkpoint_root, scratch_path
 from wayfare.sinks import (
     append_events,
+    compact_events,
     encode_events,
     ensure_event_table,
     publish_events,
     publish_recommendations,
+    vacuum_events,
     with_event_day,
 )
 from wayfare.schemas import EVENT_FIELDS, OTHER_STATUS_WEIGHT, RAW_CSV_HEADERS, STATUS_WEIGHTS
@@ -66,7 +69,14 @@ from wayfare.sources.fixtures import (
     lookup_from_nation,
     raw_rows_from_event_log,
 )
-from wayfare.sources.readers import scan_events, scan_lookup, scan_raw_csv, scan_recommendations, stream_payloads
+from wayfare.sources.readers import (
+    event_batches,
+    scan_events,
+    scan_lookup,
+    scan_raw_csv,
+    scan_recommendations,
+    stream_payloads,
+)
 from wayfare.streaming.ingest import ingest_stream
 
 try:  # the training-data operators are a separate, optional subpackage
@@ -86,6 +96,8 @@ LATE_LOOKBACK = 1                      # the later run only sees one day: some p
 SERVE_DAY = "2024-01-31"               # serving-zone calendar day of the later run
 ORDERS_AS_OF = "2001-09-01 00:00:00"
 ORDERS_LOOKBACK = 2600
+PACKED_BEFORE = "2024-01-20"
+ROLLUP_SPLIT = "2024-01-22 12:00:00"   # in the middle of a day, which the second refresh rewrites
 K = 5
 N_CAND = 50
 SEED = 42
@@ -358,12 +370,14 @@ def q_stream_quarantine_readback(spark, d):
     base = scratch_path(spark, "quarantine")
     payloads = encode_events(_normalized(spark, d).events)
     day = F.expr("CAST(get_json_object(value, '$.departureDate') AS DATE)")
-    kind = F.pmod(F.unix_date(day), F.lit(7))
+    kind = F.pmod(F.unix_date(day), F.lit(8))
     bad = (F.when(kind == 0, F.regexp_replace("value", '"timestamp":-?[0-9]+', '"timestamp":9223372036854775807'))
            .when(kind == 1, F.concat(F.lit("not json "), "value"))
            .when(kind == 2, F.regexp_replace("value", '"pilotName":"[^"]*",', ""))
            .when(kind == 3, F.regexp_replace("value", '"firstName":"[^"]*"', '"firstName":5'))
            .when(kind == 4, F.regexp_replace("value", '"timestamp":-?[0-9]+', '"timestamp":"2024-01-01"'))
+           .when(kind == 5, F.regexp_replace("value", '"firstName":"[^"]*"', '"firstName":5,"extra":{"firstName":"a"}'))
+           .when(kind == 6, F.regexp_replace("value", '"firstName":"[^"]*"', '"firstName":5,"xfirstName":"a"'))
            .otherwise(F.col("value")))
     payloads.select(bad.alias("value")).repartition(3).write.text(f"{base}/topic")
     ingest_stream(stream_payloads(spark, "text", f"{base}/topic", max_per_trigger=1), f"{base}/lake",
@@ -391,6 +405,41 @@ def q_table_scan_by_name(spark, d):
     return counted
 
 
+def q_compacted_events_by_day(spark, d):
+    """A table filled by name, by folder and by a stream; days before the 20th
+    are packed, a late batch follows, and what was packed is removed. Per day: rows by name
+    and by path, and batches in view."""
+    base, name = scratch_path(spark, "packed"), f"wayfare_events_{uuid.uuid4().hex}"
+    events = _normalized(spark, d).events
+    ensure_event_table(spark, name, f"{base}/lake")
+    append_events(events, name, table=True)
+    append_events(events, f"{base}/lake", files_per_day=2)
+    publish_events(events, "text", f"{base}/topic", num_files=2)
+    ingest_stream(stream_payloads(spark, "text", f"{base}/topic"), name, f"{base}/_checkpoints", table=True).await_all()
+    compact_events(spark, name, PACKED_BEFORE, table=True)
+    append_events(events, f"{base}/lake")
+    vacuum_events(spark, name, table=True)
+    by_path = scan_events(spark, f"{base}/lake").groupBy("event_day").agg(F.count(F.lit(1)).alias("by_path"))
+    by_name = event_batches(spark, name).groupBy("event_day").agg(
+        F.sum("n_events").alias("by_name"), F.count(F.lit(1)).alias("n_batches"))
+    counted = by_name.join(by_path, "event_day", "full").checkpoint()
+    spark.sql(f"DROP TABLE {name}")
+    return counted
+
+
+def q_interaction_strength_rollup(spark, d):
+    """E3 from daily partial strengths: the event log is appended in two halves of the month
+    and the rollup brought up to date after each; only the cutoff's day is read raw."""
+    base = scratch_path(spark, "rollup")
+    known = _events(spark, d)
+    events = known.select(*[F.col(f) if f in known.columns else F.lit(30 if f == "age" else "").alias(f) for f in EVENT_FIELDS])
+    for half in (F.col("timestamp") < ROLLUP_SPLIT, F.col("timestamp") >= ROLLUP_SPLIT):
+        append_events(events.filter(half), f"{base}/lake")
+        refresh_daily_strengths(spark, f"{base}/lake", f"{base}/daily")
+    return interaction_strength_from_daily(scan_events(spark, f"{base}/lake"),
+                                           scan_daily_strengths(spark, f"{base}/daily"), AS_OF, LOOKBACK)
+
+
 def q_batch_append_readback(spark, d):
     """K2/K3 batch path: append normalised events into day partitions, read back."""
     base = scratch_path(spark, "lake")
@@ -518,6 +567,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_unseen_overlap": q_als_unseen_overlap,
     "stream_quarantine_readback": q_stream_quarantine_readback,
     "table_scan_by_name": q_table_scan_by_name,
+    "compacted_events_by_day": q_compacted_events_by_day,
+    "interaction_strength_rollup": q_interaction_strength_rollup,
     "als_eval": q_als_eval,
 }
 
@@ -809,12 +860,17 @@ def oracle_sql() -> dict[str, str]:
             f"CAST(0 AS BIGINT) AS n_seen FROM own, items WHERE items.n > own.n"),
         "stream_quarantine_readback": (
             _norm_with() + ", k AS (SELECT passengerId, date_diff('day', DATE '1970-01-01', "
-            "CAST(departureDate AS DATE)) % 7 AS kind FROM staged WHERE reason IS NULL) "
-            "SELECT CASE WHEN kind IN (1, 2, 3) THEN 'decode' WHEN kind IN (0, 4) THEN 'timestamp' ELSE 'event' END "
+            "CAST(departureDate AS DATE)) % 8 AS kind FROM staged WHERE reason IS NULL) "
+            "SELECT CASE WHEN kind IN (1, 2, 3, 5, 6) THEN 'decode' WHEN kind IN (0, 4) THEN 'timestamp' ELSE 'event' END "
             "AS outcome, passengerId, COUNT(*) AS n FROM k GROUP BY 1, 2"),
         "table_scan_by_name": (
             _norm_with() + " SELECT CAST(ingest_ts AS DATE) AS event_day, 3 * COUNT(*) AS by_name, "
             "3 * COUNT(*) AS by_path FROM staged WHERE reason IS NULL GROUP BY 1"),
+        "compacted_events_by_day": (
+            _norm_with() + " SELECT CAST(ingest_ts AS DATE) AS event_day, 4 * COUNT(*) AS by_name, 4 * COUNT(*) AS by_path, "
+            f"CASE WHEN CAST(ingest_ts AS DATE) < DATE '{PACKED_BEFORE}' THEN 2 ELSE 4 END AS n_batches "
+            "FROM staged WHERE reason IS NULL GROUP BY 1, 4"),
+        "interaction_strength_rollup": _inter_sql(),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
     if llm_queries is not None:

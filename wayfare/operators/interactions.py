@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.scalar import lookback_cutoff, status_weight
@@ -30,8 +30,11 @@ def interaction_strength(events: DataFrame, as_of, lookback_days: int = LOOKBACK
     The sum is exact (decimal) and cast to double at the end. Aggregation is partial
     per map task then final per key, so a passenger holding a third of all events
     still sends only one partial row per (task, airport) through the shuffle."""
-    recent = recent_events(events, as_of, lookback_days)
-    agg = (recent.groupBy("passengerId", "arrivalAirport")
-           .agg(F.sum(status_weight("flightStatus")).alias("_strength")))
+    return positive_strengths(recent_events(events, as_of, lookback_days), status_weight("flightStatus"))
+
+
+def positive_strengths(rows: DataFrame, weight: Column) -> DataFrame:
+    """The exact sum of ``weight`` per (passengerId, arrivalAirport), where it is above 0."""
+    agg = rows.groupBy("passengerId", "arrivalAirport").agg(F.sum(weight).alias("_strength"))
     return (agg.filter(F.col("_strength") > 0)
             .select("passengerId", "arrivalAirport", F.col("_strength").cast("double").alias("strength")))

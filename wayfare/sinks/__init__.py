@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.scalar import day_of, epoch_millis_of
-from wayfare.schemas import BATCH_COL, EVENT_FIELDS, EVENT_SCHEMA, JDBC_BATCH_SIZE, JDBC_WRITERS, PARTITION_COL
+from wayfare.schemas import BATCH_COL, EVENT_FIELDS, JDBC_BATCH_SIZE, JDBC_WRITERS, PARTITION_COL
+from wayfare.sinks.event_table import (  # noqa: F401
+    compact_events,
+    days_of,
+    ensure_event_table,
+    leave_note,
+    register_batch,
+    table_location,
+    vacuum_events,
+)
 
 
 def encode_events(events: DataFrame) -> DataFrame:
@@ -35,43 +44,38 @@ def publish_events(events: DataFrame, fmt: str, location: str, num_files: int |
         raise ValueError(f"unsupported format {fmt!r}")
 
 
-def ensure_event_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """K2: create the event table, partitioned by UTC day and batch, if it does not exist."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields)
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {PARTITION_COL} DATE, {BATCH_COL} STRING) "
-              f"USING parquet PARTITIONED BY ({PARTITION_COL}, {BATCH_COL}){loc}")
-
-
-def table_location(spark: SparkSession, name: str) -> str:
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
-
-
 def with_event_day(events: DataFrame) -> DataFrame:
     """The UTC day of each event, used as partition value."""
     return events.withColumn(PARTITION_COL, day_of("timestamp"))
 
 
 def write_batch(events: DataFrame, target: str, batch: str, table: bool = False,
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None) -> list[str | None]:
     """Write the events of one batch into their day partitions, once: writing the same
     batch again replaces its own rows and no others. Both the batch path and the stream
-    write here, to a folder or to the folder of a catalog table (``table``), whose new
-    partitions are then registered."""
+    write here, to a folder or to the folder of a catalog table (``table``). Returns the
+    days written, which are gathered while writing; only they are registered."""
     spark = events.sparkSession
     folder = table_location(spark, target) if table else target
-    out = with_event_day(events).select(*EVENT_FIELDS, PARTITION_COL, F.lit(batch).alias(BATCH_COL))
+    seen = Observation()
+    out = (with_event_day(events).observe(seen, F.collect_set(F.struct(PARTITION_COL)).alias("days"))
+           .select(*EVENT_FIELDS, PARTITION_COL, F.lit(batch).alias(BATCH_COL)))
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.partitionBy(PARTITION_COL, BATCH_COL).parquet(folder)
+    days = days_of(r[PARTITION_COL] for r in seen.get["days"])
     if table:
-        spark.catalog.recoverPartitions(target)
+        register_batch(spark, target, batch, days)
+    else:
+        leave_note(spark, folder, batch, days)
+    return days
 
 
 def append_events(events: DataFrame, target: str, files_per_day: int | None = None,
-                  table: bool = False, max_records_per_file: int | None = None) -> None:
-    """K3: append events into their day partitions; nothing is ever overwritten.
+                  table: bool = False, max_records_per_file: int | None = None) -> list[str | None]:
+    """K3: append events into their day partitions; nothing is ever overwritten. Returns
+    the days written.
 
     ``files_per_day`` spreads each day over that many writer tasks (hash of the row and of
     the input partition, so one event repeated many times spreads too); None leaves the layout to the upstream partitioning. ``max_records_per_file`` caps
@@ -80,7 +84,7 @@ def append_events(events: DataFrame, target: str, files_per_day: int | None = No
         row = F.xxhash64(*[F.col(f) for f in EVENT_FIELDS], F.spark_partition_id())
         events = (events.withColumn("_salt", F.pmod(row, F.lit(files_per_day)))
                   .repartition(day_of("timestamp"), F.col("_salt")).drop("_salt"))
-    write_batch(events, target, f"append-{uuid.uuid4().hex}", table, max_records_per_file)
+    return write_batch(events, target, f"append-{uuid.uuid4().hex}", table, max_records_per_file)
 
 
 def current_runs(spark: SparkSession, target: str) -> list[str]:

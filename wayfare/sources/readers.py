@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 from wayfare.schemas import BATCH_COL, LOOKUP_CSV_SCHEMA, PARTITION_COL, RAW_CSV_SCHEMA
 from wayfare.sinks import current_runs
+from wayfare.sinks.event_table import compactions, register_pending, table_location, visible_events
+
+# How long a stream waits for ``min_per_trigger`` records.
+FLUSH_DELAY = "30s"
 
 # Stands for "no such field" where CSV text is read; no field holds it.
 NO_FIELD = "\x00no field\x00"
@@ -16,17 +20,34 @@ NO_FIELD = "\x00no field\x00"
 def scan_events(spark: SparkSession, source: str) -> DataFrame:
     """The event table, by catalog name (``db.table`` / ``catalog.db.table``) or by path.
 
-    A table or folder written by both writers (batch and stream) shows the rows of both.
-    Filters applied later reach the Parquet scan (pushed filters) and, for a
-    day-partitioned table, the partition column (partition filters)."""
+    A table or folder written by both writers (batch and stream) shows the rows of both, and
+    packed batches in place of their originals. Filters applied later reach the Parquet scan
+    (pushed filters) and, for a day-partitioned table, the partition column (partition
+    filters). A scan by name lists nothing but the notes of batches written by folder."""
+    return _event_scan(spark, source).drop(BATCH_COL)
+
+
+def _event_scan(spark: SparkSession, source: str) -> DataFrame:
     if "/" in source or source.endswith(".parquet"):
-        return spark.read.parquet(source).drop(BATCH_COL)
+        state = compactions(spark, source)
+        while True:
+            events = spark.read.parquet(source)
+            now = compactions(spark, source)
+            if now == state:  # else files of a compaction may have been listed in between
+                break
+            state = now
+        return visible_events(events, state) if BATCH_COL in events.columns else events
     if PARTITION_COL in spark.table(source).columns and spark.catalog.tableExists(source):
-        # Batches appended to the table's folder by path are known to the catalog after this.
-        partitioned = any(c.isPartition for c in spark.catalog.listColumns(source))
-        if partitioned:
-            spark.catalog.recoverPartitions(source)
-    return spark.table(source).drop(BATCH_COL)
+        if any(c.isPartition and c.name == BATCH_COL for c in spark.catalog.listColumns(source)):
+            register_pending(spark, source)
+            return visible_events(spark.table(source), compactions(spark, table_location(spark, source)))
+    return spark.table(source)
+
+
+def event_batches(spark: SparkSession, source: str) -> DataFrame:
+    """The batches in view of each day: (event_day, ingest_batch, n_events). Only file footers
+    are read."""
+    return _event_scan(spark, source).groupBy(PARTITION_COL, BATCH_COL).agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def scan_lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -65,24 +86,38 @@ def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
 
 
 def stream_payloads(spark: SparkSession, fmt: str, location: str,
-                    max_per_trigger: int | None = 1000, **options) -> DataFrame:
+                    max_per_trigger: int | None = 1000, min_per_trigger: int | None = None,
+                    max_delay: str | None = None, max_bytes: int | str | None = None, **options) -> DataFrame:
     """An unbounded stream of event payloads as a string column ``value``.
 
     ``fmt="kafka"``: ``location`` is the topic; reading starts at the earliest offset
-    and ``max_per_trigger`` bounds records per micro-batch. Needs the Kafka connector
-    on the classpath. ``fmt="text"``: ``location`` is a folder of newline-delimited
-    payload files; ``max_per_trigger`` bounds files per micro-batch."""
+    and ``max_per_trigger`` bounds records per micro-batch. A batch is flushed once
+    ``min_per_trigger`` records have come or ``max_delay`` (default 30 seconds) has passed.
+    Needs the Kafka connector on the classpath. ``fmt="text"``: ``location`` is a folder of newline-delimited payload files;
+    ``max_per_trigger`` bounds files per micro-batch or, for files of uneven size,
+    ``max_bytes`` their bytes instead (a file is never split over batches)."""
     reader = spark.readStream
     if fmt == "kafka":
+        if max_bytes:
+            raise ValueError("max_bytes bounds batches of files; use max_per_trigger for Kafka")
         reader = (reader.format("kafka").option("subscribe", location)
                   .option("startingOffsets", options.pop("startingOffsets", "earliest")))
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", int(max_per_trigger))
+        if min_per_trigger:
+            if max_per_trigger and min_per_trigger > max_per_trigger:
+                raise ValueError("min_per_trigger is above max_per_trigger")
+            reader = (reader.option("minOffsetsPerTrigger", int(min_per_trigger))
+                      .option("maxTriggerDelay", max_delay or FLUSH_DELAY))
         for k, v in options.items():
             reader = reader.option(k, v)
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if fmt == "text":
-        if max_per_trigger:
+        if min_per_trigger or max_delay:
+            raise ValueError("files have no record offsets to wait for; bound them by max_per_trigger or max_bytes")
+        if max_bytes:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
+        elif max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", int(max_per_trigger))
         for k, v in options.items():
             reader = reader.option(k, v)

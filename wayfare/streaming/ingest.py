@@ -1,6 +1,6 @@
 """Payload stream -> decoded events -> day-partitioned append-only table.
 
-One Structured Streaming query decodes each micro-batch once and writes it twice:
+One Structured Streaming query decodes each micro-batch and writes it to two places:
 
 - events go to the event table, a folder or a catalog table, under their day and the
   batch's own partition (R5), as the batch path's appends do;
@@ -9,7 +9,8 @@ One Structured Streaming query decodes each micro-batch once and writes it twice
 
 A batch that failed mid-write is replayed from the checkpoint (R3) and replaces its own
 partitions only, so delivery is exactly-once. Micro-batch size is bounded by
-``maxOffsetsPerTrigger``/``maxFilesPerTrigger`` (R1); ``availableNow`` drains everything
+``maxOffsetsPerTrigger``, ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` (R1), and Kafka
+batches can wait for a number of records or a delay; ``availableNow`` drains everything
 present and stops (R2); the checkpoint carries the offsets and a new query starts from
 the earliest one (R4). Empty batches write nothing (F12). Late events of any age land in
 their own day (no watermark), and replays of the same payloads under a new checkpoint are
@@ -21,7 +22,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,23 +36,28 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
     """F9 + P5 + X6/X7 + F10 on a DataFrame with a string column ``value``.
 
     Returns the 16 event fields, ``event_day`` and ``reason`` (null for good rows).
-    A payload decodes when it is a JSON object whose fields are all present with the
-    right types: text that is not JSON, or not an object, leaves every field null and
-    is rejected by the same check; a number or an object is not taken for text. The timestamp may be epoch millis (a JSON number)
-    or ISO-8601 text; the text is only extracted for rows whose number parse failed,
-    so a well-formed stream is parsed once per payload."""
-    rec = F.from_json(F.col("value"), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
-    staged = payloads.select(F.col("value"), rec.alias("r"), F.schema_of_variant(F.try_parse_json("value")).alias("_kinds"))
+    A payload decodes when it is a JSON object whose fields are all present with the right
+    types: each is looked up by its own path and its type asked for, so a number or an
+    object is not taken for text wherever else in the payload a text of that name stands.
+    Text that is not JSON, or an object that repeats a key, is rejected as well. The
+    timestamp may be epoch millis (a JSON integer) or ISO-8601 text. A payload is parsed
+    once."""
+    staged = payloads.select("value", F.try_parse_json("value").alias("_json"))
+
+    def get(field: str, kind: str):
+        return F.try_variant_get("_json", f"$.{field}", kind)
+
+    def typed(field: str, kind: str):
+        return F.schema_of_variant(get(field, "variant")) == kind
     fields_ok = F.lit(True)
     for f in PAYLOAD_SCHEMA.fields[:-1]:
-        fields_ok = fields_ok & F.col(f"r.{f.name}").isNotNull()
-        if isinstance(f.dataType, T.StringType):
-            fields_ok = fields_ok & F.contains(F.col("_kinds"), F.lit(f"{f.name}: STRING"))
-    ts = F.when(F.col("r.timestamp").isNotNull(), millis_to_utc(F.col("r.timestamp"))) \
-        .otherwise(iso_text_to_utc(F.get_json_object(F.col("value"), "$.timestamp")))
+        text = isinstance(f.dataType, T.StringType)
+        fields_ok = fields_ok & typed(f.name, "STRING" if text else "BIGINT") & get(f.name, f.dataType.simpleString()).isNotNull()
+    ts = (F.when(typed("timestamp", "BIGINT"), millis_to_utc(get("timestamp", "bigint")))
+          .when(typed("timestamp", "STRING"), iso_text_to_utc(get("timestamp", "string"))))
     decoded = staged.select(
         "value",
-        *[F.col(f"r.{f}").alias(f) for f in EVENT_FIELDS[:-1]],
+        *[get(f.name, f.dataType.simpleString()).alias(f.name) for f in PAYLOAD_SCHEMA.fields[:-1]],
         ts.alias("timestamp"),
         F.coalesce(fields_ok, F.lit(False)).alias("_fields_ok"),
     )
@@ -93,18 +99,14 @@ def ingest_stream(payloads: DataFrame, lake: str, checkpoint: str,
     writer = _writer_id(payloads, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            label = f"stream-{writer}-{batch_id}"
-            write_batch(batch.filter("reason IS NULL").select(*EVENT_FIELDS), lake, label, table, max_records_per_file)
-            if quarantine_path:
-                bad = batch.filter("reason IS NOT NULL").select("value", "reason")
-                if not bad.isEmpty():
-                    bad.write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={label}")
-        finally:
-            batch.unpersist()
+        # One pass writes the events, counts the rejects and gathers the days; only a
+        # batch with rejects is decoded again, for the quarantine.
+        label, seen = f"stream-{writer}-{batch_id}", Observation()
+        counted = batch.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("rejects"))
+        write_batch(counted.filter("reason IS NULL").select(*EVENT_FIELDS), lake, label, table, max_records_per_file)
+        if quarantine_path and seen.get["rejects"]:
+            (batch.filter("reason IS NOT NULL").select("value", "reason")
+             .write.mode("overwrite").parquet(f"{quarantine_path}/{BATCH_COL}={label}"))
 
     stream = (decode_payloads(payloads).writeStream.foreachBatch(write)
               .option("checkpointLocation", f"{checkpoint}/events"))

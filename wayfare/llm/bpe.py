@@ -28,8 +28,12 @@ from wayfare.llm.tokens import read_tokenizer
 
 # White space that every step takes as such; other white space is left to the library.
 BETWEEN = " \t\n\v\f\r"
-# Characters of remembered stretches in a worker, and of one stretch to be remembered.
-CACHE_CHARS, CACHED_STRETCH = 8_000_000, 64
+# Characters of remembered stretches and words in a worker, and of one to be remembered.
+CACHE_CHARS, CACHED_STRETCH = 16_000_000, 64
+# The words of lower-case ASCII without control characters, as the file's pattern cuts it.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[!-/:-@\[-`{-~]+")
+ODD_ASCII = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+NONE = 1 << 62
 # A text is taken apart in windows of about so many characters.
 WINDOW = 1 << 20
 RESULT_COLUMNS = ("ids", "decoded")
@@ -38,54 +42,88 @@ RESULT_COLUMNS = ("ids", "decoded")
 def merge_word(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """The symbols left when no adjacent pair is in ``merges``, (a, b) -> (rank, merged).
 
-    The tree's leaf k is the pair that starts at place k: rank * width + k, or ``none``."""
+    The tree's leaf k is the pair that starts at place k: rank * width + k, or ``NONE``."""
     n = len(symbols)
     if n < 2:
         return symbols
+    find = merges.get
     width = 1 << (n - 1).bit_length()
-    none = 1 << 62
-    tree = [none] * (2 * width)
-    for k in range(n - 1):
-        found = merges.get((symbols[k], symbols[k + 1]))
+    tree = [NONE] * (2 * width)
+    node, left = width, symbols[0]
+    for right in symbols[1:]:
+        found = find((left, right))
         if found is not None:
-            tree[width + k] = found[0] * width + k
+            tree[node] = found[0] * width + node - width
+        left = right
+        node += 1
     for node in range(width - 1, 0, -1):
         a, b = tree[2 * node], tree[2 * node + 1]
         tree[node] = a if a < b else b
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-    def put(k: int, value: int) -> None:
-        node = width + k
-        tree[node] = value
-        while node > 1:
-            a, b = tree[node], tree[node ^ 1]
-            node >>= 1
-            low = a if a < b else b
-            if tree[node] == low:
-                return
-            tree[node] = low
-
-    def pair(k: int) -> int:
-        if after[k] >= n:
-            return none
-        found = merges.get((symbols[k], symbols[after[k]]))
-        return none if found is None else found[0] * width + k
-
-    while tree[1] != none:
-        k = tree[1] % width
+    top = tree[1]
+    while top != NONE:
+        k = top & width - 1
         gone = after[k]
-        symbols[k] = merges[symbols[k], symbols[gone]][1]
+        merged = symbols[k] = merges[symbols[k], symbols[gone]][1]
         symbols[gone] = -1
-        after[k] = after[gone]
-        if after[k] < n:
-            before[after[k]] = k
-        put(gone, none)
-        put(k, pair(k))
-        if before[k] >= 0:
-            put(before[k], pair(before[k]))
+        right, left = after[gone], before[k]
+        after[k] = right
+        # Three leaves change: the pair that was merged away, and the merged one's pairs.
+        changed = [(width + gone, NONE)]
+        if right < n:
+            before[right] = k
+            found = find((merged, symbols[right]))
+            changed.append((width + k, NONE if found is None else found[0] * width + k))
+        else:
+            changed.append((width + k, NONE))
+        if left >= 0:
+            found = find((symbols[left], merged))
+            changed.append((width + left, NONE if found is None else found[0] * width + left))
+        for node, value in changed:
+            if tree[node] == value:
+                continue
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                if other < value:
+                    value = other
+                if tree[node] == value:
+                    break
+                tree[node] = value
+        top = tree[1]
     return [s for s in symbols if s >= 0]
 
 
+# The steps of the tokenizer file for which ASCII_WORDS holds.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+class Words(dict):
+    """word -> ids, filled as words are asked for."""
+
+    def __init__(self, bpe: WordBpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        bpe = self.bpe
+        vocab = bpe.vocab
+        symbols = [vocab.get(c) for c in word[:-1]] + [vocab.get(word[-1] + bpe.suffix)]
+        if None in symbols:
+            symbols = [s for s in symbols if s is not None]
+        ids = tuple(merge_word(symbols, bpe.merges))
+        if len(word) <= CACHED_STRETCH:
+            self[word] = ids
+            bpe.chars += len(word)
+        return ids
+
+
 class WordBpe(dict):
     """stretch -> ids, filled as stretches are asked for."""
 
@@ -99,6 +137,8 @@ class WordBpe(dict):
                 raise ValueError(f"not supported: {key}")
         if parts["decoder"] is not None or any(t["normalized"] or t["single_word"] for t in parts["added_tokens"]):
             raise ValueError("not supported: a decoder, or added tokens matched after normalising or as words")
+        # With the file's own steps, ASCII can be cut into words without the library.
+        self.plain = parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == PRE_TOKENIZER
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab = model["vocab"]
@@ -116,7 +156,7 @@ class WordBpe(dict):
         self.tokens = [""] * size
         for token, k in (self.vocab | self.added).items():
             self.tokens[k] = token
-        self.words: dict[str, list[int]] = {}
+        self.words = Words(self)
         self.chars = 0
 
     def __missing__(self, stretch: str) -> tuple[int, ...]:
@@ -127,10 +167,6 @@ class WordBpe(dict):
             at = special.end()
         ids = tuple(ids + self._words(stretch[at:]))
         if len(stretch) <= CACHED_STRETCH:
-            if self.chars > CACHE_CHARS:
-                self.clear()
-                self.words.clear()
-                self.chars = 0
             self.chars += len(stretch)
             self[stretch] = ids
         return ids
@@ -138,20 +174,12 @@ class WordBpe(dict):
     def _words(self, text: str) -> list[int]:
         if not text:
             return []
-        out = []
-        text = self.tokenizer.normalizer.normalize_str(text)
-        for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
-            out += self.words.get(word) or self._word(word)
-        return out
-
-    def _word(self, word: str) -> list[int]:
-        vocab = self.vocab
-        symbols = [vocab.get(c) for c in word[:-1]] + [vocab.get(word[-1] + self.suffix)]
-        ids = merge_word([s for s in symbols if s is not None], self.merges)
-        if len(word) <= CACHED_STRETCH:
-            self.words[word] = ids
-            self.chars += len(word)
-        return ids
+        if self.plain and text.isascii() and text.isprintable():
+            words = ASCII_WORDS.findall(text.lower())
+        else:
+            text = self.tokenizer.normalizer.normalize_str(text)
+            words = [word for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        return list(itertools.chain.from_iterable(map(self.words.__getitem__, words)))
 
     def _windows(self, text: str):
         at = 0
@@ -162,8 +190,18 @@ class WordBpe(dict):
             at = end
 
     def encode(self, text: str | None) -> np.ndarray:
-        parts = [np.fromiter(itertools.chain.from_iterable(map(self.__getitem__, self.stretches.findall(window))), np.int32)
-                 for window in self._windows(text or "")]
+        parts = []
+        for window in self._windows(text or ""):
+            if self.chars > CACHE_CHARS:
+                self.clear()
+                self.words.clear()
+                self.chars = 0
+            if self.plain and window.isascii() and not ODD_ASCII.search(window) and not (
+                    self.specials and self.specials.search(window)):
+                found = map(self.words.__getitem__, ASCII_WORDS.findall(window.lower()))
+            else:
+                found = map(self.__getitem__, self.stretches.findall(window))
+            parts.append(np.fromiter(itertools.chain.from_iterable(found), np.int32))
         return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.int32), *parts])
 
     def decode(self, ids: np.ndarray) -> str:

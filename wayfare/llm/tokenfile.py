@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wayfare.llm.shared import SLICE_ROWS, Scratch
 from wayfare.llm.tokens import ids_crc32, read_tokenizer, text_encoder
@@ -32,7 +33,10 @@ END_ID = 2
 BLOCK_IDS = 1 << 16
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
+# Staged blocks hold ids, in 16 bits where the vocabulary fits; the row COUNTS of each part
+# holds (as 64-bit pairs) the ids of that part with their counts.
 STAGED = "part int, block int, part_start long, doc_ids array<long>, lengths array<long>, ids binary"
+COUNTS = -1
 BLOCKS = ("part int, block int, start long, doc_ids array<long>, lengths array<long>, "
           "control binary, data binary, crc32 long")
 
@@ -62,21 +66,37 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     return out
 
 
-def _stage_ids(docs: DataFrame, tokenizer_path: str, end_id: int, parts: int) -> DataFrame:
-    """Blocks of ids in ascending doc_id order, numbered inside each range partition."""
-    model = read_tokenizer(tokenizer_path)
+def _id_type(model: str, end_id: int) -> np.dtype:
+    size = max(Tokenizer.from_str(model).get_vocab_size(), end_id + 1)
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+
+def _stage_ids(docs: DataFrame, model: str, end_id: int, parts: int) -> DataFrame:
+    """Blocks of ids in ascending doc_id order, numbered inside each range partition, and
+    the counts of the ids in each partition.
+
+    Rows of one doc_id go by their text's hash; that and the row's number spread them over
+    ranges, so no doc_id's rows are one task's."""
+    id_type = _id_type(model, end_id)
 
     def run(batches):
         from pyspark import TaskContext
         encoder, part = text_encoder(model, end_id), TaskContext.get().partitionId()
         held, held_ids, count, block, start = [], [], 0, 0, 0
+        total = np.zeros(0, dtype=np.int64)
 
-        def flush():
-            row = [[part], [block], [start], [held], [[len(x) for x in held_ids]],
-                   [np.concatenate(held_ids).astype("<u4").tobytes()]]
+        def row(*values):
             types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(row, types)],
+            return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(values, types)],
                                               names=["part", "block", "part_start", "doc_ids", "lengths", "ids"])
+
+        def flush():
+            nonlocal total
+            ids = np.concatenate(held_ids)
+            got = np.bincount(ids, minlength=len(total))
+            got[:len(total)] += total
+            total = got
+            return row(part, block, start, held, [len(x) for x in held_ids], ids.astype(id_type).tobytes())
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 rows = batch.slice(at, SLICE_ROWS).to_pydict()
@@ -88,25 +108,26 @@ def _stage_ids(docs: DataFrame, tokenizer_path: str, end_id: int, parts: int) ->
                         held, held_ids, block, start, count = [], [], block + 1, start + count, 0
         if held:
             yield flush()
-
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+        found = np.flatnonzero(total)
+        if len(found):
+            yield row(part, COUNTS, 0, [], [], np.stack([found, total[found]], axis=1).astype("<i8").tobytes())
+
+    first = F.col("doc_id").asc_nulls_first()
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_hash"),
+                           F.monotonically_increasing_id().alias("_row"))
+               .repartitionByRange(parts, first, "_hash", "_row")
+               .sortWithinPartitions(first, "_hash", "text").select("doc_id", "text"))
     return ordered.mapInArrow(run, STAGED)
 
 
 def _frequencies(staged: DataFrame) -> DataFrame:
     def run(batches):
-        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                got = np.bincount(np.frombuffer(ids.as_buffer(), dtype="<u4"))
-                if len(got) > len(total):
-                    got, total = total, got.astype(np.int64)
-                total[:len(got)] += got
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
-    return staged.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for counts in batch.column(0):
+                pairs = np.frombuffer(counts.as_buffer(), dtype="<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["id", "n"])
+    counts = staged.filter(F.col("block") == COUNTS).select("ids")
+    return counts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> None:
@@ -116,13 +137,16 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "tokens")
-    staged = scratch.write(_stage_ids(docs, tokenizer_path, end_id, parts), "ids")
+    model = read_tokenizer(tokenizer_path)
+    id_type = _id_type(model, end_id)
+    staged = scratch.write(_stage_ids(docs, model, end_id, parts), "ids")
+    blocks = staged.filter(F.col("block") != COUNTS)
     ranked = sorted(((r["n"], r["id"]) for r in _frequencies(staged).collect()), key=lambda x: (-x[0], x[1]))
     ids = [i for _, i in ranked]
     spark.createDataFrame(list(enumerate(ids)), "rank int, id int").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(max(ids, default=0) + 1, dtype=np.uint32)
     rank_of[ids] = np.arange(len(ids))
-    totals = staged.groupBy("part").agg(F.max(F.col("part_start") + F.expr(
+    totals = blocks.groupBy("part").agg(F.max(F.col("part_start") + F.expr(
         "aggregate(lengths, 0L, (a, x) -> a + x)")).alias("n")).orderBy("part").collect()
     first, at = {}, 0
     for r in totals:
@@ -133,13 +157,13 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
                 part = row.column(0)[0].as_py()
-                control, data = encode_ranks(rank_of[np.frombuffer(row.column(5)[0].as_buffer(), dtype="<u4")])
+                control, data = encode_ranks(rank_of[np.frombuffer(row.column(5)[0].as_buffer(), dtype=id_type)])
                 yield pa.RecordBatch.from_arrays(
                     [row.column(0), row.column(1), pa.array([first[part] + row.column(2)[0].as_py()], pa.int64()),
                      row.column(3), row.column(4), pa.array([control], pa.binary()), pa.array([data], pa.binary()),
                      pa.array([zlib.crc32(data, zlib.crc32(control))], pa.int64())],
                     names=["part", "block", "start", "doc_ids", "lengths", "control", "data", "crc32"])
-    staged.mapInArrow(run, BLOCKS).write.partitionBy("part").parquet(f"{folder}/blocks")
+    blocks.mapInArrow(run, BLOCKS).write.partitionBy("part").parquet(f"{folder}/blocks")
     scratch.drop(staged)
 
 

@@ -19,7 +19,7 @@ from wayfare.llm.shared import worker_cache
 
 # Characters that the pre-tokenizer's pattern takes as white space.
 WHITE = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
-CACHE_PIECES, CACHE_CHARS, JOINED = 500_000, 12_000_000, 500
+CACHE_PIECES, CACHE_CHARS, JOINED = 1_500_000, 30_000_000, 500
 
 
 class _Index(dict):

@@ -3,7 +3,8 @@
 Each language gets a zstandard raw-content dictionary cut from a bounded sample of its
 labelled texts. A text is compressed in blocks with every dictionary; the language whose
 dictionary gives the smallest total wins. The gap to the runner-up, relative to the
-runner-up's size, is the margin; a narrow margin rejects the text.
+runner-up's size, is the margin; a narrow margin rejects the text. Short texts are measured
+behind a neutral block, word by word rotated; the shortest are not rejected for a margin.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, margin 0
 and rejected. Equal sizes go to the language with more training rows, then the smaller
@@ -30,6 +31,15 @@ DICT_BYTES = 1 << 15
 BLOCK_BYTES = 4096
 LEVEL = 6
 MIN_MARGIN = 0.005
+# A text below SHORT_BYTES is measured behind a neutral block, as alone it would be stored
+# and not compressed, and in as many rotations of its words as it has, up to SHORT_ROUNDS,
+# as one size in whole bytes is coarse.
+SHORT_BYTES, SHORT_ROUNDS, NEUTRAL = 256, 16, b"\n" * 400
+# Below so many bytes a narrow margin says that the text is short and no more: it is
+# rejected only if it has no letter.
+JUDGED_BYTES = 64
+# Every language's dictionary goes to every task, and every text is compressed with each.
+MAX_LANGUAGES = 256
 
 
 @dataclass(frozen=True)
@@ -42,7 +52,11 @@ class LanguageModel:
 def fit_language_model(train: DataFrame, key: str, slots: int = SAMPLE_SLOTS, chars: int = SAMPLE_CHARS,
                        dict_bytes: int = DICT_BYTES) -> LanguageModel:
     """Dictionaries from the rows of ``train`` with a text and a lang; ``key`` names the
-    column whose hash picks the sample (one row for each language and hash slot)."""
+    column whose hash picks the sample (one row for each language and hash slot). More than
+    MAX_LANGUAGES different labels are an error: such a column does not hold languages."""
+    labels = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang").distinct().limit(MAX_LANGUAGES + 1)
+    if labels.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different values of lang")
     rows = (train.filter("text IS NOT NULL AND lang IS NOT NULL")
             .select("lang", "text", F.xxhash64(F.col(key)).alias("h"))
             .withColumn("slot", F.pmod("h", F.lit(slots))))
@@ -79,17 +93,34 @@ def classify(text: str | None, languages: tuple[str, ...], comps: list, block: i
     if not languages or text is None or not any(map(str.isalpha, text)):
         return UNDETERMINED, 0.0, 0.0
     data = _plain(text).encode("utf-8", "replace")
-    sizes = [sum(len(c.compress(data[at:at + block])) for at in range(0, len(data), block)) for c in comps]
+    rounds = 1
+    if len(data) < SHORT_BYTES:
+        words = data.split(b" ")
+        rounds = min(len(words), SHORT_ROUNDS)
+        pieces = [NEUTRAL + b" ".join(words[k:] + words[:k]) for k in range(rounds)]
+        sizes = [max(1, sum(len(c.compress(p)) for p in pieces) - rounds * len(c.compress(NEUTRAL))) for c in comps]
+    else:
+        pieces = [data[at:at + block] for at in range(0, len(data), block)]
+        sizes = [sum(len(c.compress(p)) for p in pieces) for c in comps]
     best = min(range(len(sizes)), key=sizes.__getitem__)
     others = sizes[:best] + sizes[best + 1:]
     second = min(others, default=2 * sizes[best])
-    score = 1.0 / (1.0 + sum(2.0 ** -min(s - sizes[best], 1000) for s in others))
+    score = 1.0 / (1.0 + sum(2.0 ** -min((s - sizes[best]) / rounds, 1000) for s in others))
     return languages[best], score, (second - sizes[best]) / second
 
 
+def is_rejected(text: str | None, language: str, margin: float, min_margin: float = MIN_MARGIN) -> bool:
+    """Whether no language can be told: no letter, or a narrow margin on enough text."""
+    return language == UNDETERMINED or (margin < min_margin and len(_plain(text).encode("utf-8", "replace")) >= JUDGED_BYTES)
+
+
 def identify_language(docs: DataFrame, model: LanguageModel, columns: list[str],
                       min_margin: float = MIN_MARGIN) -> DataFrame:
-    """``columns`` of each row with lang_pred, score, margin and rejected; map-only."""
+    """``columns`` of each row with lang_pred, score, margin and rejected; map-only.
+    ``columns`` may not hold the name of a result column."""
+    clash = [c for c in columns if c in ("lang_pred", "score", "margin", "rejected", "_text")]
+    if clash:
+        raise ValueError(f"kept columns clash with result columns: {clash}")
     languages = model.languages
 
     def make():
@@ -99,7 +130,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, columns: list[str],
             got = [classify(t, languages, comps) for t in part["_text"]]
             return {c: part[c] for c in columns} | {
                 "lang_pred": [g[0] for g in got], "score": [g[1] for g in got], "margin": [g[2] for g in got],
-                "rejected": [g[0] == UNDETERMINED or g[2] < min_margin for g in got]}
+                "rejected": [is_rejected(t, g[0], g[2], min_margin) for t, g in zip(part["_text"], got)]}
         return run
 
     kept = docs.select(*columns, F.col("text").alias("_text"))

@@ -1,4 +1,7 @@
+import duckdb
+
 from tests.llm.helpers import read
+from wayfare.llm.oracles import quotes_sql
 from wayfare.llm.quotes import chat_query, link_quotations, quotation_links
 
 MESSAGES = "conv_id long, turn long, role string, text string"
@@ -65,3 +68,36 @@ def test_table_without_quotes_is_unchanged(spark):
     got = chat_query(table.withColumnRenamed("text", "body").selectExpr("*", "body as text", "1 as parent", "2 as depth"))
     key = lambda r: (r["conv_id"], r["turn"], r["text"])
     assert sorted(map(key, got.collect())) == sorted(map(key, table.collect()))
+
+
+def same_as_sql(spark, rows):
+    import pandas as pd
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype(
+        {"conv_id": "Int64", "turn": "Int64", "role": "string", "text": "string"})
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    found = con.sql(quotes_sql())
+    columns = [d[0] for d in found.description]
+    got = [tuple(r[c] for c in columns) for r in chat_query(spark.createDataFrame(rows, MESSAGES)).collect()]
+    assert sorted(got, key=str) == sorted(found.fetchall(), key=str)
+
+
+def test_query_equals_sql_on_nested_quotes(spark):
+    rows = [(1, 0, "user", "Where is  the station?\nI am lost."), (1, 1, "assistant", "Which town?"),
+            (1, 2, "user", "> Which town?\nThe old one."), (1, 3, "assistant", "> > Which town?\n> The old one.\nThen go left."),
+            (1, 4, "user", ">where is the   STATION?\n\nStill no answer"), (1, 5, "user", "> never said\nhm"),
+            (1, 6, "user", "> Then go left.\n> The old one."), (2, 1, "user", "> Which town?\nother"),
+            (3, 0, "user", "In the north."), (3, 1, "user", ">> In the north.\nSo?"), (3, 2, "user", "> > > In the north.\n> So?\nYes."),
+            (3, 3, None, ">> So?\n> unknown\nOh."), (3, 4, "user", ">\n>\n> "), (None, 1, "user", "> a\nb"), (4, None, "user", "> a"),
+            (5, 0, "u", "twice"), (5, 1, "u", "> twice\n>> twice"), (5, 1, "u", "> twice\n>> twice"), (5, 2, "u", "\t> twice\n x"),
+            (6, 0, "u", "line 0")] + [(6, k, "user", f"> line {k - 1}\n{'>' * k} line 0\nline {k}") for k in range(1, 12)]
+    same_as_sql(spark, rows)
+
+
+def test_long_runs_of_marks(spark):
+    rows = [(1, 0, "u", "deep"), (1, 1, "u", ">" * 100_000 + " deep\nover"), (1, 2, "u", "> " * 50_000 + "over"),
+            (1, 3, "u", " " * 100_000 + "x"), (1, 4, "u", ">\n" * 20_000)]
+    got = {k[1]: v[0] for k, v in linked(spark, rows).items()}
+    assert got[1]["quote_level"] == 100_000 and got[1]["reply_to"] == 0 and got[1]["text"] == "over"
+    assert got[2]["quote_level"] == 50_000 and got[2]["reply_to"] == 1
+    assert got[3]["quote_level"] == 0 and got[4]["text"] == ""

@@ -1,5 +1,8 @@
 import hashlib
 import re
+import time
+
+import pytest
 
 from tests.llm.helpers import ODD_TEXTS, frame, read
 from wayfare.llm.secrets import (BASE_RULES, MORE_RULES, Rule, path_findings, redact, secrets_query, update_ledger)
@@ -83,3 +86,33 @@ def test_redaction(spark):
             at = reach = max(at, reach, e)
         assert got[doc_id] == want + text[at:]
     assert len(MORE_RULES) == 3
+
+
+def test_time_is_linear_in_long_runs(spark):
+    """A run of each rule's own characters, which a pattern without a fixed start scans from
+    every place, takes seconds."""
+    runs = ["eyJ" * 100_000, "eyJ-" * 75_000, "eyJabcdefgh." * 25_000, "ghp_" * 75_000, "-----BEGIN " * 30_000, "A" * 300_000,
+            "AKIA" * 75_000, "0a" * 150_000, "token" * 60_000, "token" + " " * 300_000, "password=" * 33_000]
+    start = time.time()
+    rows = secrets_query(frame(spark, list(enumerate(runs)))).collect()
+    assert len(rows) == len(runs) and time.time() - start < 60
+    hits = [(0, "x eyJabcdefgh.eyJabcdefgh.abcdefgh y"), (1, "eyJabcdefgh.eyJabcdefgh.abcdefgh"),
+            (2, "xeyJabcdefgh.eyJabcdefgh.abcdefgh"), (3, "\neyJabcdefgh.eyJabcdefgh.abcdefgh eyJabcdefgh.eyJabcdefgh.abcdefgh")]
+    got = {r["doc_id"]: r["spans"] for r in secrets_query(frame(spark, hits)).collect()}
+    assert got == {0: "jwt:2:34", 1: "jwt:0:32", 2: "", 3: "jwt:1:33,jwt:34:66"}
+
+
+def test_rows_that_repeat_a_blob_are_scanned_once(spark):
+    rows = [(None, "token=abcdefg")] * 50 + [(1, "token=abcdefg")] * 3 + [(2, "password: 1234567")]
+    versions = frame(spark, rows).selectExpr("doc_id path", "text")
+    ledger = update_ledger(versions, BASE_RULES)
+    assert ledger.count() == 2 * len(BASE_RULES)
+    assert sorted(len(r["found"]) for r in ledger.collect()) == [0, 0, 0, 0, 1, 1]
+
+
+def test_clashing_columns(spark):
+    for name in ("_blob", "_spans"):
+        with pytest.raises(ValueError, match="clash"):
+            redact(frame(spark, [(1, "a")]).withColumnRenamed("lang", name))
+    odd = redact(frame(spark, [(1, "token=abcdefg")]).withColumnRenamed("lang", "blob").withColumnRenamed("source", "found"))
+    assert odd.columns == ["doc_id", "text", "blob", "found", "n_chars"] and odd.first()["text"] == "[SECRET]"

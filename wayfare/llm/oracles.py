@@ -50,7 +50,7 @@ def secrets_sql() -> str:
     parts = []
     for rank, rule in enumerate(BASE_RULES + MORE_RULES):
         pattern = rule.pattern.replace("'", "''")
-        parts.append(f"""SELECT doc_id, {rank} AS rank, '{rule.name}' AS kind, {rule.min_chars} AS least,
+        parts.append(f"""SELECT doc_id, {rank} AS rank, '{rule.name}' AS kind, {rule.min_chars} AS least, {str(rule.tight).lower()} AS tight,
   list_transform(string_split_regex(text, '{pattern}'), lambda x: length(x)) AS gaps,
   list_transform(regexp_extract_all(text, '{pattern}', 0), lambda x: length(x)) AS spans,
   list_transform(regexp_extract_all(text, '{pattern}', {rule.group}), lambda x: length(x)) AS values
@@ -61,8 +61,9 @@ def secrets_sql() -> str:
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 m AS ({' UNION ALL '.join(parts)}),
-x AS (SELECT doc_id, rank, kind, least, gaps, spans, values, unnest(range(1, len(spans) + 1)) AS i FROM m),
-p AS (SELECT doc_id, rank, kind, list_sum(gaps[1:i]) + list_sum(spans[1:i]) AS e, spans[i] AS n FROM x
+x AS (SELECT doc_id, rank, kind, least, tight, gaps, spans, values, unnest(range(1, len(spans) + 1)) AS i FROM m),
+p AS (SELECT doc_id, rank, kind, list_sum(gaps[1:i]) + list_sum(spans[1:i]) AS e,
+  CASE WHEN tight THEN values[i] ELSE spans[i] END AS n FROM x
   WHERE values[i] >= least),
 g AS (SELECT doc_id, {counts}, string_agg({one}, ',' ORDER BY e - n, rank) FILTER (WHERE kind IN ({names})) AS base,
   string_agg({one}, ',' ORDER BY e - n, rank) AS spans FROM p GROUP BY doc_id)
@@ -71,7 +72,7 @@ SELECT d.doc_id, {', '.join(f'coalesce(n_{r.name}, 0) AS n_{r.name}' for r in BA
 
 
 def quotes_sql() -> str:
-    prefix, key = "^(?:[ \\t]*>)+[ \\t]?", "conv_id, turn, mid"
+    prefix, key = "^[ \\t>]*>[ \\t]?", "conv_id, turn, mid"
     hashed = """SELECT {key}, norm FROM (SELECT {key}, trim(regexp_replace(lower(unnest(list_distinct(
   list_prepend({text}, string_split({text}, chr(10)))))), '\\s+', ' ', 'g')) AS norm FROM {table}) WHERE norm <> ''"""
     return f"""
@@ -88,15 +89,16 @@ p AS (SELECT {key}, level, MIN(line) AS first_line, string_agg(body, chr(10) ORD
   FROM r GROUP BY {key}, level, run),
 clean AS (SELECT {key}, MAX(level) AS quote_level, COUNT(*) FILTER (WHERE level > 0) AS n_quotes,
   coalesce(string_agg(passage, chr(10) ORDER BY first_line) FILTER (WHERE level = 0), '') AS own FROM p GROUP BY {key}),
-quoted AS (SELECT * FROM p WHERE level = 1 AND conv_id IS NOT NULL AND turn IS NOT NULL),
-wanted AS (SELECT DISTINCT * FROM ({hashed.format(key=key, text='passage', table='quoted')})),
+quoted AS (SELECT * FROM p WHERE level > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL),
+wanted AS (SELECT DISTINCT * FROM ({hashed.format(key=key + ', level', text='passage', table='quoted')})),
 plain AS (SELECT conv_id, turn, text FROM m WHERE mid NOT IN (SELECT mid FROM q)
   UNION ALL SELECT conv_id, turn, own FROM clean),
 firsts AS (SELECT conv_id, norm, MIN(turn) AS parent FROM ({hashed.format(key='conv_id, turn', text='text',
                                                                           table='plain')}) GROUP BY 1, 2),
-sized AS (SELECT conv_id, turn, parent, SUM(length(norm)) AS size FROM wanted JOIN firsts USING (conv_id, norm)
-  WHERE parent < turn GROUP BY 1, 2, 3),
-links AS (SELECT conv_id, turn, MAX({{'size': size, 'parent': parent}}).parent AS parent FROM sized GROUP BY 1, 2),
+sized AS (SELECT conv_id, turn, level, parent, SUM(length(norm)) AS size FROM wanted JOIN firsts USING (conv_id, norm)
+  WHERE parent < turn GROUP BY 1, 2, 3, 4),
+links AS (SELECT conv_id, turn, MAX({{'low': -level, 'size': size, 'parent': parent}}).parent AS parent FROM sized
+  GROUP BY 1, 2),
 up AS (SELECT conv_id, turn, parent AS thread_turn, 1 AS depth FROM links
   UNION ALL SELECT u.conv_id, u.turn, k.parent, depth + 1 FROM up u JOIN links k
   ON k.conv_id = u.conv_id AND k.turn = u.thread_turn),

@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.shared import Scratch
 
-PREFIX = r"^(?:[ \t]*>)+[ \t]?"
+# Quote marks and blanks up to the last mark: one class without a repeated group, which the
+# JVM would match by recursion, a frame for each mark.
+PREFIX = r"^[ \t>]*>[ \t]?"
 
 
 def normalised(text: Column) -> Column:

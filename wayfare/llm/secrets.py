@@ -26,14 +26,17 @@ from wayfare.llm.shared import Scratch
 @dataclass(frozen=True)
 class Rule:
     """A pattern; a match counts when ``group`` has ``min_chars`` characters. ``search``
-    may name a pattern that finds the counting matches alone. Raise ``version`` when the
-    rule changes, so that old blobs are scanned again."""
+    may name a pattern that finds the counting matches alone. ``tight``: the finding is
+    ``group``, at the match's end, not all of the match. Raise ``version`` when the rule
+    changes, so that old blobs are scanned again. A pattern must take time in proportion
+    to the text, also in a long run of its own characters: let it start at a run's start."""
     name: str
     pattern: str
     group: int = 0
     min_chars: int = 0
     version: int = 1
     search: str | None = None
+    tight: bool = False
 
 
 # The three base kinds and their order.
@@ -45,7 +48,8 @@ BASE_RULES = (
 MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, version=2,
+         tight=True),
 )
 LEDGER_SCHEMA = ("blob string, rule string, rule_version int, "
                  "found array<struct<start:long,end:long,rule:string>>")
@@ -69,13 +73,13 @@ def _pieces(rule: Rule):
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...], scratch: Scratch) -> DataFrame:
     """Ledger rows of (blob, text, rules) where ``rules`` lists the names still to scan."""
     table = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version"),
-                               F.lit(r.min_chars).alias("least"),
+                               F.lit(r.min_chars).alias("least"), F.lit(r.tight).alias("tight"),
                                F.when(F.array_contains("rules", r.name), _pieces(r)).alias("m")) for r in rules])
     scanned = scratch.write(blobs.select("blob", "rules", F.explode(table).alias("s")).filter(
         F.array_contains("rules", F.col("s.rule"))).select("blob", "s.*"), "scanned")
     # One short row for each match; its start is the sum of what precedes it in the blob.
     rows = scanned.filter("m IS NOT NULL").select(
-        "blob", "rule", "least",
+        "blob", "rule", "least", "tight",
         F.posexplode(F.arrays_zip(F.col("m.gaps").alias("gap"), F.col("m.spans").alias("span"),
                                   F.col("m.values").alias("value"))).alias("at", "x")
     ).dropDuplicates(["blob", "rule", "at"])
@@ -83,8 +87,9 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...], scratch: Scratch) -> D
     length = F.coalesce(F.col("x.span"), F.lit(0))
     placed = rows.withColumn("end", F.sum(F.col("x.gap") + length).over(before)).filter(
         F.col("x.value") >= F.col("least"))
+    own = F.when(F.col("tight"), F.col("x.value")).otherwise(length)
     found = placed.groupBy("blob", "rule").agg(F.sort_array(F.collect_list(F.struct(
-        (F.col("end") - length).cast("long").alias("start"), F.col("end").cast("long").alias("end"),
+        (F.col("end") - own).cast("long").alias("start"), F.col("end").cast("long").alias("end"),
         "rule"))).alias("found"))
     return (scanned.select("blob", "rule", "rule_version").join(found, ["blob", "rule"], "left")
             .select("blob", "rule", "rule_version", F.coalesce("found", F.array().cast(
@@ -98,7 +103,9 @@ def update_ledger(versions: DataFrame, rules: tuple[Rule, ...], ledger: DataFram
     Pairs that the ledger holds are not scanned again."""
     scratch = scratch or Scratch(versions.sparkSession, "secrets")
     addressed = with_blob(versions)
-    blobs = addressed.groupBy("blob").agg(F.min("path").alias("path"))
+    # One path for each blob, and how many rows repeat the blob at that path.
+    blobs = (addressed.groupBy("blob", "path").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("blob").agg(F.min(F.struct("path", "n")).alias("m")).select("blob", "m.path", "m.n"))
     wanted = F.array(*[F.lit(r.name) for r in rules])
     if ledger is not None:
         current = F.array(*[F.concat_ws("@", F.lit(r.name), F.lit(r.version)) for r in rules])
@@ -107,13 +114,15 @@ def update_ledger(versions: DataFrame, rules: tuple[Rule, ...], ledger: DataFram
         wanted = F.transform(F.array_except(current, F.coalesce("known", F.array().cast("array<string>"))),
                              lambda x: F.element_at(F.split(x, "@"), 1))
     todo = scratch.write(blobs.withColumn("rules", wanted).filter(F.size("rules") > 0)
-                         .select("blob", "path", "rules"), "unseen")
+                         .select("blob", "path", "n", "rules"), "unseen")
     on = todo.withColumnsRenamed({"blob": "_blob", "path": "_path"})
-    # One text for each unseen blob: its smallest path (rows that repeat that path and
-    # text scan alike and are merged below).
+    # One text for each unseen blob: its smallest path. Rows that repeat that path and text
+    # are merged before the scan, where there are any.
     texts = addressed.join(on, F.col("path").eqNullSafe(F.col("_path")) & (F.col("blob") == F.col("_blob")))
-    new = scratch.write(scan_blobs(texts.select("blob", "text", "rules"), rules, scratch)
-                        .dropDuplicates(["blob", "rule", "rule_version"]), "ledger")
+    texts = texts.select("blob", "text", "rules")
+    if not todo.filter("n > 1").isEmpty():
+        texts = texts.groupBy("blob").agg(F.min("text").alias("text"), F.min("rules").alias("rules"))
+    new = scratch.write(scan_blobs(texts, rules, scratch), "ledger")
     return new if ledger is None else ledger.unionByName(new)
 
 
@@ -144,7 +153,11 @@ def _joined(found):
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, mask: str = "[SECRET]") -> DataFrame:
     """Every row and column of ``docs`` with each found span of ``text`` replaced by
-    ``mask``; overlapping spans share one mask. A null text stays null."""
+    ``mask``; overlapping spans share one mask. A null text stays null. ``docs`` may not
+    have columns ``_blob`` or ``_spans``."""
+    clash = [c for c in docs.columns if c in ("_blob", "_spans")]
+    if clash:
+        raise ValueError(f"columns clash with working columns: {clash}")
     scratch = Scratch(docs.sparkSession, "secrets")
     versions = docs.select(F.col("doc_id").alias("path"), "text")
     ledger = update_ledger(versions, rules, scratch=scratch).filter(F.size("found") > 0)

@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -7,7 +10,7 @@ import pytest
 import sentencepiece
 
 from tests.llm.helpers import ODD_TEXTS, frame, read
-from wayfare.llm.segment import MARK, Segmenter, segment_documents, segment_query
+from wayfare.llm.segment import MARK, Path, Segmenter, segment_documents, segment_query
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -78,3 +81,33 @@ def test_odd_rows(spark):
     assert all(r["round_trip"] and len(r["ids"]) == r["n_pieces"] == len(r["pieces"]) for r in got)
     assert segment_query(frame(spark, [])).collect() == []
     assert np.isfinite([r["score"] for r in got]).all()
+
+
+def test_path_order_is_that_of_id_tuples():
+    rnd = random.Random(8)
+    paths = [Path()]
+    for _ in range(400):
+        paths.append(Path(rnd.choice(paths[-40:]), len(paths)))
+    for _ in range(3000):
+        a, b = rnd.choice(paths), rnd.choice(paths)
+        assert (a < b) == (a.ids()[::-1] < b.ids()[::-1])
+
+
+def test_long_runs_take_memory_in_proportion():
+    """100 000 letters without a cut, and as many equal signs, in a fresh process."""
+    code = f"""
+import random, resource, sys
+from wayfare.llm.segment import Segmenter
+seg = Segmenter(open({PATH!r}, "rb").read(), 4)
+rnd = random.Random(1)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for text in ("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)), "=" * 100_000):
+    found = seg.encode([text])[0]
+    assert len(found) == 4 and all(seg.decode(ids) == text for _, ids in found)
+    assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                          cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 500_000

@@ -9,8 +9,10 @@ path behind plus the best score before it, yields segmentations best first.
 A text's lattice is a chain of smaller ones wherever no piece can cross: before a word
 mark that follows other characters and, if the vocabulary mixes them in no piece, between
 Latin letters and other characters. Each link of the chain is searched once and remembered
-(up to a bounded number): its best path, and the cost of its next best one. The N best of the text change only the N - 1 links whose alternatives are
-cheapest; A-star gives those links' N best, and a heap their best sums.
+(up to a bounded number of links and characters): its best path, and the cost of its next
+best one. The N best of the text change only the N - 1 links whose alternatives are cheapest;
+A-star gives those links' N best, and a heap their best sums. Paths under search share their
+steps, so memory grows with a link's length, not its square.
 
 Decoding joins the pieces, turns runs of byte pieces into text, marks into spaces, and
 takes off the mark that encoding put in front.
@@ -23,6 +25,7 @@ are rows like others; extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import zlib
 from array import array
@@ -35,7 +38,8 @@ from wayfare.llm.shared import map_slices, worker_cache
 
 MARK = "▁"
 N_BEST = 4
-LINK_CACHE = 400_000
+# Links and characters that a worker remembers.
+LINK_CACHE, CACHE_CHARS = 1_200_000, 24_000_000
 UNKNOWN_PENALTY = 10.0
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff"
 LINKS = re.compile(f"{MARK}*[{_LATIN}]+|{MARK}*[^{_LATIN}{MARK}]+|{MARK}+")
@@ -83,14 +87,12 @@ class Lattice:
             elif start == end - 1:
                 yield start, self.unknown_ids(link[start]), self.unknown
 
-    def forward(self, link: str):
-        """(best score up to each position, edges into each position)."""
-        best, into = [0.0], [[]]
+    def forward(self, link: str) -> list[float]:
+        """The best score up to each position."""
+        best = [0.0]
         for end in range(1, len(link) + 1):
-            found = list(self.edges(link, end))
-            into.append(found)
-            best.append(max([best[start] + score for start, _, score in found]))
-        return best, into
+            best.append(max([best[start] + score for start, _, score in self.edges(link, end)]))
+        return best
 
     def best_path(self, link: str) -> tuple[float, tuple[int, ...], float]:
         """(score, ids, cost of the next best path or infinity): a forward pass that keeps
@@ -121,31 +123,74 @@ class Lattice:
                         second[end] = total
                 if got == 0:
                     break
-        ids, at = (), n
+        parts, at = [], n
         while at:
             at, own = back[at]
-            ids = own + ids
-        return best[n], ids, best[n] - second[n]
+            parts.append(own)
+        return best[n], tuple(itertools.chain.from_iterable(reversed(parts))), best[n] - second[n]
 
     def n_best(self, link: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """Up to ``n`` best (score, ids), best first, by backward A-star."""
-        best, into = self.forward(link)
-        # Entries: minus the full score, ids from the end backwards, position, score behind.
-        heap, out = [(-best[-1], (), len(link), 0.0)], []
+        """Up to ``n`` best (score, ids), best first, by backward A-star. Equal scores go by
+        the ids from the end."""
+        best = self.forward(link)
+        # Entries: minus the full score, the path from the end, position, score behind.
+        heap, out = [(-best[-1], Path(), len(link), 0.0)], []
         while heap and len(out) < n:
-            total, ids, at, behind = heapq.heappop(heap)
+            total, path, at, behind = heapq.heappop(heap)
             if at == 0:
-                out.append((-total, ids[::-1]))
+                out.append((-total, path.ids()))
                 continue
-            for start, got, score in into[at]:
-                heapq.heappush(heap, (-(best[start] + (score + behind)), ids + got[::-1], start, score + behind))
+            for start, got, score in self.edges(link, at):
+                longer = path
+                for piece in reversed(got):
+                    longer = Path(longer, piece)
+                heapq.heappush(heap, (-(best[start] + (score + behind)), longer, start, score + behind))
         return out
 
 
+class Path:
+    """Ids from the end of a link on: one step, its parent, and a jump further back, so
+    that entries share what they have in common and compare in logarithmic time."""
+
+    __slots__ = ("parent", "jump", "size", "piece")
+
+    def __init__(self, parent: Path | None = None, piece: int = -1):
+        self.piece, self.parent = piece, self if parent is None else parent
+        if parent is None:
+            self.jump, self.size = self, 0
+            return
+        self.size, far = parent.size + 1, parent.jump
+        self.jump = far.jump if parent.size - far.size == far.size - far.jump.size else parent
+
+    def upto(self, size: int) -> Path:
+        path = self
+        while path.size > size:
+            path = path.jump if path.jump.size >= size else path.parent
+        return path
+
+    def __lt__(self, other: Path) -> bool:
+        size = min(self.size, other.size)
+        a, b = self.upto(size), other.upto(size)
+        if a is b:
+            return self.size < other.size
+        while a.parent is not b.parent:
+            a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.parent, b.parent)
+        return a.piece < b.piece
+
+    def ids(self) -> tuple[int, ...]:
+        """From the start of the link."""
+        out, path = [], self
+        while path.size:
+            out.append(path.piece)
+            path = path.parent
+        return tuple(out)
+
+
 class _Index(dict):
     def __missing__(self, link: str) -> int:
         number = self[link] = len(self)
         self.new.append(link)
+        self.chars += len(link)
         return number
 
 
@@ -158,7 +203,7 @@ class Segmenter:
 
     def clear(self) -> None:
         self.index, self.others = _Index(), {}
-        self.index.new = []
+        self.index.new, self.index.chars = [], 0
         self.arrays = None
         self.score, self.cost, self.start, self.size, self.pool = map(array, "ddqqI")
 
@@ -175,17 +220,20 @@ class Segmenter:
 
     def encode(self, texts: list[str | None]) -> list[list[tuple[float, np.ndarray]]]:
         """For each whole text up to n best (score, ids), best first."""
-        return self.encode_normalized([self.lattice.normalize(t) if t else "" for t in texts])
+        found = self.encode_normalized([self.lattice.normalize(t) if t else "" for t in texts])
+        return [[(score, ids) for score, ids, _ in ways] for ways in found]
 
-    def encode_normalized(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
-        if len(self.index) > LINK_CACHE:
+    def encode_normalized(self, texts: list[str]) -> list[list[tuple[float, np.ndarray, bool]]]:
+        """(score, ids, whether the links that differ from the first way's decode to their
+        text), up to n for each text."""
+        if len(self.index) > LINK_CACHE or self.index.chars > CACHE_CHARS:
             self.clear()
         links = [self.lattice.links.findall(t) for t in texts]
         numbers = [np.fromiter(map(self.index.__getitem__, x), np.int64, len(x)) for x in links]
         self._learn()
-        return [self._text(x, k) if x else [(0.0, np.zeros(0, np.uint32))] for x, k in zip(links, numbers)]
+        return [self._text(x, k) if x else [(0.0, np.zeros(0, np.uint32), True)] for x, k in zip(links, numbers)]
 
-    def _text(self, links: list[str], numbers: np.ndarray) -> list[tuple[float, np.ndarray]]:
+    def _text(self, links: list[str], numbers: np.ndarray) -> list[tuple[float, np.ndarray, bool]]:
         score, cost, start, size, pool = self.arrays
         size = size[numbers]
         ends = np.cumsum(size)
@@ -201,11 +249,12 @@ class Segmenter:
         out, seen, heap = [], {()}, [(0.0, ())]  # (cost, ((link, alternative), ...))
         while heap and len(out) < self.n:
             spent, change = heapq.heappop(heap)
-            parts, at = [], 0
+            parts, at, same = [], 0, True
             for k, alternative in change:
                 parts += [ids[at:ends[k] - size[k]], choices[k][alternative][1]]
+                same = same and choices[k][alternative][2]
                 at = ends[k]
-            out.append((base - spent, np.concatenate([*parts, ids[at:]])))
+            out.append((base - spent, np.concatenate([*parts, ids[at:]]) if change else ids, same))
             chosen = dict(change)
             for k, found in choices.items():
                 alternative = chosen.get(k, -1) + 1
@@ -216,21 +265,27 @@ class Segmenter:
                         heapq.heappush(heap, (sum(choices[w][a][0] for w, a in key), key))
         return out
 
-    def _others(self, link: str) -> list[tuple[float, np.ndarray]]:
-        """(cost, ids) of a link's paths after its best one."""
+    def _others(self, link: str) -> list[tuple[float, np.ndarray, bool]]:
+        """(cost, ids, whether they decode to the link) of a link's paths after its best."""
         if link not in self.others:
             got = self.lattice.n_best(link, self.n)
-            self.others[link] = [(got[0][0] - s, np.array(ids, np.uint32)) for s, ids in got[1:]]
+            ways = [(got[0][0] - s, np.array(ids, np.uint32)) for s, ids in got[1:]]
+            self.index.chars += len(link) * len(got)
+            self.others[link] = [(cost, ids, self._pieces(ids) == link) for cost, ids in ways]
         return self.others[link]
 
     def decode(self, ids) -> str:
         """The normalised text of ``ids``, marks as spaces and without the first mark."""
+        text = self._pieces(ids)
+        if self.lattice.add_mark and text.startswith(MARK):
+            text = text[1:]
+        return text.replace(MARK, " ")
+
+    def _pieces(self, ids) -> str:
+        """The pieces of ``ids`` joined, runs of byte pieces as the text of their bytes."""
         ids = np.asarray(ids, dtype=np.int64)
         if not self.lattice.high_byte[ids].any():
-            text = "".join(map(self.lattice.plain.__getitem__, ids.tolist()))
-            if self.lattice.add_mark and text.startswith(MARK):
-                text = text[1:]
-            return text.replace(MARK, " ")
+            return "".join(map(self.lattice.plain.__getitem__, ids.tolist()))
         out, run = [], bytearray()
         for k in ids:
             byte = self.lattice.byte_of.get(int(k))
@@ -243,10 +298,7 @@ class Segmenter:
             out.append(self.lattice.text[int(k)])
         if run:
             out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
-        if self.lattice.add_mark and text.startswith(MARK):
-            text = text[1:]
-        return text.replace(MARK, " ")
+        return "".join(out)
 
 
 def segment_documents(docs: DataFrame, model_path: str, n: int = N_BEST, with_pieces: bool = False) -> DataFrame:
@@ -267,11 +319,13 @@ def segment_documents(docs: DataFrame, model_path: str, n: int = N_BEST, with_pi
                 plain = text.replace(MARK, " ")
                 if lattice.add_mark and plain.startswith(" "):
                     plain = plain[1:]
-                for rank, (score, ids) in enumerate(found, 1):
+                first = segmenter.decode(found[0][1]) == plain
+                for rank, (score, ids, same) in enumerate(found, 1):
                     out["doc_id"].append(doc_id), out["rank"].append(rank), out["score"].append(score)
                     out["n_pieces"].append(len(ids))
                     out["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))
-                    out["round_trip"].append(segmenter.decode(ids) == plain)
+                    # Beyond the links that differ, the ids are the first way's, just decoded.
+                    out["round_trip"].append((first and same) if first or rank == 1 else segmenter.decode(ids) == plain)
                     if with_pieces:
                         out["ids"].append(ids.astype(np.int32))
                         out["pieces"].append([lattice.text[k] for k in ids])

@@ -51,8 +51,11 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
             extra[:len(ranks)] += ranks > bound
     control = extra[0::4] | extra[1::4] << 2 | extra[2::4] << 4 | extra[3::4] << 6
     width = int(extra.max(initial=0)) + 1
-    used = np.arange(width, dtype=np.uint8) <= extra[:len(ranks), None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[:, :width][used].tobytes()
+    used = np.empty((len(ranks), width), dtype=bool)
+    for k in range(width):
+        used[:, k] = extra[:len(ranks)] >= k
+    data = ranks.astype("<u2").view(np.uint8) if width == 2 else ranks.view(np.uint8).reshape(-1, 4)[:, :width].ravel()
+    return control.tobytes(), np.compress(used.ravel(), data).tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -120,13 +123,20 @@ def _stage_ids(docs: DataFrame, model: str, end_id: int, parts: int) -> DataFram
     return ordered.mapInArrow(run, STAGED)
 
 
-def _frequencies(staged: DataFrame) -> DataFrame:
+def _frequencies(staged: DataFrame, parts: int) -> DataFrame:
+    """(id, n): the parts' counts are summed as arrays, many parts to a task, before rows of
+    one id each are made."""
     def run(batches):
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for counts in batch.column(0):
                 pairs = np.frombuffer(counts.as_buffer(), dtype="<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["id", "n"])
-    counts = staged.filter(F.col("block") == COUNTS).select("ids")
+                if len(pairs) and pairs[-1, 0] >= len(total):
+                    total = np.concatenate([total, np.zeros(int(pairs[-1, 0]) + 1 - len(total), np.int64)])
+                total[pairs[:, 0]] += pairs[:, 1]
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
+    counts = staged.filter("counts").select("ids").coalesce(max(4, parts // 64))
     return counts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -139,9 +149,14 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     scratch = Scratch(spark, "tokens")
     model = read_tokenizer(tokenizer_path)
     id_type = _id_type(model, end_id)
-    staged = scratch.write(_stage_ids(docs, model, end_id, parts), "ids")
-    blocks = staged.filter(F.col("block") != COUNTS)
-    ranked = sorted(((r["n"], r["id"]) for r in _frequencies(staged).collect()), key=lambda x: (-x[0], x[1]))
+    # Counts lie in a folder of their own: reading them touches no ids.
+    path = f"{scratch.root}/ids"
+    (_stage_ids(docs, model, end_id, parts).withColumn("counts", F.col("block") == COUNTS)
+     .write.partitionBy("counts").parquet(path))
+    staged = spark.read.schema(f"{STAGED}, counts boolean").parquet(path)
+    staged.scratch_path = path
+    blocks = staged.filter("NOT counts").drop("counts")
+    ranked = sorted(((r["n"], r["id"]) for r in _frequencies(staged, parts).collect()), key=lambda x: (-x[0], x[1]))
     ids = [i for _, i in ranked]
     spark.createDataFrame(list(enumerate(ids)), "rank int, id int").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(max(ids, default=0) + 1, dtype=np.uint32)

@@ -59,7 +59,7 @@ from wayfare.sinks import (
     vacuum_events,
     with_event_day,
 )
-from wayfare.schemas import EVENT_FIELDS, OTHER_STATUS_WEIGHT, RAW_CSV_HEADERS, STATUS_WEIGHTS
+from wayfare.schemas import ALS_RANK, EVENT_FIELDS, OTHER_STATUS_WEIGHT, RAW_CSV_HEADERS, STATUS_WEIGHTS
 from wayfare.sources.fixtures import (
     EVENT_TYPE_STATUS,
     ORDER_STATUS_STATUS,
@@ -500,13 +500,24 @@ def q_als_recommendation_counts_orders(spark, d):
     return _recommendation_counts(q_als_recommendations_orders(spark, d), _orders_inter(spark, d))
 
 
+def _unseen_overlap(recs, inter):
+    seen = inter.select(F.col("passengerId").alias("passenger_id"),
+                        F.col("arrivalAirport").alias("arrival_airport_code"), F.lit(1).alias("_seen"))
+    return (recs.join(seen, ["passenger_id", "arrival_airport_code"], "left")
+            .groupBy("passenger_id").agg(F.count(F.lit(1)).alias("n_recs"), F.count("_seen").alias("n_seen")))
+
+
 def q_als_unseen_overlap(spark, d):
     """M8 on the job: no recommended airport is in the passenger's history, and each
     passenger gets min(K, airports never visited)."""
-    seen = _inter(spark, d).select(F.col("passengerId").alias("passenger_id"),
-                                   F.col("arrivalAirport").alias("arrival_airport_code"), F.lit(1).alias("_seen"))
-    return (q_als_recommendations_unseen(spark, d).join(seen, ["passenger_id", "arrival_airport_code"], "left")
-            .groupBy("passenger_id").agg(F.count(F.lit(1)).alias("n_recs"), F.count("_seen").alias("n_seen")))
+    return _unseen_overlap(q_als_recommendations_unseen(spark, d), _inter(spark, d))
+
+
+def q_als_unseen_overlap_blocks(spark, d):
+    """The same with the catalogue in blocks of ten airports: histories as one bitmap for
+    each passenger and block, blocks in falling length, passengers leaving when finished."""
+    return _unseen_overlap(_run(spark, d, lookback_days=LOOKBACK, exclude_seen=True, block_bytes=4 * ALS_RANK * 10),
+                           _inter(spark, d))
 
 
 def q_als_eval(spark, d):
@@ -565,6 +576,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recommendation_counts": q_als_recommendation_counts,
     "als_recommendation_counts_orders": q_als_recommendation_counts_orders,
     "als_unseen_overlap": q_als_unseen_overlap,
+    "als_unseen_overlap_blocks": q_als_unseen_overlap_blocks,
     "stream_quarantine_readback": q_stream_quarantine_readback,
     "table_scan_by_name": q_table_scan_by_name,
     "compacted_events_by_day": q_compacted_events_by_day,
@@ -873,6 +885,7 @@ def oracle_sql() -> dict[str, str]:
         "interaction_strength_rollup": _inter_sql(),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
+    sql["als_unseen_overlap_blocks"] = sql["als_unseen_overlap"]
     if llm_queries is not None:
         sql |= llm_queries.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL:

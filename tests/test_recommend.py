@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from wayfare.operators._scoring import merge_top, unpack
-from wayfare.operators.recommend import fit_als, make_als, recommend_top_n
+from wayfare.operators.recommend import _item_blocks, fit_als, make_als, recommend_top_n, score_top_n, seen_bitmaps
+from wayfare.plans.inspect import physical_plan
 
 
 def _brute(ids, mat, feats, n, seen=()):
@@ -21,12 +22,14 @@ def test_top_n_exact_with_ties_seen_items_and_blocks():
         mat = rng.integers(-1, 2, size=(n_items, 4)).astype(np.float64)  # many exact ties
         feats = rng.integers(-1, 2, size=(30, 4)).astype(np.float32)
         pairs = [(int(r), int(i)) for r, i in zip(rng.integers(0, 30, 200), rng.choice(ids, 200))]
-        seen = (np.array([r for r, _ in pairs]), np.array([i for _, i in pairs]))
+        hidden = np.zeros((30, n_items), dtype=bool)
+        for r, i in pairs:
+            hidden[r, i // 3] = True
         want = _brute(ids, mat, feats, 5, set(pairs))
         for block in (n_items, 7, 1):  # one block or many: the same answer
             best = np.zeros((30, 5), dtype=np.uint64)
             for at in range(0, n_items, block):
-                best = merge_top(feats, ids[at:at + block], mat[at:at + block], 5, best, seen)
+                best = merge_top(feats, ids[at:at + block], mat[at:at + block], 5, best, hidden[:, at:at + block])
             got = [[(float(s), int(i)) for s, i in zip(*unpack(row[row != 0]))] for row in best]
             assert got == want
     with pytest.raises(ValueError):
@@ -148,3 +151,59 @@ print("ROWS", len(rows))
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=300)
     assert "ROWS 12" in out.stdout, out.stderr[-2000:]
+
+
+def _factors(spark, vectors):
+    return spark.createDataFrame([(k, [float(x) for x in v]) for k, v in vectors.items()], "id int, features array<float>")
+
+
+def _check_top_n(users, items, got, n, seen=()):
+    ids = sorted(items)
+    mat = np.array([items[i] for i in ids], dtype=np.float32).astype(np.float64)
+    for u, f in users.items():
+        scores = (mat @ np.array(f, dtype=np.float32).astype(np.float64)).astype(np.float32)
+        want = [ids[j] for j in sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j])) if (u, ids[j]) not in seen][:n]
+        assert [got.get(u, {}).get(r) for r in range(1, len(want) + 1)] == want and len(got.get(u, {})) == len(want)
+
+
+def test_users_stop_at_the_block_that_cannot_matter(spark):
+    """Few long items and many short ones: after the first blocks nobody goes on, and the
+    items are those of one pass, ties included."""
+    rng = np.random.default_rng(4)
+    items = {int(k) * 7: rng.integers(-2, 3, 4) * (40 if k < 30 else 1) for k in range(400)}
+    users = {u: rng.integers(-2, 3, 4) for u in range(60)}
+    users[60] = np.zeros(4)  # scores nothing: every item ties, so every block may matter
+    uf, itf = _factors(spark, users), _factors(spark, items)
+    scored = []
+    got = _items(score_top_n(uf, itf, 5, block_bytes=4 * 4 * 20, scored=scored))
+    _check_top_n(users, items, got, 5)
+    assert scored[0] == 61 and scored[2] < 61 and scored[-1] >= 1 and len(scored) == 20
+    scored = []
+    few = _items(score_top_n(uf.filter("id < 60"), itf, 5, block_bytes=4 * 4 * 20, scored=scored))
+    assert few == {u: v for u, v in got.items() if u < 60}
+    assert sum(scored) < 0.5 * 60 * 20, scored  # of the user passes that all blocks would take
+    assert _items(score_top_n(uf, itf, 5)) == got
+
+
+def test_seen_bitmaps_over_blocks(spark):
+    rng = np.random.default_rng(5)
+    items = {int(k): rng.normal(size=3) * (1 + k % 5) for k in range(90)}
+    users = {u: rng.normal(size=3) for u in range(25)}
+    seen = {(int(u), int(i)) for u, i in zip(rng.integers(0, 25, 900), rng.integers(0, 95, 900))}
+    seen |= {(3, i) for i in range(88)} | {(4, i) for i in range(90)}  # two and no items left
+    uf, itf = _factors(spark, users), _factors(spark, items)
+    history = spark.createDataFrame(sorted(seen) + sorted(seen)[:50], "user_index int, item_index int")
+    for block_bytes in (4 * 3 * 9, 4 * 3 * 90, 1 << 20):  # ten blocks, one, and one with room
+        got = _items(score_top_n(uf, itf, 5, history, block_bytes=block_bytes))
+        _check_top_n(users, items, got, 5, seen)
+        assert len(got[3]) == 2 and 4 not in got
+    items_of, blocks, by_id = _item_blocks(itf, 9)
+    plan = physical_plan(seen_bitmaps(history, items_of, blocks, by_id))
+    assert blocks == 10 and not by_id and "bitmap" not in plan  # written once: passes read their own block
+    assert "block" in plan
+
+
+def test_no_items_and_no_users(spark):
+    none, one = spark.createDataFrame([], "id int, features array<float>"), _factors(spark, {0: [1.0]})
+    assert score_top_n(one, none, 3).collect() == [] and score_top_n(none, one, 3).collect() == []
+    assert len(score_top_n(one, one, 3).collect()) == 1

@@ -21,13 +21,13 @@ SCORE_CELLS_PER_CHUNK = 4_000_000
 _SIGN, _LOW = np.uint32(0x80000000), np.uint64(0xFFFFFFFF)
 
 
-def factor_matrix(table) -> tuple[np.ndarray, np.ndarray]:
-    """(ids ascending, factors in that order) of an Arrow table (id, features)."""
-    ids = table.column("id").to_numpy().astype(np.int64)
+def factor_matrix(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, slots, factors) of an Arrow table (id, slot, features), in the order of slots."""
+    ids, slots = (table.column(c).to_numpy().astype(np.int64) for c in ("id", "slot"))
     features = table.column("features").combine_chunks()
     matrix = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
-    order = np.argsort(ids)
-    return ids[order], matrix[order]
+    order = np.argsort(slots)
+    return ids[order], slots[order], matrix[order]
 
 
 def pack(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -45,19 +45,17 @@ def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merge_top(feats: np.ndarray, ids: np.ndarray, matrix: np.ndarray, n: int, best: np.ndarray | None = None,
-              seen: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+              hidden: np.ndarray | None = None) -> np.ndarray:
     """The n best packed items per row of ``feats``, best first, 0 where there are fewer.
 
-    ``best`` holds packed items found before; ``seen`` is (rows, item ids) to leave out.
-    Products are summed in double precision and rounded, so that the way a matrix product
-    is cut up does not decide ties."""
+    ``best`` holds packed items found before; ``hidden`` (rows x items) marks those to leave
+    out. Products are summed in double precision and rounded, so that the way a matrix
+    product is cut up does not decide ties."""
     if not (np.isfinite(feats).all() and np.isfinite(matrix).all()):
         raise ValueError("factors must be finite")
     packed = pack((feats.astype(np.float64) @ matrix.T).astype(np.float32), ids)
-    if seen is not None and len(seen[0]):
-        at = np.searchsorted(ids, seen[1])
-        known = (at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == seen[1])
-        packed[seen[0][known], at[known]] = 0
+    if hidden is not None:
+        packed[hidden] = 0
     if best is not None:
         packed = np.concatenate([packed, best], axis=1)
     k = min(n, packed.shape[1])
@@ -65,6 +63,18 @@ def merge_top(feats: np.ndarray, ids: np.ndarray, matrix: np.ndarray, n: int, be
     return np.sort(top, axis=1)[:, ::-1]
 
 
+def hidden_items(masks: pd.Series, slots: np.ndarray) -> np.ndarray | None:
+    """(rows x slots) booleans from a column of bitmaps or nulls, lowest bit first."""
+    known = np.flatnonzero(masks.notna().to_numpy())
+    if not len(known):
+        return None
+    bits = np.unpackbits(np.frombuffer(b"".join(masks.iloc[known]), dtype=np.uint8).reshape(len(known), -1),
+                         axis=1, bitorder="little")
+    out = np.zeros((len(masks), len(slots)), dtype=bool)
+    out[known] = bits[:, slots]
+    return out
+
+
 def _lists(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """(row numbers, values) of a column of lists or nulls."""
     arrays = [np.empty(0, np.int64) if x is None else np.asarray(x, dtype=np.int64) for x in column]
@@ -72,9 +82,10 @@ def _lists(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(arrays)), sizes), np.concatenate(arrays) if arrays else np.empty(0, np.int64)
 
 
-def score_batches(batches, ids: np.ndarray, matrix: np.ndarray, n: int):
-    """Merge one block of items into each Arrow batch of (id, features, best, seen)."""
-    step = max(1, SCORE_CELLS_PER_CHUNK // len(ids))
+def score_batches(batches, ids: np.ndarray, slots: np.ndarray, matrix: np.ndarray, n: int):
+    """Merge one block of items into each Arrow batch of (id, features, norm, best, mask);
+    ``nth`` is the score that a further item must reach."""
+    step = max(1, SCORE_CELLS_PER_CHUNK // max(len(ids), 1 << 15))
     for frame in batches:
         for start in range(0, len(frame), step):
             part = frame.iloc[start:start + step]
@@ -84,9 +95,10 @@ def score_batches(batches, ids: np.ndarray, matrix: np.ndarray, n: int):
             if len(rows):
                 place = np.arange(len(rows)) - np.searchsorted(rows, rows)
                 best[rows, place] = values.view(np.uint64)
-            top = merge_top(feats, ids, matrix, n, best, _lists(part["seen"]))
-            yield pd.DataFrame({"id": part["id"].to_numpy(), "features": list(feats),
-                                "best": list(top.view(np.int64))})
+            top = merge_top(feats, ids, matrix, n, best, hidden_items(part["mask"], slots))
+            nth = np.where(top[:, -1] == 0, -np.inf, unpack(top[:, -1])[0].astype(np.float64))
+            yield pd.DataFrame({"id": part["id"].to_numpy(), "features": list(feats), "norm": part["norm"].to_numpy(),
+                                "best": list(top.view(np.int64)), "nth": nth})
 
 
 def emit_batches(batches):

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.operators._scoring import emit_batches, factor_matrix, score_batches
+from wayfare.operators.indexing import number_rows
+from wayfare.operators.joins import broadcast_if_small
 from wayfare.schemas import ALS_ALPHA, ALS_BLOCKS, ALS_MAX_ITER, ALS_RANK, ALS_REG, TOP_K
-from wayfare.session import checkpoint_root
+from wayfare.session import checkpoint_root, scratch_path
 
 # Item factors scored in one pass: this many bytes reach the driver and each executor.
 ITEM_BLOCK_BYTES = 16 * 1024 * 1024
+# Places in one of Spark's bitmaps.
+BITMAP_BITS = 8 * 4096
 
 
 def make_als(rank: int = ALS_RANK, reg: float = ALS_REG, alpha: float = ALS_ALPHA,
@@ -37,51 +42,109 @@ def fit_als(indexed: DataFrame, **als_params) -> ALSModel:
     return make_als(**als_params).fit(indexed.select("user_index", "item_index", "rating"))
 
 
+def _length(features: str = "features") -> Column:
+    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+
+
+def _item_blocks(item_factors: DataFrame, room: int) -> tuple[DataFrame, int, bool]:
+    """(items with block and slot, number of blocks, whether slots are ids).
+
+    Items that fit one block keep their ids as slots. A larger catalogue is numbered by
+    falling length and written once, a folder for each block."""
+    spark = item_factors.sparkSession
+    last = item_factors.agg(F.max("id")).first()[0]
+    items = item_factors.select("id", "features")
+    if last is None or last < room:
+        return items.withColumn("slot", F.col("id")).withColumn("block", F.lit(0)), int(last is not None), True
+    numbered, sizes = number_rows(items.withColumn("_length", _length()), [F.col("_length").desc(), F.col("id").asc()], "_place")
+    path = scratch_path(spark, "item-blocks")
+    (numbered.select("id", "features", (F.col("_place") % room).alias("slot"), F.floor(F.col("_place") / room).cast("int").alias("block"))
+     .write.partitionBy("block").parquet(path))
+    return (spark.read.schema("id int, features array<float>, slot int, block int").parquet(path),
+            -(-sizes.get(0, 0) // room), False)
+
+
+def seen_bitmaps(seen: DataFrame, items: DataFrame, blocks: int, by_id: bool) -> DataFrame:
+    """(id, block, mask): for each user and block of items one bitmap of the slots that the
+    user has seen, from one pass over ``seen`` (user_index, item_index). Repeated pairs and
+    items without factors do no harm. Several blocks are written, a folder for each."""
+    pairs = seen.select(F.col("user_index").alias("id"), F.col("item_index"))
+    if by_id:
+        placed = pairs.join(F.broadcast(items.agg(F.max("id").alias("_last"))), F.col("item_index") <= F.col("_last")).select(
+            "id", F.lit(0).alias("block"), F.col("item_index").alias("slot"))
+    else:
+        slots = items.select(F.col("id").alias("item_index"), "slot", "block")
+        placed = pairs.join(broadcast_if_small(slots), "item_index")
+    masks = placed.groupBy("id", "block").agg(F.bitmap_construct_agg(F.col("slot").cast("long")).alias("mask"))
+    if blocks == 1:
+        return masks
+    path = scratch_path(seen.sparkSession, "seen")
+    masks.write.partitionBy("block").parquet(path)
+    return seen.sparkSession.read.schema("id int, mask binary, block int").parquet(path)
+
+
 def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int, seen: DataFrame | None = None,
-                block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+                block_bytes: int = ITEM_BLOCK_BYTES, scored: list[int] | None = None) -> DataFrame:
     """Exact top-n items per user from factor tables (id, features): score descending,
     ties to the smaller item id, at any catalogue size.
 
-    Items go by id range in blocks of ``block_bytes``. A pass broadcasts one block, and
-    each task scores its users against it and merges the result into each user's running
-    n best; no (user, item) table exists. ``seen`` (user_index, item_index) is masked
-    inside the blocks: a pass gathers only a user's seen items of its own block. Between
-    passes the running lists are checkpointed; a catalogue of one block needs one pass."""
+    Items go in blocks of ``block_bytes``, the longest factors first. A pass broadcasts one
+    block, and each task scores its users against it and merges the result into each user's
+    running n best; no (user, item) table exists. A score is at most the product of both
+    lengths, so a user whose n-th score is above the product with the next block's longest
+    item is finished: no later block can change its list. Only the others go on, and the
+    passes end with them. ``scored`` receives the number of users of each pass.
+
+    ``seen`` (user_index, item_index) is read once, into a bitmap for each user and block.
+    Between passes the lists of those who go on are checkpointed."""
     spark = user_factors.sparkSession
     checkpoint_root(spark)
-    facts = item_factors.agg(F.max("id").alias("last"), F.max(F.size("features")).alias("rank")).first()
-    rows = user_factors.select("id", "features").withColumn("best", F.lit(None).cast("array<long>"))
-    last = -1 if facts["last"] is None else facts["last"]
-    per_block = max(1, block_bytes // (4 * (facts["rank"] or 1)))
-    for low in range(0, last + 1, per_block):
-        block = item_factors.filter((F.col("id") >= low) & (F.col("id") < low + per_block))
-        ids, matrix = factor_matrix(block.select("id", "features").toArrow())
-        if not len(ids):
-            continue
-        shared = spark.sparkContext.broadcast((ids, matrix))
-        if seen is None:
-            rows = rows.withColumn("seen", F.lit(None).cast("array<long>"))
-        else:
-            own = (seen.filter((F.col("item_index") >= low) & (F.col("item_index") < low + per_block))
-                   .groupBy(F.col("user_index").alias("id"))
-                   .agg(F.collect_set(F.col("item_index").cast("long")).alias("seen")))
-            rows = rows.join(own, "id", "left")
-        rows = _scored(rows, shared, n)
-        if low + per_block <= last:
+    rank = item_factors.agg(F.max(F.size("features"))).first()[0] or 1
+    room = max(1, block_bytes // (4 * rank))
+    if seen is not None:
+        room = min(room, BITMAP_BITS)
+    items, blocks, by_id = _item_blocks(item_factors, room)
+    masks = None if seen is None else seen_bitmaps(seen, items, blocks, by_id)
+    rows = user_factors.select("id", "features", _length().alias("norm"), F.lit(None).cast("array<long>").alias("best"),
+                               F.lit(float("-inf")).alias("nth"))
+    finished = []
+    for block in range(blocks):
+        part = items.filter(F.col("block") == block).select("id", "slot", "features")
+        ids, slots, matrix = factor_matrix(part.toArrow())
+        if block:
+            # Both lengths and the product are rounded: a margin far above that.
+            reach = F.col("norm") * float(np.linalg.norm(matrix, axis=1).max()) * (1 + 1e-6)
+            finished.append(rows.filter(reach < F.col("nth")))
+            rows = rows.filter(reach >= F.col("nth"))
+        if block or scored is not None:
+            users = rows.count()
+            if not users:
+                break
+            if scored is not None:
+                scored.append(users)
+        masked = rows.withColumn("mask", F.lit(None).cast("binary")) if masks is None else rows.join(
+            masks.filter(F.col("block") == block).select("id", "mask"), "id", "left")
+        shared = spark.sparkContext.broadcast((ids, slots, matrix))
+        rows = _scored(masked, shared, n)
+        if block + 1 < blocks:
             rows = rows.checkpoint()
+            shared.unpersist()
+    for other in finished:
+        rows = rows.unionByName(other)
     return rows.select("id", "best").mapInPandas(emit_batches, "user_index int, item_index int, score double, rank int")
 
 
 def _scored(rows: DataFrame, shared, n: int) -> DataFrame:
-    """``rows`` (id, features, best, seen) with ``best`` merged with one block of items."""
+    """``rows`` (id, features, norm, best, mask) with ``best`` merged with one block of items."""
     def run(batches):
         return score_batches(batches, *shared.value, n)
-    return rows.select("id", "features", "best", "seen").mapInPandas(
-        run, "id int, features array<float>, best array<long>")
+    return rows.select("id", "features", "norm", "best", "mask").mapInPandas(
+        run, "id int, features array<float>, norm double, best array<long>, nth double")
 
 
 def recommend_top_n(model: ALSModel, n: int = TOP_K, users: DataFrame | None = None,
-                    seen: DataFrame | None = None, block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+                    seen: DataFrame | None = None, block_bytes: int = ITEM_BLOCK_BYTES,
+                    scored: list[int] | None = None) -> DataFrame:
     """M6 + P7 + P8: top-n items per user as rows (user_index, item_index, score, rank).
 
     ``users`` (a column ``user_index``) restricts the users scored; ``seen`` (user_index,
@@ -90,4 +153,4 @@ def recommend_top_n(model: ALSModel, n: int = TOP_K, users: DataFrame | None = N
     user_factors = model.userFactors
     if users is not None:
         user_factors = user_factors.join(users.select(F.col("user_index").alias("id")), "id", "left_semi")
-    return score_top_n(user_factors, model.itemFactors, n, seen, block_bytes)
+    return score_top_n(user_factors, model.itemFactors, n, seen, block_bytes, scored)

@@ -461,6 +461,26 @@ def q_publish_readback(spark, d):
     return scan_recommendations(spark, target)
 
 
+def _served(spark, d):
+    """The history published as two appending runs with the serving layout."""
+    target = scratch_path(spark, "served")
+    ev, lk = _events(spark, d), _lookup(spark, d)
+    for as_of, run_at, days in ((EARLY_AS_OF, EARLY_RUN_AT, LOOKBACK), (AS_OF, RUN_AT, LATE_LOOKBACK)):
+        publish_recommendations(stand_in_recommendations(ev, lk, as_of, run_at, days, K), target, mode="append", buckets=16)
+    return target
+
+
+def q_served_passenger_list(spark, d):
+    """E9 for a list of passengers on published runs: only their buckets are read."""
+    cust = load_table(spark, d, "customer").filter(F.col("c_mktsegment") == "HOUSEHOLD").select("c_custkey")
+    return latest_recommendations(scan_recommendations(spark, _served(spark, d), passengers=cust))
+
+
+def q_served_day(spark, d):
+    """E10 on published runs: only the day's folders are read."""
+    return recommendations_on(scan_recommendations(spark, _served(spark, d), day=SERVE_DAY), SERVE_DAY)
+
+
 def q_als_recommendations(spark, d):
     return _run(spark, d, lookback_days=LOOKBACK)
 
@@ -569,6 +589,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_append_readback": q_batch_append_readback,
     "lake_interactions": q_lake_interactions,
     "publish_readback": q_publish_readback,
+    "served_passenger_list": q_served_passenger_list,
+    "served_day": q_served_day,
     "als_recommendations": q_als_recommendations,
     "als_recommendations_full": q_als_recommendations_full,
     "als_recommendations_orders": q_als_recommendations_orders,
@@ -885,6 +907,8 @@ def oracle_sql() -> dict[str, str]:
         "interaction_strength_rollup": _inter_sql(),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
+    sql["served_day"] = sql["recommendations_on_day"]
+    sql["served_passenger_list"] = sql["latest_for_passenger_list"]
     sql["als_unseen_overlap_blocks"] = sql["als_unseen_overlap"]
     if llm_queries is not None:
         sql |= llm_queries.ORACLE_SQL

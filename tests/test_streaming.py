@@ -118,3 +118,50 @@ def test_failed_batch_is_replayed_exactly_once(spark, tmp_path):
     expected = ev.withColumn("event_day", F.to_date("timestamp"))
     assert back.count() == expected.count()
     assert _rows(back.select(*expected.columns)) == _rows(expected)
+
+
+def test_flush_options_reach_the_reader(spark, monkeypatch):
+    import pytest
+    from pyspark.sql.streaming import DataStreamReader
+    seen = {}
+    monkeypatch.setattr(DataStreamReader, "option", lambda self, k, v: seen.update({k: v}) or self)
+    monkeypatch.setattr(DataStreamReader, "load", lambda self, *a: spark.createDataFrame([], "value binary"))
+    stream_payloads(spark, "kafka", "topic", max_per_trigger=5000, min_per_trigger=1000, max_delay="2m")
+    assert seen == {"subscribe": "topic", "startingOffsets": "earliest", "maxOffsetsPerTrigger": 5000,
+                    "minOffsetsPerTrigger": 1000, "maxTriggerDelay": "2m"}
+    seen.clear()
+    stream_payloads(spark, "kafka", "topic", max_per_trigger=None, min_per_trigger=1000)
+    assert seen["maxTriggerDelay"] == "30s" and "maxOffsetsPerTrigger" not in seen
+    for bad in ({"fmt": "kafka", "max_bytes": 5}, {"fmt": "text", "min_per_trigger": 5}, {"fmt": "text", "max_delay": "1s"},
+                {"fmt": "kafka", "min_per_trigger": 10, "max_per_trigger": 5}):
+        with pytest.raises(ValueError):
+            stream_payloads(spark, location="x", **bad)
+
+
+def test_uneven_files_are_bounded_by_bytes(spark, tmp_path):
+    good = [r.value for r in encode_events(_normalized(spark).limit(60)).collect()]
+    os.makedirs(tmp_path / "topic")
+    for k, lines in enumerate([good[:40], good[40:42], good[42:44], good[44:46], good[46:]]):
+        (tmp_path / "topic" / f"p{k}.txt").write_text("\n".join(lines) + "\n")
+        os.utime(tmp_path / "topic" / f"p{k}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+    bound = 3 * sum(map(len, good[:6])) // 2
+    qs = ingest_stream(stream_payloads(spark, "text", str(tmp_path / "topic"), max_bytes=bound), str(tmp_path / "lake"),
+                       str(tmp_path / "ckpt"), max_records_per_file=20)
+    qs.await_all()
+    sizes = [p["numInputRows"] for p in qs.events.recentProgress if p["numInputRows"]]
+    # The large file is a batch of its own, the small ones share one.
+    assert sum(sizes) == 60 and sizes[0] == 40 and 1 < len(sizes) < 5
+    assert spark.read.parquet(str(tmp_path / "lake")).count() == 60
+
+
+def test_types_are_those_of_the_field_itself(spark):
+    good = encode_events(_normalized(spark).limit(1)).first().value
+    record = json.loads(good)
+    payloads = {good: None, json.dumps(dict(record, firstName=5, extra={"firstName": "a"})): "decode",
+                json.dumps(dict(record, firstName=5, xfirstName="a")): "decode",
+                json.dumps(dict(record, age="30")): "decode", json.dumps(dict(record, age=30.5)): "decode",
+                json.dumps(dict(record, age=2**40)): "decode", json.dumps(dict(record, pilotName=None)): "decode",
+                json.dumps(dict(record, extra=[1, {"a": "b"}])): None, good[:-1] + ',"gender":"x"}': "decode",
+                json.dumps(dict(record, timestamp=True)): "timestamp", json.dumps(dict(record, timestamp="2024-01-01T00:00:00Z")): None}
+    got = decode_payloads(spark.createDataFrame([(p,) for p in payloads], "value string")).collect()
+    assert {r.value: r.reason for r in got} == payloads

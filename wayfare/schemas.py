@@ -43,6 +43,10 @@ ALS_BLOCKS = 10
 PARTITION_COL = "event_day"
 BATCH_COL = "ingest_batch"
 
+# Partition columns of published runs with the serving layout.
+DAY_COL = "generated_day"
+BUCKET_COL = "passenger_bucket"
+
 # JDBC publish settings.
 JDBC_BATCH_SIZE = 10000
 JDBC_WRITERS = 8

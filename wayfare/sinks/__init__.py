@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.scalar import day_of, epoch_millis_of
-from wayfare.schemas import BATCH_COL, EVENT_FIELDS, JDBC_BATCH_SIZE, JDBC_WRITERS, PARTITION_COL
+from wayfare.schemas import BATCH_COL, BUCKET_COL, DAY_COL, EVENT_FIELDS, JDBC_BATCH_SIZE, JDBC_WRITERS, PARTITION_COL
 from wayfare.sinks.event_table import (  # noqa: F401
     compact_events,
     days_of,
@@ -93,6 +93,12 @@ def current_runs(spark: SparkSession, target: str) -> list[str]:
     return [path for _, path in _runs(spark, target)[1]]
 
 
+def run_buckets(path: str) -> int:
+    """The passenger buckets of a run folder, 0 for a run without the serving layout."""
+    parts = path.rstrip("/").rsplit("/", 1)[1].split("-")
+    return int(parts[4].removeprefix("b")) if len(parts) == 5 else 0
+
+
 def _runs(spark: SparkSession, target: str) -> tuple[int, list[tuple[str, str]]]:
     """(number for the next run, [(mode, path)] of the present content)."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(target)
@@ -101,17 +107,36 @@ def _runs(spark: SparkSession, target: str) -> tuple[int, list[tuple[str, str]]]
     last, content = 0, []
     for path in found:
         parts = path.rsplit("/", 1)[1].split("-")
-        if len(parts) == 4 and parts[0] == "run":
+        if len(parts) in (4, 5) and parts[0] == "run":
             last = int(parts[1])
             if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
                 content = [(parts[2], path)] if parts[2] == "replace" else content + [(parts[2], path)]
     return last + 1, content
 
 
+def passenger_bucket(passenger, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(passenger), F.lit(buckets)).cast("int")
+
+
+def write_serving_layout(recs: DataFrame, path: str, buckets: int) -> None:
+    """One run laid out for lookups: a folder for each day of ``generated_at`` and passenger
+    bucket, rows sorted by passenger, Bloom filters on the passenger. A passenger has at
+    most k rows in a run, so no bucket is hot."""
+    out = recs.withColumn(DAY_COL, F.to_date("generated_at")).withColumn(
+        BUCKET_COL, F.coalesce(passenger_bucket("passenger_id", buckets), F.lit(0)))
+    (out.repartition(buckets, BUCKET_COL).sortWithinPartitions(DAY_COL, BUCKET_COL, "passenger_id", F.col("score").desc())
+     .write.option("parquet.bloom.filter.enabled#passenger_id", "true")
+     .partitionBy(DAY_COL, BUCKET_COL).parquet(path))
+
+
 def publish_recommendations(recs: DataFrame, target: str, fmt: str = "parquet", mode: str = "replace",
-                            num_writers: int | None = None, **jdbc_options) -> DataFrame | None:
+                            num_writers: int | None = None, buckets: int | None = None,
+                            **jdbc_options) -> DataFrame | None:
     """K4 + K5: publish recommendations.
 
+    ``buckets`` (Parquet only) lays the run out for lookups by passenger and day, see
+    ``write_serving_layout``; ``scan_recommendations`` then reads only what it is asked for.
+
     ``mode="replace"`` keeps only this run (truncate-and-load on JDBC, which keeps the
     table's DDL). ``mode="append"`` keeps history, which the "latest" serving query then
     resolves. On Parquet every run is a folder of its own that counts once it is complete
@@ -127,8 +152,11 @@ def publish_recommendations(recs: DataFrame, target: str, fmt: str = "parquet",
          .options(**jdbc_options).mode(save_mode).save())
         return None
     if fmt == "parquet":
-        out = recs.repartition(num_writers) if num_writers else recs
         path = f"{target}/run-{_runs(recs.sparkSession, target)[0]:010d}-{mode}-{uuid.uuid4().hex}"
+        if buckets:
+            write_serving_layout(recs, f"{path}-b{buckets}", buckets)
+            return recs.sparkSession.read.parquet(f"{path}-b{buckets}").select(*recs.columns)
+        out = recs.repartition(num_writers) if num_writers else recs
         out.write.parquet(path)
         return recs.sparkSession.read.schema(recs.schema).parquet(path)
     raise ValueError(f"unsupported format {fmt!r}")

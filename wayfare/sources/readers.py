@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.schemas import BATCH_COL, LOOKUP_CSV_SCHEMA, PARTITION_COL, RAW_CSV_SCHEMA
-from wayfare.sinks import current_runs
+from wayfare.functions.scalar import day_window
+from wayfare.schemas import BATCH_COL, BUCKET_COL, DAY_COL, LOOKUP_CSV_SCHEMA, PARTITION_COL, RAW_CSV_SCHEMA
+from wayfare.sinks import current_runs, passenger_bucket, run_buckets
 from wayfare.sinks.event_table import compactions, register_pending, table_location, visible_events
 
 # How long a stream waits for ``min_per_trigger`` records.
@@ -125,14 +126,48 @@ def stream_payloads(spark: SparkSession, fmt: str, location: str,
     raise ValueError(f"unsupported stream format {fmt!r}")
 
 
-def scan_recommendations(spark: SparkSession, target: str, fmt: str = "parquet",
-                         **jdbc_options) -> DataFrame:
+def scan_recommendations(spark: SparkSession, target: str, fmt: str = "parquet", day=None,
+                         passengers: list[str] | DataFrame | None = None, **jdbc_options) -> DataFrame:
     """The published recommendations table (Parquet folder or JDBC table).
 
     A Parquet folder holds one folder for each run; those of the newest replacing run and
-    of the appending runs after it are read. ``jdbc_options`` may hold Spark's partitioning
-    options (partitionColumn, lowerBound, upperBound, numPartitions)."""
+    of the appending runs after it are read. ``day`` and ``passengers`` keep the rows of a
+    calendar day and of some passengers, given as a short list, which becomes a filter that
+    reaches the files, or as a table of any size (its first column), which is joined. Of runs
+    with the serving layout only the folders of that day and of those passengers' buckets
+    are read; no more than one number for each bucket reaches the driver. ``jdbc_options`` may hold Spark's
+    partitioning options (partitionColumn, lowerBound, upperBound, numPartitions)."""
     if fmt == "jdbc":
-        return spark.read.format("jdbc").options(dbtable=target, **jdbc_options).load()
-    runs = current_runs(spark, target)
-    return spark.read.parquet(*(runs or [target]))
+        found = spark.read.format("jdbc").options(dbtable=target, **jdbc_options).load()
+        return _asked_for(found, day, passengers)
+    by_layout: dict[int, list[str]] = {}
+    for path in current_runs(spark, target) or [target]:
+        by_layout.setdefault(run_buckets(path), []).append(path)
+    out = None
+    for buckets, paths in by_layout.items():
+        rows = spark.read.parquet(*paths)
+        if buckets:
+            if day is not None:
+                rows = rows.filter(F.col(DAY_COL) == F.to_date(F.lit(str(day))))
+            if passengers is not None:
+                ids = passengers
+                if not isinstance(ids, DataFrame):
+                    ids = spark.createDataFrame([(p,) for p in passengers], "p string")
+                bucket = passenger_bucket(F.col(ids.columns[0]).cast("string"), buckets)
+                wanted = sorted(r[0] for r in ids.select(bucket).distinct().collect() if r[0] is not None)
+                rows = rows.filter(F.col(BUCKET_COL).isin(wanted))
+            rows = rows.drop(DAY_COL, BUCKET_COL)
+        out = rows if out is None else out.unionByName(rows)
+    return _asked_for(out, day, passengers)
+
+
+def _asked_for(recs: DataFrame, day, passengers: list[str] | DataFrame | None) -> DataFrame:
+    if isinstance(passengers, DataFrame):
+        ids = passengers.select(F.col(passengers.columns[0]).cast("string").alias("passenger_id"))
+        recs = recs.join(ids, "passenger_id", "left_semi")
+    elif passengers is not None:
+        recs = recs.filter(F.col("passenger_id").isin(list(passengers)))
+    if day is not None:
+        start, end = day_window(day)
+        recs = recs.filter((F.col("generated_at") >= start) & (F.col("generated_at") < end))
+    return recs

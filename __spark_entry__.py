@@ -44,6 +44,8 @@ from wayfare.operators.evaluate import (
 from wayfare.operators.indexing import build_label_index, index_interactions
 from wayfare.operators.interactions import interaction_strength, recent_events
 from wayfare.operators.normalize import clock_from, normalize_events
+from wayfare.operators.partial_als import fit_partial_als, implicit_objective
+from wayfare.operators.recommend import fit_als
 from wayfare.operators.rollup import interaction_strength_from_daily, refresh_daily_strengths, scan_daily_strengths
 from wayfare.operators.serving import latest_recommendations, recommendations_on
 from wayfare.operators.topk import top_k_per_group
@@ -544,6 +546,18 @@ def q_als_eval(spark, d):
     return evaluation_report(_indexed(spark, d).indexed, als_scorer(), K, N_CAND, SEED, hold=_HELD)
 
 
+def q_als_partial_fit(spark, d):
+    """M5 by partial normal equations: every passenger and airport gets factors, the
+    objective falls from the first iteration to the last, and ends at most 2 % above that of
+    MLlib's fit."""
+    indexed = _indexed(spark, d).indexed
+    model = fit_partial_als(indexed)
+    first, last, other = (implicit_objective(indexed, m) for m in (fit_partial_als(indexed, max_iter=1), model, fit_als(indexed)))
+    users, items = (f.agg(F.count_distinct("id").alias(n)) for f, n in ((model.userFactors, "n_users"), (model.itemFactors, "n_items")))
+    return users.join(F.broadcast(items)).select(  # one row each
+        "n_users", "n_items", F.lit(last < first).alias("falls"), F.lit(last < 1.02 * other).alias("near_mllib"))
+
+
 def _run(spark, d, **options):
     """The daily job's recommendations; what it persisted goes when the next query starts."""
     run = run_recommendation_job(_events(spark, d), _lookup(spark, d), as_of=AS_OF, generated_at=RUN_AT, **options)
@@ -599,6 +613,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recommendation_counts_orders": q_als_recommendation_counts_orders,
     "als_unseen_overlap": q_als_unseen_overlap,
     "als_unseen_overlap_blocks": q_als_unseen_overlap_blocks,
+    "als_partial_fit": q_als_partial_fit,
     "stream_quarantine_readback": q_stream_quarantine_readback,
     "table_scan_by_name": q_table_scan_by_name,
     "compacted_events_by_day": q_compacted_events_by_day,
@@ -907,6 +922,8 @@ def oracle_sql() -> dict[str, str]:
         "interaction_strength_rollup": _inter_sql(),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
+    sql["als_partial_fit"] = (f"SELECT COUNT(DISTINCT passengerId) AS n_users, COUNT(DISTINCT arrivalAirport) AS n_items, "
+                              f"TRUE AS falls, TRUE AS near_mllib FROM ({_inter_sql()}) i")
     sql["served_day"] = sql["recommendations_on_day"]
     sql["served_passenger_list"] = sql["latest_for_passenger_list"]
     sql["als_unseen_overlap_blocks"] = sql["als_unseen_overlap"]

@@ -40,7 +40,7 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
                            target_mode: str = "replace", target_options: dict[str, str] | None = None,
                            num_writers: int | None = None, num_partitions: int | None = None,
                            exclude_seen: bool = False, block_bytes: int = ITEM_BLOCK_BYTES,
-                           **als_params) -> RecommendationRun:
+                           fit=fit_als, **als_params) -> RecommendationRun:
     """E3 -> E4 -> E5 -> E6 (-> E7): the daily batch job.
 
     ``indexed`` feeds the fit, the two maps and the optional evaluation, so it is
@@ -50,8 +50,8 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     The run's instant is taken once, on the driver, so every row and every later action
     carries the same one. With a Parquet target the rows returned are the published ones.
     ``target_options`` (JDBC url, user, driver and so on) and ``num_writers`` go to the
-    sink; ``block_bytes`` sizes the blocks of items that are scored at a time; other
-    keywords go to ALS.
+    sink; ``block_bytes`` sizes the blocks of items that are scored at a time; ``fit`` is
+    MLlib's ALS or, for data with a hot airport, ``fit_partial_als``; other keywords go to it.
 
     ``exclude_seen=False`` keeps airports the passenger already has, as the original
     job does; ``True`` recommends only unseen ones (exactly k where enough remain)."""
@@ -64,7 +64,7 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     evaluation, held = None, []
     if evaluate:
         evaluation = evaluation_report(idx.indexed, scorer=als_scorer(**als_params), k=k, hold=held)
-    model = fit_als(idx.indexed, **als_params)
+    model = fit(idx.indexed, **als_params)
     seen = idx.indexed.select("user_index", "item_index") if exclude_seen else None
     recs = recommend_top_n(model, k, seen=seen, block_bytes=block_bytes).select("user_index", "item_index", "score")
     out = enrich_recommendations(recs, idx.user_map, idx.item_map, lookup, generated_at=generated_at,

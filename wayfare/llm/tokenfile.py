@@ -12,7 +12,7 @@ documents and their lengths, control bytes, data bytes and a CRC-32 of both. Par
 each other in ascending doc_id order, and so do blocks in a part.
 
 Defined results: a null or empty text is just the end id; null doc_ids come first; rows
-that repeat a doc_id follow each other. An empty table gives files without blocks. A very
+that repeat a doc_id follow each other, by the hash of their texts. An empty table gives files without blocks. A very
 long text is a long block of its own.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wayfare.llm.shared import SLICE_ROWS, Scratch
-from wayfare.llm.tokens import ids_crc32, read_tokenizer, text_encoder
+from wayfare.llm.tokens import MORE_PIECES, ids_crc32, read_tokenizer, text_encoder
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
@@ -84,7 +84,7 @@ def _stage_ids(docs: DataFrame, model: str, end_id: int, parts: int) -> DataFram
 
     def run(batches):
         from pyspark import TaskContext
-        encoder, part = text_encoder(model, end_id), TaskContext.get().partitionId()
+        encoder, part = text_encoder(model, end_id, MORE_PIECES), TaskContext.get().partitionId()
         held, held_ids, count, block, start = [], [], 0, 0, 0
         total = np.zeros(0, dtype=np.int64)
 

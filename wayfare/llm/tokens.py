@@ -19,7 +19,9 @@ from wayfare.llm.shared import worker_cache
 
 # Characters that the pre-tokenizer's pattern takes as white space.
 WHITE = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
-CACHE_PIECES, CACHE_CHARS, JOINED = 1_500_000, 30_000_000, 500
+# Pieces that a worker remembers (and so many characters each, on average), and how many
+# are encoded as one text. A worker whose tasks do little else may remember more.
+CACHE_PIECES, MORE_PIECES, PIECE_CHARS, JOINED = 500_000, 900_000, 24, 500
 
 
 class _Index(dict):
@@ -53,7 +55,8 @@ def _merge(pieces: list) -> list:
 class TextEncoder:
     """Encodes texts to uint32 ids and appends ``end_id`` to each."""
 
-    def __init__(self, tokenizer_json: str, end_id: int):
+    def __init__(self, tokenizer_json: str, end_id: int, cache_pieces: int = CACHE_PIECES):
+        self.most = cache_pieces
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
@@ -117,7 +120,7 @@ class TextEncoder:
         return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.index) > CACHE_PIECES or self.chars > CACHE_CHARS:
+        if len(self.index) > self.most or self.chars > self.most * PIECE_CHARS:
             self.clear()
         split = [(text or "").split(" ") for text in texts]
         for pieces in split:
@@ -137,10 +140,12 @@ class TextEncoder:
         return out
 
 
-def text_encoder(tokenizer_json: str, end_id: int) -> TextEncoder:
+def text_encoder(tokenizer_json: str, end_id: int, cache_pieces: int = CACHE_PIECES) -> TextEncoder:
     """The worker's encoder for this tokenizer, kept across tasks."""
     key = f"encoder_{zlib.crc32(tokenizer_json.encode())}_{end_id}"
-    return worker_cache(key, lambda: TextEncoder(tokenizer_json, end_id))
+    encoder = worker_cache(key, lambda: TextEncoder(tokenizer_json, end_id))
+    encoder.most = cache_pieces
+    return encoder
 
 
 def read_tokenizer(path: str) -> str:

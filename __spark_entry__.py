@@ -341,6 +341,15 @@ def q_raw_csv_normalized(spark, d):
     return normalize_events(scan_raw_csv(spark, path)).events.drop("timestamp")
 
 
+def q_raw_csv_line_breaks(spark, d):
+    """S3 + E1 with line breaks and quotes inside fields, read by byte ranges in parallel."""
+    path = scratch_path(spark, "raw_csv_lines")
+    said = F.concat(F.lit('over\ntwo lines, "'), F.col("`Passenger ID`"), F.lit('"\n'))
+    (raw_rows_from_event_log(load_table(spark, d, "events")).drop("_ingest_ts").withColumn("Pilot Name", said)
+     .write.option("header", "true").option("escape", '"').csv(path))
+    return normalize_events(scan_raw_csv(spark, path, multi_line=True, parallel=True)).events.drop("timestamp")
+
+
 def q_normalized_events(spark, d):
     return _normalized(spark, d).events
 
@@ -596,6 +605,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "millis_roundtrip": q_millis_roundtrip,
     "lookup_csv": q_lookup_csv,
     "raw_csv_normalized": q_raw_csv_normalized,
+    "raw_csv_line_breaks": q_raw_csv_line_breaks,
     "normalized_events": q_normalized_events,
     "rejected_events": q_rejected_events,
     "events_by_day": q_events_by_day,
@@ -922,6 +932,8 @@ def oracle_sql() -> dict[str, str]:
         "interaction_strength_rollup": _inter_sql(),
         "publish_readback": f"WITH {_history_sql()} SELECT * FROM hist",
     }
+    sql["raw_csv_line_breaks"] = sql["raw_csv_normalized"].replace(
+        "'' AS pilotName", "'over' || chr(10) || 'two lines, \"' || CAST(user_id AS VARCHAR) || '\"' || chr(10) AS pilotName")
     sql["als_partial_fit"] = (f"SELECT COUNT(DISTINCT passengerId) AS n_users, COUNT(DISTINCT arrivalAirport) AS n_items, "
                               f"TRUE AS falls, TRUE AS near_mllib FROM ({_inter_sql()}) i")
     sql["served_day"] = sql["recommendations_on_day"]

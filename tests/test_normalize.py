@@ -1,3 +1,5 @@
+import csv
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ def _row(**over):
 
 
 def _write_csv(path, header, rows):
-    import csv
+
     with open(path, "w", newline="", encoding="utf-8") as fh:
         w = csv.writer(fh)
         w.writerow(header)
@@ -82,3 +84,52 @@ def test_short_rows_fail_extra_fields_are_dropped(spark, tmp_path):
     _write_csv(short, RAW_CSV_HEADERS, [_row(), _row()[:-2]])
     with pytest.raises(Exception, match="missing fields"):
         normalize_events(scan_raw_csv(spark, str(short)), clock=F.lit(0)).events.collect()
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_parallel_line_breaks_equal_the_one_task_reader(spark, tmp_path, newline):
+    """Small byte ranges: records, quoted fields and even single lines span several of them."""
+    import random
+    rnd = random.Random(3)
+    odd = ["two\nlines", 'say "hi"', 'a "b"\n"c"\n', "", "\n\n\n", "comma, and\nmore", "é\n中", "x" * 3000 + "\ny", '"', "plain", " "]
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name in ("a.csv", "b.csv"):
+        rows = [_row(**{"First Name": rnd.choice(odd), "Pilot Name": rnd.choice(odd), "Flight Status": rnd.choice(odd)})
+                for _ in range(150)]
+        with open(folder / name, "w", newline="", encoding="utf-8") as f:
+            writer = csv.writer(f, lineterminator=newline)
+            writer.writerow(RAW_CSV_HEADERS)
+            for k, row in enumerate(rows):
+                writer.writerow(row)
+                if k % 50 == 7:
+                    f.write(newline)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    want = sorted(map(tuple, scan_raw_csv(spark, str(folder), multi_line=True).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        from wayfare.sources.csv_records import csv_records
+        tasks = spark.read.text(str(folder)).rdd.getNumPartitions()
+        got = sorted(map(tuple, scan_raw_csv(spark, str(folder), multi_line=True, parallel=True).collect()))
+        firsts = csv_records(spark, str(folder)).filter("first").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert tasks > 20 and len(want) == 300 and got == want and firsts == 2
+
+
+def test_parallel_reader_checks_headers_and_short_rows(spark, tmp_path):
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    _write_csv(mixed / "a.csv", RAW_CSV_HEADERS, [_row()])
+    _write_csv(mixed / "b.csv", list(reversed(RAW_CSV_HEADERS)), [list(reversed(_row()))])
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_raw_csv(spark, str(mixed), multi_line=True, parallel=True).collect()
+    short = tmp_path / "short.csv"
+    _write_csv(short, RAW_CSV_HEADERS, [_row(), _row()[:-2]])
+    with pytest.raises(Exception, match="missing fields"):
+        scan_raw_csv(spark, str(short), multi_line=True, parallel=True).collect()
+    extra = tmp_path / "extra.csv"
+    _write_csv(extra, RAW_CSV_HEADERS, [_row() + ["surplus"]])
+    assert scan_raw_csv(spark, str(extra), multi_line=True, parallel=True).first()["Flight Status"] == "v14"

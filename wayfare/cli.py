@@ -5,6 +5,7 @@ and the two lookups, as batch commands over shared storage.
     python -m wayfare.cli normalize --raw CSV --out DIR_OR_TABLE --rejects DIR
     python -m wayfare.cli publish --events PATH_OR_TABLE --topic DIR
     python -m wayfare.cli ingest --source DIR --lake DIR_OR_TABLE --checkpoint DIR [--quarantine DIR]
+    python -m wayfare.cli compact --lake DIR_OR_TABLE --before YYYY-MM-DD [--first-day YYYY-MM-DD] [--vacuum]
     python -m wayfare.cli latest --recs DIR --out DIR [--passengers CSV]
     python -m wayfare.cli on-day --recs DIR --day YYYY-MM-DD --out DIR [--passengers CSV]
 
@@ -23,7 +24,7 @@ from wayfare.operators.serving import latest_recommendations, recommendations_on
 from wayfare.plans.job import run_recommendation_job
 from wayfare.schemas import LOOKBACK_DAYS
 from wayfare.session import build_session
-from wayfare.sinks import append_events, ensure_event_table, publish_events
+from wayfare.sinks import append_events, compact_events, ensure_event_table, publish_events, vacuum_events
 from wayfare.sources.readers import scan_events, scan_lookup, scan_raw_csv, scan_recommendations, stream_payloads
 from wayfare.streaming.ingest import ingest_stream
 
@@ -71,13 +72,20 @@ def main(argv=None) -> None:
         q.add_argument("--passengers")
         if name == "on-day":
             q.add_argument("--day", required=True)
+    c = sub.add_parser("compact")
+    c.add_argument("--lake", required=True)
+    c.add_argument("--before", required=True)
+    c.add_argument("--first-day")
+    c.add_argument("--vacuum", action="store_true")
     p = sub.add_parser("publish")
     p.add_argument("--events", required=True)
     p.add_argument("--topic", required=True)
     p.add_argument("--format", default="text", choices=["text", "kafka"])
     n.add_argument("--files-per-day", type=int)
     n.add_argument("--multi-line", action="store_true")
+    n.add_argument("--parallel", action="store_true")
     j.add_argument("--writers", type=int)
+    j.add_argument("--buckets", type=int)
     for one in (j, sub.choices["latest"], sub.choices["on-day"]):
         one.add_argument("--format", default="parquet", choices=["parquet", "jdbc"])
     for one in sub.choices.values():
@@ -91,16 +99,22 @@ def main(argv=None) -> None:
         run = run_recommendation_job(scan_events(spark, args.events), scan_lookup(spark, args.lookup),
                                      as_of=args.as_of, lookback_days=args.lookback_days, evaluate=args.evaluate,
                                      target=args.target, target_fmt=args.format, target_mode=args.mode, target_options=options,
-                                     num_writers=args.writers, exclude_seen=args.exclude_seen)
+                                     num_writers=args.writers, buckets=args.buckets, exclude_seen=args.exclude_seen)
         if run.evaluation is not None:
             run.evaluation.show(truncate=False)
         run.release()
     elif args.cmd == "normalize":
-        out = normalize_events(scan_raw_csv(spark, args.raw, multi_line=args.multi_line))
+        out = normalize_events(scan_raw_csv(spark, args.raw, multi_line=args.multi_line, parallel=args.parallel))
         append_events(out.events, args.out, files_per_day=args.files_per_day, table=_table(spark, args.out))
         out.rejects.write.mode("append").parquet(args.rejects)
     elif args.cmd == "publish":
         publish_events(scan_events(spark, args.events), args.format, args.topic, **options)
+    elif args.cmd == "compact":
+        table = _table(spark, args.lake)
+        done = compact_events(spark, args.lake, args.before, args.first_day, table=table)
+        print(f"packed {len(done.days)} days: {done.files_before} files into {done.files_after}")
+        if args.vacuum:
+            print(f"removed {vacuum_events(spark, args.lake, table=table)} partitions")
     elif args.cmd == "ingest":
         qs = ingest_stream(stream_payloads(spark, args.format, args.source, args.max_per_trigger, **options),
                            args.lake, args.checkpoint, args.quarantine, available_now=not args.continuous,

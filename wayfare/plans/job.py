@@ -40,7 +40,7 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
                            target_mode: str = "replace", target_options: dict[str, str] | None = None,
                            num_writers: int | None = None, num_partitions: int | None = None,
                            exclude_seen: bool = False, block_bytes: int = ITEM_BLOCK_BYTES,
-                           fit=fit_als, **als_params) -> RecommendationRun:
+                           fit=fit_als, buckets: int | None = None, **als_params) -> RecommendationRun:
     """E3 -> E4 -> E5 -> E6 (-> E7): the daily batch job.
 
     ``indexed`` feeds the fit, the two maps and the optional evaluation, so it is
@@ -50,7 +50,7 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
     The run's instant is taken once, on the driver, so every row and every later action
     carries the same one. With a Parquet target the rows returned are the published ones.
     ``target_options`` (JDBC url, user, driver and so on) and ``num_writers`` go to the
-    sink; ``block_bytes`` sizes the blocks of items that are scored at a time; ``fit`` is
+    sink; ``block_bytes`` sizes the blocks of items that are scored at a time; ``buckets`` asks for the sink's serving layout; ``fit`` is
     MLlib's ALS or, for data with a hot airport, ``fit_partial_als``; other keywords go to it.
 
     ``exclude_seen=False`` keeps airports the passenger already has, as the original
@@ -71,7 +71,7 @@ def run_recommendation_job(events: DataFrame, lookup: DataFrame, as_of=None,
                                  zone=zone, item_rows=idx.item_index.size)
     if target:
         published = publish_recommendations(out, target, fmt=target_fmt, mode=target_mode,
-                                            num_writers=num_writers, **(target_options or {}))
+                                            num_writers=num_writers, buckets=buckets, **(target_options or {}))
         out = out if published is None else published
     return RecommendationRun(recommendations=out, index=idx, evaluation=evaluation, held=held)
 

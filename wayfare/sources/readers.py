@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from wayfare.functions.scalar import day_window
 from wayfare.schemas import BATCH_COL, BUCKET_COL, DAY_COL, LOOKUP_CSV_SCHEMA, PARTITION_COL, RAW_CSV_SCHEMA
 from wayfare.sinks import current_runs, passenger_bucket, run_buckets
+from wayfare.sources.csv_records import csv_records
 from wayfare.sinks.event_table import compactions, register_pending, table_location, visible_events
 
 # How long a stream waits for ``min_per_trigger`` records.
@@ -58,7 +59,7 @@ def scan_lookup(spark: SparkSession, path: str) -> DataFrame:
                       F.col("_c4").alias("iata_code"))
 
 
-def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False, parallel: bool = False) -> DataFrame:
     """S3: raw dataset CSV with a header row, UTF-8, every value a string.
 
     Columns are matched by header name (any order, extra header columns ignored); a
@@ -67,7 +68,8 @@ def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     fields than the header fails the read when it is processed, as a strict reader aborts
     the run; a row with more fields keeps its header columns and drops the rest. An empty
     field is the empty string. ``multi_line`` reads line breaks inside quoted fields, at
-    the price of one task for each file."""
+    the price of one task for each file, or with ``parallel`` in many tasks a file, which
+    needs every field that holds a quote to be quoted (``csv_records``)."""
     def reader():
         return (spark.read.option("header", "true").option("encoding", "UTF-8").option("escape", '"')
                 .option("multiLine", str(multi_line).lower()).option("nullValue", NO_FIELD).option("emptyValue", ""))
@@ -77,8 +79,11 @@ def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
         raise ValueError(f"raw CSV lacks columns: {missing}")
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header]
                           + [T.StructField("_corrupt_record", T.StringType(), True)])
-    df = (reader().option("mode", "PERMISSIVE").option("enforceSchema", "false")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path))
+    if multi_line and parallel:
+        df = _parsed_records(csv_records(spark, path), schema, header)
+    else:
+        df = (reader().option("mode", "PERMISSIVE").option("enforceSchema", "false")
+              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path))
     # No text of a field reads as null, so a null last column is a field that was not there.
     short = F.col("_corrupt_record").isNotNull() & F.col(f"`{header[-1]}`").isNull()
     checked = df.filter(F.when(short, F.raise_error(F.concat(
@@ -86,6 +91,18 @@ def scan_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return checked.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in RAW_CSV_SCHEMA.fieldNames()])
 
 
+def _parsed_records(records: DataFrame, schema: T.StructType, header: list[str]) -> DataFrame:
+    options = {"escape": '"', "nullValue": NO_FIELD, "emptyValue": "", "mode": "PERMISSIVE", "multiLine": "true",
+               "columnNameOfCorruptRecord": "_corrupt_record"}
+    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    parsed = records.select("file", "first", F.from_csv("record", ddl, options).alias("r"))
+    same = F.lit(True)
+    for name in header:
+        same = same & F.col(f"r.`{name}`").eqNullSafe(F.lit(name))
+    wrong = F.raise_error(F.concat(F.lit("header of another form in "), F.col("file")))
+    return parsed.filter(F.when(F.col("first") & ~same, wrong).otherwise(~F.col("first"))).select("r.*")
+
+
 def stream_payloads(spark: SparkSession, fmt: str, location: str,
                     max_per_trigger: int | None = 1000, min_per_trigger: int | None = None,
                     max_delay: str | None = None, max_bytes: int | str | None = None, **options) -> DataFrame:

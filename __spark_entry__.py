@@ -346,7 +346,7 @@ def q_raw_csv_line_breaks(spark, d):
     path = scratch_path(spark, "raw_csv_lines")
     said = F.concat(F.lit('over\ntwo lines, "'), F.col("`Passenger ID`"), F.lit('"\n'))
     (raw_rows_from_event_log(load_table(spark, d, "events")).drop("_ingest_ts").withColumn("Pilot Name", said)
-     .write.option("header", "true").option("escape", '"').csv(path))
+     .write.option("header", "true").option("escape", '"').option("ignoreTrailingWhiteSpace", "false").csv(path))
     return normalize_events(scan_raw_csv(spark, path, multi_line=True, parallel=True)).events.drop("timestamp")
 
 

@@ -64,3 +64,29 @@ def test_sketch_agreement_follows_similarity():
         got = (similarity_sketch(a) == similarity_sketch(b)).mean()
         assert abs(got - both) < 0.2
         assert (similarity_sketch(a) != np.uint64(2**64 - 1)).all()
+
+
+def test_rows_sent_grow_with_the_group_not_its_square(spark, monkeypatch):
+    """Near copies of one text and a few strays between 0.66 and 0.8 alike: the rows that
+    clusters send for 2N copies are at most 2.2 times those for N."""
+    rnd = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+
+    def rows_of(n):
+        rows = [(-1, " ".join(base))]
+        for k in range(n):
+            words = list(base)
+            words[rnd.randrange(60)] = f"c{k}"
+            rows.append((k, " ".join(words)))
+        for k in range(4):  # strays: about a sixth of the shingles differ
+            rows.append((n + k, " ".join(base[:52] + [f"s{k}x{j}" for j in range(8)])))
+        return rows
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(minhash, "SMALL_BAND", 8)
+    sent, inner = [], minhash._link_clusters
+    monkeypatch.setattr(minhash, "_link_clusters", lambda members, percent: (sent.append(members.count()), inner(members, percent))[1])
+    for n in (150, 300):
+        rows = rows_of(n)
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(frame(spark, rows), 4).collect()}
+        assert got == jaccard_components(rows, 4)[1]
+    assert sent[0] > 0 and sent[1] <= 2.2 * sent[0]

@@ -17,8 +17,8 @@ How the work stays linear where groups are large:
 - Only bands that still hold several components go on. Members of a band of at most
   SMALL_BAND are paired by sketch, and the pairs are confirmed on the full sets.
 - Larger bands that overlap form clusters. Their members are compared with their sets at
-  hand, in blocks of BLOCK_ROWS spread over tasks by pairs of blocks. A pair of one
-  component, of too different sizes, or whose sketches agree too little (5 standard
+  hand, in blocks spread over tasks by pairs of blocks; blocks of a cluster's largest
+  component meet only those of its other members. A pair of one component, of too different sizes, or whose sketches agree too little (5 standard
   deviations below the threshold) is skipped. A task returns only links that join
   components, never more than its rows.
 
@@ -41,7 +41,7 @@ BINS, ROWS = 200, 5
 THRESHOLD_PERCENT = 80
 SKETCH_CUTOFF = 0.66
 SMALL_BAND = 32
-BLOCK_ROWS = 1_024
+BLOCK_ROWS, BLOCK_ITEMS = 1_024, 2_000_000
 CHUNK_PAIRS = 64
 WORD_CACHE = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -215,6 +215,36 @@ def _link_clusters(members: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "u long, v long")
 
 
+def _cluster_blocks(clusters: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Each cluster's members, once for each pair of blocks (i, j) that they have to meet in.
+
+    Members of one component need not meet, so those of a cluster's largest one are spread
+    over blocks of their own that meet only the blocks of the rest: with few others a member
+    is sent once, however many there are. Blocks hold about BLOCK_ROWS members and
+    BLOCK_ITEMS shingles."""
+    placed = scratch.write(
+        clusters.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        .join(reps.select("node", "n"), "node"), "placed")
+    parts = placed.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("items"))
+    whole = parts.groupBy("cluster").agg(F.max(F.struct("rows", "label", "items")).alias("big"), F.sum("rows").alias("rows"),
+                                         F.sum("items").alias("items"))
+
+    def blocks_of(rows, items):
+        return F.ceil(F.greatest(rows / BLOCK_ROWS, items / BLOCK_ITEMS)).cast("int")
+    sizes = scratch.write(whole.filter("rows > big.rows").select(
+        "cluster", F.col("big.label").alias("big"), blocks_of(F.col("big.rows"), F.col("big.items")).alias("big_blocks"),
+        blocks_of(F.col("rows") - F.col("big.rows"), F.col("items") - F.col("big.items")).alias("rest_blocks")), "sizes")
+    is_big = F.col("label") == F.col("big")
+    spread = F.xxhash64("node")
+    block = F.when(is_big, F.col("rest_blocks") + F.pmod(spread, F.col("big_blocks"))).otherwise(F.pmod(spread, F.col("rest_blocks")))
+    meets = F.when(is_big, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("big_blocks"))
+    return (placed.join(sizes, "cluster").withColumn("block", block.cast("int"))
+            .join(reps.select("node", "sketch"), "node").join(sets, "node")
+            .withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
+            .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "node", "label", "sketch", "items"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -253,15 +283,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = THRESHOLD_PE
     clusters = scratch.write(connected_components(
         scratch, many.select(F.col("node").alias("u"), F.col("low").alias("v"))).withColumnRenamed(
             "component", "cluster"), "clusters")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    blocks = (clusters.join(scratch.write(sizes, "sizes"), "cluster")
-              .join(labels.withColumnRenamed("component", "label"), "node", "left")
-              .withColumn("label", F.coalesce("label", "node"))
-              .join(reps.select("node", "sketch"), "node").join(sets, "node")
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "node", "label", "sketch", "items"))
+    blocks = _cluster_blocks(clusters, labels, reps, sets, scratch)
     joining = scratch.write(_link_clusters(blocks, percent), "joining-links")
     components = connected_components(scratch, links.unionByName(found).unionByName(joining))
 

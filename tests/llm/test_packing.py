@@ -1,3 +1,4 @@
+import pytest
 import itertools
 import random
 import zlib
@@ -115,3 +116,12 @@ def test_local_search_leaves_no_gain_in_many_bins():
             if s != t and fills[s] <= fills[t]:
                 free = capacity - fills[t]
                 assert not any(0 < offer - back <= free for offer in sums(s, 2) for back in sums(t, 2))
+
+
+def test_carried_columns_and_clashes(spark):
+    pieces = spark.createDataFrame([(k, 10 * k % 40 + 1, f"x{k}") for k in range(30)], "doc_id long, length long, note string")
+    got = pack_pieces(pieces, 64).collect()
+    assert {(r.doc_id, r.note) for r in got} == {(k, f"x{k}") for k in range(30)}
+    for name in ("offset", "sequence_id", "_shard", "_full"):
+        with pytest.raises(ValueError, match="clash"):
+            pack_pieces(pieces.withColumnRenamed("note", name), 64)

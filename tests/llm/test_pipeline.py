@@ -4,6 +4,7 @@ from tests.llm.test_packing import check as check_packing
 from tests.llm.test_substring import brute_force as cut_by_brute_force
 from wayfare.llm.language import classify, compressors, fit_language_model, is_rejected
 from wayfare.llm.shared import Scratch
+from wayfare.session import checkpoint_root
 
 
 def rows_of(df):
@@ -81,3 +82,14 @@ def test_no_text_is_lost_to_a_repeated_doc_id(spark):
         assert (1, long("a")) in got or (1, long("b")) in got
     again = sorted(rows_of(corpus_pipeline.near_copies(spark, df.repartition(3), "")), key=str)
     assert again == got
+
+
+def test_run_leaves_only_its_result_on_disk(spark):
+    import os
+
+    root = os.path.join(checkpoint_root(spark).removeprefix("file://"), "wayfare")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    n = corpus_pipeline.run(spark, "/root/testdata/sf0.001").count()
+    files = [f for name in set(os.listdir(root)) - before for at, _, names in os.walk(os.path.join(root, name))
+             for f in names if f.endswith(".parquet") for f in [os.path.join(at, f)]]
+    assert n > 0 and files and all("-packing/" in f for f in files)

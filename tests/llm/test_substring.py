@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from hypothesis import given, settings
@@ -99,3 +100,9 @@ def test_extra_columns_are_carried(spark):
     df = frame(spark, [(1, "a b"), (2, None)]).withColumnRenamed("source", "digest").withColumnRenamed("lang", "first")
     rows = cut_repeats(df).orderBy("doc_id").collect()
     assert rows[0]["digest"] == "s" and rows[0]["first"] == "en" and rows[1]["text"] is None
+
+
+def test_clashing_columns_are_an_error(spark):
+    for name in ("n_chunks", "cut_spans", "_doc", "_repeated"):
+        with pytest.raises(ValueError, match="clash"):
+            cut_repeats(frame(spark, [(1, "a")]).withColumnRenamed("lang", name))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.shared import Scratch, map_slices
+from wayfare.llm.shared import Scratch, map_slices, refuse_clash
 from wayfare.llm.tokens import ids_crc32, read_tokenizer, text_encoder
 
 CAPACITY, END_ID = 1024, 2
@@ -193,7 +193,9 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int):
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` (with ``length``, 1 to capacity) plus sequence_id and offset."""
+    """``pieces`` (with ``length``, 1 to capacity) plus sequence_id and offset. Other columns
+    are carried; none may be called ``sequence_id``, ``offset``, ``_shard`` or ``_full``."""
+    refuse_clash(pieces.columns, ("sequence_id", "offset", "_shard", "_full"))
     scratch = Scratch(pieces.sparkSession, "packing")
     pieces = scratch.write(pieces, "pieces")
     columns = pieces.columns

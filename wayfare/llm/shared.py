@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,28 @@ from wayfare.session import scratch_path
 SLICE_ROWS = 256
 
 
+_watching: list[list[Scratch]] = []
+
+
+@contextlib.contextmanager
+def scratches() -> Iterator[list[Scratch]]:
+    """The Scratch objects made inside the block, so that a caller that has written what it
+    got can remove what it was read from (``keep_only()``)."""
+    made: list[Scratch] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching.remove(made)
+
+
+def refuse_clash(columns: Iterable[str], taken: Iterable[str]) -> None:
+    """An error before any job if a carried column has the name of a result or working one."""
+    clash = sorted(set(columns) & set(taken))
+    if clash:
+        raise ValueError(f"carried columns clash with result or working columns: {clash}")
+
+
 class Scratch:
     """Tables written below ``spark.checkpoint.dir``; ``drop`` and ``keep_only`` remove
     finished ones.
@@ -27,6 +50,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.paths = spark, scratch_path(spark, name), []
+        for made in _watching:
+            made.append(self)
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         path = f"{self.root}/{len(self.paths):03d}-{label}"

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.minhash import mix
-from wayfare.llm.shared import Scratch, map_slices
+from wayfare.llm.shared import Scratch, map_slices, refuse_clash
 
 MIN_BYTES, MAX_BYTES, RUN_BYTES = 16, 512, 128
 SPACE_BITS, WIDE_BITS, RUN_BITS, OTHER_BITS = 2, 3, 5, 9
@@ -120,7 +120,9 @@ def repeated_digests(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def cut_repeats(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Every row and column of ``docs`` with repeated passages cut from ``text``, and the
     columns n_chunks, n_cut (chunks), cut_chars and cut_spans (start:end in code points of
-    the old text, comma-joined)."""
+    the old text, comma-joined). ``docs`` may not have those columns, ``_doc`` or
+    ``_repeated``."""
+    refuse_clash(docs.columns, ("n_chunks", "n_cut", "cut_chars", "cut_spans", "_doc", "_repeated"))
     marked = repeated_digests(docs, Scratch(docs.sparkSession, "substring"))
     other = [c for c in docs.columns if c != "text"]
 

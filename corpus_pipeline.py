@@ -15,7 +15,7 @@ from wayfare.llm.language import fit_language_model, identify_language
 from wayfare.llm.minhash import near_duplicates
 from wayfare.llm.packing import pack_documents
 from wayfare.llm.secrets import redact
-from wayfare.llm.shared import Scratch
+from wayfare.llm.shared import Scratch, scratches
 from wayfare.llm.substring import cut_repeats
 from wayfare.operators.indexing import number_rows
 
@@ -90,9 +90,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of ``documents`` after all stages."""
+    """The packed pieces of ``documents`` after all stages. What a stage wrote on its way, and
+    the documents it read, are removed once its own output is written."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with scratches() as made:
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
+        for other in made:
+            other.keep_only()
+        scratch.keep_only(docs)
     return docs

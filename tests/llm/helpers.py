@@ -54,3 +54,15 @@ def jaccard_components(rows, width, percent=80):
                 both[a, b] = both.get((a, b), 0) + 1
     edges = [(a, b) for (a, b), n in both.items() if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)]
     return sets, components(sets, edges)
+
+
+def sql_rows(sql, rows):
+    """(columns, rows) of DuckDB SQL over ``conversations`` rows (conv_id, turn, role, text)."""
+    import duckdb
+    import pandas as pd
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype(
+        {"conv_id": "Int64", "turn": "Int64", "role": "string", "text": "string"})
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    found = con.sql(sql)
+    return [d[0] for d in found.description], found.fetchall()

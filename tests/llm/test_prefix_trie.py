@@ -5,7 +5,8 @@ from collections import defaultdict
 
 import pytest
 
-from tests.llm.helpers import read
+from tests.llm.helpers import read, sql_rows
+from wayfare.llm.oracles import trie_sql
 from wayfare.llm.prefix_trie import common_turns, trie_nodes, trie_query
 from wayfare.llm.shared import Scratch
 
@@ -105,3 +106,11 @@ def test_common_turns():
     a, b, c = (bytes([k]) * 16 for k in (1, 2, 3))
     assert common_turns(a + b + c, a + b) == 2 and common_turns(a + b, a + c) == 1
     assert common_turns(b"", a) == 0 and common_turns(b, a) == 0 and common_turns(a + a, a + a) == 2
+
+
+def test_sql_on_odd_rows():
+    rows = [(None, 0, "user", "nobody's"), (7, None, None, None), (7, 0, "user", ""), (-3, 1, "user", "below zero"),
+            (-100, 0, "user", "first"), (300, 0, "a", "bc"), (301, 0, "ab", "c"), (302, 1, "x", "🙂")]
+    rows += [(c, k, "user", f"t{k}") for c in range(400, 430) for k in range(c % 8)]
+    columns, found = sql_rows(trie_sql(), rows)
+    assert columns == COLUMNS and sorted(found, key=str) == brute_nodes(rebuild(rows))

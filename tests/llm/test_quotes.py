@@ -1,6 +1,4 @@
-import duckdb
-
-from tests.llm.helpers import read
+from tests.llm.helpers import read, sql_rows
 from wayfare.llm.oracles import quotes_sql
 from wayfare.llm.quotes import chat_query, link_quotations, quotation_links
 
@@ -71,15 +69,9 @@ def test_table_without_quotes_is_unchanged(spark):
 
 
 def same_as_sql(spark, rows):
-    import pandas as pd
-    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype(
-        {"conv_id": "Int64", "turn": "Int64", "role": "string", "text": "string"})
-    con = duckdb.connect()
-    con.register("conversations", conversations)
-    found = con.sql(quotes_sql())
-    columns = [d[0] for d in found.description]
+    columns, want = sql_rows(quotes_sql(), rows)
     got = [tuple(r[c] for c in columns) for r in chat_query(spark.createDataFrame(rows, MESSAGES)).collect()]
-    assert sorted(got, key=str) == sorted(found.fetchall(), key=str)
+    assert sorted(got, key=str) == sorted(want, key=str)
 
 
 def test_query_equals_sql_on_nested_quotes(spark):

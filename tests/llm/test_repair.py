@@ -6,7 +6,8 @@ import time
 import zlib
 from collections import defaultdict
 
-from tests.llm.helpers import read
+from tests.llm.helpers import read, sql_rows
+from wayfare.llm.oracles import repair_sql
 from wayfare.llm.repair import CLOSING, FOLLOW, STATES, Segment, damaged_rows, joined, ranked, repair_conversations, repair_query
 from wayfare.llm.repair import states_along
 from wayfare.llm.shared import Scratch
@@ -204,3 +205,9 @@ def test_a_long_damaged_segment_is_quick():
             for b in STATES:
                 segment.search(a, b)
         assert time.time() - start < 20
+
+
+def test_sql_on_odd_rows():
+    rows = [r for r in odd_rows() if not (r[3] and len(r[3]) > 1000)]
+    columns, found = sql_rows(repair_sql(), rows)
+    assert columns == COLUMNS and sorted(found, key=str) == brute(rows)

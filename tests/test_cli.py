@@ -39,6 +39,7 @@ spark.stop()
 main(["on-day", "--recs", {t!r} + "/recs", "--day", day, "--out", {t!r} + "/today"])
 main(["ingest", "--source", {t!r} + "/topic", "--lake", {t!r} + "/ingested", "--checkpoint", {t!r} + "/ckpt",
       "--max-per-trigger", "1"])
+main(["compact", "--lake", {t!r} + "/ingested", "--before", "2100-01-01", "--vacuum"])
 spark = build_session("local[2]")
 r = lambda p: spark.read.parquet({t!r} + "/" + p).count()
 print("COUNTS", scan_recommendations(spark, {t!r} + "/recs").count(), r("latest"), r("today"), r("lake"), r("rejects"), r("ingested"))
@@ -51,3 +52,4 @@ print("COUNTS", scan_recommendations(spark, {t!r} + "/recs").count(), r("latest"
     recs, latest, today, lake, rejects, ingested = map(int, line[0].split()[1:])
     assert recs == 75 and 0 < latest <= recs and today == latest
     assert lake > 0 and rejects > 0 and ingested == lake
+    assert "packed" in out.stdout and "partitions" in out.stdout

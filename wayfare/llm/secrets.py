@@ -27,7 +27,8 @@ from wayfare.llm.shared import Scratch
 class Rule:
     """A pattern; a match counts when ``group`` has ``min_chars`` characters. ``search``
     may name a pattern that finds the counting matches alone. ``tight``: the finding is
-    ``group``, at the match's end, not all of the match. Raise ``version`` when the rule
+    ``group``, at the match's end, not all of the match. ``needs``: text that every match
+    holds, looked for first. Raise ``version`` when the rule
     changes, so that old blobs are scanned again. A pattern must take time in proportion
     to the text, also in a long run of its own characters: let it start at a run's start."""
     name: str
@@ -37,6 +38,7 @@ class Rule:
     version: int = 1
     search: str | None = None
     tight: bool = False
+    needs: str | None = None
 
 
 # The three base kinds and their order.
@@ -49,7 +51,7 @@ MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, version=2,
-         tight=True),
+         tight=True, needs="eyJ"),
 )
 LEDGER_SCHEMA = ("blob string, rule string, rule_version int, "
                  "found array<struct<start:long,end:long,rule:string>>")
@@ -64,7 +66,8 @@ def with_blob(versions: DataFrame) -> DataFrame:
 def _pieces(rule: Rule):
     text, pattern = F.col("text"), rule.search or rule.pattern
     lengths = lambda parts: F.transform(parts, F.char_length)
-    return F.when(text.rlike(pattern), F.struct(
+    found = text.rlike(pattern) if rule.needs is None else F.contains(text, F.lit(rule.needs)) & text.rlike(pattern)
+    return F.when(found, F.struct(
         lengths(F.split(text, pattern, -1)).alias("gaps"),
         lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("spans"),
         lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))).alias("values")))

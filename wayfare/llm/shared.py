@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -75,6 +76,19 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def no_collection() -> Iterator[None]:
+    """Without cyclic garbage collection inside the block. A worker's caches hold many objects
+    and no cycles, and each collection would walk all of them."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 def worker_cache(key: str, make: Callable[[], object]) -> object:
     """An object kept for the life of a Python worker, across the tasks it serves."""
     holder = sys.modules.setdefault("_wayfare_llm_worker", types.ModuleType("_wayfare_llm_worker"))
@@ -97,7 +111,8 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema
         fn = make()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
-                out = fn(batch.slice(at, SLICE_ROWS).to_pydict())
+                with no_collection():
+                    out = fn(batch.slice(at, SLICE_ROWS).to_pydict())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type, from_pandas=False) for f in target], schema=target)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wayfare.llm.shared import SLICE_ROWS, Scratch
+from wayfare.llm.shared import SLICE_ROWS, Scratch, no_collection
 from wayfare.llm.tokens import MORE_PIECES, ids_crc32, read_tokenizer, text_encoder
 
 END_ID = 2
@@ -102,8 +102,10 @@ def _stage_ids(docs: DataFrame, model: str, end_id: int, parts: int) -> DataFram
             return row(part, block, start, held, [len(x) for x in held_ids], ids.astype(id_type).tobytes())
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
-                rows = batch.slice(at, SLICE_ROWS).to_pydict()
-                for doc_id, ids in zip(rows["doc_id"], encoder.encode(rows["text"])):
+                with no_collection():
+                    rows = batch.slice(at, SLICE_ROWS).to_pydict()
+                    found = encoder.encode(rows["text"])
+                for doc_id, ids in zip(rows["doc_id"], found):
                     held.append(doc_id), held_ids.append(ids)
                     count += len(ids)
                     if count >= BLOCK_IDS:

@@ -54,9 +54,11 @@ def test_serving_layout_prunes_buckets_and_days(spark, tmp_path):
     people = [f"p{k}" for k in range(200)] + ["", "é"]
     publish_recommendations(run(1, people), target, mode="replace", buckets=8)
     publish_recommendations(run(2, people[:50]), target, mode="append")  # without the layout
+    publish_recommendations(run(4, people[:9]), target, mode="append", buckets=8)  # as many buckets as the first
     published = publish_recommendations(run(3, [*people[20:90], None], 0), target, mode="append", buckets=16)
     assert published.count() == 71 * 3 and published.columns == run(1, []).columns
-    whole = run(1, people).unionByName(run(2, people[:50])).unionByName(run(3, [*people[20:90], None], 0))
+    whole = run(1, people).unionByName(run(2, people[:50])).unionByName(
+        run(3, [*people[20:90], None], 0)).unionByName(run(4, people[:9]))
     back = scan_recommendations(spark, target)
     assert sorted(map(str, back.collect())) == sorted(map(str, whole.collect()))
     few = scan_recommendations(spark, target, passengers=["p30", "p199", "", "nobody"])

@@ -157,11 +157,12 @@ def scan_recommendations(spark: SparkSession, target: str, fmt: str = "parquet",
     if fmt == "jdbc":
         found = spark.read.format("jdbc").options(dbtable=target, **jdbc_options).load()
         return _asked_for(found, day, passengers)
-    by_layout: dict[int, list[str]] = {}
+    plain, laid_out = [], []
     for path in current_runs(spark, target) or [target]:
-        by_layout.setdefault(run_buckets(path), []).append(path)
+        (laid_out if run_buckets(path) else plain).append(path)
+    # A run with partition folders is a table of its own; those without are read as one.
     out = None
-    for buckets, paths in by_layout.items():
+    for buckets, paths in [(0, plain)] * bool(plain) + [(run_buckets(path), [path]) for path in laid_out]:
         rows = spark.read.parquet(*paths)
         if buckets:
             if day is not None:

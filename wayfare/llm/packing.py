@@ -24,19 +24,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.shared import Scratch, map_slices, refuse_clash
-from wayfare.llm.tokens import ids_crc32, read_tokenizer, text_encoder
+from wayfare.llm.tokens import CACHE_PIECES, MORE_PIECES, ids_crc32, read_tokenizer, text_encoder
 
 CAPACITY, END_ID = 1024, 2
 SHARD_PIECES = 100_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
-                 with_ids: bool = False) -> DataFrame:
+                 with_ids: bool = False, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document; map-only."""
     model = read_tokenizer(tokenizer_path)
 
     def make():
-        encoder = text_encoder(model, end_id)
+        encoder = text_encoder(model, end_id, cache_pieces)
 
         def run(part: dict) -> dict:
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
@@ -237,12 +237,13 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
     return out
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    return pack_pieces(token_pieces(docs, tokenizer_path, capacity=capacity, with_ids=with_ids), capacity)
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False,
+                   cache_pieces: int = CACHE_PIECES) -> DataFrame:
+    return pack_pieces(token_pieces(docs, tokenizer_path, capacity=capacity, with_ids=with_ids, cache_pieces=cache_pieces), capacity)
 
 
 def packing_query(documents: DataFrame) -> DataFrame:
     """Query ``op2_best_fit_packing``."""
     import public_tokenizers
 
-    return pack_documents(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(documents, public_tokenizers.path("byte_bpe_50k.json"), cache_pieces=MORE_PIECES)

@@ -567,8 +567,9 @@ def q_als_partial_fit(spark, d):
     indexed = _indexed(spark, d).indexed
     model = fit_partial_als(indexed)
     first, last, other = (implicit_objective(indexed, m) for m in (fit_partial_als(indexed, max_iter=1), model, fit_als(indexed)))
-    users, items = (f.agg(F.count_distinct("id").alias(n)) for f, n in ((model.userFactors, "n_users"), (model.itemFactors, "n_items")))
-    return users.join(F.broadcast(items)).select(  # one row each
+    ids = (model.userFactors.select(F.col("id").alias("u"), F.lit(None).cast("int").alias("i"))
+           .unionByName(model.itemFactors.select(F.lit(None).cast("int").alias("u"), F.col("id").alias("i"))))
+    return ids.agg(F.count_distinct("u").alias("n_users"), F.count_distinct("i").alias("n_items")).select(
         "n_users", "n_items", F.lit(last < first).alias("falls"), F.lit(last < 1.02 * other).alias("near_mllib"))
 
 

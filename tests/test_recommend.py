@@ -197,9 +197,9 @@ def test_seen_bitmaps_over_blocks(spark):
         got = _items(score_top_n(uf, itf, 5, history, block_bytes=block_bytes))
         _check_top_n(users, items, got, 5, seen)
         assert len(got[3]) == 2 and 4 not in got
-    items_of, blocks, by_id = _item_blocks(itf, 9)
-    plan = physical_plan(seen_bitmaps(history, items_of, blocks, by_id))
-    assert blocks == 10 and not by_id and "bitmap" not in plan  # written once: passes read their own block
+    items_of, blocks, last_id = _item_blocks(itf, 9)
+    plan = physical_plan(seen_bitmaps(history, items_of, blocks, last_id))
+    assert blocks == 10 and last_id is None and "bitmap" not in plan  # written once: passes read their own block
     assert "block" in plan
 
 

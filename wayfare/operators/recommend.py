@@ -46,8 +46,8 @@ def _length(features: str = "features") -> Column:
     return F.sqrt(F.aggregate(features, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
 
 
-def _item_blocks(item_factors: DataFrame, room: int) -> tuple[DataFrame, int, bool]:
-    """(items with block and slot, number of blocks, whether slots are ids).
+def _item_blocks(item_factors: DataFrame, room: int) -> tuple[DataFrame, int, int | None]:
+    """(items with block and slot, number of blocks, the last id where slots are ids).
 
     Items that fit one block keep their ids as slots. A larger catalogue is numbered by
     falling length and written once, a folder for each block."""
@@ -55,23 +55,22 @@ def _item_blocks(item_factors: DataFrame, room: int) -> tuple[DataFrame, int, bo
     last = item_factors.agg(F.max("id")).first()[0]
     items = item_factors.select("id", "features")
     if last is None or last < room:
-        return items.withColumn("slot", F.col("id")).withColumn("block", F.lit(0)), int(last is not None), True
+        return items.withColumn("slot", F.col("id")).withColumn("block", F.lit(0)), int(last is not None), -1 if last is None else last
     numbered, sizes = number_rows(items.withColumn("_length", _length()), [F.col("_length").desc(), F.col("id").asc()], "_place")
     path = scratch_path(spark, "item-blocks")
     (numbered.select("id", "features", (F.col("_place") % room).alias("slot"), F.floor(F.col("_place") / room).cast("int").alias("block"))
      .write.partitionBy("block").parquet(path))
     return (spark.read.schema("id int, features array<float>, slot int, block int").parquet(path),
-            -(-sizes.get(0, 0) // room), False)
+            -(-sizes.get(0, 0) // room), None)
 
 
-def seen_bitmaps(seen: DataFrame, items: DataFrame, blocks: int, by_id: bool) -> DataFrame:
+def seen_bitmaps(seen: DataFrame, items: DataFrame, blocks: int, last_id: int | None) -> DataFrame:
     """(id, block, mask): for each user and block of items one bitmap of the slots that the
     user has seen, from one pass over ``seen`` (user_index, item_index). Repeated pairs and
     items without factors do no harm. Several blocks are written, a folder for each."""
     pairs = seen.select(F.col("user_index").alias("id"), F.col("item_index"))
-    if by_id:
-        placed = pairs.join(F.broadcast(items.agg(F.max("id").alias("_last"))), F.col("item_index") <= F.col("_last")).select(
-            "id", F.lit(0).alias("block"), F.col("item_index").alias("slot"))
+    if last_id is not None:
+        placed = pairs.filter(F.col("item_index") <= last_id).select("id", F.lit(0).alias("block"), F.col("item_index").alias("slot"))
     else:
         slots = items.select(F.col("id").alias("item_index"), "slot", "block")
         placed = pairs.join(broadcast_if_small(slots), "item_index")
@@ -103,8 +102,8 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int, seen:
     room = max(1, block_bytes // (4 * rank))
     if seen is not None:
         room = min(room, BITMAP_BITS)
-    items, blocks, by_id = _item_blocks(item_factors, room)
-    masks = None if seen is None else seen_bitmaps(seen, items, blocks, by_id)
+    items, blocks, last_id = _item_blocks(item_factors, room)
+    masks = None if seen is None else seen_bitmaps(seen, items, blocks, last_id)
     rows = user_factors.select("id", "features", _length().alias("norm"), F.lit(None).cast("array<long>").alias("best"),
                                F.lit(float("-inf")).alias("nth"))
     finished = []

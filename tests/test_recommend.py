@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from wayfare.operators import _scoring, recommend
 from wayfare.operators._scoring import merge_top, unpack
 from wayfare.operators.recommend import _item_blocks, fit_als, make_als, recommend_top_n, score_top_n, seen_bitmaps
 from wayfare.plans.inspect import physical_plan
@@ -207,3 +209,47 @@ def test_no_items_and_no_users(spark):
     none, one = spark.createDataFrame([], "id int, features array<float>"), _factors(spark, {0: [1.0]})
     assert score_top_n(one, none, 3).collect() == [] and score_top_n(none, one, 3).collect() == []
     assert len(score_top_n(one, one, 3).collect()) == 1
+
+
+def _block(spark, items):
+    return _scoring.item_block(_factors(spark, items).selectExpr("id", "id as slot", "features").toArrow(), 16)
+
+
+def test_leaves_that_cannot_matter_are_passed_over(spark, monkeypatch):
+    """Close items: few exact products a user, and the items of a full comparison; items
+    without any order, ties, short and zero users give those too."""
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(40, 6)) * 5
+    close = {k: centers[k % 40] + rng.normal(size=6) * 0.01 for k in range(2000)}
+    apart = {k: rng.normal(size=6) * (1 + k % 3) for k in range(700)}
+    tied = {k: rng.integers(-2, 3, 6) for k in range(900)}
+    users = np.concatenate([rng.normal(size=(50, 6)), rng.integers(-2, 3, (20, 6)), np.zeros((1, 6)), rng.normal(size=(3, 6)) * 1e-30,
+                            rng.normal(size=(3, 6)) * 1e30]).astype(np.float32)
+    whole = _scoring.merge_top
+    for items in (close, apart, tied):
+        block = _block(spark, items)
+        assert sorted(block.ids) == sorted(items) and np.diff(block.starts).max() <= 16
+        cells = []
+        monkeypatch.setattr(_scoring, "merge_top", lambda f, i, *rest: cells.append(len(f) * len(i)) or whole(f, i, *rest))
+        for part in (users, users[:50]):
+            cells.clear()
+            got = _scoring.best_of_block(part, block, 5, np.zeros((len(part), 5), np.uint64))
+            assert (got == whole(part, block.ids, block.factors, 5)).all()
+        if items is close:
+            assert sum(cells) < 0.1 * 50 * 2000
+        masks = [rng.integers(0, 256, int(rng.integers(0, 90)), dtype=np.uint8).tobytes() if u % 3 else None for u in range(50)]
+        hidden = np.array([[m is not None and s // 8 < len(m) and bool(m[s // 8] >> (s % 8) & 1) for s in block.slots] for m in masks])
+        got = _scoring.best_of_block(users[:50], block, 5, np.zeros((50, 5), np.uint64), _scoring._Masks(pa.array(masks, pa.binary())))
+        assert (got == whole(users[:50], block.ids, block.factors, 5, None, hidden)).all()
+
+
+def test_users_are_dealt_to_tasks_of_bounded_work(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    items = {k: rng.normal(size=3) for k in range(50)}
+    users = {u: rng.normal(size=3) for u in range(200)}
+    uf, itf = _factors(spark, users).coalesce(1), _factors(spark, items)
+    assert "Exchange" not in physical_plan(score_top_n(uf, itf, 5))
+    monkeypatch.setattr(recommend, "PAIRS_A_TASK", 50 * 200 // 8)
+    recs = score_top_n(uf, itf, 5)
+    assert recs.rdd.getNumPartitions() == 8
+    _check_top_n(users, items, _items(recs), 5)

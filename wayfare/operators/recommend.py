@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators._scoring import emit_batches, factor_matrix, score_batches
+from wayfare.operators._scoring import ItemBlock, item_block, score_batches
 from wayfare.operators.indexing import number_rows
 from wayfare.operators.joins import broadcast_if_small
 from wayfare.schemas import ALS_ALPHA, ALS_BLOCKS, ALS_MAX_ITER, ALS_RANK, ALS_REG, TOP_K
@@ -17,6 +16,8 @@ from wayfare.session import checkpoint_root, scratch_path
 ITEM_BLOCK_BYTES = 16 * 1024 * 1024
 # Places in one of Spark's bitmaps.
 BITMAP_BITS = 8 * 4096
+# A task scores about this many (user, item) pairs of a block: users are dealt to more tasks.
+PAIRS_A_TASK = 2_000_000_000
 
 
 def make_als(rank: int = ALS_RANK, reg: float = ALS_REG, alpha: float = ALS_ALPHA,
@@ -89,8 +90,9 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int, seen:
 
     Items go in blocks of ``block_bytes``, the longest factors first. A pass broadcasts one
     block, and each task scores its users against it and merges the result into each user's
-    running n best; no (user, item) table exists. A score is at most the product of both
-    lengths, so a user whose n-th score is above the product with the next block's longest
+    running n best; no (user, item) table exists. A task looks only at the leaves of close
+    items that can reach a user's n-th score, and has at most about ``PAIRS_A_TASK`` pairs.
+    A score is at most the product of both lengths, so a user whose n-th score is above the product with the next block's longest
     item is finished: no later block can change its list. Only the others go on, and the
     passes end with them. ``scored`` receives the number of users of each pass.
 
@@ -98,21 +100,24 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int, seen:
     Between passes the lists of those who go on are checkpointed."""
     spark = user_factors.sparkSession
     checkpoint_root(spark)
-    rank = item_factors.agg(F.max(F.size("features"))).first()[0] or 1
-    room = max(1, block_bytes // (4 * rank))
+    rank, n_items = item_factors.agg(F.max(F.size("features")), F.count(F.lit(1))).first()
+    room = max(1, block_bytes // (4 * (rank or 1)))
     if seen is not None:
         room = min(room, BITMAP_BITS)
     items, blocks, last_id = _item_blocks(item_factors, room)
     masks = None if seen is None else seen_bitmaps(seen, items, blocks, last_id)
-    rows = user_factors.select("id", "features", _length().alias("norm"), F.lit(None).cast("array<long>").alias("best"),
-                               F.lit(float("-inf")).alias("nth"))
+    rows = user_factors.select("id", "features", _length().alias("norm"), F.lit(None).cast("array<int>").alias("items"),
+                               F.lit(None).cast("array<float>").alias("scores"), F.lit(float("-inf")).alias("nth"))
+    tasks = -(-user_factors.count() * min(room, n_items) // PAIRS_A_TASK)
+    if tasks > 1:
+        rows = rows.repartition(int(tasks), "id")
     finished = []
     for block in range(blocks):
         part = items.filter(F.col("block") == block).select("id", "slot", "features")
-        ids, slots, matrix = factor_matrix(part.toArrow())
+        held = item_block(part.toArrow())
         if block:
             # Both lengths and the product are rounded: a margin far above that.
-            reach = F.col("norm") * float(np.linalg.norm(matrix, axis=1).max()) * (1 + 1e-6)
+            reach = F.col("norm") * float(held.lengths.max()) * (1 + 1e-6)
             finished.append(rows.filter(reach < F.col("nth")))
             rows = rows.filter(reach >= F.col("nth"))
         if block or scored is not None:
@@ -123,22 +128,24 @@ def score_top_n(user_factors: DataFrame, item_factors: DataFrame, n: int, seen:
                 scored.append(users)
         masked = rows.withColumn("mask", F.lit(None).cast("binary")) if masks is None else rows.join(
             masks.filter(F.col("block") == block).select("id", "mask"), "id", "left")
-        shared = spark.sparkContext.broadcast((ids, slots, matrix))
+        shared = spark.sparkContext.broadcast(tuple(vars(held).values()))
         rows = _scored(masked, shared, n)
         if block + 1 < blocks:
             rows = rows.checkpoint()
             shared.unpersist()
     for other in finished:
         rows = rows.unionByName(other)
-    return rows.select("id", "best").mapInPandas(emit_batches, "user_index int, item_index int, score double, rank int")
+    return rows.select("id", F.posexplode(F.arrays_zip("items", "scores")).alias("place", "best")).select(
+        F.col("id").alias("user_index"), F.col("best.items").alias("item_index"),
+        F.col("best.scores").cast("double").alias("score"), (F.col("place") + 1).alias("rank"))
 
 
 def _scored(rows: DataFrame, shared, n: int) -> DataFrame:
-    """``rows`` (id, features, norm, best, mask) with ``best`` merged with one block of items."""
+    """``rows`` (id, features, norm, items, scores, mask) with the lists merged with one block of items."""
     def run(batches):
-        return score_batches(batches, *shared.value, n)
-    return rows.select("id", "features", "norm", "best", "mask").mapInPandas(
-        run, "id int, features array<float>, norm double, best array<long>, nth double")
+        return score_batches(batches, ItemBlock(*shared.value), n)
+    return rows.select("id", "features", "norm", "items", "scores", "mask").mapInArrow(
+        run, "id int, features array<float>, norm double, items array<int>, scores array<float>, nth double")
 
 
 def recommend_top_n(model: ALSModel, n: int = TOP_K, users: DataFrame | None = None,

@@ -102,3 +102,28 @@ def test_no_ratings(spark):
     model = fit_partial_als(spark.createDataFrame([], RATINGS), rank=3, max_iter=2)
     assert model.userFactors.count() == model.itemFactors.count() == 0
     assert recommend_top_n(model, 3).collect() == []
+
+
+def test_ids_whole_in_a_range_are_solved_there(spark, monkeypatch):
+    """Users with few ratings and one hot item over many ranges: a task sends sums for its
+    first and last id alone, and the factors are those of one range, also when the given
+    factors are joined by shuffle."""
+    from wayfare.operators import _normal_equations, joins, partial_als
+    rows = [(u, i, 1.0 + (u + i) % 3) for u in range(300) for i in {0, u % 17, (u * 5) % 23}]
+    df = spark.createDataFrame(rows, RATINGS).repartition(6)
+    kw = {"rank": 4, "max_iter": 2, "alpha": 3.0}
+    one = fit_partial_als(df, **kw)
+    monkeypatch.setattr(partial_als, "ROWS_A_TASK", 60)
+    ranges = partial_als._ranges(df, 12, "user_index", "item_index").withColumn("features", F.array(*[F.lit(0.5).cast("float")] * 4))
+    out = ranges.select(F.col("user_index").alias("id"), "rating", "features").mapInArrow(
+        lambda b: _normal_equations.solve_sorted(b, 4, 3.0, np.eye(4), 0.1), "id int, features array<float>, sums array<double>")
+    sent = out.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.count("sums").alias("n"), F.count("features").alias("m")).collect()
+    assert len(sent) > 6 and max(r.n for r in sent) <= 2 and sum(r.m for r in sent) > 250
+    fits = [fit_partial_als(df, **kw)]
+    monkeypatch.setattr(partial_als, "broadcast_if_small", lambda side, known_rows: joins.broadcast_if_small(side, known_rows, max_rows=-1))
+    fits.append(fit_partial_als(df, **kw))
+    for many in fits:
+        for a, b in ((one.userFactors, many.userFactors), (one.itemFactors, many.itemFactors)):
+            assert a.count() == b.count()
+            a, b = _vectors(a), _vectors(b)
+            assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], atol=1e-4) for k in a)

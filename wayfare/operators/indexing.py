@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,9 +87,11 @@ def number_rows(df: DataFrame, order: list, index_col: str, num_partitions: int
     if not adjust:
         return ranged.withColumn(index_col, F.lit(None).cast("int")).drop("_group", "_part", "_pos"), sizes
     # One offset per (partition, group): a table bounded by the partition count, so
-    # broadcasting it is safe at any data size (no map literal carried in every task).
-    offsets = spark.createDataFrame([(p, g, v) for (p, g), v in adjust.items()],
-                                    "_part int, _group int, _shift long")
+    # broadcasting it is safe at any data size (no map literal carried in every task). As an
+    # Arrow table it is read by the JVM alone; rows would take a Python worker for each core.
+    offsets = spark.createDataFrame(pa.table({
+        "_part": pa.array([p for p, _ in adjust], pa.int32()), "_group": pa.array([g for _, g in adjust], pa.int32()),
+        "_shift": pa.array(list(adjust.values()), pa.int64())}))
     numbered = (ranged.join(F.broadcast(offsets), ["_part", "_group"])
                 .withColumn(index_col, (F.col("_shift") + F.col("_pos")).cast("int"))
                 .drop("_group", "_part", "_pos", "_shift"))

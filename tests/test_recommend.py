@@ -200,6 +200,8 @@ def test_seen_bitmaps_over_blocks(spark):
         _check_top_n(users, items, got, 5, seen)
         assert len(got[3]) == 2 and 4 not in got
     items_of, blocks, last_id = _item_blocks(itf, 9)
+    sizes = {r.n for r in seen_bitmaps(history, items_of, blocks, last_id).selectExpr("length(mask) n").collect()}
+    assert sizes == {1, 2}  # nine items: two bytes at most, of the 4096 of a whole bitmap
     plan = physical_plan(seen_bitmaps(history, items_of, blocks, last_id))
     assert blocks == 10 and last_id is None and "bitmap" not in plan  # written once: passes read their own block
     assert "block" in plan

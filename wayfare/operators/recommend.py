@@ -68,14 +68,16 @@ def _item_blocks(item_factors: DataFrame, room: int) -> tuple[DataFrame, int, in
 def seen_bitmaps(seen: DataFrame, items: DataFrame, blocks: int, last_id: int | None) -> DataFrame:
     """(id, block, mask): for each user and block of items one bitmap of the slots that the
     user has seen, from one pass over ``seen`` (user_index, item_index). Repeated pairs and
-    items without factors do no harm. Several blocks are written, a folder for each."""
+    items without factors do no harm. A bitmap ends with its last marked byte. Several
+    blocks are written, a folder for each."""
     pairs = seen.select(F.col("user_index").alias("id"), F.col("item_index"))
     if last_id is not None:
         placed = pairs.filter(F.col("item_index") <= last_id).select("id", F.lit(0).alias("block"), F.col("item_index").alias("slot"))
     else:
         slots = items.select(F.col("id").alias("item_index"), "slot", "block")
         placed = pairs.join(broadcast_if_small(slots), "item_index")
-    masks = placed.groupBy("id", "block").agg(F.bitmap_construct_agg(F.col("slot").cast("long")).alias("mask"))
+    masks = placed.groupBy("id", "block").agg(F.bitmap_construct_agg(F.col("slot").cast("long")).alias("bits"), F.max("slot").alias("top"))
+    masks = masks.select("id", "block", F.expr("substring(bits, 1, cast(shiftright(top, 3) as int) + 1)").alias("mask"))
     if blocks == 1:
         return masks
     path = scratch_path(seen.sparkSession, "seen")
